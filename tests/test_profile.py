@@ -13,7 +13,7 @@ def test_bracketed_quantiles_equal_exact(spark):
     li = spark.read.parquet(f"{SF01}/lineitem.parquet")
     qs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.95, 0.99, 1.0]
     exact = {(r["column"], r["q"]): r["value"] for r in P.quantiles(li, ["l_extendedprice", "l_quantity"], qs).collect()}
-    # force the bracket refinement path with a tiny per-task bound
+    # force several refinement levels with a tiny per-task bound
     forced = {(r["column"], r["q"]): r["value"]
               for r in P.quantiles(li, ["l_extendedprice", "l_quantity"], qs, bound=500).collect()}
     assert exact.keys() == forced.keys()

@@ -21,7 +21,7 @@ from trackmart.operators.relational import columns_of_kind, top_k_rows
 
 # Largest number of values an exact quantile may hold in one task; above it
 # the bracket refinement below is used.
-EXACT_QUANTILE_BOUND = 500_000
+EXACT_QUANTILE_BOUND = 100_000
 APPROX_ACCURACY = 10_000
 
 
@@ -107,62 +107,156 @@ def _ranks(n: int, qs: Sequence[float]) -> list[int]:
     return sorted(out)
 
 
-def order_statistics(df: DataFrame, column: str, ranks: Sequence[int], n: int,
-                     bound: int = EXACT_QUANTILE_BOUND,
-                     accuracy: int = APPROX_ACCURACY) -> dict[int, float]:
-    """Exact k-th smallest values (0-based ranks) of a large column.
+def _clamp(q: float) -> float:
+    return min(1.0, max(0.0, q))
 
-    Bracket refinement: an approximate quantile sketch (bounded memory)
-    proposes an interval around each wanted rank, one aggregate counts the
-    values below and inside it, and the interval is narrowed until it holds
-    at most ``bound`` values; those few values are then sorted exactly. No
-    task ever holds more than ``bound`` values per rank.
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float],
+                    bound: int = EXACT_QUANTILE_BOUND, accuracy: int = APPROX_ACCURACY,
+                    extra: Sequence[Column] = (), extra_out: dict | None = None
+                    ) -> dict[tuple[str, float], float | None]:
+    """Exact quantiles (linear interpolation between order statistics, as
+    pandas and Spark's ``percentile``) of any number of columns.
+
+    Bracket refinement, all columns at once. Pass 1 counts each column and
+    builds one approximate quantile sketch per column (bounded memory),
+    proposing an interval around each wanted rank. Pass 2 counts the values
+    below and inside every interval, proving it holds the rank. Intervals
+    still holding more than ``bound`` values are narrowed with a sketch over
+    the interval only. The last pass sorts the few values left in each
+    interval. Typical cost: three scans for any number of columns; no task
+    ever holds more than ``bound`` values of an interval. ``extra``
+    aggregates over ``df`` ride along in pass 1; their values are stored in
+    ``extra_out``.
     """
-    x = F.col(column)
-    data = df.select(x.cast("double").alias("x")).filter(F.col("x").isNotNull())
-    x = F.col("x")
-    # state per rank: (low, high, values below low, values in [low, high])
-    state = {r: (None, None, 0, n) for r in ranks}
-    margin = 2.0 / accuracy
-    for _ in range(12):
-        open_ranks = [r for r in ranks if state[r][3] > bound]
-        if not open_ranks:
+    # Expressions are written as SQL text: one parse per expression instead
+    # of a gateway round trip per Column operator (hundreds of brackets).
+    cols = list(columns)
+    ix = {c: i for i, c in enumerate(cols)}
+    data = df.selectExpr(*[f"CAST(`{c}` AS DOUBLE) AS x{i}" for i, c in enumerate(cols)])
+    m0 = 2.0 / accuracy
+    probes = sorted({_clamp(q + d) for q in qs for d in (-m0, m0)})
+    probe_sql = ", ".join(_dlit(p) for p in probes)
+    first = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)],
+                      *[F.col(c) for c in df.columns if c not in cols]).agg(
+        *[F.expr(f"count(x{i}) AS n{i}") for i in range(len(cols))],
+        *[F.expr(f"percentile_approx(x{i}, array({probe_sql}), {accuracy}) AS p{i}") for i in range(len(cols))],
+        *extra).first()
+    if extra_out is not None:
+        extra_out.update(first.asDict())
+    n_of = {c: first[f"n{i}"] for i, c in enumerate(cols)}
+    # per (column, rank): accepted bracket (lo, hi, below, inside) and a proposal to verify
+    accepted, proposed, margin = {}, {}, {}
+    for i, c in enumerate(cols):
+        n = n_of[c]
+        if n == 0:
+            continue
+        probe_val = dict(zip(probes, first[f"p{i}"]))
+        for q in qs:
+            for r in _ranks(n, [q]):
+                key = (c, r)
+                margin[key] = m0
+                if n <= bound:
+                    accepted[key] = (None, None, 0, n)
+                elif key not in proposed:
+                    proposed[key] = (probe_val[_clamp(q - m0)], probe_val[_clamp(q + m0)])
+
+    def settled(v):  # a bracket is final once it is one value or few enough values
+        return v[3] <= bound or (v[0] is not None and v[0] == v[1])
+
+    for _ in range(16):
+        if proposed:  # verify proposals: one counting scan for all of them
+            brackets = sorted({(c, lo, hi) for (c, _), (lo, hi) in proposed.items()}, key=str)
+            aggs = []
+            for j, (c, lo, hi) in enumerate(brackets):
+                x = f"x{ix[c]}"
+                aggs += [f"count_if({x} < {_dlit(lo)}) AS b{j}",
+                         f"count_if({_sql_in_bracket(x, lo, hi)}) AS i{j}",
+                         f"count_if({x} = {_dlit(lo)}) AS l{j}",
+                         f"count_if({x} = {_dlit(hi)}) AS h{j}"]
+            row = data.selectExpr(*aggs).first()
+            got = {b: tuple(row[f"{p}{j}"] or 0 for p in "bilh") for j, b in enumerate(brackets)}
+            for (c, r), (lo, hi) in list(proposed.items()):
+                below, inside, at_lo, at_hi = got[(c, lo, hi)]
+                prev = accepted.get((c, r), (None, None, 0, n_of[c]))
+                if below <= r < below + inside and inside < prev[3]:
+                    if r < below + at_lo:  # the rank falls on the tied lower edge
+                        accepted[(c, r)] = (lo, lo, below, at_lo)
+                    elif r >= below + inside - at_hi:  # ... or on the tied upper edge
+                        accepted[(c, r)] = (hi, hi, below + inside - at_hi, at_hi)
+                    else:
+                        accepted[(c, r)] = (lo, hi, below, inside)
+                else:  # the sketch missed the rank: retry from the last good bracket, wider
+                    accepted.setdefault((c, r), prev)
+                    margin[(c, r)] *= 4
+            proposed = {}
+        open_keys = [k for k, v in accepted.items() if not settled(v)]
+        if not open_keys:
             break
-        aggs = []
-        for j, r in enumerate(open_ranks):
-            lo, hi, below, inside = state[r]
-            in_b = _in_bracket(x, lo, hi)
-            rel = (r - below) / max(inside - 1, 1)
-            qs = [max(0.0, rel - margin), min(1.0, rel + margin)]
-            aggs.append(F.percentile_approx(F.when(in_b, x), qs, accuracy).alias(f"a{j}"))
-        row = data.agg(*aggs).first()
-        counts = []
-        for j, r in enumerate(open_ranks):
-            new_lo, new_hi = row[f"a{j}"]
-            counts += [F.sum((x < new_lo).cast("bigint")).alias(f"b{j}"),
-                       F.sum(((x >= new_lo) & (x <= new_hi)).cast("bigint")).alias(f"i{j}")]
-        crow = data.agg(*counts).first()
-        for j, r in enumerate(open_ranks):
-            new_lo, new_hi = row[f"a{j}"]
-            b, i = crow[f"b{j}"] or 0, crow[f"i{j}"] or 0
-            if b <= r < b + i and i < state[r][3]:
-                state[r] = (new_lo, new_hi, b, i)
-            else:  # sketch missed (should not happen): widen the margin
-                margin *= 4
-    result = {}
-    collect = []
-    for j, r in enumerate(ranks):
-        lo, hi, below, inside = state[r]
-        collect.append(F.sort_array(F.collect_list(F.when(_in_bracket(x, lo, hi), x))).alias(f"v{j}"))
-    row = data.agg(*collect).first()
-    for j, r in enumerate(ranks):
-        lo, hi, below, inside = state[r]
-        result[r] = row[f"v{j}"][r - below]
-    return result
+        aggs = []  # narrow the open brackets with sketches over the bracket only
+        for j, (c, r) in enumerate(open_keys):
+            lo, hi, below, inside = accepted[(c, r)]
+            rel, m = (r - below) / max(inside - 1, 1), margin[(c, r)]
+            x = f"x{ix[c]}"
+            aggs.append(f"percentile_approx(CASE WHEN {_sql_in_bracket(x, lo, hi)} THEN {x} END, "
+                        f"array({_dlit(_clamp(rel - m))}, {_dlit(_clamp(rel + m))}), {accuracy}) AS a{j}")
+        row = data.selectExpr(*aggs).first()
+        proposed = {k: tuple(row[f"a{j}"]) for j, k in enumerate(open_keys)}
+    # last pass: distinct values with their counts inside the remaining brackets
+    # (bounded by ``bound`` per bracket); single-value brackets need no pass
+    brackets = sorted({(c, v[0], v[1]) for (c, _), v in accepted.items()
+                       if not (v[0] is not None and v[0] == v[1])}, key=str)
+    counts: dict[int, list] = {}
+    if brackets:
+        conds = [_sql_in_bracket(f"x{ix[c]}", lo, hi) for c, lo, hi in brackets]
+        tags = ", ".join(f"CASE WHEN {cond} THEN named_struct('b', {j}, 'v', x{ix[c]}) END"
+                         for j, ((c, _, _), cond) in enumerate(zip(brackets, conds)))
+        tagged = (data.filter(" OR ".join(f"({cond})" for cond in conds))
+                  .selectExpr(f"explode(array({tags})) AS e").filter("e IS NOT NULL"))
+        for r in tagged.groupBy("e.b", "e.v").agg(F.count(F.lit(1)).alias("k")).collect():
+            counts.setdefault(r["b"], []).append((r["v"], r["k"]))
+    index = {b: j for j, b in enumerate(brackets)}
+    out = {}
+    for c in cols:
+        stats = {}
+        for (cc, r), (lo, hi, below, _) in accepted.items():
+            if cc != c:
+                continue
+            if lo is not None and lo == hi:
+                stats[r] = lo
+                continue
+            seen = below
+            for v, k in sorted(counts.get(index[(c, lo, hi)], [])):
+                seen += k
+                if r < seen:
+                    stats[r] = v
+                    break
+        for q in qs:
+            out[(c, q)] = _interpolate(stats, n_of[c], q)
+    return out
+
+
+def _dlit(v) -> str:
+    """A double as SQL literal text."""
+    v = float(v)
+    if math.isnan(v):
+        return "CAST('NaN' AS DOUBLE)"
+    if math.isinf(v):
+        return f"CAST('{'' if v > 0 else '-'}Infinity' AS DOUBLE)"
+    return f"{v!r}D" if v >= 0 else f"({v!r}D)"
+
+
+def _sql_in_bracket(x: str, lo, hi) -> str:
+    cond = f"{x} IS NOT NULL"
+    if lo is not None:
+        cond += f" AND {x} >= {_dlit(lo)}"
+    if hi is not None:
+        cond += f" AND {x} <= {_dlit(hi)}"
+    return cond
 
 
 def _in_bracket(x: Column, lo, hi) -> Column:
-    cond = F.lit(True)
+    cond = x.isNotNull()
     if lo is not None:
         cond = cond & (x >= F.lit(lo))
     if hi is not None:
@@ -172,37 +266,17 @@ def _in_bracket(x: Column, lo, hi) -> Column:
 
 def quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float],
               bound: int = EXACT_QUANTILE_BOUND, approx: bool = False) -> DataFrame:
-    """Exact (linear interpolation, as pandas ``quantile``) or approximate
-    quantiles; long form ``(column, q, value)``.
-
-    Exact: columns whose non-NULL count is within ``bound`` use Spark's exact
-    ``percentile`` in one lazy aggregate; larger ones use ``order_statistics``.
-    """
+    """Quantiles in long form ``(column, q, value)``: exact by default
+    (``exact_quantiles``), or Spark's ``percentile_approx`` with ``approx``."""
     spark = df.sparkSession
     qs = [float(q) for q in qs]
     if approx:
         agg = df.agg(*[F.percentile_approx(c, qs, APPROX_ACCURACY).alias(f"c{i}")
                        for i, c in enumerate(columns)])
         return _quantile_long(agg, columns, qs)
-    counts = df.agg(*[F.count(c).alias(f"c{i}") for i, c in enumerate(columns)]).first()
-    small = [c for i, c in enumerate(columns) if counts[f"c{i}"] <= bound]
-    large = [c for i, c in enumerate(columns) if counts[f"c{i}"] > bound]
-    parts = []
-    if small:
-        agg = df.agg(*[F.percentile(F.col(c).cast("double"), qs).alias(f"c{i}")
-                       for i, c in enumerate(small)])
-        parts.append(_quantile_long(agg, small, qs))
-    if large:
-        rows = []
-        for c in large:
-            n = counts[f"c{columns.index(c)}"]
-            stats = order_statistics(df, c, _ranks(n, qs), n, bound)
-            rows += [(c, q, _interpolate(stats, n, q)) for q in qs]
-        parts.append(spark.createDataFrame(rows, "column string, q double, value double"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    got = exact_quantiles(df, columns, qs, bound)
+    rows = [(c, q, got[(c, q)]) for c in columns for q in qs]
+    return spark.createDataFrame(rows, "column string, q double, value double")
 
 
 def _quantile_long(agg: DataFrame, columns: Sequence[str], qs: Sequence[float]) -> DataFrame:
@@ -231,21 +305,27 @@ def cap_by_quantile(df: DataFrame, column: str, q: float, lower: float = 0.0,
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
                      approx: bool = False) -> DataFrame:
     """pandas-style numeric describe in long form: ``(column, count, mean,
-    std, min, p25, p50, p75, max)``; std has ddof=1, quartiles interpolate."""
+    std, min, p25, p50, p75, max)``; std has ddof=1, quartiles interpolate.
+    count/mean/std/min/max ride along the first quantile scan."""
+    spark = df.sparkSession
     cols = list(columns) if columns else columns_of_kind(df, "numeric")
-    stats = df.agg(*[e for i, c in enumerate(cols) for e in (
-        F.count(c).alias(f"n{i}"), F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}"),
-        F.min(F.col(c).cast("double")).alias(f"lo{i}"), F.max(F.col(c).cast("double")).alias(f"hi{i}"))])
-    base = stats.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"),
-                 F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
-        for i, c in enumerate(cols)])).alias("p")).select("p.*")
-    qs = quantiles(df, cols, [0.25, 0.5, 0.75], approx=approx)
-    wide = qs.groupBy("column").agg(
-        *[F.max(F.when(F.col("q") == q, F.col("value"))).alias(n)
-          for q, n in [(0.25, "p25"), (0.5, "p50"), (0.75, "p75")]])
-    return base.join(wide, "column", "left").select(
-        "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    xs = [F.col(f"x{i}") for i in range(len(cols))]
+    stats = [e for i, x in enumerate(xs) for e in (
+        F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"))]
+    qs = [0.25, 0.5, 0.75]
+    row: dict = {}
+    if approx:
+        agg = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)]).agg(
+            *[F.count(x).alias(f"n{i}") for i, x in enumerate(xs)], *stats,
+            *[F.percentile_approx(x, qs, APPROX_ACCURACY).alias(f"p{i}") for i, x in enumerate(xs)]).first()
+        row = agg.asDict()
+        got = {(c, q): (row[f"p{i}"] or [None] * 3)[k] for i, c in enumerate(cols) for k, q in enumerate(qs)}
+    else:
+        got = exact_quantiles(df, cols, qs, extra=stats, extra_out=row)
+    rows = [(c, row[f"n{i}"], row[f"m{i}"], row[f"s{i}"], row[f"lo{i}"], got[(c, 0.25)], got[(c, 0.5)],
+             got[(c, 0.75)], row[f"hi{i}"]) for i, c in enumerate(cols)]
+    return spark.createDataFrame(rows, "column string, count bigint, mean double, std double, min double, "
+                                       "p25 double, p50 double, p75 double, max double")
 
 
 def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -284,30 +364,38 @@ def _typed_keys(df: DataFrame, c: str) -> tuple[Column, Column]:
     return F.lit(None).cast("double"), F.col(c).cast("string")
 
 
+def _long_typed(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Unpivot to ``(pos, column, value_num, value_text)``: numeric values in
+    ``value_num``, everything else as text (timestamps formatted)."""
+    return df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column"), num.alias("value_num"), txt.alias("value_text"))
+        for i, (c, num, txt) in enumerate((c, *_typed_keys(df, c)) for c in cols)])).alias("p")).select("p.*")
+
+
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Per column: rows, nulls, distinct count, min and max (numeric in
     ``min_num``/``max_num``, others as text), and how many sorted distinct
-    values the sample shows (all up to 50, else 20) and how many remain."""
+    values the sample shows (all up to 50, else 20) and how many remain.
+
+    Long form: the table is unpivoted once, distinct ``(column, value)``
+    pairs are counted by one distributed aggregate, and a second small
+    aggregate per column follows; no per-column job, no driver loop."""
     cols = list(columns) if columns else df.columns
-    keyed = [(c, *_typed_keys(df, c)) for c in cols]
-    agg = df.agg(F.count(F.lit(1)).alias("__rows"), *[e for i, (c, num, txt) in enumerate(keyed) for e in (
-        F.count(c).alias(f"n{i}"), F.count_distinct(c).alias(f"u{i}"),
-        F.min(num).alias(f"a{i}"), F.max(num).alias(f"b{i}"),
-        F.min(txt).alias(f"x{i}"), F.max(txt).alias(f"y{i}"))])
-    long = agg.select("__rows", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column"),
-                 F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
-                 F.col(f"n{i}").alias("non_null"), F.col(f"u{i}").alias("n_unique"),
-                 F.col(f"a{i}").alias("min_num"), F.col(f"b{i}").alias("max_num"),
-                 F.col(f"x{i}").alias("min_text"), F.col(f"y{i}").alias("max_text"))
-        for i, (c, _, _) in enumerate(keyed)])).alias("p"))
-    shown = F.when(F.col("p.n_unique") <= SAMPLE_ALL_UP_TO, F.col("p.n_unique")) \
+    dtypes = {c: df.schema[c].dataType.simpleString() for c in cols}
+    per_value = _long_typed(df, cols).groupBy("pos", "column", "value_num", "value_text") \
+        .agg(F.count(F.lit(1)).alias("n"))
+    missing = F.col("value_num").isNull() & F.col("value_text").isNull()
+    prof = per_value.groupBy("pos", "column").agg(
+        F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).cast("bigint").alias("nulls"),
+        F.count(F.when(~missing, F.lit(1))).alias("n_unique"),
+        F.min("value_num").alias("min_num"), F.max("value_num").alias("max_num"),
+        F.min("value_text").alias("min_text"), F.max("value_text").alias("max_text"))
+    shown = F.when(F.col("n_unique") <= SAMPLE_ALL_UP_TO, F.col("n_unique")) \
              .otherwise(F.lit(SAMPLE_TRUNCATED).cast("bigint"))
-    return long.select(
-        "p.pos", "p.column", "p.dtype", F.col("__rows").alias("rows"),
-        (F.col("__rows") - F.col("p.non_null")).alias("nulls"), "p.n_unique",
-        "p.min_num", "p.max_num", "p.min_text", "p.max_text",
-        shown.alias("n_shown"), (F.col("p.n_unique") - shown).alias("n_more"))
+    dtype = F.element_at(F.create_map(*[F.lit(x) for kv in dtypes.items() for x in kv]), F.col("column"))
+    return prof.select("pos", "column", dtype.alias("dtype"), F.col("rows").cast("bigint").alias("rows"), "nulls",
+                       "n_unique", "min_num", "max_num", "min_text", "max_text",
+                       shown.alias("n_shown"), (F.col("n_unique") - shown).alias("n_more"))
 
 
 def column_samples(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
