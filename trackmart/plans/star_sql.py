@@ -541,4 +541,26 @@ FROM (SELECT l_returnflag, count(*) AS n, CAST(sum(CASE WHEN l_discount > 0.05 T
     "load_check": """
 SELECT 'channels_clean' AS target, count(*) AS rows_written, count(*) AS rows_stored, true AS ok FROM supplier""",
     "csv_roundtrip": CSV_PART,
+    "incremental_lookup": f"""WITH {LANDED.strip()},{STATUS},
+cut AS (SELECT min(artist_query) AS m FROM status WHERE status = 'quota'),
+tagged AS (
+  SELECT a.artist_query,
+         CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.channel_id_found
+              WHEN s.status = 'quota' THEN 'Error: Quota Exceeded'
+              WHEN s.status = 'http' THEN 'Error: HTTP ' || s.detail
+              WHEN s.status = 'other' THEN 'Error: ' || s.detail END AS channel_id_found,
+         CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.channel_title_verified END AS channel_title_verified,
+         CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.subscriber_count END AS subscriber_count,
+         CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.view_count END AS view_count,
+         CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.video_count END AS video_count,
+         CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.total_top10_video_likes END AS total_top10_video_likes
+  FROM assembled a LEFT JOIN status s ON a.artist_query = s.artist_query),
+b1 AS (SELECT tagged.* FROM tagged, cut WHERE cut.m IS NULL OR tagged.artist_query <= cut.m),
+b2 AS (SELECT * FROM assembled WHERE artist_query NOT IN (SELECT artist_query FROM b1)),
+u AS (SELECT * FROM b1 UNION ALL SELECT * FROM b2)
+SELECT artist_query, coalesce(channel_id_found, '') AS channel_id_found,
+       coalesce(channel_title_verified, '') AS channel_title_verified,
+       coalesce(nullif(subscriber_count, -1), 0) AS subscriber_count, coalesce(view_count, 0) AS view_count,
+       coalesce(video_count, 0) AS video_count, coalesce(total_top10_video_likes, 0) AS total_top10_video_likes
+FROM u""",
 }
