@@ -33,6 +33,33 @@ def shape(df: DataFrame) -> DataFrame:
         "columns", F.lit(len(df.columns)).cast("bigint"))
 
 
+def quality_report(df: DataFrame, key: Sequence[str] | None = None) -> DataFrame:
+    """Report printed after a clean (E-11), as one long table
+    ``(item, column, value)``: row and column counts, the type and NULL
+    count of every column, and the duplicate rows left (full-row, or on
+    ``key``). One aggregate for the counts and one grouped count for the
+    duplicates."""
+    from trackmart.operators.relational import duplicate_counts
+    spark = df.sparkSession
+    cols = df.columns
+    counts = df.agg(F.count(F.lit(1)).alias("rows"),
+                    *[F.sum(F.col(c).isNull().cast("bigint")).alias(f"n{i}") for i, c in enumerate(cols)])
+    dups = duplicate_counts(df, key)
+    row_items = counts.select(F.explode(F.array(
+        F.struct(F.lit("rows").alias("item"), F.lit(None).cast("string").alias("column"),
+                 F.col("rows").cast("string").alias("value")),
+        *[F.struct(F.lit("nulls").alias("item"), F.lit(c).alias("column"),
+                   F.coalesce(F.col(f"n{i}"), F.lit(0)).cast("string").alias("value")) for i, c in enumerate(cols)]
+    )).alias("p")).select("p.*")
+    dup_items = dups.select(F.lit("duplicate_rows").alias("item"),
+                            F.lit(",".join(key) if key else None).cast("string").alias("column"),
+                            F.col("duplicate_rows").cast("string").alias("value"))
+    schema_items = spark.createDataFrame(
+        [("columns", None, str(len(cols)))] + [("dtype", f.name, f.dataType.simpleString()) for f in df.schema.fields],
+        "item string, column string, value string")
+    return row_items.unionByName(dup_items).unionByName(schema_items)
+
+
 def group_size(df: DataFrame, keys: Sequence[str], count_col: str = "count") -> DataFrame:
     """``groupby(k).size()`` (A-02); NULL keys dropped as pandas does."""
     cond = None

@@ -233,6 +233,15 @@ def top_k_rows(df: DataFrame, k: int, order: OrderSpec) -> DataFrame:
     return df.orderBy(*[F.col(c) if isinstance(c, str) else c for c in order]).limit(k)
 
 
+def head_tail(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """First and last ``n`` rows under an explicit order of column names
+    (S-04), tagged ``position`` 'head'/'tail'. Both ends are bounded top-k
+    plans; a table without an order has no "first" rows."""
+    first = df.orderBy(*[F.col(c).asc() for c in order]).limit(n).withColumn("position", F.lit("head"))
+    last = df.orderBy(*[F.col(c).desc() for c in order]).limit(n).withColumn("position", F.lit("tail"))
+    return first.unionByName(last)
+
+
 def value_counts(df: DataFrame, column: str, dropna: bool = True,
                  count_col: str = "count") -> DataFrame:
     """``value_counts`` (A-04/A-05): one row per value with its count."""

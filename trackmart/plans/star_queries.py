@@ -408,6 +408,19 @@ def incremental_lookup(spark, sf):
     return run_batch(universe, log, landed, 2)
 
 
+def table_shape(spark, sf):
+    return P.shape(T(spark, sf, "lineitem"))
+
+
+def quality_report(spark, sf):
+    return P.quality_report(clean_channels(I.supplier_raw_channels(spark, sf)), ["channel_id_found"])
+
+
+def head_tail(spark, sf):
+    o = T(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return R.head_tail(o, 5, ["o_orderkey"])
+
+
 QUERIES = {
     "merge_latest": merge_latest,
     "merge_no_channels": merge_no_channels,
@@ -458,4 +471,7 @@ QUERIES = {
     "load_check": load_check,
     "csv_roundtrip": csv_roundtrip,
     "incremental_lookup": incremental_lookup,
+    "table_shape": table_shape,
+    "quality_report": quality_report,
+    "head_tail": head_tail,
 }

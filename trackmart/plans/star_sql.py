@@ -135,8 +135,7 @@ def _long0(x: str) -> str:
     return f"coalesce(CAST(trunc({x}) AS BIGINT), 0)"
 
 
-CLEAN_CHANNELS = f"""
-WITH {RAW_CHANNELS.strip()}
+CLEAN_CHANNELS_SELECT = f"""
 SELECT {_trim("coalesce(artist_query, '')")} AS artist_query,
        {_trim("coalesce(channel_id_found, '')")} AS channel_id_found,
        {_trim("coalesce(channel_title_verified, '')")} AS channel_title_verified,
@@ -144,6 +143,7 @@ SELECT {_trim("coalesce(artist_query, '')")} AS artist_query,
        {_long0("view_count")} AS view_count, {_long0("video_count")} AS video_count,
        {_long0("total_top10_video_likes")} AS total_top10_video_likes
 FROM raw"""
+CLEAN_CHANNELS = f"WITH {RAW_CHANNELS.strip()}{CLEAN_CHANNELS_SELECT}"
 
 # landed lookup responses of the enrichment queries
 LANDED = """
@@ -541,6 +541,27 @@ FROM (SELECT l_returnflag, count(*) AS n, CAST(sum(CASE WHEN l_discount > 0.05 T
     "load_check": """
 SELECT 'channels_clean' AS target, count(*) AS rows_written, count(*) AS rows_stored, true AS ok FROM supplier""",
     "csv_roundtrip": CSV_PART,
+    "table_shape": "SELECT count(*) AS rows, CAST(11 AS BIGINT) AS columns FROM lineitem",
+    "quality_report": f"""WITH {RAW_CHANNELS.strip()}, clean AS ({CLEAN_CHANNELS_SELECT})
+SELECT 'rows' AS item, CAST(NULL AS VARCHAR) AS "column", CAST(count(*) AS VARCHAR) AS value FROM clean
+UNION ALL SELECT 'nulls', 'artist_query', CAST(count(*) - count(artist_query) AS VARCHAR) FROM clean
+UNION ALL SELECT 'nulls', 'channel_id_found', CAST(count(*) - count(channel_id_found) AS VARCHAR) FROM clean
+UNION ALL SELECT 'nulls', 'channel_title_verified', CAST(count(*) - count(channel_title_verified) AS VARCHAR) FROM clean
+UNION ALL SELECT 'nulls', 'subscriber_count', CAST(count(*) - count(subscriber_count) AS VARCHAR) FROM clean
+UNION ALL SELECT 'nulls', 'view_count', CAST(count(*) - count(view_count) AS VARCHAR) FROM clean
+UNION ALL SELECT 'nulls', 'video_count', CAST(count(*) - count(video_count) AS VARCHAR) FROM clean
+UNION ALL SELECT 'nulls', 'total_top10_video_likes', CAST(count(*) - count(total_top10_video_likes) AS VARCHAR) FROM clean
+UNION ALL SELECT 'duplicate_rows', 'channel_id_found',
+       CAST(count(*) - count(DISTINCT channel_id_found) AS VARCHAR) FROM clean
+UNION ALL SELECT 'columns', NULL, '7'
+UNION ALL SELECT 'dtype', 'artist_query', 'string' UNION ALL SELECT 'dtype', 'channel_id_found', 'string'
+UNION ALL SELECT 'dtype', 'channel_title_verified', 'string' UNION ALL SELECT 'dtype', 'subscriber_count', 'bigint'
+UNION ALL SELECT 'dtype', 'view_count', 'bigint' UNION ALL SELECT 'dtype', 'video_count', 'bigint'
+UNION ALL SELECT 'dtype', 'total_top10_video_likes', 'bigint'""",
+    "head_tail": """
+(SELECT o_orderkey, o_custkey, o_totalprice, 'head' AS position FROM orders ORDER BY o_orderkey LIMIT 5)
+UNION ALL
+(SELECT o_orderkey, o_custkey, o_totalprice, 'tail' AS position FROM orders ORDER BY o_orderkey DESC LIMIT 5)""",
     "incremental_lookup": f"""WITH {LANDED.strip()},{STATUS},
 cut AS (SELECT min(artist_query) AS m FROM status WHERE status = 'quota'),
 tagged AS (
