@@ -89,3 +89,20 @@ def test_column_profile_and_samples(spark):
 def test_auto_bins_counts_null(spark):
     df = spark.createDataFrame([(1,), (2,), (3,), (None,)], "y int")
     assert P.auto_bins(df, "y") == 2
+
+
+def test_exact_quantiles_with_a_hot_value_and_tiny_bound(spark):
+    import numpy as np
+    vals = [0.0] * 3000 + [float(i % 997) * 1.5 for i in range(6000)] + [1e9, -5.0]
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(4)
+    qs = [0.0, 0.1, 0.25, 0.33, 0.34, 0.5, 0.9, 0.999, 1.0]
+    got = P.exact_quantiles(df, ["x"], qs, bound=50, buckets=16)
+    ref = np.quantile(np.array(vals), qs)  # linear interpolation
+    for q, r in zip(qs, ref):
+        assert math.isclose(got[("x", q)], r, rel_tol=1e-12, abs_tol=1e-12), q
+
+
+def test_exact_quantiles_all_nulls_and_constant(spark):
+    df = spark.createDataFrame([(None, 2.0), (None, 2.0)], "a double, b double")
+    got = P.exact_quantiles(df, ["a", "b"], [0.5])
+    assert got[("a", 0.5)] is None and got[("b", 0.5)] == 2.0

@@ -22,7 +22,7 @@ from trackmart.operators.relational import columns_of_kind, top_k_rows
 # Largest number of values an exact quantile may hold in one task; above it
 # the bracket refinement below is used.
 EXACT_QUANTILE_BOUND = 100_000
-APPROX_ACCURACY = 10_000
+APPROX_ACCURACY = 10_000  # for approx=True
 
 
 # --- counts (A-01..A-03, A-06..A-08) -----------------------------------------
@@ -134,105 +134,84 @@ def _ranks(n: int, qs: Sequence[float]) -> list[int]:
     return sorted(out)
 
 
-def _clamp(q: float) -> float:
-    return min(1.0, max(0.0, q))
+HISTOGRAM_BUCKETS = 4096
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float],
-                    bound: int = EXACT_QUANTILE_BOUND, accuracy: int = APPROX_ACCURACY,
+                    bound: int = EXACT_QUANTILE_BOUND, buckets: int = HISTOGRAM_BUCKETS,
                     extra: Sequence[Column] = (), extra_out: dict | None = None
                     ) -> dict[tuple[str, float], float | None]:
     """Exact quantiles (linear interpolation between order statistics, as
-    pandas and Spark's ``percentile``) of any number of columns.
-
-    Bracket refinement, all columns at once. Pass 1 counts each column and
-    builds one approximate quantile sketch per column (bounded memory),
-    proposing an interval around each wanted rank. Pass 2 counts the values
-    below and inside every interval, proving it holds the rank. Intervals
-    still holding more than ``bound`` values are narrowed with a sketch over
-    the interval only. The last pass sorts the few values left in each
-    interval. Typical cost: three scans for any number of columns; no task
-    ever holds more than ``bound`` values of an interval. ``extra``
-    aggregates over ``df`` ride along in pass 1; their values are stored in
-    ``extra_out``.
+    pandas ``quantile`` and Spark's ``percentile``) of any number of columns.
+
+    Histogram refinement, all columns at once, every pass a code-generated
+    hash aggregate:
+
+    1. count, min and max per column (plus any ``extra`` aggregates);
+    2. an equal-width histogram of ``buckets`` buckets over each range that
+       still holds more than ``bound`` values, with exact count, min and max
+       per bucket — the bucket holding each wanted rank becomes the new,
+       exact range (a bucket whose min equals its max is the answer);
+    3. the distinct values (with counts) of the few remaining ranges.
+
+    Each histogram pass shrinks a range about ``buckets``-fold, so two
+    levels cover 10^12 rows; the driver only receives bucket summaries and
+    at most ``bound`` distinct values per range, and no task holds more.
     """
     # Expressions are written as SQL text: one parse per expression instead
-    # of a gateway round trip per Column operator (hundreds of brackets).
+    # of a gateway round trip per Column operator.
     cols = list(columns)
     ix = {c: i for i, c in enumerate(cols)}
     data = df.selectExpr(*[f"CAST(`{c}` AS DOUBLE) AS x{i}" for i, c in enumerate(cols)])
-    m0 = 2.0 / accuracy
-    probes = sorted({_clamp(q + d) for q in qs for d in (-m0, m0)})
-    probe_sql = ", ".join(_dlit(p) for p in probes)
     first = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)],
                       *[F.col(c) for c in df.columns if c not in cols]).agg(
         *[F.expr(f"count(x{i}) AS n{i}") for i in range(len(cols))],
-        *[F.expr(f"percentile_approx(x{i}, array({probe_sql}), {accuracy}) AS p{i}") for i in range(len(cols))],
+        *[F.expr(f"min(x{i}) AS lo{i}") for i in range(len(cols))],
+        *[F.expr(f"max(x{i}) AS hi{i}") for i in range(len(cols))],
         *extra).first()
     if extra_out is not None:
         extra_out.update(first.asDict())
     n_of = {c: first[f"n{i}"] for i, c in enumerate(cols)}
-    # per (column, rank): accepted bracket (lo, hi, below, inside) and a proposal to verify
-    accepted, proposed, margin = {}, {}, {}
+    # per (column, rank): the range (lo, hi) known to hold it, values below lo, values in range
+    state = {}
     for i, c in enumerate(cols):
-        n = n_of[c]
-        if n == 0:
-            continue
-        probe_val = dict(zip(probes, first[f"p{i}"]))
-        for q in qs:
-            for r in _ranks(n, [q]):
-                key = (c, r)
-                margin[key] = m0
-                if n <= bound:
-                    accepted[key] = (None, None, 0, n)
-                elif key not in proposed:
-                    proposed[key] = (probe_val[_clamp(q - m0)], probe_val[_clamp(q + m0)])
+        if n_of[c]:
+            for r in _ranks(n_of[c], qs):
+                state[(c, r)] = (first[f"lo{i}"], first[f"hi{i}"], 0, n_of[c])
 
-    def settled(v):  # a bracket is final once it is one value or few enough values
-        return v[3] <= bound or (v[0] is not None and v[0] == v[1])
+    def settled(v):
+        return v[3] <= bound or v[0] == v[1]
 
     for _ in range(16):
-        if proposed:  # verify proposals: one counting scan for all of them
-            brackets = sorted({(c, lo, hi) for (c, _), (lo, hi) in proposed.items()}, key=str)
-            aggs = []
-            for j, (c, lo, hi) in enumerate(brackets):
-                x = f"x{ix[c]}"
-                aggs += [f"count_if({x} < {_dlit(lo)}) AS b{j}",
-                         f"count_if({_sql_in_bracket(x, lo, hi)}) AS i{j}",
-                         f"count_if({x} = {_dlit(lo)}) AS l{j}",
-                         f"count_if({x} = {_dlit(hi)}) AS h{j}"]
-            row = data.selectExpr(*aggs).first()
-            got = {b: tuple(row[f"{p}{j}"] or 0 for p in "bilh") for j, b in enumerate(brackets)}
-            for (c, r), (lo, hi) in list(proposed.items()):
-                below, inside, at_lo, at_hi = got[(c, lo, hi)]
-                prev = accepted.get((c, r), (None, None, 0, n_of[c]))
-                if below <= r < below + inside and inside < prev[3]:
-                    if r < below + at_lo:  # the rank falls on the tied lower edge
-                        accepted[(c, r)] = (lo, lo, below, at_lo)
-                    elif r >= below + inside - at_hi:  # ... or on the tied upper edge
-                        accepted[(c, r)] = (hi, hi, below + inside - at_hi, at_hi)
-                    else:
-                        accepted[(c, r)] = (lo, hi, below, inside)
-                else:  # the sketch missed the rank: retry from the last good bracket, wider
-                    accepted.setdefault((c, r), prev)
-                    margin[(c, r)] *= 4
-            proposed = {}
-        open_keys = [k for k, v in accepted.items() if not settled(v)]
+        open_keys = [k for k, v in state.items() if not settled(v)]
         if not open_keys:
             break
-        aggs = []  # narrow the open brackets with sketches over the bracket only
-        for j, (c, r) in enumerate(open_keys):
-            lo, hi, below, inside = accepted[(c, r)]
-            rel, m = (r - below) / max(inside - 1, 1), margin[(c, r)]
+        ranges = sorted({(c, state[(c, r)][0], state[(c, r)][1], state[(c, r)][2]) for c, r in open_keys}, key=str)
+        parts, conds = [], []
+        for j, (c, lo, hi, _) in enumerate(ranges):
             x = f"x{ix[c]}"
-            aggs.append(f"percentile_approx(CASE WHEN {_sql_in_bracket(x, lo, hi)} THEN {x} END, "
-                        f"array({_dlit(_clamp(rel - m))}, {_dlit(_clamp(rel + m))}), {accuracy}) AS a{j}")
-        row = data.selectExpr(*aggs).first()
-        proposed = {k: tuple(row[f"a{j}"]) for j, k in enumerate(open_keys)}
-    # last pass: distinct values with their counts inside the remaining brackets
-    # (bounded by ``bound`` per bracket); single-value brackets need no pass
-    brackets = sorted({(c, v[0], v[1]) for (c, _), v in accepted.items()
-                       if not (v[0] is not None and v[0] == v[1])}, key=str)
+            cond = _sql_in_bracket(x, lo, hi)
+            width = (hi - lo) / buckets
+            bucket = f"least(CAST(floor(({x} - {_dlit(lo)}) / {_dlit(width)}) AS BIGINT), {buckets - 1})"
+            parts.append(f"CASE WHEN {cond} THEN named_struct('j', {j}, 'b', {bucket}, 'x', {x}) END")
+            conds.append(f"({cond})")
+        hist = (data.filter(" OR ".join(conds)).selectExpr(f"explode(array({', '.join(parts)})) AS e")
+                .filter("e IS NOT NULL").groupBy("e.j", "e.b")
+                .agg(F.count(F.lit(1)).alias("k"), F.min("e.x").alias("mn"), F.max("e.x").alias("mx")).collect())
+        per_range: dict[int, list] = {}
+        for row in hist:
+            per_range.setdefault(row["j"], []).append((row["b"], row["k"], row["mn"], row["mx"]))
+        index = {(c, lo, hi, below): j for j, (c, lo, hi, below) in enumerate(ranges)}
+        for c, r in open_keys:
+            lo, hi, below, _ = state[(c, r)]
+            seen = below
+            for _, k, mn, mx in sorted(per_range.get(index[(c, lo, hi, below)], [])):
+                if r < seen + k:
+                    state[(c, r)] = (mn, mx, seen, k)
+                    break
+                seen += k
+    # last pass: distinct values with their counts inside the remaining ranges
+    brackets = sorted({(c, v[0], v[1]) for (c, _), v in state.items() if v[0] != v[1]}, key=str)
     counts: dict[int, list] = {}
     if brackets:
         conds = [_sql_in_bracket(f"x{ix[c]}", lo, hi) for c, lo, hi in brackets]
@@ -240,16 +219,16 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float],
                          for j, ((c, _, _), cond) in enumerate(zip(brackets, conds)))
         tagged = (data.filter(" OR ".join(f"({cond})" for cond in conds))
                   .selectExpr(f"explode(array({tags})) AS e").filter("e IS NOT NULL"))
-        for r in tagged.groupBy("e.b", "e.v").agg(F.count(F.lit(1)).alias("k")).collect():
-            counts.setdefault(r["b"], []).append((r["v"], r["k"]))
+        for row in tagged.groupBy("e.b", "e.v").agg(F.count(F.lit(1)).alias("k")).collect():
+            counts.setdefault(row["b"], []).append((row["v"], row["k"]))
     index = {b: j for j, b in enumerate(brackets)}
     out = {}
     for c in cols:
         stats = {}
-        for (cc, r), (lo, hi, below, _) in accepted.items():
+        for (cc, r), (lo, hi, below, _) in state.items():
             if cc != c:
                 continue
-            if lo is not None and lo == hi:
+            if lo == hi:
                 stats[r] = lo
                 continue
             seen = below
