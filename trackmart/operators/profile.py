@@ -192,7 +192,10 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float],
             x = f"x{ix[c]}"
             cond = _sql_in_bracket(x, lo, hi)
             width = (hi - lo) / buckets
-            bucket = f"least(CAST(floor(({x} - {_dlit(lo)}) / {_dlit(width)}) AS BIGINT), {buckets - 1})"
+            if width > 0:
+                bucket = f"least(CAST(floor(({x} - {_dlit(lo)}) / {_dlit(width)}) AS BIGINT), {buckets - 1})"
+            else:  # range narrower than buckets x the smallest double: split at the top value
+                bucket = f"CASE WHEN {x} < {_dlit(hi)} THEN 0 ELSE 1 END"
             parts.append(f"CASE WHEN {cond} THEN named_struct('j', {j}, 'b', {bucket}, 'x', {x}) END")
             conds.append(f"({cond})")
         hist = (data.filter(" OR ".join(conds)).selectExpr(f"explode(array({', '.join(parts)})) AS e")
@@ -358,7 +361,7 @@ def describe_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 # --- column profile (A-14) -----------------------------------------------------
 
 SAMPLE_ALL_UP_TO = 50
-SAMPLE_TRUNCATED = 20
+SAMPLE_TRUNCATED = 20  # the channel notebook shows 10: pass truncated=10
 
 
 def _typed_keys(df: DataFrame, c: str) -> tuple[Column, Column]:
@@ -378,7 +381,8 @@ def _long_typed(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         for i, (c, num, txt) in enumerate((c, *_typed_keys(df, c)) for c in cols)])).alias("p")).select("p.*")
 
 
-def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def column_profile(df: DataFrame, columns: Sequence[str] | None = None,
+                   truncated: int = SAMPLE_TRUNCATED) -> DataFrame:
     """Per column: rows, nulls, distinct count, min and max (numeric in
     ``min_num``/``max_num``, others as text), and how many sorted distinct
     values the sample shows (all up to 50, else 20) and how many remain.
@@ -397,14 +401,15 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
         F.min("value_num").alias("min_num"), F.max("value_num").alias("max_num"),
         F.min("value_text").alias("min_text"), F.max("value_text").alias("max_text"))
     shown = F.when(F.col("n_unique") <= SAMPLE_ALL_UP_TO, F.col("n_unique")) \
-             .otherwise(F.lit(SAMPLE_TRUNCATED).cast("bigint"))
+             .otherwise(F.lit(truncated).cast("bigint"))
     dtype = F.element_at(F.create_map(*[F.lit(x) for kv in dtypes.items() for x in kv]), F.col("column"))
     return prof.select("pos", "column", dtype.alias("dtype"), F.col("rows").cast("bigint").alias("rows"), "nulls",
                        "n_unique", "min_num", "max_num", "min_text", "max_text",
                        shown.alias("n_shown"), (F.col("n_unique") - shown).alias("n_more"))
 
 
-def column_samples(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def column_samples(df: DataFrame, columns: Sequence[str] | None = None,
+                   truncated: int = SAMPLE_TRUNCATED) -> DataFrame:
     """The sorted distinct sample of each column, long form
     ``(column, rank, value_num, value_text)``: all distinct values up to 50,
     else the first 20. A partial per-partition limit runs before the shuffle
@@ -418,7 +423,7 @@ def column_samples(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
                                              F.col("value_text").asc_nulls_last())
     ranked = distinct.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= SAMPLE_ALL_UP_TO + 1)
     sizes = ranked.groupBy("column").agg(F.max("rank").alias("__k"))
-    keep = F.when(F.col("__k") <= SAMPLE_ALL_UP_TO, F.col("__k")).otherwise(F.lit(SAMPLE_TRUNCATED))
+    keep = F.when(F.col("__k") <= SAMPLE_ALL_UP_TO, F.col("__k")).otherwise(F.lit(truncated))
     return ranked.join(sizes, "column").filter(F.col("rank") <= keep) \
                  .select("column", F.col("rank").cast("bigint").alias("rank"), "value_num", "value_text")
 

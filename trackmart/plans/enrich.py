@@ -19,19 +19,22 @@ from trackmart.schemas import EXCLUDED_ARTISTS, MUSIC_CATEGORY, TOP_VIDEOS
 
 
 def artist_universe(track_artists: DataFrame, award_artists: DataFrame,
-                    excluded=EXCLUDED_ARTISTS, placeholder: str = "No Especificado") -> DataFrame:
+                    excluded=EXCLUDED_ARTISTS, placeholder: str = "No Especificado",
+                    strip: bool = True) -> DataFrame:
     """Distinct artist names to look up (U-02): ``DISTINCT artists`` of the
     tracks ∪ ``DISTINCT artist`` of the awards (NULLs and the placeholder
     removed at the source, SC-05/SC-06) -> distinct -> names whose trimmed
     form is in ``excluded`` dropped -> trimmed -> distinct -> '' dropped.
-    Inputs are one-column frames."""
+    Inputs are one-column frames. ``strip=False`` with a shorter
+    ``excluded`` list gives the notebook variant (no trimming)."""
     a = track_artists.select(F.col(track_artists.columns[0]).alias("artist_name"))
     a = a.filter(F.col("artist_name").isNotNull()).distinct()
     b = award_artists.select(F.col(award_artists.columns[0]).alias("artist_name"))
     b = b.filter(F.col("artist_name").isNotNull() & (F.col("artist_name") != placeholder)).distinct()
     names = a.unionByName(b).distinct()
-    names = exclude_values(names, "artist_name", excluded, strip=True)
-    names = names.select(py_strip("artist_name").alias("artist_name")).distinct()
+    names = exclude_values(names, "artist_name", excluded, strip=strip)
+    if strip:
+        names = names.select(py_strip("artist_name").alias("artist_name")).distinct()
     return names.filter(F.col("artist_name") != "")
 
 

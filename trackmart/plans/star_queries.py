@@ -9,9 +9,6 @@ the SQL, so both sides compare exactly.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -361,10 +358,8 @@ def project_rename(spark, sf):
 # --- sources and sinks (SC-01..SC-04, SK-01, SK-07) ------------------------------------
 
 def _shared_dir(spark, name):
-    try:
-        return scratch_path(spark, name)
-    except Exception:
-        return os.path.join(tempfile.mkdtemp(prefix="trackmart-"), name)
+    """A fresh folder below ``spark.checkpoint.dir`` (shared storage on a cluster)."""
+    return scratch_path(spark, name)
 
 
 def load_check(spark, sf):
