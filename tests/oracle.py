@@ -29,13 +29,16 @@ def duck(sf_dir: str):
     return con
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.6g}")
+        return v if EXACT else float(f"{v:.6g}")
     if hasattr(v, "item"):
         return _norm(v.item())
     if isinstance(v, (list, tuple)):

@@ -7,6 +7,7 @@ target schema first, so the stored types never depend on inference.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -133,7 +134,7 @@ def write_table(df: DataFrame, target: str, schema: T.StructType | None = None,
         df = conform(df, schema)
     if not allow_empty and df.isEmpty():
         raise EmptyInput(f"nothing to write to {target}")
-    obs = Observation("load_check")
+    obs = Observation(f"load_check_{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if jdbc is not None:
         props = dict(jdbc)
