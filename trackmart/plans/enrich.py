@@ -109,8 +109,11 @@ def assemble_lookup(names: DataFrame, search: DataFrame, stats: DataFrame, video
     no channel -> every field NULL; channel without statistics -> id kept,
     the five other fields NULL; otherwise all seven fields."""
     found = two_tier_lookup(names, search).select("artist_query", "channel_id")
-    rec = channel_record(stats)
-    likes = top_video_likes(videos, video_stats)
+    # only the channels found for these artists matter: a semi join before the
+    # per-channel window keeps an incremental batch from ranking every video
+    wanted = found.select("channel_id").filter(F.col("channel_id").isNotNull()).distinct()
+    rec = channel_record(stats.join(wanted, "channel_id", "left_semi"))
+    likes = top_video_likes(videos.join(wanted, "channel_id", "left_semi"), video_stats)
     out = (found.join(rec, "channel_id", "left")
                 .join(likes, "channel_id", "left"))
     has_stats = F.col("channel_title_verified").isNotNull() | F.col("subscriber_count").isNotNull()
@@ -136,7 +139,13 @@ def tag_failures(results: DataFrame, status: DataFrame) -> DataFrame:
         "artist_query",
         F.when(failed, error_tag("status", "detail")).otherwise(F.col("channel_id_found")).alias("channel_id_found"),
         *[F.when(failed, F.lit(None)).otherwise(F.col(c)).alias(c) for c in stats_cols])
-    first_quota = status.filter(F.col("status") == "quota").agg(F.min("artist_query").alias("m")).first()["m"]
+    first_quota = quota_cut(status)
     if first_quota is not None:
         out = out.filter(F.col("artist_query") <= F.lit(first_quota))
     return out
+
+
+def quota_cut(status: DataFrame) -> str | None:
+    """The first artist (in artist order) whose lookup hit the quota, or
+    None; a plan-build scalar from one small aggregate."""
+    return status.filter(F.col("status") == "quota").agg(F.min("artist_query").alias("m")).first()["m"]

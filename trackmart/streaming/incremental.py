@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from trackmart.operators.relational import pending_keys
 from trackmart.plans.clean import normalize_counts
-from trackmart.plans.enrich import assemble_lookup, tag_failures
+from trackmart.plans.enrich import assemble_lookup, quota_cut, tag_failures
 from trackmart.schemas import CHECKPOINT, LOOKUP_STATUS
 from trackmart.sources.io import BatchLog
 
@@ -58,11 +58,14 @@ def lookup_batch(universe: DataFrame, log: BatchLog, landed: LandedResponses,
     """Results of one batch: pending artists enriched from the landed
     responses, failures tagged, cut after the first quota failure."""
     todo = pending_artists(universe, log)
-    results = assemble_lookup(todo, landed.search, landed.stats, landed.videos, landed.video_stats)
+    pending_status = None
     if status is not None:
         pending_status = status.join(todo, "artist_query", "left_semi")
-        results = tag_failures(results, pending_status)
-    return results
+        cut = quota_cut(pending_status)
+        if cut is not None:  # the loop stops there: later artists stay pending, skip their lookups
+            todo = todo.filter(F.col("artist_query") <= F.lit(cut))
+    results = assemble_lookup(todo, landed.search, landed.stats, landed.videos, landed.video_stats)
+    return tag_failures(results, pending_status) if pending_status is not None else results
 
 
 def run_batch(universe: DataFrame, log: BatchLog, landed: LandedResponses, batch_id: int,
