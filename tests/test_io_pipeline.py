@@ -117,3 +117,15 @@ def test_incremental_lookup_stream(spark, tmp_path):
     q = start_landed_stream(spark, status_dir, universe, log, landed, str(tmp_path / "stream-ckpt"))
     q.awaitTermination(300)
     assert current_results(log).count() == len(out)
+
+
+def test_raw_load_and_clean_load(spark, inputs, tmp_path):
+    from trackmart.plans.pipeline import clean_and_load, load_raw
+    raw = load_raw(spark, inputs.tracks, str(tmp_path / "raw_tracks")).first()
+    assert raw["rows_written"] == 6 and raw["ok"]
+    again = load_raw(spark, inputs.tracks, str(tmp_path / "raw_tracks"), mode="append").first()
+    assert again["rows_stored"] == 12 and again["ok"]
+    clean = clean_and_load(spark, "tracks", inputs.tracks, str(tmp_path / "clean_tracks")).first()
+    assert clean["rows_written"] == 4  # one exact duplicate and one row without artist removed
+    ch = clean_and_load(spark, "channels", inputs.channels, str(tmp_path / "clean_channels")).first()
+    assert ch["rows_written"] == 2

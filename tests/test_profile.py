@@ -106,3 +106,15 @@ def test_exact_quantiles_all_nulls_and_constant(spark):
     df = spark.createDataFrame([(None, 2.0), (None, 2.0)], "a double, b double")
     got = P.exact_quantiles(df, ["a", "b"], [0.5])
     assert got[("a", 0.5)] is None and got[("b", 0.5)] == 2.0
+
+
+def test_column_profile_approx_close_to_exact(spark):
+    from conftest import SF01
+    o = spark.read.parquet(f"{SF01}/orders.parquet")
+    exact = {r["column"]: r for r in P.column_profile(o).collect()}
+    approx = {r["column"]: r for r in P.column_profile(o, approx=True).collect()}
+    for c, r in exact.items():
+        a = approx[c]
+        assert (a["rows"], a["nulls"], a["min_num"], a["max_num"], a["min_text"], a["max_text"]) == \
+            (r["rows"], r["nulls"], r["min_num"], r["max_num"], r["min_text"], r["max_text"])
+        assert abs(a["n_unique"] - r["n_unique"]) <= max(2, 0.05 * r["n_unique"])

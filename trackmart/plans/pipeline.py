@@ -51,15 +51,18 @@ def extract_and_clean(spark: SparkSession, cfg: RunConfig) -> dict[str, DataFram
     awards = clean_awards(cfg.awards.read(spark, AWARDS_RAW)) if cfg.awards else None
     if awards is not None:
         awards = conform(awards, AWARDS)
-    channels = None
-    if cfg.channels:
-        raw = cfg.channels.read(spark)
-        raw = raw.select(*[(F.col(f.name) if f.name in raw.columns else F.lit(None)).try_cast(
-            "string" if f.name == "subscriber_count" else f.dataType).alias(f.name) for f in CHANNELS_RAW.fields])
-        channels = conform(clean_channels(raw), CHANNELS)
+    channels = read_clean_channels(spark, cfg.channels) if cfg.channels else None
     return {"tracks": tracks, "awards": awards, "channels": channels}
 
 
+def read_clean_channels(spark: SparkSession, source: Source) -> DataFrame:
+    """Channel statistics (lookup results or their checkpoint) cleaned (E-03)."""
+    raw = source.read(spark)
+    raw = raw.select(*[(F.col(f.name) if f.name in raw.columns else F.lit(None)).try_cast(
+        "string" if f.name == "subscriber_count" else f.dataType).alias(f.name) for f in CHANNELS_RAW.fields])
+    return conform(clean_channels(raw), CHANNELS)
+
+
 def build(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     """The merged, typed table as a lazy plan."""
     parts = extract_and_clean(spark, cfg)
@@ -77,3 +80,32 @@ def run(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     ``EmptyInput`` when there is nothing to load."""
     return write_table(build(spark, cfg), cfg.output, schema=MERGED, fmt=cfg.output_format,
                        jdbc=cfg.output_jdbc, strict=cfg.strict_count)
+
+
+# --- notebook steps: raw load, clean + typed load ---------------------------------
+
+CLEANERS = {
+    "tracks": (TRACKS, clean_tracks, TRACKS),
+    "awards": (AWARDS_RAW, clean_awards, AWARDS),
+    "channels": (None, None, CHANNELS),
+}
+
+
+def load_raw(spark: SparkSession, source: Source, target: str, mode: str = "overwrite",
+             fmt: str = "parquet") -> DataFrame:
+    """Raw load (SC-01..SC-03, SK-03/SK-04, SK-07): the CSV is split by
+    Spark's file partitioning instead of a chunk loop and written once;
+    returns the count check row."""
+    return write_table(source.read(spark), target, mode=mode, fmt=fmt)
+
+
+def clean_and_load(spark: SparkSession, kind: str, source: Source, target: str,
+                   fmt: str = "parquet") -> DataFrame:
+    """Clean one source and overwrite its typed clean table (SK-02) with the
+    count check; ``kind`` is tracks, awards or channels."""
+    raw_schema, cleaner, clean_schema = CLEANERS[kind]
+    if kind == "channels":
+        clean = read_clean_channels(spark, source)
+    else:
+        clean = cleaner(source.read(spark, raw_schema))
+    return write_table(clean, target, schema=clean_schema, fmt=fmt)
