@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from trackmart.functions.columns import coerce_long, coerce_timestamp, py_strip
 from trackmart.plans.clean import clean_awards, clean_channels, clean_tracks, coercion_report
-from trackmart.schemas import AWARDS_RAW, CHANNELS_RAW, PY_WS, TRACKS
+from trackmart.schemas import AWARDS_RAW, CHANNELS_RAW, PY_WS
 from trackmart.sources.io import read_csv
 
 CHANNEL_CSV = '''artist_query,channel_id_found,channel_title_verified,subscriber_count,view_count,video_count,total_top10_video_likes

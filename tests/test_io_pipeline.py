@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trackmart.plans.pipeline import RunConfig, Source, build, report, run
-from trackmart.schemas import AWARDS_RAW, CHANNELS, LOOKUP_STATUS, MERGED, TRACKS
+from trackmart.schemas import AWARDS_RAW, CHANNELS, LOOKUP_STATUS, MERGED
 from trackmart.sources.io import BatchLog, EmptyInput, read_jdbc, write_table
 from trackmart.schemas import CHECKPOINT
 

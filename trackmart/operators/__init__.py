@@ -1,0 +1 @@
+"""Relational building blocks (``relational``) and column profiling (``profile``)."""

@@ -179,7 +179,7 @@ topv AS (
            ORDER BY view_count DESC NULLS LAST, video_id) AS rn
     FROM videos WHERE NOT category_supported OR category_id = '10') WHERE rn <= 10),
 likes AS (
-  SELECT t.channel_id, coalesce(sum(CAST(trunc(try_cast(s.likeCount AS DOUBLE)) AS BIGINT)), 0)
+  SELECT t.channel_id, CAST(coalesce(sum(CAST(trunc(try_cast(s.likeCount AS DOUBLE)) AS BIGINT)), 0) AS BIGINT)
          AS total_top10_video_likes
   FROM topv t LEFT JOIN video_stats s ON t.video_id = s.video_id GROUP BY t.channel_id),
 found AS (
@@ -450,7 +450,7 @@ SELECT event_id,
                  '$.k') AS DOUBLE)) AS BIGINT), 0) END AS subscriber_count
 FROM events""",
     "safe_sum": """
-SELECT user_id, coalesce(sum(CAST(trunc(try_cast(likes AS DOUBLE)) AS BIGINT)), 0) AS total_likes
+SELECT user_id, CAST(coalesce(sum(CAST(trunc(try_cast(likes AS DOUBLE)) AS BIGINT)), 0) AS BIGINT) AS total_likes
 FROM (SELECT user_id, CASE WHEN event_id % 11 = 0 THEN 'n/a' WHEN event_id % 11 = 1 THEN NULL
                            ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS likes FROM events)
 GROUP BY user_id""",

@@ -1,0 +1 @@
+"""Incremental, checkpointed lookup batches (batch and Structured Streaming drivers)."""
