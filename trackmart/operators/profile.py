@@ -446,9 +446,10 @@ def column_samples(df: DataFrame, columns: Sequence[str] | None = None,
     w = Window.partitionBy("column").orderBy(F.col("value_num").asc_nulls_last(),
                                              F.col("value_text").asc_nulls_last())
     ranked = distinct.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= SAMPLE_ALL_UP_TO + 1)
-    sizes = ranked.groupBy("column").agg(F.max("rank").alias("__k"))
+    # at most 51 rows per column are left, already partitioned by column: no new exchange
+    ranked = ranked.withColumn("__k", F.max("rank").over(Window.partitionBy("column")))
     keep = F.when(F.col("__k") <= SAMPLE_ALL_UP_TO, F.col("__k")).otherwise(F.lit(truncated))
-    return ranked.join(sizes, "column").filter(F.col("rank") <= keep) \
+    return ranked.filter(F.col("rank") <= keep) \
                  .select("column", F.col("rank").cast("bigint").alias("rank"), "value_num", "value_text")
 
 
