@@ -415,7 +415,7 @@ def _column_profile_approx(df: DataFrame, cols: Sequence[str], truncated: int) -
     HyperLogLog sketches (about 1% relative error)."""
     keyed = [(c, *_typed_keys(df, c)) for c in cols]
     agg = df.agg(F.count(F.lit(1)).alias("__rows"), *[e for i, (c, num, txt) in enumerate(keyed) for e in (
-        F.count(c).alias(f"n{i}"), F.approx_count_distinct(c).alias(f"u{i}"),
+        F.count(c).alias(f"n{i}"), F.approx_count_distinct(c, rsd=0.01).alias(f"u{i}"),
         F.min(num).alias(f"a{i}"), F.max(num).alias(f"b{i}"), F.min(txt).alias(f"x{i}"), F.max(txt).alias(f"y{i}"))])
     long = agg.select("__rows", F.explode(F.array(*[
         F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column"),
