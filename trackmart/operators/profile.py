@@ -21,7 +21,7 @@ from trackmart.operators.relational import columns_of_kind, top_k_rows
 
 # Largest number of values an exact quantile may hold in one task; above it
 # the bracket refinement below is used.
-EXACT_QUANTILE_BOUND = 100_000
+EXACT_QUANTILE_BOUND = 50_000
 APPROX_ACCURACY = 10_000  # for approx=True
 
 

@@ -143,8 +143,9 @@ def write_table(df: DataFrame, target: str, schema: T.StructType | None = None,
         for k, v in props.items():
             w = w.option(k, v)
         w.save()
-        stored = read_jdbc(spark, url, table=target, properties={k: v for k, v in props.items()
-                                                                   if k in ("driver", "user", "password")})
+        # the count is pushed to the database (SELECT COUNT(*)), rows are not read back
+        keep = {k: v for k, v in props.items() if k in ("driver", "user", "password")}
+        stored = read_jdbc(spark, url, table=target, properties={**keep, "pushDownAggregate": "true"})
     else:
         w = observed.write.mode(mode)
         if partition_by:
