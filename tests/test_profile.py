@@ -117,3 +117,13 @@ def test_column_profile_approx_close_to_exact(spark):
         assert (a["rows"], a["nulls"], a["min_num"], a["max_num"], a["min_text"], a["max_text"]) == \
             (r["rows"], r["nulls"], r["min_num"], r["max_num"], r["min_text"], r["max_text"])
         assert abs(a["n_unique"] - r["n_unique"]) <= max(2, 0.05 * r["n_unique"])
+
+
+def test_eda_report(spark):
+    from conftest import SF01
+    o = spark.read.parquet(f"{SF01}/orders.parquet")
+    rep = P.eda_report(o)
+    assert {"shape", "nulls", "duplicates", "describe_numeric", "describe_text", "column_profile"} <= set(rep)
+    assert "value_counts:o_orderstatus" in rep and "value_counts:o_orderkey" not in rep
+    assert rep["shape"].first()["rows"] == 15000
+    assert sum(r["count"] for r in rep["value_counts:o_orderpriority"].collect()) == 15000

@@ -524,3 +524,25 @@ def top_k_frequent(df: DataFrame, column: str, k: int) -> DataFrame:
     """``value_counts().nlargest(k)`` (T-02) with a deterministic tie-break."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
     return top_k_rows(counts, k, [F.col("count").desc(), F.col(column).asc()])
+
+
+def eda_report(df: DataFrame, categorical_max: int = 20, key: Sequence[str] | None = None,
+               approx: bool = False) -> dict[str, DataFrame]:
+    """The exploratory profile the notebooks print, as small DataFrames:
+    shape, NULL profile, duplicates, numeric and text describe, the column
+    profile, and value counts (NULLs included) of every column with fewer
+    than ``categorical_max`` distinct values (the charts' gate). Which
+    columns are categorical is decided from the column profile (one scalar
+    pass); everything else stays lazy."""
+    from trackmart.operators.relational import duplicate_counts, value_counts
+    prof = column_profile(df, approx=approx)
+    out = {"shape": shape(df), "nulls": null_profile(df), "duplicates": duplicate_counts(df, key),
+           "column_profile": prof}
+    if columns_of_kind(df, "numeric"):
+        out["describe_numeric"] = describe_numeric(df, approx=approx)
+    if columns_of_kind(df, "text"):
+        out["describe_text"] = describe_text(df)
+    small = [r["column"] for r in prof.filter(F.col("n_unique") < categorical_max).select("column").collect()]
+    for c in small:
+        out[f"value_counts:{c}"] = value_counts(df, c, dropna=False)
+    return out
