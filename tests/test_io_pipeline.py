@@ -129,3 +129,21 @@ def test_raw_load_and_clean_load(spark, inputs, tmp_path):
     assert clean["rows_written"] == 4  # one exact duplicate and one row without artist removed
     ch = clean_and_load(spark, "channels", inputs.channels, str(tmp_path / "clean_channels")).first()
     assert ch["rows_written"] == 2
+
+
+def test_rerun_of_a_batch_is_idempotent(spark, tmp_path):
+    from conftest import SF001
+    from trackmart.plans import star_inputs as I
+    from trackmart.streaming.incremental import LandedResponses, checkpoint_log, current_results, run_batch
+    landed = LandedResponses(I.customer_channel_search(spark, SF001), I.user_channel_stats(spark, SF001),
+                             I.event_videos(spark, SF001), I.event_video_stats(spark, SF001))
+    universe = I.customer_artists(spark, SF001)
+    status = I.customer_lookup_status(spark, SF001)
+    log = checkpoint_log(spark, str(tmp_path / "lookups"))
+    run_batch(universe, log, landed, 1, status)
+    first = sorted(tuple(r) for r in log.read_all().collect())
+    run_batch(universe, log, landed, 1, status)  # the same batch again (e.g. after a failure)
+    assert sorted(tuple(r) for r in log.read_all().collect()) == first
+    assert 0 < len(first) < universe.count()  # cut at the first quota failure
+    run_batch(universe, log, landed, 2)
+    assert current_results(log).count() == universe.count()

@@ -45,19 +45,22 @@ def checkpoint_log(spark: SparkSession, root: str) -> BatchLog:
     return BatchLog(spark, root, CHECKPOINT, ["artist_query"])
 
 
-def pending_artists(universe: DataFrame, log: BatchLog) -> DataFrame:
-    """Artists not in the checkpoint (J-04), including those whose earlier
-    lookup failed: failures are recorded and never retried, as in the
-    reference."""
+def pending_artists(universe: DataFrame, log: BatchLog, batch_id: int) -> DataFrame:
+    """Artists not finished by any batch before ``batch_id`` (J-04),
+    excluding those whose earlier lookup failed: failures are recorded and
+    never retried, as in the reference. Only earlier batches count, so a
+    re-run or replay of batch ``batch_id`` sees the same pending set and
+    rewrites the same partition."""
+    done = log.read_all().filter(F.col("batch_id") < batch_id)
     return pending_keys(universe.select(F.col(universe.columns[0]).alias("artist_query")),
-                        log.read_all(), "artist_query")
+                        done, "artist_query")
 
 
-def lookup_batch(universe: DataFrame, log: BatchLog, landed: LandedResponses,
+def lookup_batch(universe: DataFrame, log: BatchLog, landed: LandedResponses, batch_id: int,
                  status: DataFrame | None = None) -> DataFrame:
-    """Results of one batch: pending artists enriched from the landed
-    responses, failures tagged, cut after the first quota failure."""
-    todo = pending_artists(universe, log)
+    """Results of batch ``batch_id``: pending artists enriched from the
+    landed responses, failures tagged, cut after the first quota failure."""
+    todo = pending_artists(universe, log, batch_id)
     pending_status = None
     if status is not None:
         pending_status = status.join(todo, "artist_query", "left_semi")
@@ -72,7 +75,7 @@ def run_batch(universe: DataFrame, log: BatchLog, landed: LandedResponses, batch
               status: DataFrame | None = None) -> DataFrame:
     """E-09: compute one batch, store it as partition ``batch_id``, and
     return the current checkpoint with counts normalised (SC-08)."""
-    log.write_batch(lookup_batch(universe, log, landed, status), batch_id)
+    log.write_batch(lookup_batch(universe, log, landed, batch_id, status), batch_id)
     return current_results(log)
 
 
@@ -85,14 +88,19 @@ def current_results(log: BatchLog) -> DataFrame:
 
 
 def start_landed_stream(spark: SparkSession, status_dir: str, universe: DataFrame, log: BatchLog,
-                        landed: LandedResponses, stream_checkpoint: str, available_now: bool = True):
-    """Run ``run_batch`` for every micro-batch of lookup-status files landing
-    in ``status_dir``. The micro-batch id is the batch id, so a replayed
-    micro-batch overwrites its own partition (idempotent sink)."""
+                        landed: LandedResponses, stream_checkpoint: str | None = None,
+                        available_now: bool = True):
+    """Run one batch for every micro-batch of lookup-status files landing in
+    ``status_dir``. Batch id = micro-batch id + 1, and the stream checkpoint
+    belongs to the log (default: next to it), so a replayed micro-batch
+    recomputes the same pending set and overwrites its own partition
+    (idempotent sink)."""
     stream = spark.readStream.schema(LOOKUP_STATUS).parquet(status_dir)
+    stream_checkpoint = stream_checkpoint or f"{log.root}_stream_checkpoint"
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        log.write_batch(lookup_batch(universe, log, landed, batch), int(epoch_id) + 1)
+        batch_id = int(epoch_id) + 1
+        log.write_batch(lookup_batch(universe, log, landed, batch_id, batch), batch_id)
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", stream_checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
