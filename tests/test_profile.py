@@ -127,3 +127,10 @@ def test_eda_report(spark):
     assert "value_counts:o_orderstatus" in rep and "value_counts:o_orderkey" not in rep
     assert rep["shape"].first()["rows"] == 15000
     assert sum(r["count"] for r in rep["value_counts:o_orderpriority"].collect()) == 15000
+
+
+def test_quantiles_with_materialized_input(spark):
+    df = spark.range(0, 20000).selectExpr("CAST(id * 7 % 1009 AS DOUBLE) AS x")
+    a = {r["q"]: r["value"] for r in P.quantiles(df, ["x"], [0.1, 0.5, 0.9], bound=100).collect()}
+    b = {r["q"]: r["value"] for r in P.quantiles(df, ["x"], [0.1, 0.5, 0.9], bound=100, materialize=True).collect()}
+    assert a == b

@@ -139,8 +139,8 @@ HISTOGRAM_BUCKETS = 4096
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float],
                     bound: int = EXACT_QUANTILE_BOUND, buckets: int = HISTOGRAM_BUCKETS,
-                    extra: Sequence[Column] = (), extra_out: dict | None = None
-                    ) -> dict[tuple[str, float], float | None]:
+                    extra: Sequence[Column] = (), extra_out: dict | None = None,
+                    materialize: bool = False) -> dict[tuple[str, float], float | None]:
     """Exact quantiles (linear interpolation between order statistics, as
     pandas ``quantile`` and Spark's ``percentile``) of any number of columns.
 
@@ -157,12 +157,19 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float],
     Each histogram pass shrinks a range about ``buckets``-fold, so two
     levels cover 10^12 rows; the driver only receives bucket summaries and
     at most ``bound`` distinct values per range, and no task holds more.
+
+    ``materialize`` writes the projected columns once as a reliable
+    checkpoint (``spark.checkpoint.dir``) when ``df`` is an expensive plan,
+    so the later passes do not recompute it.
     """
     # Expressions are written as SQL text: one parse per expression instead
     # of a gateway round trip per Column operator.
     cols = list(columns)
     ix = {c: i for i, c in enumerate(cols)}
     data = df.selectExpr(*[f"CAST(`{c}` AS DOUBLE) AS x{i}" for i, c in enumerate(cols)])
+    if materialize:
+        from trackmart.session import cut_lineage
+        data = cut_lineage(data)
     first = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)],
                       *[F.col(c) for c in df.columns if c not in cols]).agg(
         *[F.expr(f"count(x{i}) AS n{i}") for i in range(len(cols))],
@@ -274,7 +281,8 @@ def _in_bracket(x: Column, lo, hi) -> Column:
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float],
-              bound: int = EXACT_QUANTILE_BOUND, approx: bool = False) -> DataFrame:
+              bound: int = EXACT_QUANTILE_BOUND, approx: bool = False,
+              materialize: bool = False) -> DataFrame:
     """Quantiles in long form ``(column, q, value)``: exact by default
     (``exact_quantiles``), or Spark's ``percentile_approx`` with ``approx``."""
     spark = df.sparkSession
@@ -283,7 +291,7 @@ def quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float],
         agg = df.agg(*[F.percentile_approx(c, qs, APPROX_ACCURACY).alias(f"c{i}")
                        for i, c in enumerate(columns)])
         return _quantile_long(agg, columns, qs)
-    got = exact_quantiles(df, columns, qs, bound)
+    got = exact_quantiles(df, columns, qs, bound, materialize=materialize)
     rows = [(c, q, got[(c, q)]) for c in columns for q in qs]
     return spark.createDataFrame(rows, "column string, q double, value double")
 
@@ -312,7 +320,7 @@ def cap_by_quantile(df: DataFrame, column: str, q: float, lower: float = 0.0,
 # --- describe (A-12, A-13) ----------------------------------------------------
 
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
-                     approx: bool = False) -> DataFrame:
+                     approx: bool = False, materialize: bool = False) -> DataFrame:
     """pandas-style numeric describe in long form: ``(column, count, mean,
     std, min, p25, p50, p75, max)``; std has ddof=1, quartiles interpolate.
     count/mean/std/min/max ride along the first quantile scan."""
@@ -330,7 +338,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
         row = agg.asDict()
         got = {(c, q): (row[f"p{i}"] or [None] * 3)[k] for i, c in enumerate(cols) for k, q in enumerate(qs)}
     else:
-        got = exact_quantiles(df, cols, qs, extra=stats, extra_out=row)
+        got = exact_quantiles(df, cols, qs, extra=stats, extra_out=row, materialize=materialize)
     rows = [(c, row[f"n{i}"], row[f"m{i}"], row[f"s{i}"], row[f"lo{i}"], got[(c, 0.25)], got[(c, 0.5)],
              got[(c, 0.75)], row[f"hi{i}"]) for i, c in enumerate(cols)]
     return spark.createDataFrame(rows, "column string, count bigint, mean double, std double, min double, "
