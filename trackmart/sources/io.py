@@ -34,10 +34,12 @@ def read_table(spark: SparkSession, path_or_name: str, fmt: str | None = None) -
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             na_tokens: Iterable[str] | None = PANDAS_NA, multiline: bool = True) -> DataFrame:
+             na_tokens: Iterable[str] | None = PANDAS_NA, multiline: bool = False) -> DataFrame:
     """Header CSV with pandas-compatible parsing (SC-01, SC-02).
 
-    * quotes are escaped by doubling (``""``), values may span lines;
+    * quotes are escaped by doubling (``""``); ``multiline=True`` accepts
+      quoted values spanning lines, but makes each file a single task, so it
+      is off by default (files are split into many tasks);
     * every column is read as text first, the NA tokens become NULL, then
       the text is cast to ``schema`` with ``try_cast`` (bad values -> NULL);
     * an exported index column (blank header) is dropped;
