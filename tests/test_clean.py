@@ -92,3 +92,10 @@ def test_hidden_subscribers_become_zero(spark):
     df = spark.createDataFrame([("a", -1.0), ("b", None), ("c", 5.7)], "artist_query string, subscriber_count double")
     got = {r[0]: r[1] for r in clean_channels(df).collect()}
     assert got == {"a": 0, "b": 0, "c": 5}
+
+
+def test_csv_multiline_quoted_values(spark, tmp_path):
+    p = tmp_path / "m.csv"
+    p.write_text('name,n\n"two\nlines",1\nplain,2\n', encoding="utf-8")
+    rows = read_csv(spark, str(p), None, multiline=True).collect()
+    assert [tuple(r) for r in rows] == [("two\nlines", "1"), ("plain", "2")]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from trackmart.plans.clean import clean_awards, clean_channels, clean_tracks
 from trackmart.plans.merge import merge_all, merge_report
 from trackmart.schemas import AWARDS, AWARDS_RAW, CHANNELS, CHANNELS_RAW, MERGED, TRACKS
-from trackmart.sources.io import conform, read_csv, read_jdbc, read_table, write_table
+from trackmart.sources.io import EmptyInput, conform, read_csv, read_jdbc, read_table, write_table
 
 
 @dataclass
@@ -77,9 +77,14 @@ def report(spark: SparkSession, cfg: RunConfig) -> DataFrame:
 
 def run(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     """Build, write with the target schema, verify the count. Raises
-    ``EmptyInput`` when there is nothing to load."""
+    ``EmptyInput`` when there is nothing to load: an empty track source is
+    caught before anything runs (a ``limit 1`` scan); tracks that cleaning
+    removes entirely are caught by the count observed while writing, so the
+    merge itself is computed only once."""
+    if cfg.tracks.read(spark).isEmpty():
+        raise EmptyInput(f"the track source {cfg.tracks.location} is empty")
     return write_table(build(spark, cfg), cfg.output, schema=MERGED, fmt=cfg.output_format,
-                       jdbc=cfg.output_jdbc, strict=cfg.strict_count)
+                       jdbc=cfg.output_jdbc, strict=cfg.strict_count, empty_check="after")
 
 
 # --- notebook steps: raw load, clean + typed load ---------------------------------

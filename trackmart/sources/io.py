@@ -122,19 +122,24 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def write_table(df: DataFrame, target: str, schema: T.StructType | None = None, mode: str = "overwrite",
                 fmt: str = "parquet", allow_empty: bool = False, strict: bool = False,
-                partition_by: Iterable[str] | None = None, jdbc: dict | None = None) -> DataFrame:
+                partition_by: Iterable[str] | None = None, jdbc: dict | None = None,
+                empty_check: str = "before") -> DataFrame:
     """Typed write plus the post-load row-count check (SK-01..SK-05, SK-07, SK-08).
 
     The number of rows written is observed during the write itself
     (``Observation``), so the data is not computed twice; the stored table is
     then counted from storage. Returns one row
     ``(target, rows_written, rows_stored, ok)``; ``strict`` raises on a
-    mismatch. An empty input raises ``EmptyInput`` unless ``allow_empty``.
+    mismatch. An empty input raises ``EmptyInput`` unless ``allow_empty``:
+    with ``empty_check="before"`` nothing is written (a ``limit 1`` probe,
+    which for a plan ending in a shuffle computes that shuffle); with
+    ``"after"`` the observed count decides after the write, so an expensive
+    plan runs once.
     """
     spark = df.sparkSession
     if schema is not None:
         df = conform(df, schema)
-    if not allow_empty and df.isEmpty():
+    if not allow_empty and empty_check == "before" and df.isEmpty():
         raise EmptyInput(f"nothing to write to {target}")
     obs = Observation(f"load_check_{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -159,6 +164,8 @@ def write_table(df: DataFrame, target: str, schema: T.StructType | None = None,
             w.format(fmt).save(target)
             stored = spark.read.format(fmt).load(target)
     written = obs.get.get("rows", 0)
+    if written == 0 and not allow_empty:
+        raise EmptyInput(f"nothing was written to {target}")
     rows_stored = stored.count()
     ok = (rows_stored == written) if mode == "overwrite" else (rows_stored >= written)
     if strict and not ok:
