@@ -11,15 +11,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
-from trackmart.functions.columns import label, percent, percent_text
+from trackmart.functions.columns import hidden_to_sentinel, json_long, label, percent, percent_text
 from trackmart.operators import profile as P
 from trackmart.operators import relational as R
 from trackmart.plans import enrich as E
 from trackmart.plans import star_inputs as I
 from trackmart.plans.clean import clean_awards, clean_channels, clean_tracks, coercion_report
 from trackmart.plans.merge import merge_all, merge_report
-from trackmart.schemas import KEY_NAMES, MODE_NAMES
+from trackmart.schemas import CHANNELS, KEY_NAMES, MODE_NAMES
 from trackmart.session import scratch_path
 from trackmart.sources.io import read_csv, write_table
 
@@ -156,7 +157,6 @@ def json_stats(spark, sf):
     props = (F.when(k % 13 == 0, F.lit('{"k": "abc"}')).when(k % 17 == 0, F.lit("{}"))
              .otherwise(F.col("props")))
     stats = ev.select("event_id", (F.col("user_id") % 5 == 0).alias("hidden"), props.alias("props"))
-    from trackmart.functions.columns import hidden_to_sentinel, json_long
     return stats.select("event_id", hidden_to_sentinel("hidden", json_long("props", "k")).alias("subscriber_count"))
 
 
@@ -364,7 +364,6 @@ def _shared_dir(spark, name):
 
 def load_check(spark, sf):
     clean = clean_channels(I.supplier_raw_channels(spark, sf))
-    from trackmart.schemas import CHANNELS
     return write_table(clean, _shared_dir(spark, "channels_clean"), schema=CHANNELS, strict=True) \
         .select(F.lit("channels_clean").alias("target"), "rows_written", "rows_stored", "ok")
 
@@ -379,14 +378,13 @@ def _part_for_csv(spark, sf):
 
 
 def csv_roundtrip(spark, sf):
-    from pyspark.sql import types as TT
     src = _part_for_csv(spark, sf)
     path = _shared_dir(spark, "part_csv")
     (src.write.mode("overwrite").option("header", True).option("escape", '"').option("quote", '"')
      .option("quoteAll", True).csv(path))
-    schema = TT.StructType([TT.StructField("p_partkey", TT.LongType()), TT.StructField("p_name", TT.StringType()),
-                            TT.StructField("p_brand", TT.StringType()), TT.StructField("p_size", TT.IntegerType()),
-                            TT.StructField("p_retailprice", TT.DoubleType())])
+    schema = T_.StructType([T_.StructField("p_partkey", T_.LongType()), T_.StructField("p_name", T_.StringType()),
+                            T_.StructField("p_brand", T_.StringType()), T_.StructField("p_size", T_.IntegerType()),
+                            T_.StructField("p_retailprice", T_.DoubleType())])
     return read_csv(spark, path, schema)
 
 
