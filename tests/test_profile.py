@@ -134,3 +134,14 @@ def test_quantiles_with_materialized_input(spark):
     a = {r["q"]: r["value"] for r in P.quantiles(df, ["x"], [0.1, 0.5, 0.9], bound=100).collect()}
     b = {r["q"]: r["value"] for r in P.quantiles(df, ["x"], [0.1, 0.5, 0.9], bound=100, materialize=True).collect()}
     assert a == b
+
+
+def test_nan_is_missing_in_numeric_profiles(spark):
+    vals = [1.0, 2.0, float("nan"), 3.0, None]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    q = {r["q"]: r["value"] for r in P.quantiles(df, ["x"], [0.5, 1.0]).collect()}
+    assert q == {0.5: 2.0, 1.0: 3.0}
+    d = P.describe_numeric(df).first()
+    assert d["count"] == 3 and d["max"] == 3.0 and math.isclose(d["mean"], 2.0)
+    h = {r["bin"]: r["count"] for r in P.histogram(df, "x", 2).collect()}
+    assert h == {1: 1, 2: 2}

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackmart.functions.columns import coerce_long
+from trackmart.functions.columns import coerce_long, nan_to_null
 from trackmart.operators.relational import columns_of_kind, top_k_rows
 
 # Largest number of values an exact quantile may hold in one task; above it
@@ -166,11 +166,11 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float],
     # of a gateway round trip per Column operator.
     cols = list(columns)
     ix = {c: i for i, c in enumerate(cols)}
-    data = df.selectExpr(*[f"CAST(`{c}` AS DOUBLE) AS x{i}" for i, c in enumerate(cols)])
+    data = df.selectExpr(*[f"{_num_sql(c)} AS x{i}" for i, c in enumerate(cols)])
     if materialize:
         from trackmart.session import cut_lineage
         data = cut_lineage(data)
-    first = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)],
+    first = df.select(*[_num(c).alias(f"x{i}") for i, c in enumerate(cols)],
                       *[F.col(c) for c in df.columns if c not in cols]).agg(
         *[F.expr(f"count(x{i}) AS n{i}") for i in range(len(cols))],
         *[F.expr(f"min(x{i}) AS lo{i}") for i in range(len(cols))],
@@ -332,7 +332,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
     qs = [0.25, 0.5, 0.75]
     row: dict = {}
     if approx:
-        agg = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)]).agg(
+        agg = df.select(*[_num(c).alias(f"x{i}") for i, c in enumerate(cols)]).agg(
             *[F.count(x).alias(f"n{i}") for i, x in enumerate(xs)], *stats,
             *[F.percentile_approx(x, qs, APPROX_ACCURACY).alias(f"p{i}") for i, x in enumerate(xs)]).first()
         row = agg.asDict()
@@ -463,10 +463,19 @@ def column_samples(df: DataFrame, columns: Sequence[str] | None = None,
 
 # --- histogram and density (A-16..A-18) ---------------------------------------
 
+def _num(c: str) -> Column:
+    """A column as double with NaN as missing (pandas has one missing marker)."""
+    return nan_to_null(F.col(c).cast("double"))
+
+
+def _num_sql(c: str) -> str:
+    return f"nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE))"
+
+
 def _min_max_count(df: DataFrame, column: str):
-    row = df.agg(F.min(F.col(column).cast("double")).alias("lo"),
-                 F.max(F.col(column).cast("double")).alias("hi"),
-                 F.count(column).alias("n"), F.stddev_samp(F.col(column).cast("double")).alias("sd")).first()
+    x = _num(column)
+    row = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"),
+                 F.stddev_samp(x).alias("sd")).first()
     return row["lo"], row["hi"], row["n"], row["sd"]
 
 
@@ -481,12 +490,12 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
         return domain.select("bin", F.lit(None).cast("double").alias("lower"),
                              F.lit(None).cast("double").alias("upper"), F.lit(0).cast("bigint").alias("count"))
     width = (hi - lo) / bins
-    x = F.col(column).cast("double")
+    x = _num(column)
     if width > 0:
         bucket = F.least(F.floor((x - F.lit(lo)) / F.lit(width)).cast("bigint") + 1, F.lit(bins).cast("bigint"))
     else:
         bucket = F.lit(1).cast("bigint")
-    counts = df.filter(F.col(column).isNotNull()).groupBy(bucket.alias("bin")) \
+    counts = df.filter(x.isNotNull()).groupBy(bucket.alias("bin")) \
                .agg(F.count(F.lit(1)).alias("count"))
     return domain.join(counts, "bin", "left").select(
         "bin", (F.lit(lo) + (F.col("bin") - 1) * F.lit(width)).alias("lower"),
@@ -517,8 +526,8 @@ def density(df: DataFrame, column: str, gridsize: int = 200, cut: float = 3.0) -
     start, stop = lo - cut * bw, hi + cut * bw
     step = (stop - start) / (gridsize - 1)
     norm = 1.0 / (n * bw * math.sqrt(2.0 * math.pi))
-    x = F.col(column).cast("double")
-    pts = df.filter(F.col(column).isNotNull()).select(
+    x = _num(column)
+    pts = df.filter(x.isNotNull()).select(
         x.alias("__x"), F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("point"))
     gx = F.lit(start) + F.col("point").cast("double") * F.lit(step)
     contrib = pts.select("point", F.exp(F.lit(-0.5) * F.pow((gx - F.col("__x")) / F.lit(bw), 2)).alias("k"))
