@@ -126,7 +126,7 @@ def count_coerced(src: str | Column, dst: str | Column) -> Column:
 # --- lookup helpers ---------------------------------------------------------
 
 def is_match(c: str | Column) -> Column:
-    """Matched-row predicate of the join report: not NULL and not 0 (F-06)."""
+    """Matched-row predicate of the join report: not NULL and not 0 (F-06, X-05)."""
     c = col(c)
     return F.coalesce(c.isNotNull() & (c != 0), F.lit(False))
 

@@ -107,7 +107,7 @@ def null_profile(df: DataFrame, only_missing: bool = True) -> DataFrame:
         (F.col("p.null_count") / F.nullif(F.col("__rows"), F.lit(0)) * 100.0).alias("null_pct"))
     if only_missing:
         long = long.filter(F.col("null_count") > 0)
-    return long
+    return long.orderBy(F.col("null_count").desc(), F.col("column"))  # S-02, on a tiny result
 
 
 def total_nulls(df: DataFrame) -> DataFrame:
@@ -391,7 +391,9 @@ def _long_typed(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None,
                    truncated: int = SAMPLE_TRUNCATED, approx: bool = False) -> DataFrame:
-    """Per column: rows, nulls, distinct count, min and max (numeric in
+    """Column profile (A-07 distinct count, A-08 min/max, A-14 sample sizes).
+
+    Per column: rows, nulls, distinct count, min and max (numeric in
     ``min_num``/``max_num``, others as text), and how many sorted distinct
     values the sample shows (all up to 50, else 20) and how many remain.
 

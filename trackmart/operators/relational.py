@@ -169,7 +169,8 @@ def duplicate_counts(df: DataFrame, subset: Sequence[str] | None = None) -> Data
 
 def total_order(df: DataFrame, leading: OrderSpec, exclude: Iterable[str] = ()) -> list[Column]:
     """``leading`` followed by every other column ascending: a total order,
-    so "first" is deterministic without a row index."""
+    so "first" is deterministic without a row index. Mixed directions and
+    explicit NULL placement come from the leading Column specs (S-01)."""
     used = {c for c in leading if isinstance(c, str)} | set(exclude)
     lead = [F.col(c) if isinstance(c, str) else c for c in leading]
     rest = [F.col(c).asc_nulls_last() for c in sorted(df.columns)
@@ -244,7 +245,8 @@ def head_tail(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
 
 def value_counts(df: DataFrame, column: str, dropna: bool = True,
                  count_col: str = "count") -> DataFrame:
-    """``value_counts`` (A-04/A-05): one row per value with its count."""
+    """``value_counts`` (A-04/A-05, the bar-chart counts of A-19): one row
+    per value with its count; ``dropna`` drops the NULL group (F-02)."""
     src = df.select(column)
     if dropna:
         src = src.filter(F.col(column).isNotNull())

@@ -30,8 +30,8 @@ def clean_tracks(raw: DataFrame, required: list[str] = TRACK_KEYS_NOT_NULL) -> D
 
 def clean_awards(raw: DataFrame, date_format: str | None = None) -> DataFrame:
     """E-02: dates parsed to UTC timestamps (bad -> NULL) -> rows without a
-    nominee dropped -> placeholders for artist/workers/img -> text trimmed
-    (NULL title/category stay NULL)."""
+    nominee dropped -> placeholders for artist/workers/img (N-02) -> text
+    trimmed (NULL title/category stay NULL)."""
     df = raw.withColumns({c: coerce_timestamp(F.col(c).cast("string"), date_format)
                           for c in AWARD_DATES if c in raw.columns})
     df = drop_null_rows(df, ["nominee"])
@@ -59,7 +59,7 @@ def coercion_report(raw: DataFrame, date_format: str | None = None,
 
 def normalize_counts(df: DataFrame, sentinel_columns=("subscriber_count",)) -> DataFrame:
     """E-12 / numeric part of E-03: coerce to number, -1 -> NULL on the
-    hidden-able counter, NULL -> 0, truncate to bigint."""
+    hidden-able counter (N-06), NULL -> 0 (N-04), truncate to bigint (C-02)."""
     out = {}
     for c in CHANNEL_COUNTS:
         if c not in df.columns:

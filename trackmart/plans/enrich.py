@@ -24,7 +24,8 @@ def artist_universe(track_artists: DataFrame, award_artists: DataFrame,
     """Distinct artist names to look up (U-02): ``DISTINCT artists`` of the
     tracks ∪ ``DISTINCT artist`` of the awards (NULLs and the placeholder
     removed at the source, SC-05/SC-06) -> distinct -> names whose trimmed
-    form is in ``excluded`` dropped -> trimmed -> distinct -> '' dropped.
+    form is in ``excluded`` dropped (F-04) -> trimmed -> distinct -> ''
+    dropped (F-05).
     Inputs are one-column frames. ``strip=False`` with a shorter
     ``excluded`` list gives the notebook variant (no trimming)."""
     a = track_artists.select(F.col(track_artists.columns[0]).alias("artist_name"))

@@ -102,7 +102,7 @@ def merge_all(*, tracks: DataFrame, awards: DataFrame | None = None,
     ``grammy_winner`` false without dedup; ``channels=None`` adds '' / 0
     channel columns.
     """
-    if tracks is None:
+    if tracks is None:  # F-08: the base input is required; optional sides may be None
         raise ValueError("tracks are required")
     enriched = join_channels(tracks, channels)
     prepared = prepare_awards(awards)

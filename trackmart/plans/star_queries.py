@@ -114,7 +114,7 @@ def domain_reindex(spark, sf):
 def pending_keys(spark, sf):
     cust = T(spark, sf, "customer").select("c_custkey", "c_name")
     urgent = T(spark, sf, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
-    return R.pending_keys(cust, urgent, "c_custkey", "o_custkey").orderBy("c_custkey")
+    return R.pending_keys(cust, urgent, "c_custkey", "o_custkey").orderBy("c_custkey")  # S-03
 
 
 def entity_universe(spark, sf):
@@ -336,6 +336,8 @@ def density(spark, sf):
 
 
 def unit_percent(spark, sf):
+    """Derived columns (P-06): a unit change by division (X-02), a threshold
+    predicate (F-03), percentages (X-03) and their text form (X-06)."""
     li = T(spark, sf, "lineitem")
     agg = li.groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("n"),

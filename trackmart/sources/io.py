@@ -96,6 +96,11 @@ def read_jdbc(spark: SparkSession, url: str, table: str | None = None, query: st
     return r.load()
 
 
+def literal_table(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
+    """A small literal table with an explicit schema (SC-09), e.g. fixtures."""
+    return spark.createDataFrame(rows, schema)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType,
                   required: str | None = None) -> DataFrame:
     """A stored table if it exists and has ``required``; else an empty table (SC-07)."""
