@@ -82,3 +82,10 @@ def test_plan_has_partial_group_limit(spark):
     plan = merge_all(tracks=t, awards=a, channels=c)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_match_report_counts_rows_with_a_year(spark):
+    t, a, c = frames(spark)
+    a2 = a.unionByName(spark.createDataFrame([("Artist B", "Song Beta", None, "x", True)], a.schema))
+    rep = {r["join"]: (r["matched_rows"], r["total_rows"]) for r in merge_report(tracks=t, awards=a2, channels=c).collect()}
+    assert rep["awards"] == (3, 6)  # t2 joins a nomination without a year: a row, not a match

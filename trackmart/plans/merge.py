@@ -123,16 +123,17 @@ def merge_report(*, tracks: DataFrame, awards: DataFrame | None = None,
                  channels: DataFrame | None = None) -> DataFrame:
     """Match rates of both joins (J-08), as the reference logs them: rows
     with a non-zero subscriber count after join 1, and rows with an award
-    (counting the 1:N fan-out, before dedup) after join 2. The fan-out is
+    year after join 2 (counting the 1:N fan-out, before dedup). The fan-out is
     counted from per-key award counts, never materialised."""
     enriched = join_channels(tracks, channels)
     first = match_report(enriched, is_match("subscriber_count"), "channels")
     prepared = prepare_awards(awards)
     if prepared is None:
         return first
-    per_key = prepared.groupBy(*AWARD_KEYS).agg(F.count(F.lit(1)).alias("__n"))
+    per_key = prepared.groupBy(*AWARD_KEYS).agg(F.count(F.lit(1)).alias("__n"),
+                                                 F.count("grammy_year").alias("__with_year"))
     joined = left_enrich(enriched.select(*TRACK_AWARD_KEYS), per_key, TRACK_AWARD_KEYS, AWARD_KEYS)
-    second = joined.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("matched_rows"),
+    second = joined.agg(F.coalesce(F.sum("__with_year"), F.lit(0)).cast("bigint").alias("matched_rows"),
                         F.sum(F.coalesce(F.col("__n"), F.lit(1))).cast("bigint").alias("total_rows")) \
                    .select(F.lit("awards").alias("join"), "matched_rows", "total_rows")
     return first.unionByName(second)

@@ -355,7 +355,7 @@ SELECT *, CAST(NULL AS INTEGER) AS grammy_year, '' AS grammy_category, false AS
 SELECT 'channels' AS "join", CAST(coalesce(sum(CASE WHEN subscriber_count IS NOT NULL AND subscriber_count <> 0
        THEN 1 ELSE 0 END), 0) AS BIGINT) AS matched_rows, count(*) AS total_rows FROM j1
 UNION ALL
-SELECT 'awards', CAST(sum(CASE WHEN a.artist IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT), count(*)
+SELECT 'awards', CAST(sum(CASE WHEN a.year IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT), count(*)
 FROM j1 LEFT JOIN awards a ON j1.artists = a.artist AND j1.track_name = a.nominee""",
     "clean_tracks": f"""WITH {RAW_TRACKS.strip()}
 SELECT {_trim("coalesce(track_id, '')")} AS track_id, {_trim("coalesce(artists, '')")} AS artists,
