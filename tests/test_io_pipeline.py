@@ -147,3 +147,19 @@ def test_rerun_of_a_batch_is_idempotent(spark, tmp_path):
     assert 0 < len(first) < universe.count()  # cut at the first quota failure
     run_batch(universe, log, landed, 2)
     assert current_results(log).count() == universe.count()
+
+
+def test_failure_tagging_keeps_fields_filled_before_the_failing_call(spark):
+    from trackmart.plans.enrich import tag_failures
+    from trackmart.schemas import LOOKUP_STATUS_STEP
+    res = spark.createDataFrame(
+        [(a, f"ch{a}", f"T{a}", 1, 2, 3, 4) for a in ["a", "b", "c", "d"]],
+        "artist_query string, channel_id_found string, channel_title_verified string, subscriber_count bigint, "
+        "view_count bigint, video_count bigint, total_top10_video_likes bigint")
+    st = spark.createDataFrame([("a", 1, "http", "500", "search"), ("b", 1, "other", "KeyError", "stats"),
+                                ("c", 1, "http", "503", "videos")], LOOKUP_STATUS_STEP)
+    got = {r["artist_query"]: tuple(r)[1:] for r in tag_failures(res, st).collect()}
+    assert got["a"] == ("Error: HTTP 500", None, None, None, None, None)
+    assert got["b"] == ("chb", None, None, None, None, None)
+    assert got["c"] == ("chc", "Tc", 1, 2, 3, None)
+    assert got["d"] == ("chd", "Td", 1, 2, 3, 4)

@@ -126,20 +126,28 @@ def assemble_lookup(names: DataFrame, search: DataFrame, stats: DataFrame, video
 
 
 def tag_failures(results: DataFrame, status: DataFrame) -> DataFrame:
-    """Apply landed call outcomes (E-08): a failed lookup keeps its row with
-    the error text in ``channel_id_found`` and NULL statistics; after the
+    """Apply landed call outcomes (E-08): a failed lookup keeps its row.
+    ``step`` (optional column: search / stats / videos) says which call
+    failed; fields filled before it are kept, the error text goes to
+    ``channel_id_found`` only when the search itself failed, and the rest
+    is NULL. After the
     first quota failure (in artist order) nothing else of that batch is
     recorded, as the reference stops its loop there. Artists cut off stay
     pending for the next batch."""
-    st = status.select("artist_query", "status", "detail")
+    step = F.col("step") if "step" in status.columns else F.lit("search")
+    st = status.select("artist_query", "status", "detail", step.alias("step"))
     joined = results.join(st, "artist_query", "left")
     failed = F.coalesce(F.col("status"), F.lit("ok")) != "ok"
-    stats_cols = ["channel_title_verified", "subscriber_count", "view_count", "video_count",
-                  "total_top10_video_likes"]
+    at = F.coalesce(F.col("step"), F.lit("search"))
+    # fields filled before the failing call are kept (the reference's setdefault)
+    lost_id = failed & (at == "search")
+    lost_stats = failed & at.isin("search", "stats")
+    stats_cols = ["channel_title_verified", "subscriber_count", "view_count", "video_count"]
     out = joined.select(
         "artist_query",
-        F.when(failed, error_tag("status", "detail")).otherwise(F.col("channel_id_found")).alias("channel_id_found"),
-        *[F.when(failed, F.lit(None)).otherwise(F.col(c)).alias(c) for c in stats_cols])
+        F.when(lost_id, error_tag("status", "detail")).otherwise(F.col("channel_id_found")).alias("channel_id_found"),
+        *[F.when(lost_stats, F.lit(None)).otherwise(F.col(c)).alias(c) for c in stats_cols],
+        F.when(failed, F.lit(None)).otherwise(F.col("total_top10_video_likes")).alias("total_top10_video_likes"))
     first_quota = quota_cut(status)
     if first_quota is not None:
         out = out.filter(F.col("artist_query") <= F.lit(first_quota))

@@ -100,4 +100,5 @@ VIDEOS = _schema(("channel_id", S), ("video_id", S), ("category_id", S),
                  ("view_count", L), ("category_supported", B))
 VIDEO_STATS = _schema(("video_id", S), ("likeCount", S))
 LOOKUP_STATUS = _schema(("artist_query", S), ("batch_id", L), ("status", S), ("detail", S))
+LOOKUP_STATUS_STEP = _schema(("artist_query", S), ("batch_id", L), ("status", S), ("detail", S), ("step", S))
 CHECKPOINT = T.StructType(list(CHANNELS_RAW.fields) + [T.StructField("batch_id", L, True)])
