@@ -163,3 +163,18 @@ def test_failure_tagging_keeps_fields_filled_before_the_failing_call(spark):
     assert got["b"] == ("chb", None, None, None, None, None)
     assert got["c"] == ("chc", "Tc", 1, 2, 3, None)
     assert got["d"] == ("chd", "Td", 1, 2, 3, 4)
+
+
+def test_batch_log_compaction(spark, tmp_path):
+    log = BatchLog(spark, str(tmp_path / "ck"), CHECKPOINT, ["artist_query"])
+    schema = ("artist_query string, channel_id_found string, channel_title_verified string, "
+              "subscriber_count double, view_count double, video_count double, total_top10_video_likes double")
+    row = lambda a, c: (a, c, None, None, None, None, None)
+    log.write_batch(spark.createDataFrame([row("a", "1"), row("b", "1")], schema), 1)
+    log.write_batch(spark.createDataFrame([row("a", "2")], schema), 2)
+    before = {r["artist_query"]: r["channel_id_found"] for r in log.read_latest().collect()}
+    assert log.compact() == 2
+    assert log.read_all().count() == 2  # the snapshot replaces batches 1 and 2
+    log.write_batch(spark.createDataFrame([row("b", "3")], schema), 3)
+    after = {r["artist_query"]: r["channel_id_found"] for r in log.read_latest().collect()}
+    assert before == {"a": "2", "b": "1"} and after == {"a": "2", "b": "3"}

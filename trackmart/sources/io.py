@@ -8,6 +8,7 @@ target schema first, so the stored types never depend on inference.
 from __future__ import annotations
 
 import uuid
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -198,13 +199,49 @@ class BatchLog:
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType, keys: list[str]):
         self.spark, self.root, self.schema, self.keys = spark, root.rstrip("/"), schema, keys
 
+    @property
+    def snapshots(self) -> str:
+        return f"{self.root}_snapshots"
+
+    def _snapshot(self):
+        """(id, rows) of the newest complete snapshot, or (None, None)."""
+        snaps = read_or_empty(self.spark, self.snapshots, T.StructType(
+            list(self.schema.fields) + [T.StructField("snapshot_id", T.LongType())]), required=self.keys[0])
+        if "snapshot_id" not in snaps.columns:
+            return None, None
+        # the partition folders name the snapshot ids: read from the file listing, no data scan
+        ids = [int(m) for m in re.findall(r"snapshot_id=(\d+)", " ".join(snaps.inputFiles()))]
+        if not ids:
+            return None, None
+        newest = max(ids)
+        return newest, snaps.filter(F.col("snapshot_id") == newest).drop("snapshot_id")
+
     def read_all(self) -> DataFrame:
-        return read_or_empty(self.spark, self.root, self.schema, required=self.keys[0])
+        """Every stored row: the newest snapshot (as batch ``snapshot_id``)
+        plus the batches after it (older partitions are pruned)."""
+        rows = read_or_empty(self.spark, self.root, self.schema, required=self.keys[0])
+        sid, snap = self._snapshot()
+        if sid is None:
+            return rows
+        return snap.unionByName(rows.filter(F.col("batch_id") > sid))
 
     def read_latest(self) -> DataFrame:
         from trackmart.operators.relational import latest_per_key
         return latest_per_key(self.read_all(), self.keys, [F.col("batch_id").desc()])
 
+    def compact(self) -> int | None:
+        """Write the resolved state as a snapshot tagged with the newest batch
+        id; later reads skip every batch up to it. Idempotent (the snapshot
+        partition is overwritten)."""
+        latest = self.read_latest()
+        sid = latest.agg(F.max("batch_id")).first()[0]
+        if sid is None:
+            return None
+        (conform(latest, self.schema).withColumn("snapshot_id", F.lit(sid).cast("bigint"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("snapshot_id").parquet(self.snapshots))
+        return sid
+
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         rows = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         (conform(rows, self.schema).write.mode("overwrite")
