@@ -16,8 +16,10 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from trackmart.session import build_session
     ckpt = tempfile.mkdtemp(prefix="trackmart-test-ckpt-")
+    warehouse = tempfile.mkdtemp(prefix="trackmart-test-warehouse-")
     s = build_session(master="local[*]", app_name="trackmart-tests", shuffle_partitions=8,
-                      extra_conf={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "8g"})
+                      extra_conf={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "8g",
+                                  "spark.sql.warehouse.dir": warehouse})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

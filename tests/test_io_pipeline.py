@@ -178,3 +178,13 @@ def test_batch_log_compaction(spark, tmp_path):
     log.write_batch(spark.createDataFrame([row("b", "3")], schema), 3)
     after = {r["artist_query"]: r["channel_id_found"] for r in log.read_latest().collect()}
     assert before == {"a": "2", "b": "1"} and after == {"a": "2", "b": "3"}
+
+
+def test_catalog_table_load(spark):
+    from trackmart.sources.io import create_database, read_table
+    db = f"tm_{uuid.uuid4().hex[:8]}"
+    create_database(spark, db)
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "artist string, n bigint")
+    check = write_table(df, f"{db}.artists", fmt="table", strict=True).first()
+    assert (check["rows_written"], check["rows_stored"], check["ok"]) == (2, 2, True)
+    assert read_table(spark, f"{db}.artists").count() == 2
