@@ -53,6 +53,12 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<o_custkey:bigint,o_orderpriority:string>" in plan
 
 
+def test_small_dimension_sides_are_broadcast_by_size(spark):
+    # no hint: Spark's size threshold picks the broadcast for the small derived sides
+    plan = _plan(QUERIES["merge_latest"](spark, SF01))
+    assert "BroadcastHashJoin" in plan and "broadcast(" not in plan.lower()
+
+
 def test_top_k_is_bounded_heap(spark):
     assert "TakeOrderedAndProject" in _plan(QUERIES["topk_rows"](spark, SF01))
 
