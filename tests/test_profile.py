@@ -145,3 +145,9 @@ def test_nan_is_missing_in_numeric_profiles(spark):
     assert d["count"] == 3 and d["max"] == 3.0 and math.isclose(d["mean"], 2.0)
     h = {r["bin"]: r["count"] for r in P.histogram(df, "x", 2).collect()}
     assert h == {1: 1, 2: 2}
+
+
+def test_histogram_auto_bins_in_one_pass(spark):
+    df = spark.createDataFrame([(y,) for y in [2000, 2001, 2002, 2003, None]], "year int")
+    h = P.histogram(df, "year")  # 5 categories incl. NULL -> 2 bins
+    assert sorted((r["bin"], r["count"]) for r in h.collect()) == [(1, 2), (2, 2)]

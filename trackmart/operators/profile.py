@@ -481,12 +481,20 @@ def _min_max_count(df: DataFrame, column: str):
     return row["lo"], row["hi"], row["n"], row["sd"]
 
 
-def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
+def histogram(df: DataFrame, column: str, bins: int | None = None) -> DataFrame:
     """Equal-width histogram over ``[min, max]``; the last bin is closed on
     both sides, empty bins are listed with 0, and when all values are equal
-    everything falls in bin 1. Result ``(bin, lower, upper, count)``."""
+    everything falls in bin 1. Result ``(bin, lower, upper, count)``.
+    ``bins=None`` uses the data-dependent rule of ``auto_bins`` (A-17),
+    computed in the same aggregate as the range."""
     spark = df.sparkSession
-    lo, hi, n, _ = _min_max_count(df, column)
+    x = _num(column)
+    row = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"),
+                 *([] if bins else [(F.count_distinct(column) + F.max(F.col(column).isNull().cast("bigint")))
+                                    .alias("k")])).first()
+    lo, hi, n = row["lo"], row["hi"], row["n"]
+    if not bins:
+        bins = max(int(row["k"] or 0) // 2, 1)
     domain = spark.range(1, bins + 1).select(F.col("id").cast("bigint").alias("bin"))
     if n == 0:
         return domain.select("bin", F.lit(None).cast("double").alias("lower"),
