@@ -188,3 +188,13 @@ def test_catalog_table_load(spark):
     check = write_table(df, f"{db}.artists", fmt="table", strict=True).first()
     assert (check["rows_written"], check["rows_stored"], check["ok"]) == (2, 2, True)
     assert read_table(spark, f"{db}.artists").count() == 2
+
+
+def test_two_tier_lookup_prefers_topic_and_never_fans_out(spark):
+    from trackmart.plans.enrich import two_tier_lookup
+    names = spark.createDataFrame([("A",), ("B",), ("C",)], "artist_query string")
+    search = spark.createDataFrame([("A Topic", 1, "t1", "A - Topic"), ("A", 1, "p1", "A"),
+                                    ("B", 1, "p2", "B"), ("B", 1, "p0", "B dup"), ("B Topic", 2, "x", "late")],
+                                   "query string, rank int, channel_id string, title string")
+    got = {r["artist_query"]: (r["channel_id"], r["matched_via"]) for r in two_tier_lookup(names, search).collect()}
+    assert got == {"A": ("t1", "topic"), "B": ("p0", "plain"), "C": (None, None)}

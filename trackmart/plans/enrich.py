@@ -40,8 +40,11 @@ def artist_universe(track_artists: DataFrame, award_artists: DataFrame,
 
 
 def first_results(search: DataFrame) -> DataFrame:
-    """The first search result per query (``maxResults=1``)."""
-    return search.filter(F.col("rank") == 1).select("query", "channel_id", "title")
+    """The first search result per query (``maxResults=1``), exactly one row
+    per query even if the landed table repeats rank 1 (smallest channel id
+    wins), so the lookup joins stay N:1. A map-side-combined aggregate."""
+    return (search.filter(F.col("rank") == 1).groupBy("query")
+            .agg(F.min("channel_id").alias("channel_id"), F.min_by("title", "channel_id").alias("title")))
 
 
 def two_tier_lookup(names: DataFrame, search: DataFrame, name_col: str = "artist_query") -> DataFrame:
