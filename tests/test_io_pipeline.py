@@ -198,3 +198,12 @@ def test_two_tier_lookup_prefers_topic_and_never_fans_out(spark):
                                    "query string, rank int, channel_id string, title string")
     got = {r["artist_query"]: (r["channel_id"], r["matched_via"]) for r in two_tier_lookup(names, search).collect()}
     assert got == {"A": ("t1", "topic"), "B": ("p0", "plain"), "C": (None, None)}
+
+
+def test_replayed_landings_do_not_double_count(spark):
+    from trackmart.plans.enrich import top_video_likes
+    videos = spark.createDataFrame([("c", "v1", "10", 5, True), ("c", "v2", "10", 4, True)],
+                                   "channel_id string, video_id string, category_id string, view_count bigint, "
+                                   "category_supported boolean")
+    stats = spark.createDataFrame([("v1", "7"), ("v1", "7"), ("v2", "x")], "video_id string, likeCount string")
+    assert top_video_likes(videos, stats).first()["total_top10_video_likes"] == 7

@@ -69,7 +69,10 @@ def two_tier_lookup(names: DataFrame, search: DataFrame, name_col: str = "artist
 
 def channel_record(stats: DataFrame) -> DataFrame:
     """Statistics record per channel (E-06, X-08, X-09): counts parsed with
-    default 0, hidden subscriber count -> -1."""
+    default 0, hidden subscriber count -> -1. One record per channel even if
+    a replayed landing repeated a response."""
+    others = [c for c in stats.columns if c != "channel_id"]
+    stats = stats.groupBy("channel_id").agg(F.max(F.struct(*others)).alias("__r")).select("channel_id", "__r.*")
     return stats.select(
         "channel_id", F.col("title").alias("channel_title_verified"),
         hidden_to_sentinel("hiddenSubscriberCount", F.coalesce(coerce_long("subscriberCount"), F.lit(0).cast("bigint")))
@@ -102,9 +105,12 @@ def top_video_likes(videos: DataFrame, video_stats: DataFrame, n: int = TOP_VIDE
     """Sum of like counts over each channel's top videos (A-20): NULL and
     non-numeric counts skipped; a channel without videos sums to 0 later."""
     top = top_videos(videos, n).select("channel_id", "video_id")
-    likes = top.join(video_stats, "video_id", "left")
-    return likes.groupBy("channel_id").agg(
-        F.coalesce(F.sum(coerce_long("likeCount")), F.lit(0).cast("bigint")).alias("total_top10_video_likes"))
+    likes = top.join(video_stats.select("video_id", "likeCount"), "video_id", "left")
+    # one like count per top video even if a replayed landing repeated it;
+    # grouped after the join, so only the top videos' rows are aggregated
+    per_video = likes.groupBy("channel_id", "video_id").agg(F.max(coerce_long("likeCount")).alias("likes"))
+    return per_video.groupBy("channel_id").agg(
+        F.coalesce(F.sum("likes"), F.lit(0).cast("bigint")).alias("total_top10_video_likes"))
 
 
 def assemble_lookup(names: DataFrame, search: DataFrame, stats: DataFrame, videos: DataFrame,
