@@ -248,9 +248,5 @@ class BatchLog:
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(self.root))
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 __all__ = ["EmptyInput", "read_table", "read_csv", "read_jdbc", "read_or_empty", "conform",
-           "write_table", "create_database", "BatchLog", "local_path"]
+           "write_table", "create_database", "BatchLog", "literal_table"]
