@@ -151,3 +151,14 @@ def test_histogram_auto_bins_in_one_pass(spark):
     df = spark.createDataFrame([(y,) for y in [2000, 2001, 2002, 2003, None]], "year int")
     h = P.histogram(df, "year")  # 5 categories incl. NULL -> 2 bins
     assert sorted((r["bin"], r["count"]) for r in h.collect()) == [(1, 2), (2, 2)]
+
+
+def test_exact_quantiles_with_infinities(spark):
+    import numpy as np
+    vals = [float("-inf"), 1.0, 2.0, 3.0, 4.0, float("inf")] * 3
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    qs = [0.0, 0.2, 0.5, 0.8, 1.0]
+    got = P.exact_quantiles(df, ["x"], qs, bound=2, buckets=4)
+    ref = np.quantile(np.array(vals), qs)
+    for q, r in zip(qs, ref):
+        assert got[("x", q)] == r or (math.isnan(got[("x", q)]) and math.isnan(r)), (q, got[("x", q)], r)

@@ -199,7 +199,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float],
             x = f"x{ix[c]}"
             cond = _sql_in_bracket(x, lo, hi)
             width = (hi - lo) / buckets
-            if width > 0:
+            if not (math.isfinite(lo) and math.isfinite(hi)):  # split off infinite edges first
+                bucket = f"CASE WHEN {x} = {_dlit(lo)} THEN 0 WHEN {x} = {_dlit(hi)} THEN 2 ELSE 1 END"
+            elif width > 0:
                 bucket = f"least(CAST(floor(({x} - {_dlit(lo)}) / {_dlit(width)}) AS BIGINT), {buckets - 1})"
             else:  # range narrower than buckets x the smallest double: split at the top value
                 bucket = f"CASE WHEN {x} < {_dlit(hi)} THEN 0 ELSE 1 END"
