@@ -1,7 +1,8 @@
 """E-10: the whole run — three extracts, three cleans, the merge, the
 typed load with its row-count check — as one driver program building lazy
-plans. The typed Parquet/table output is also the store step (SK-10). Sources are read in parallel stages by Spark; nothing is handed
-between processes; errors propagate instead of becoming empty tables.
+plans. The typed Parquet/table output is also the store step (SK-10).
+Sources are read in parallel stages by Spark; nothing is handed between
+processes; errors propagate instead of becoming empty tables.
 """
 
 from __future__ import annotations
