@@ -155,8 +155,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float],
     3. the distinct values (with counts) of the few remaining ranges.
 
     Each histogram pass shrinks a range about ``buckets``-fold, so two
-    levels cover 10^12 rows; the driver only receives bucket summaries and
-    at most ``bound`` distinct values per range, and no task holds more.
+    levels cover 10^12 rows; running bucket counts are computed by Spark, so
+    the driver receives only the bucket holding each wanted rank and at most
+    ``bound`` distinct values per range; no task holds more.
 
     ``materialize`` writes the projected columns once as a reliable
     checkpoint (``spark.checkpoint.dir``) when ``df`` is an expensive plan,
@@ -209,19 +210,20 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float],
             conds.append(f"({cond})")
         hist = (data.filter(" OR ".join(conds)).selectExpr(f"explode(array({', '.join(parts)})) AS e")
                 .filter("e IS NOT NULL").groupBy("e.j", "e.b")
-                .agg(F.count(F.lit(1)).alias("k"), F.min("e.x").alias("mn"), F.max("e.x").alias("mx")).collect())
-        per_range: dict[int, list] = {}
-        for row in hist:
-            per_range.setdefault(row["j"], []).append((row["b"], row["k"], row["mn"], row["mx"]))
+                .agg(F.count(F.lit(1)).alias("k"), F.min("e.x").alias("mn"), F.max("e.x").alias("mx")))
+        # running counts per range (at most ``buckets`` rows each) are computed by Spark;
+        # only the bucket holding each wanted rank comes back to the driver
         index = {(c, lo, hi, below): j for j, (c, lo, hi, below) in enumerate(ranges)}
-        for c, r in open_keys:
-            lo, hi, below, _ = state[(c, r)]
-            seen = below
-            for _, k, mn, mx in sorted(per_range.get(index[(c, lo, hi, below)], [])):
-                if r < seen + k:
-                    state[(c, r)] = (mn, mx, seen, k)
-                    break
-                seen += k
+        targets = df.sparkSession.createDataFrame(
+            [(t, index[(c, *state[(c, r)][:3])], r - state[(c, r)][2]) for t, (c, r) in enumerate(open_keys)],
+            "t int, j int, off bigint")
+        running = Window.partitionBy("j").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        found = (hist.withColumn("cum", F.sum("k").over(running)).join(targets, "j")
+                 .filter((F.col("cum") - F.col("k") <= F.col("off")) & (F.col("off") < F.col("cum")))
+                 .select("t", "mn", "mx", (F.col("cum") - F.col("k")).alias("prev"), "k").collect())
+        for row in found:
+            c, r = open_keys[row["t"]]
+            state[(c, r)] = (row["mn"], row["mx"], state[(c, r)][2] + row["prev"], row["k"])
     # last pass: distinct values with their counts inside the remaining ranges
     brackets = sorted({(c, v[0], v[1]) for (c, _), v in state.items() if v[0] != v[1]}, key=str)
     counts: dict[int, list] = {}
