@@ -224,33 +224,32 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float],
         for row in found:
             c, r = open_keys[row["t"]]
             state[(c, r)] = (row["mn"], row["mx"], state[(c, r)][2] + row["prev"], row["k"])
-    # last pass: distinct values with their counts inside the remaining ranges
+    # last pass: the distinct values (with counts) inside the remaining ranges,
+    # at most ``bound`` per range; Spark runs the counts, the driver gets the
+    # value at each wanted rank only. Single-value ranges need no pass.
+    value_at: dict[tuple[str, int], float] = {k: v[0] for k, v in state.items() if v[0] == v[1]}
     brackets = sorted({(c, v[0], v[1]) for (c, _), v in state.items() if v[0] != v[1]}, key=str)
-    counts: dict[int, list] = {}
     if brackets:
+        index = {b: j for j, b in enumerate(brackets)}
+        keys = [k for k, v in state.items() if v[0] != v[1]]
         conds = [_sql_in_bracket(f"x{ix[c]}", lo, hi) for c, lo, hi in brackets]
-        tags = ", ".join(f"CASE WHEN {cond} THEN named_struct('b', {j}, 'v', x{ix[c]}) END"
+        tags = ", ".join(f"CASE WHEN {cond} THEN named_struct('j', {j}, 'v', x{ix[c]}) END"
                          for j, ((c, _, _), cond) in enumerate(zip(brackets, conds)))
         tagged = (data.filter(" OR ".join(f"({cond})" for cond in conds))
                   .selectExpr(f"explode(array({tags})) AS e").filter("e IS NOT NULL"))
-        for row in tagged.groupBy("e.b", "e.v").agg(F.count(F.lit(1)).alias("k")).collect():
-            counts.setdefault(row["b"], []).append((row["v"], row["k"]))
-    index = {b: j for j, b in enumerate(brackets)}
+        per_value = tagged.groupBy("e.j", "e.v").agg(F.count(F.lit(1)).alias("k"))
+        targets = df.sparkSession.createDataFrame(
+            [(t, index[(c, *state[(c, r)][:2])], r - state[(c, r)][2]) for t, (c, r) in enumerate(keys)],
+            "t int, j int, off bigint")
+        running = Window.partitionBy("j").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        found = (per_value.withColumn("cum", F.sum("k").over(running)).join(targets, "j")
+                 .filter((F.col("cum") - F.col("k") <= F.col("off")) & (F.col("off") < F.col("cum")))
+                 .select("t", "v").collect())
+        for row in found:
+            value_at[keys[row["t"]]] = row["v"]
     out = {}
     for c in cols:
-        stats = {}
-        for (cc, r), (lo, hi, below, _) in state.items():
-            if cc != c:
-                continue
-            if lo == hi:
-                stats[r] = lo
-                continue
-            seen = below
-            for v, k in sorted(counts.get(index[(c, lo, hi)], [])):
-                seen += k
-                if r < seen:
-                    stats[r] = v
-                    break
+        stats = {r: v for (cc, r), v in value_at.items() if cc == c}
         for q in qs:
             out[(c, q)] = _interpolate(stats, n_of[c], q)
     return out
