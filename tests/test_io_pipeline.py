@@ -207,3 +207,12 @@ def test_replayed_landings_do_not_double_count(spark):
                                    "category_supported boolean")
     stats = spark.createDataFrame([("v1", "7"), ("v1", "7"), ("v2", "x")], "video_id string, likeCount string")
     assert top_video_likes(videos, stats).first()["total_top10_video_likes"] == 7
+
+
+def test_command_line_run(spark, inputs, capsys):
+    import json as _json
+    from trackmart.__main__ import main
+    code = main(["run", "--tracks", f"csv:{inputs.tracks.location}", "--awards", f"parquet:{inputs.awards.location}",
+                 "--channels", f"csv:{inputs.channels.location}", "--output", inputs.output + "-cli", "--strict"])
+    row = _json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert code == 0 and row["rows_written"] == 3 and row["ok"] is True
