@@ -7,7 +7,7 @@ its own when it is unset (tests, local runs).
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -48,14 +48,19 @@ def build_session(master: str | None = None, app_name: str = "trackmart",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
-    Reads ``spark.checkpoint.dir``; only when it is unset (a test or a
-    laptop run) a fresh local folder is created and registered.
+    Reads ``spark.checkpoint.dir``. Only on a ``local`` master (a test or a
+    laptop run) and only when it is unset, a fresh local folder is created
+    and registered; on any other master the executors could not see such a
+    folder, so a missing setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.match(r"local($|\[)", master):
+        raise RuntimeError(f"master is {master}: set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="trackmart-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
@@ -63,11 +68,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique path below the shared checkpoint folder.
+
+    The folder's scheme stays as configured, and all scratch folders of one
+    application lie under one parent (``trackmart-<application id>``), which
+    an operator can remove when the application is over.
+    """
+    return f"{checkpoint_dir(spark)}/trackmart-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
