@@ -12,11 +12,13 @@ Two classes at the similarity bound share no table with probability
 ``2 * (1 - 0.8 ** ROWS) ** HALVES``: about 1e-5 here, falling fast above the
 bound. Candidates are verified on the whole sets.
 
-Groups of thousands: classes that share a table are compared with a few pivots
-of the table, links become components, and only members of different
-components of one table are compared further, so copies never expand into all
-their pairs. The last comparison covers every pair of a table that is
-not joined yet, so no candidate link is lost.
+Groups of thousands. Tables with the same members count once. Shingles that no
+other candidate has bound what a class can share, which drops classes and
+pairs that cannot reach the bound whatever the partner. Members of a table are
+compared with its most central member (the least share of such shingles),
+links become components, and only members of different components that the
+bound leaves are compared further: copies join at the centre and never expand
+into all their pairs, and no candidate link between components is lost.
 """
 
 from __future__ import annotations
@@ -28,16 +30,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmart.llm.common import chunks, fresh, mix, prepare, shingles, spread, stored, table, text_bytes, words
+from trackmart.llm.common import chunks, mix, prepare, shingles, stored, table, text_bytes, words
 from trackmart.llm.components import components
 
 SHINGLE_WORDS = 5
 SIMILARITY = (80, 100)  # linked when 100 * shared >= 80 * united
 HALVES, ROWS = 12, 2
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 3
 SEED = 20240229
 
 
+def _mark(own: np.ndarray) -> bytes:
+    """128 bits that name a set."""
+    with np.errstate(over="ignore"):
+        return np.array([mix(own).sum(), mix(own ^ np.uint64(0x5851F42D4C957F2D)).sum()], np.uint64).tobytes()
+
+
 def _signer(n_words: int):
     with np.errstate(over="ignore"):
         rng = np.random.default_rng(SEED)
@@ -64,8 +72,7 @@ def _signer(n_words: int):
                             lows = np.minimum(lows, ((own[at:at + 4096, None] ^ flips) * odd).min(axis=0))
                         half = lows.reshape(2 * HALVES, ROWS)
                         key = mix((half * (np.arange(ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(3))).sum(axis=1))
-                        mark = np.array([mix(own).sum(), mix(own ^ np.uint64(0x5851F42D4C957F2D)).sum()], np.uint64)
-                    classes.append(mark.tobytes())
+                    classes.append(_mark(own))
                     keys.append(key.view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
@@ -74,29 +81,55 @@ def _signer(n_words: int):
 
 
 def _sets(n_words: int):
+    """``(num, text, cls)`` to ``(num, cls, shingles)``; ``cls`` is null where
+    the text is not of that class."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            found = []
+            found, marks = [], []
             for first, end, part, offs in chunks(data, offsets):
                 _, _, row, hashed = words(part, offs)
                 cuts = np.searchsorted(row, np.arange(end - first + 1))
-                found += [shingles(hashed[cuts[k]:cuts[k + 1]], n_words).view(np.int64) for k in range(end - first)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["cls", "shingles"])
+                for k in range(end - first):
+                    own = shingles(hashed[cuts[k]:cuts[k + 1]], n_words)
+                    cls = batch.column(2)[first + k].as_py()
+                    marks.append(cls if _mark(own) == cls else None)
+                    found.append(own.view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.binary()), pa.array(found, pa.list_(pa.int64()))],
+                                             names=["num", "cls", "shingles"])
     return cut
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """The pairs ``(a, b)`` whose whole sets reach the bound."""
     num, den = similarity
-    left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb"))
+    left = sets.select(F.col("num").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("num").alias("b"), F.col("shingles").alias("sb"))
     shared = F.size(F.array_intersect("sa", "sb"))
     return (pairs.join(left, "a").join(right, "b")
             .select("a", "b", shared.alias("shared"), (F.size("sa") + F.size("sb") - shared).alias("united"))
             .where(F.col("shared") * den >= F.col("united") * num).select("a", "b"))
 
 
+def _tables(classes: DataFrame) -> DataFrame:
+    """``(key, num)``: members of every table key that two classes share, one
+    key for each set of members."""
+    halves = classes.select("num", F.posexplode("halves").alias("slot", "half"))
+    common = halves.groupBy("slot", "half").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    shared = halves.join(common, ["slot", "half"]).groupBy("num").agg(
+        F.sort_array(F.collect_list(F.struct("slot", "half"))).alias("own"))  # at most 2 * HALVES entries
+    one = F.filter("own", lambda x: x["slot"] < HALVES)
+    two = F.filter("own", lambda x: x["slot"] >= HALVES)
+    keys = F.flatten(F.transform(one, lambda x: F.transform(two, lambda y: F.xxhash64(x["slot"], x["half"], y["slot"], y["half"]))))
+    return _distinct_tables(stored(shared.select("num", F.explode(keys).alias("key")), "minhash-keys"))
+
+
+def _distinct_tables(tables: DataFrame) -> DataFrame:
+    marks = tables.groupBy("key").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("num")).alias("m1"), F.bit_xor(F.xxhash64("num", F.lit(1))).alias("m2")).where("n > 1")
+    return tables.join(marks.groupBy("n", "m1", "m2").agg(F.min("key").alias("key")).select("key"), "key")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = SHINGLE_WORDS,
                     similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
     """One row per input row: ``(<id>, n_shingles, component_id, kept)``.
@@ -114,45 +147,45 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = stored(source.mapInArrow(_signer(n_words), "id long, size long, cls binary, halves array<long>"), "minhash")
 
     classes = signed.where("cls is not null").groupBy("cls").agg(
-        F.min("id").alias("least"), F.min("size").alias("size"), F.count("*").alias("copies"), F.min("halves").alias("halves"))
-    classes = stored(classes, "minhash-classes")
-
-    # Half keys that at least two classes share, then the tables of their pairs.
-    halves = classes.select("cls", "size", F.posexplode("halves").alias("slot", "half"))
-    common = halves.groupBy("slot", "half").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    shared = halves.join(common, ["slot", "half"]).groupBy("cls", "size").agg(
-        F.sort_array(F.collect_list(F.struct("slot", "half"))).alias("own"))  # at most 2 * HALVES entries
-    one = F.filter("own", lambda x: x["slot"] < HALVES)
-    two = F.filter("own", lambda x: x["slot"] >= HALVES)
-    keys = F.flatten(F.transform(one, lambda x: F.transform(two, lambda y: F.xxhash64(x["slot"], x["half"], y["slot"], y["half"]))))
-    tables = shared.select("cls", "size", F.explode(keys).alias("key"))
-    full = tables.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    tables = stored(tables.join(full, "key"), "minhash-tables")
-
-    # Whole sets of the classes that share a table, one text for each class.
-    wanted = (signed.where("cls is not null").join(tables.select("cls").distinct(), "cls", "left_semi")
-              .groupBy("cls").agg(F.min("id").alias("id")))
-    sets = stored(source.join(wanted, "id").select("cls", "text").mapInArrow(_sets(n_words), "cls binary, shingles array<long>"), "minhash-sets")
-    # A repeated id may bring the text of another class: keep the set that makes the class.
-    size_of = classes.select("cls", "size")
-    sets = sets.join(size_of, "cls").where(F.size("shingles") == F.col("size")).drop("size").dropDuplicates(["cls"])
-
+        F.min("id").alias("least"), F.min("size").alias("size"), F.first("halves").alias("halves"))
+    classes = stored(classes.withColumn("num", F.monotonically_increasing_id()), "minhash-classes")
+    tables = stored(_tables(classes), "minhash-tables")
+
+    # Whole sets of the classes that share a table, from one text of each. A
+    # repeated id may bring another class's text, which its class number tells.
+    wanted = classes.join(tables.select("num").distinct(), "num", "left_semi").select("num", "cls", "size", F.col("least").alias("id"))
+    texts = source.join(wanted, source["id"].eqNullSafe(wanted["id"])).select("num", "text", "cls")
+    sets = texts.mapInArrow(_sets(n_words), "num long, cls binary, shingles array<long>").where("cls is not null").dropDuplicates(["num"]).select("num", "shingles")
+    sets = stored(sets, "minhash-sets")
+
+    # Shingles of one candidate only bound what it can share with any other.
     num, den = similarity
-    fits = F.col("sx") * den >= F.col("sy") * num
-    either = fits & (F.col("sy") * den >= F.col("sx") * num)
+    spots = sets.select("num", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n"), F.min("num").alias("num")).where("n = 1")
+    alone = spots.groupBy("num").agg(F.count("*").alias("alone"))
+    sized = sets.select("num", F.size("shingles").cast("long").alias("size")).join(alone, "num", "left")
+    sized = sized.select("num", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("most")).where(F.col("most") * den >= F.col("size") * num)
+    tables = stored(_distinct_tables(tables.join(sized, "num")), "minhash-tables")
+
+    def members(rows: DataFrame, mark: str) -> DataFrame:
+        return rows.select("key", *(F.col(c).alias(mark + c) for c in ("num", "size", "most", "comp")))
+
+    most = F.least("xmost", "ymost")
+    possible = (F.col("xcomp") != F.col("ycomp")) & (most * den >= (F.col("xsize") + F.col("ysize") - most) * num)
+    central = F.struct((F.col("most") / F.col("size")).alias("share"), F.xxhash64("num").alias("tie"))
     links = roots = done = None
-    open_tables = tables.withColumn("comp", F.col("cls"))
+    open_tables = tables.withColumn("comp", F.col("num"))
     for turn in range(PIVOT_ROUNDS + 1):
         if turn < PIVOT_ROUNDS:
-            ends = [F.min_by(F.struct("cls", "size", "comp"), F.xxhash64("cls", F.lit(turn))).alias("p")]
-            pivots = open_tables.groupBy("key").agg(*ends).select(
-                "key", F.col("p.cls").alias("y"), F.col("p.size").alias("sy"), F.col("p.comp").alias("cy"))
-            rows = open_tables.select("key", F.col("cls").alias("x"), F.col("size").alias("sx"), F.col("comp").alias("cx"))
+            # The most central member; later, of those outside its component.
+            rest = open_tables
+            for k in range(turn):
+                first = rest.groupBy("key").agg(F.max_by("comp", central).alias("comp"))
+                rest = rest.join(first, ["key", "comp"], "left_anti")
+            pivots = rest.groupBy("key").agg(F.max_by(F.struct("num", "size", "most", "comp"), central).alias("p")).select("key", "p.*")
         else:
-            pivots = open_tables.select("key", F.col("cls").alias("y"), F.col("size").alias("sy"), F.col("comp").alias("cy"))
-            rows = open_tables.select("key", F.col("cls").alias("x"), F.col("size").alias("sx"), F.col("comp").alias("cx"))
-        pairs = (rows.join(pivots, "key").where((F.col("cx") != F.col("cy")) & either)
-                 .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
+            pivots = open_tables
+        pairs = (members(open_tables, "x").join(members(pivots, "y"), "key").where(possible)
+                 .select(F.greatest("xnum", "ynum").alias("a"), F.least("xnum", "ynum").alias("b")).distinct())
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = stored(pairs, f"minhash-pairs-{turn}")
@@ -162,15 +195,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         roots = stored(components(links), f"minhash-roots-{turn}")
         if turn == PIVOT_ROUNDS:
             break
-        open_tables = (tables.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-                       .select("key", "cls", "size", F.coalesce("root", "cls").alias("comp")))
+        open_tables = (tables.join(roots.withColumnRenamed("node", "num"), "num", "left")
+                       .select("key", "num", "size", "most", F.coalesce("root", "num").alias("comp")))
         mixed = open_tables.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
         open_tables = stored(open_tables.join(mixed, "key"), f"minhash-open-{turn}")
         if not open_tables.limit(1).count():
             break
 
-    home = classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "cls", "least", F.coalesce("root", "cls").alias("root"))
+    home = classes.join(roots.withColumnRenamed("node", "num"), "num", "left").select(
+        "cls", "least", F.coalesce("root", "num").alias("root"))
     names = home.groupBy("root").agg(F.min("least").alias("component_id"))
     home = home.join(names, "root").select("cls", "component_id")
     component = F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component_id"))

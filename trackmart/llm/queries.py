@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from trackmart.llm import near_dedup
+from trackmart.llm import language, near_dedup, packing, quality, sharding, spotsigs, suffix_dedup
 
 QUERIES = {
+    "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op2_near_dedup": near_dedup.op2_near_dedup,
+    "op4_language_id": language.op4_language_id,
+    "op5_quality_classifier": quality.op5_quality_classifier,
+    "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
+    "op9_sharding": sharding.op9_sharding,
+    "op10_spotsigs": spotsigs.op10_spotsigs,
 }
 
 SQL: dict[str, str] = {}
