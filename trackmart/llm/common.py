@@ -85,7 +85,10 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint64) + 1
 _LOWER[0x41:0x5B] += 32
-_LOWER[_SPACE] = 0
+SOLID = ~_SPACE  # white space parts words
+PLAIN = np.zeros(256, bool)  # letters and digits: so does punctuation
+for _range in (range(0x30, 0x3A), range(0x41, 0x5B), range(0x61, 0x7B), range(0x80, 0x100)):
+    PLAIN[list(_range)] = True
 _POWERS = np.ones(1, np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -108,12 +111,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of each row, cut at ASCII white space: ``(starts, ends, row,
-    hash)``; the hash is of the word with A-Z lower-cased."""
+def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = SOLID) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of each row, runs of bytes of a ``kind`` (``SOLID``, ``PLAIN``):
+    ``(starts, ends, row, hash)``; the hash is of the word with A-Z lower-cased."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    solid = ~_SPACE[data]
+    solid = kind[data]
     before = np.empty_like(solid)
     before[0], before[1:] = False, solid[:-1]
     before[offsets[:-1][offsets[:-1] < len(data)]] = False
@@ -128,7 +131,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     place = np.arange(starts[0], len(data)) - np.repeat(starts, gaps)
     longest = int(gaps.max())
     with np.errstate(over="ignore"):
-        hashed = np.add.reduceat(_LOWER[data[starts[0]:]] * _powers(longest)[place], starts - starts[0])
+        hashed = np.add.reduceat(np.where(solid, _LOWER[data], np.uint64(0))[starts[0]:] * _powers(longest)[place], starts - starts[0])
     return starts, ends, row, mix(hashed)
 
 
