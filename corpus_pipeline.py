@@ -7,10 +7,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from trackmart.llm.common import stored, table
+from trackmart.llm.decontamination import drop_contaminated
 from trackmart.llm.near_dedup import keep_first_of_group
+from trackmart.llm.packing import pack_stage
+from trackmart.llm.quality import drop_rejected
+from trackmart.llm.suffix_dedup import remove_repeats
 
 STAGES = [
+    ("quality classifier", drop_rejected),
     ("minhash near-dedup", keep_first_of_group),
+    ("suffix-array dedup", remove_repeats),
+    ("benchmark decontamination", drop_contaminated),
+    ("best-fit packing", pack_stage),
 ]
 
 # BPE, trees, MinHash and latent vectors have no SQL form; tests/llm holds the

@@ -62,7 +62,8 @@ class WordIds:
     def count(self, text: bytes) -> int:
         if len(self.known) > KNOWN_WORDS:
             self._clear()
-        return int(self.size[self._places(text)].sum())
+        places = self._places(text)  # may replace the table, so first
+        return int(self.size[places].sum())
 
     def ids(self, text: bytes) -> np.ndarray:
         if len(self.known) > KNOWN_WORDS:
