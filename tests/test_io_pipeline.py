@@ -97,26 +97,41 @@ def test_batch_log_is_idempotent_per_batch(spark, tmp_path):
     assert latest == {"a": ("z", 2), "b": ("y", 1)}
 
 
-def test_incremental_lookup_stream(spark, tmp_path):
-    from conftest import SF001
-    from trackmart.plans import star_inputs as I
-    from trackmart.streaming.incremental import (LandedResponses, checkpoint_log, current_results,
-                                                 start_landed_stream)
-    landed = LandedResponses(I.customer_channel_search(spark, SF001), I.user_channel_stats(spark, SF001),
-                             I.event_videos(spark, SF001), I.event_video_stats(spark, SF001))
-    universe = I.customer_artists(spark, SF001)
+def test_incremental_lookup_stream_takes_artists_as_their_answers_land(spark, tmp_path):
+    from trackmart.schemas import CHANNEL_SEARCH, CHANNEL_STATS, VIDEO_STATS, VIDEOS
+    from trackmart.streaming.incremental import LandedPaths, checkpoint_log, current_results, start_landed_stream
+    at = {n: str(tmp_path / n) for n in ("search", "stats", "videos", "video_stats", "universe", "status")}
+    spark.createDataFrame([("A",), ("B",), ("C",)], "artist_query string").write.parquet(at["universe"])
+    spark.createDataFrame([("A", 1, "UCa", "A")], CHANNEL_SEARCH).write.parquet(at["search"])
+    spark.createDataFrame([("UCa", "A", "5", "6", "7", False)], CHANNEL_STATS).write.parquet(at["stats"])
+    spark.createDataFrame([], VIDEOS).write.parquet(at["videos"])
+    spark.createDataFrame([], VIDEO_STATS).write.parquet(at["video_stats"])
+    spark.createDataFrame([("A", 1, "ok", None)], LOOKUP_STATUS).write.parquet(at["status"])
     log = checkpoint_log(spark, str(tmp_path / "lookups"))
-    status_dir = str(tmp_path / "status")
-    spark.createDataFrame([("Customer#000000007", 1, "http", "500")], LOOKUP_STATUS).write.parquet(status_dir)
-    q = start_landed_stream(spark, status_dir, universe, log, landed, str(tmp_path / "stream-ckpt"))
-    q.awaitTermination(300)
-    out = {r["artist_query"]: r for r in current_results(log).collect()}
-    assert len(out) == universe.count()
-    assert out["Customer#000000007"]["channel_id_found"] == "Error: HTTP 500"
-    # a second run finds nothing pending and leaves the results as they are
-    q = start_landed_stream(spark, status_dir, universe, log, landed, str(tmp_path / "stream-ckpt"))
-    q.awaitTermination(300)
-    assert current_results(log).count() == len(out)
+    paths = LandedPaths(*[at[n] for n in ("search", "stats", "videos", "video_stats", "universe")])
+
+    def run():
+        start_landed_stream(spark, at["status"], paths, log, str(tmp_path / "stream-ckpt")).awaitTermination(300)
+        return {r["artist_query"]: (r["channel_id_found"], r["subscriber_count"]) for r in current_results(log).collect()}
+
+    assert run() == {"A": ("UCa", 5)}  # nothing landed for B and C: they stay pending
+    assert run() == {"A": ("UCa", 5)}  # no new file, no new batch
+    spark.createDataFrame([("B Topic", 1, "UCb", "B")], CHANNEL_SEARCH).write.mode("append").parquet(at["search"])
+    spark.createDataFrame([("UCb", "B", "8", "9", "1", False)], CHANNEL_STATS).write.mode("append").parquet(at["stats"])
+    spark.createDataFrame([("B", 2, "ok", None), ("C", 2, "http", "500"), ("C", 2, "http", "500")],
+                          LOOKUP_STATUS).write.mode("append").parquet(at["status"])
+    assert run() == {"A": ("UCa", 5), "B": ("UCb", 8), "C": ("Error: HTTP 500", 0)}
+
+
+def test_batch_without_status_takes_artists_with_a_search_answer(spark, tmp_path):
+    from trackmart.schemas import CHANNEL_SEARCH, CHANNEL_STATS, VIDEO_STATS, VIDEOS
+    from trackmart.streaming.incremental import LandedResponses, checkpoint_log, run_batch
+    universe = spark.createDataFrame([("A",), ("B",), ("C",)], "artist_query string")
+    landed = LandedResponses(spark.createDataFrame([("A", 1, "x", "A"), ("B Topic", 1, "y", "B")], CHANNEL_SEARCH),
+                             spark.createDataFrame([], CHANNEL_STATS), spark.createDataFrame([], VIDEOS),
+                             spark.createDataFrame([], VIDEO_STATS))
+    got = run_batch(universe, checkpoint_log(spark, str(tmp_path / "l")), landed, 1)
+    assert {r["artist_query"]: r["channel_id_found"] for r in got.collect()} == {"A": "x", "B": "y"}
 
 
 def test_raw_load_and_clean_load(spark, inputs, tmp_path):
@@ -144,8 +159,8 @@ def test_rerun_of_a_batch_is_idempotent(spark, tmp_path):
     first = sorted(tuple(r) for r in log.read_all().collect())
     run_batch(universe, log, landed, 1, status)  # the same batch again (e.g. after a failure)
     assert sorted(tuple(r) for r in log.read_all().collect()) == first
-    assert 0 < len(first) < universe.count()  # cut at the first quota failure
-    run_batch(universe, log, landed, 2)
+    assert len(first) == status.filter("batch_id = 1").select("artist_query").distinct().count() < universe.count()
+    run_batch(universe, log, landed, 2, status)
     assert current_results(log).count() == universe.count()
 
 
@@ -165,19 +180,62 @@ def test_failure_tagging_keeps_fields_filled_before_the_failing_call(spark):
     assert got["d"] == ("chd", "Td", 1, 2, 3, 4)
 
 
-def test_batch_log_compaction(spark, tmp_path):
-    log = BatchLog(spark, str(tmp_path / "ck"), CHECKPOINT, ["artist_query"])
-    schema = ("artist_query string, channel_id_found string, channel_title_verified string, "
-              "subscriber_count double, view_count double, video_count double, total_top10_video_likes double")
-    row = lambda a, c: (a, c, None, None, None, None, None)
-    log.write_batch(spark.createDataFrame([row("a", "1"), row("b", "1")], schema), 1)
-    log.write_batch(spark.createDataFrame([row("a", "2")], schema), 2)
-    before = {r["artist_query"]: r["channel_id_found"] for r in log.read_latest().collect()}
-    assert log.compact() == 2
-    assert log.read_all().count() == 2  # the snapshot replaces batches 1 and 2
-    log.write_batch(spark.createDataFrame([row("b", "3")], schema), 3)
-    after = {r["artist_query"]: r["channel_id_found"] for r in log.read_latest().collect()}
-    assert before == {"a": "2", "b": "1"} and after == {"a": "2", "b": "3"}
+def test_status_counts_once_per_artist_and_batch(spark):
+    from trackmart.plans.enrich import tag_failures
+    res = spark.createDataFrame([(a, f"ch{a}", None, None, None, None, None) for a in "ab"], CHANNELS)
+    st = spark.createDataFrame([("a", 1, "quota", "q"), ("a", 2, "ok", None), ("a", 2, "ok", None), ("b", 2, "http", "1")], LOOKUP_STATUS)
+    got = sorted((r["artist_query"], r["channel_id_found"]) for r in tag_failures(res, st, batch_id=2).collect())
+    assert got == [("a", "cha"), ("b", "Error: HTTP 1")]
+
+
+def test_empty_rerun_clears_its_batch_and_damage_raises(spark, tmp_path):
+    root = tmp_path / "ck"
+    log = BatchLog(spark, str(root), CHECKPOINT, ["artist_query"])
+    rows = spark.createDataFrame([("a", "1", None, 2**53 + 1, None, None, None)], CHANNELS)
+    log.write_batch(rows, 1)
+    log.write_batch(rows, 2)
+    log.write_batch(rows.limit(0), 2)
+    assert [(r["batch_id"], r["subscriber_count"]) for r in log.read_all().collect()] == [(1, 2**53 + 1)]
+    for part in (root / "batch_id=1").glob("part-*.parquet"):
+        part.write_bytes(b"damaged")
+    with pytest.raises(Exception, match="(?i)parquet|corrupt|footer"):
+        log.read_all().collect()
+
+
+def test_read_or_empty_only_for_missing_paths(spark, tmp_path):
+    from trackmart.sources.io import read_or_empty
+    assert read_or_empty(spark, str(tmp_path / "none"), CHANNELS).count() == 0
+    (tmp_path / "bad.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception):
+        read_or_empty(spark, str(tmp_path / "bad.parquet"), CHANNELS).count()
+
+
+def test_append_counts_exactly(spark, tmp_path):
+    df = spark.createDataFrame([(1,), (2,)], "x bigint")
+    first = write_table(df, str(tmp_path / "t"), mode="append", strict=True).first()
+    again = write_table(df.limit(1), str(tmp_path / "t"), mode="append", strict=True).first()
+    assert (first["rows_stored"], again["rows_written"], again["rows_stored"], again["ok"]) == (2, 1, 3, True)
+
+
+def test_shared_folder_rule(spark, monkeypatch):
+    import trackmart.session as session
+
+    class Conf:
+        def __init__(self, value): self.value = value
+        def get(self, *_): return self.value
+        def set(self, *_): raise AssertionError("no folder may be set")
+
+    class Context:
+        master, applicationId = "spark://host:7077", "app-1"
+        def getCheckpointDir(self): return None
+
+    class Session:
+        sparkContext = Context()
+        def __init__(self, value): self.conf = Conf(value)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Session(None))
+    assert session.scratch_path(Session("viewfs://store/shared/"), "x").startswith("viewfs://store/shared/trackmart-app-1/x-")
 
 
 def test_catalog_table_load(spark):

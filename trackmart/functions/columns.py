@@ -98,9 +98,10 @@ def coerce_double(c: str | Column) -> Column:
 def coerce_long(c: str | Column) -> Column:
     """Numeric text or double -> bigint, truncating toward zero (C-01 + C-02).
 
-    Goes through double so text such as ``'19400.0'`` is accepted.
+    Whole numbers stay exact; only text such as ``'19400.0'`` or ``'1e3'``
+    that is no bigint goes through double.
     """
-    return coerce_double(c).try_cast("bigint")
+    return F.coalesce(col(c).cast("string").try_cast("bigint"), coerce_double(c).try_cast("bigint"))
 
 
 def coerce_int(c: str | Column) -> Column:

@@ -25,6 +25,12 @@ EXACT_QUANTILE_BOUND = 50_000
 APPROX_ACCURACY = 10_000  # for approx=True
 
 
+def missing(df: DataFrame, c: str) -> Column:
+    """NULL, or NaN in a floating column: the reference has one missing marker."""
+    col = F.col(f"`{c}`")
+    return col.isNull() | F.isnan(col) if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)) else col.isNull()
+
+
 # --- counts (A-01..A-03, A-06..A-08) -----------------------------------------
 
 def shape(df: DataFrame) -> DataFrame:
@@ -43,7 +49,7 @@ def quality_report(df: DataFrame, key: Sequence[str] | None = None) -> DataFrame
     spark = df.sparkSession
     cols = df.columns
     counts = df.agg(F.count(F.lit(1)).alias("rows"),
-                    *[F.sum(F.col(c).isNull().cast("bigint")).alias(f"n{i}") for i, c in enumerate(cols)])
+                    *[F.sum(missing(df, c).cast("bigint")).alias(f"n{i}") for i, c in enumerate(cols)])
     dups = duplicate_counts(df, key)
     row_items = counts.select(F.explode(F.array(
         F.struct(F.lit("rows").alias("item"), F.lit(None).cast("string").alias("column"),
@@ -99,7 +105,7 @@ def null_profile(df: DataFrame, only_missing: bool = True) -> DataFrame:
     then an unpivot of the single result row."""
     cols = df.columns
     sums = df.agg(F.count(F.lit(1)).alias("__rows"),
-                  *[F.sum(F.col(c).isNull().cast("bigint")).alias(f"n{i}") for i, c in enumerate(cols)])
+                  *[F.sum(missing(df, c).cast("bigint")).alias(f"n{i}") for i, c in enumerate(cols)])
     long = sums.select("__rows", F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.coalesce(F.col(f"n{i}"), F.lit(0).cast("bigint")).alias("null_count"))
         for i, c in enumerate(cols)])).alias("p")).select(
@@ -134,30 +140,30 @@ def _ranks(n: int, qs: Sequence[float]) -> list[int]:
     return sorted(out)
 
 
-HISTOGRAM_BUCKETS = 4096
+SKETCH_ACCURACY = 2000  # a sketched rank is off by at most rows / SKETCH_ACCURACY
+SPLITTERS = 64
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float],
-                    bound: int = EXACT_QUANTILE_BOUND, buckets: int = HISTOGRAM_BUCKETS,
+                    bound: int = EXACT_QUANTILE_BOUND, buckets: int = SPLITTERS,
                     extra: Sequence[Column] = (), extra_out: dict | None = None,
                     materialize: bool = False) -> dict[tuple[str, float], float | None]:
     """Exact quantiles (linear interpolation between order statistics, as
     pandas ``quantile`` and Spark's ``percentile``) of any number of columns.
 
-    Histogram refinement, all columns at once, every pass a code-generated
-    hash aggregate:
+    Three scans, all columns at once:
 
-    1. count, min and max per column (plus any ``extra`` aggregates);
-    2. an equal-width histogram of ``buckets`` buckets over each range that
-       still holds more than ``bound`` values, with exact count, min and max
-       per bucket — the bucket holding each wanted rank becomes the new,
-       exact range (a bucket whose min equals its max is the answer);
-    3. the distinct values (with counts) of the few remaining ranges.
+    1. count, min, max (plus any ``extra`` aggregates over the columns named
+       ``x0, x1, ...`` in their order) and a mergeable sketch that brackets
+       every wanted rank;
+    2. the exact count below and inside each bracket;
+    3. the distinct values (with counts) inside the brackets; Spark runs the
+       counts, the driver gets the value at each wanted rank only.
 
-    Each histogram pass shrinks a range about ``buckets``-fold, so two
-    levels cover 10^12 rows; running bucket counts are computed by Spark, so
-    the driver receives only the bucket holding each wanted rank and at most
-    ``bound`` distinct values per range; no task holds more.
+    A bracket that still holds more than ``bound`` values (billions of rows)
+    is first narrowed by ``buckets`` sketched splitters of its inside, about
+    twentyfold a round whatever the distribution; a round also settles its two end values, so every
+    round makes progress and the loop ends when all brackets are small.
 
     ``materialize`` writes the projected columns once as a reliable
     checkpoint (``spark.checkpoint.dir``) when ``df`` is an expensive plan,
@@ -166,87 +172,37 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float],
     # Expressions are written as SQL text: one parse per expression instead
     # of a gateway round trip per Column operator.
     cols = list(columns)
-    ix = {c: i for i, c in enumerate(cols)}
     data = df.selectExpr(*[f"{_num_sql(c)} AS x{i}" for i, c in enumerate(cols)])
     if materialize:
         from trackmart.session import cut_lineage
         data = cut_lineage(data)
-    first = df.select(*[_num(c).alias(f"x{i}") for i, c in enumerate(cols)],
-                      *[F.col(c) for c in df.columns if c not in cols]).agg(
-        *[F.expr(f"count(x{i}) AS n{i}") for i in range(len(cols))],
-        *[F.expr(f"min(x{i}) AS lo{i}") for i in range(len(cols))],
-        *[F.expr(f"max(x{i}) AS hi{i}") for i in range(len(cols))],
+    slack = 2.0 / SKETCH_ACCURACY
+    ends = [min(max(q + d, 0.0), 1.0) for q in qs for d in (-slack, slack)]
+    first = data.agg(
+        *[F.expr(f"{f}(x{i}) AS {a}{i}") for i in range(len(cols)) for f, a in (("count", "n"), ("min", "lo"), ("max", "hi"))],
+        *[F.expr(f"percentile_approx(x{i}, array({', '.join(map(_dlit, ends))}), {SKETCH_ACCURACY}) AS s{i}") for i in range(len(cols))],
         *extra).first()
     if extra_out is not None:
         extra_out.update(first.asDict())
     n_of = {c: first[f"n{i}"] for i, c in enumerate(cols)}
-    # per (column, rank): the range (lo, hi) known to hold it, values below lo, values in range
-    state = {}
+    ix = {c: i for i, c in enumerate(cols)}
+    # per (column, rank): a closed range of values that holds it
+    wanted: dict[tuple[str, int], tuple[float, float]] = {}
     for i, c in enumerate(cols):
-        if n_of[c]:
-            for r in _ranks(n_of[c], qs):
-                state[(c, r)] = (first[f"lo{i}"], first[f"hi{i}"], 0, n_of[c])
-
-    def settled(v):
-        return v[3] <= bound or v[0] == v[1]
-
-    for _ in range(16):
-        open_keys = [k for k, v in state.items() if not settled(v)]
-        if not open_keys:
-            break
-        ranges = sorted({(c, state[(c, r)][0], state[(c, r)][1], state[(c, r)][2]) for c, r in open_keys}, key=str)
-        parts, conds = [], []
-        for j, (c, lo, hi, _) in enumerate(ranges):
-            x = f"x{ix[c]}"
-            cond = _sql_in_bracket(x, lo, hi)
-            width = (hi - lo) / buckets
-            if not (math.isfinite(lo) and math.isfinite(hi)):  # split off infinite edges first
-                bucket = f"CASE WHEN {x} = {_dlit(lo)} THEN 0 WHEN {x} = {_dlit(hi)} THEN 2 ELSE 1 END"
-            elif width > 0:
-                bucket = f"least(CAST(floor(({x} - {_dlit(lo)}) / {_dlit(width)}) AS BIGINT), {buckets - 1})"
-            else:  # range narrower than buckets x the smallest double: split at the top value
-                bucket = f"CASE WHEN {x} < {_dlit(hi)} THEN 0 ELSE 1 END"
-            parts.append(f"CASE WHEN {cond} THEN named_struct('j', {j}, 'b', {bucket}, 'x', {x}) END")
-            conds.append(f"({cond})")
-        hist = (data.filter(" OR ".join(conds)).selectExpr(f"explode(array({', '.join(parts)})) AS e")
-                .filter("e IS NOT NULL").groupBy("e.j", "e.b")
-                .agg(F.count(F.lit(1)).alias("k"), F.min("e.x").alias("mn"), F.max("e.x").alias("mx")))
-        # running counts per range (at most ``buckets`` rows each) are computed by Spark;
-        # only the bucket holding each wanted rank comes back to the driver
-        index = {(c, lo, hi, below): j for j, (c, lo, hi, below) in enumerate(ranges)}
-        targets = df.sparkSession.createDataFrame(
-            [(t, index[(c, *state[(c, r)][:3])], r - state[(c, r)][2]) for t, (c, r) in enumerate(open_keys)],
-            "t int, j int, off bigint")
-        running = Window.partitionBy("j").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        found = (hist.withColumn("cum", F.sum("k").over(running)).join(targets, "j")
-                 .filter((F.col("cum") - F.col("k") <= F.col("off")) & (F.col("off") < F.col("cum")))
-                 .select("t", "mn", "mx", (F.col("cum") - F.col("k")).alias("prev"), "k").collect())
-        for row in found:
-            c, r = open_keys[row["t"]]
-            state[(c, r)] = (row["mn"], row["mx"], state[(c, r)][2] + row["prev"], row["k"])
-    # last pass: the distinct values (with counts) inside the remaining ranges,
-    # at most ``bound`` per range; Spark runs the counts, the driver gets the
-    # value at each wanted rank only. Single-value ranges need no pass.
-    value_at: dict[tuple[str, int], float] = {k: v[0] for k, v in state.items() if v[0] == v[1]}
-    brackets = sorted({(c, v[0], v[1]) for (c, _), v in state.items() if v[0] != v[1]}, key=str)
-    if brackets:
-        index = {b: j for j, b in enumerate(brackets)}
-        keys = [k for k, v in state.items() if v[0] != v[1]]
-        conds = [_sql_in_bracket(f"x{ix[c]}", lo, hi) for c, lo, hi in brackets]
-        tags = ", ".join(f"CASE WHEN {cond} THEN named_struct('j', {j}, 'v', x{ix[c]}) END"
-                         for j, ((c, _, _), cond) in enumerate(zip(brackets, conds)))
-        tagged = (data.filter(" OR ".join(f"({cond})" for cond in conds))
-                  .selectExpr(f"explode(array({tags})) AS e").filter("e IS NOT NULL"))
-        per_value = tagged.groupBy("e.j", "e.v").agg(F.count(F.lit(1)).alias("k"))
-        targets = df.sparkSession.createDataFrame(
-            [(t, index[(c, *state[(c, r)][:2])], r - state[(c, r)][2]) for t, (c, r) in enumerate(keys)],
-            "t int, j int, off bigint")
-        running = Window.partitionBy("j").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        found = (per_value.withColumn("cum", F.sum("k").over(running)).join(targets, "j")
-                 .filter((F.col("cum") - F.col("k") <= F.col("off")) & (F.col("off") < F.col("cum")))
-                 .select("t", "v").collect())
-        for row in found:
-            value_at[keys[row["t"]]] = row["v"]
+        n = n_of[c]
+        for k, q in enumerate(qs if n else ()):
+            # ends of the column are exact, a rank within the sketch's error of them takes them
+            lo = first[f"lo{i}"] if q <= slack or n <= SKETCH_ACCURACY else first[f"s{i}"][2 * k]
+            hi = first[f"hi{i}"] if q >= 1 - slack or n <= SKETCH_ACCURACY else first[f"s{i}"][2 * k + 1]
+            for r in _ranks(n, [q]):
+                a, b = wanted.get((c, r), (lo, hi))
+                wanted[(c, r)] = (max(a, lo), min(b, hi))
+    whole = {c: (first[f"lo{i}"], first[f"hi{i}"]) for i, c in enumerate(cols)}
+    state = _counted(data, ix, wanted, {c: (0, n) for c, n in n_of.items()}, whole)
+    while open_keys := [k for k, v in state.items() if v[3] > bound and v[0] != v[1]]:
+        state |= _narrowed(data, ix, {k: state[k] for k in open_keys}, buckets)
+    value_at = {k: v[0] for k, v in state.items() if v[0] == v[1]}
+    value_at |= _values_at(data, ix, {k: v for k, v in state.items() if v[0] != v[1]})
     out = {}
     for c in cols:
         stats = {r: v for (cc, r), v in value_at.items() if cc == c}
@@ -255,6 +211,78 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float],
     return out
 
 
+def _counted(data: DataFrame, ix: dict, wanted: dict, base: dict, whole: dict) -> dict:
+    """``(lo, hi, values below lo, values inside)`` for each wanted range of
+    a rank, counted exactly; a range that misses its rank becomes ``whole``."""
+    if not wanted:
+        return {}
+    ranges = sorted({(c, *v) for (c, _), v in wanted.items()}, key=str)
+    got = data.agg(*[F.expr(f"count_if({cond}) AS c{j}_{t}") for j, (c, lo, hi) in enumerate(ranges)
+                     for t, cond in (("b", f"x{ix[c]} < {_dlit(lo)}"), ("i", _sql_in_bracket(f"x{ix[c]}", lo, hi)))]).first()
+    count = {rng: (got[f"c{j}_b"], got[f"c{j}_i"]) for j, rng in enumerate(ranges)}
+    state = {}
+    for (c, r), (lo, hi) in wanted.items():
+        below, inside = count[(c, lo, hi)]
+        state[(c, r)] = (lo, hi, below, inside) if below <= r < below + inside else (*whole[c], *base[c])
+    return state
+
+
+def _narrowed(data: DataFrame, ix: dict, state: dict, buckets: int) -> dict:
+    """One round for ranges with too many values: ranks on an end value are
+    settled, the others get a bracket between splitters of the inside."""
+    ranges = sorted({(c, *v) for (c, _), v in state.items()}, key=str)
+    points = ", ".join(_dlit(k / buckets) for k in range(buckets + 1))
+    aggs = []
+    for j, (c, lo, hi, _, _) in enumerate(ranges):
+        x = f"x{ix[c]}"
+        inner = f"CASE WHEN {x} > {_dlit(lo)} AND {x} < {_dlit(hi)} THEN {x} END"
+        aggs += [f"count_if({x} = {_dlit(lo)}) AS a{j}", f"count({inner}) AS n{j}", f"min({inner}) AS lo{j}", f"max({inner}) AS hi{j}",
+                 f"percentile_approx({inner}, array({points}), {SKETCH_ACCURACY}) AS s{j}"]
+    got = data.agg(*map(F.expr, aggs)).first()
+    place = {rng: j for j, rng in enumerate(ranges)}
+    done, wanted, base, whole = {}, {}, {}, {}
+    for (c, r), v in state.items():
+        lo, hi, below, inside = v
+        j = place[(c, *v)]
+        low, n = got[f"a{j}"], got[f"n{j}"]
+        if r < below + low:
+            done[(c, r)] = (lo, lo, below, low)
+        elif r >= below + low + n:
+            done[(c, r)] = (hi, hi, below + low + n, inside - low - n)
+        else:
+            share = (r - below - low) / max(n - 1, 1) * buckets
+            k = max(math.floor(share - 1), 0), min(math.ceil(share + 1), buckets)
+            ends = (got[f"lo{j}"] if k[0] == 0 else got[f"s{j}"][k[0]], got[f"hi{j}"] if k[1] == buckets else got[f"s{j}"][k[1]])
+            wanted[(c, r)] = ends
+            base[(c, r)], whole[(c, r)] = (below + low, n), (got[f"lo{j}"], got[f"hi{j}"])
+    counted = _counted(data, ix, wanted, {c: (-1, -1) for c, _ in wanted}, {c: (None, None) for c, _ in wanted})
+    done |= {k: v if v[2] >= 0 else (*whole[k], *base[k]) for k, v in counted.items()}
+    return done
+
+
+def _values_at(data: DataFrame, ix: dict, state: dict) -> dict:
+    """The value at each rank of ranges with few values."""
+    if not state:
+        return {}
+    brackets = sorted({(c, v[0], v[1]) for (c, _), v in state.items()}, key=str)
+    index = {b: j for j, b in enumerate(brackets)}
+    keys = list(state)
+    conds = [_sql_in_bracket(f"x{ix[c]}", lo, hi) for c, lo, hi in brackets]
+    tags = ", ".join(f"CASE WHEN {cond} THEN named_struct('j', {j}, 'v', x{ix[c]}) END"
+                     for j, ((c, _, _), cond) in enumerate(zip(brackets, conds)))
+    tagged = (data.filter(" OR ".join(f"({cond})" for cond in conds))
+              .selectExpr(f"explode(array({tags})) AS e").filter("e IS NOT NULL"))
+    per_value = tagged.groupBy("e.j", "e.v").agg(F.count(F.lit(1)).alias("k"))
+    targets = data.sparkSession.createDataFrame(
+        [(t, index[(c, *state[(c, r)][:2])], r - state[(c, r)][2]) for t, (c, r) in enumerate(keys)],
+        "t int, j int, off bigint")
+    running = Window.partitionBy("j").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = (per_value.withColumn("cum", F.sum("k").over(running)).join(targets, "j")
+             .filter((F.col("cum") - F.col("k") <= F.col("off")) & (F.col("off") < F.col("cum")))
+             .select("t", "v").collect())
+    return {keys[row["t"]]: row["v"] for row in found}
+
+
 def _dlit(v) -> str:
     """A double as SQL literal text."""
     v = float(v)
@@ -274,15 +302,6 @@ def _sql_in_bracket(x: str, lo, hi) -> str:
     return cond
 
 
-def _in_bracket(x: Column, lo, hi) -> Column:
-    cond = x.isNotNull()
-    if lo is not None:
-        cond = cond & (x >= F.lit(lo))
-    if hi is not None:
-        cond = cond & (x <= F.lit(hi))
-    return cond
-
-
 def quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float],
               bound: int = EXACT_QUANTILE_BOUND, approx: bool = False,
               materialize: bool = False) -> DataFrame:
@@ -373,97 +392,113 @@ def describe_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 
 SAMPLE_ALL_UP_TO = 50
 SAMPLE_TRUNCATED = 20  # the channel notebook shows 10: pass truncated=10
-
-
-def _typed_keys(df: DataFrame, c: str) -> tuple[Column, Column]:
-    t = df.schema[c].dataType
-    if isinstance(t, T.NumericType):
-        return F.col(c).cast("double"), F.lit(None).cast("string")
-    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-        return F.lit(None).cast("double"), F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss")
-    return F.lit(None).cast("double"), F.col(c).cast("string")
-
-
-def _long_typed(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Unpivot to ``(pos, column, value_num, value_text)``: numeric values in
-    ``value_num``, everything else as text (timestamps formatted)."""
-    return df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column"), num.alias("value_num"), txt.alias("value_text"))
-        for i, (c, num, txt) in enumerate((c, *_typed_keys(df, c)) for c in cols)])).alias("p")).select("p.*")
+SAMPLE_PROBE = 10_000  # rows that bound the sample from above before its distinct values are shuffled
+
+
+def _shown(c: str, kind: T.DataType) -> tuple[str, str]:
+    """A raw value as ``(number, text)`` SQL for display: numbers as double,
+    timestamps with their microseconds, the rest as text."""
+    if isinstance(kind, T.NumericType):
+        return f"CAST({c} AS DOUBLE)", "CAST(NULL AS STRING)"
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return "CAST(NULL AS DOUBLE)", f"date_format({c}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
+    return "CAST(NULL AS DOUBLE)", f"CAST({c} AS STRING)"
+
+
+def _raw(df: DataFrame, c: str) -> Column:
+    """A column's value with NaN as NULL; types without an order as text."""
+    kind = df.schema[c].dataType
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`"))
+    if isinstance(kind, (T.MapType, T.VariantType)):
+        return F.col(f"`{c}`").cast("string")
+    return F.col(f"`{c}`")
+
+
+def _by_type(df: DataFrame, cols: Sequence[str]) -> list[tuple[T.DataType, DataFrame]]:
+    """The table unpivoted to ``(pos, value)``, once for each type of its
+    columns, so values keep their type; missing values left out."""
+    raw = df.select(*[_raw(df, c).alias(f"v{i}") for i, c in enumerate(cols)])
+    groups: dict[str, list[int]] = {}
+    for i in range(len(cols)):
+        groups.setdefault(raw.schema[i].dataType.simpleString(), []).append(i)
+    return [(raw.schema[own[0]].dataType, raw.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("pos"), F.col(f"v{i}").alias("value")) for i in own])).alias("p")).select("p.*")
+        .filter(F.col("value").isNotNull())) for own in groups.values()]
+
+
+def _profile_rows(df: DataFrame, cols: list[str], unique) -> DataFrame:
+    """Rows, NULLs, min and max of every column from one wide aggregate."""
+    raw = df.select(*[_raw(df, c).alias(f"v{i}") for i, c in enumerate(cols)])
+    agg = raw.agg(F.count(F.lit(1)).alias("rows"), *[e for i in range(len(cols)) for e in (
+        F.count(f"v{i}").alias(f"n{i}"), F.min(f"v{i}").alias(f"a{i}"), F.max(f"v{i}").alias(f"b{i}"),
+        *([unique(f"v{i}").alias(f"u{i}")] if unique else []))])
+    long = agg.select("rows", F.explode(F.array(*[F.struct(
+        F.lit(i).alias("pos"), F.lit(c).alias("column"), F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
+        F.col(f"n{i}").alias("non_null"), *([F.col(f"u{i}").alias("n_unique")] if unique else []),
+        *[F.expr(x).alias(f"{f}_{t}") for f, v in (("min", f"a{i}"), ("max", f"b{i}"))
+          for t, x in zip(("num", "text"), _shown(v, raw.schema[i].dataType))])
+        for i, c in enumerate(cols)])).alias("p")).select("rows", "p.*")
+    return long
 
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None,
-                   truncated: int = SAMPLE_TRUNCATED, approx: bool = False) -> DataFrame:
+                   truncated: int = SAMPLE_TRUNCATED, approx: bool = False, all_up_to: int = SAMPLE_ALL_UP_TO) -> DataFrame:
     """Column profile (A-07 distinct count, A-08 min/max, A-14 sample sizes).
 
-    Per column: rows, nulls, distinct count, min and max (numeric in
-    ``min_num``/``max_num``, others as text), and how many sorted distinct
-    values the sample shows (all up to 50, else 20) and how many remain.
+    Per column: rows, nulls (NaN counts), distinct count, min and max (numeric
+    in ``min_num``/``max_num``, others as text), and how many sorted distinct
+    values the sample shows and how many remain. The reference prints all
+    values of a column with up to 50, else the first 20: ``all_up_to`` and
+    ``truncated``.
 
-    Long form: the table is unpivoted once, distinct ``(column, value)``
-    pairs are counted by one distributed aggregate, and a second small
-    aggregate per column follows; no per-column job, no driver loop."""
+    Counts, min and max are one wide aggregate without a shuffle of values;
+    only the exact distinct count groups values, raw and by type. With
+    ``approx`` it is a HyperLogLog sketch (about 1 % relative error) in the
+    wide aggregate too."""
     cols = list(columns) if columns else df.columns
-    dtypes = {c: df.schema[c].dataType.simpleString() for c in cols}
-    if approx:
-        return _column_profile_approx(df, cols, truncated)
-    per_value = _long_typed(df, cols).groupBy("pos", "column", "value_num", "value_text") \
-        .agg(F.count(F.lit(1)).alias("n"))
-    missing = F.col("value_num").isNull() & F.col("value_text").isNull()
-    prof = per_value.groupBy("pos", "column").agg(
-        F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).cast("bigint").alias("nulls"),
-        F.count(F.when(~missing, F.lit(1))).alias("n_unique"),
-        F.min("value_num").alias("min_num"), F.max("value_num").alias("max_num"),
-        F.min("value_text").alias("min_text"), F.max("value_text").alias("max_text"))
-    shown = F.when(F.col("n_unique") <= SAMPLE_ALL_UP_TO, F.col("n_unique")) \
-             .otherwise(F.lit(truncated).cast("bigint"))
-    dtype = F.element_at(F.create_map(*[F.lit(x) for kv in dtypes.items() for x in kv]), F.col("column"))
-    return prof.select("pos", "column", dtype.alias("dtype"), F.col("rows").cast("bigint").alias("rows"), "nulls",
-                       "n_unique", "min_num", "max_num", "min_text", "max_text",
-                       shown.alias("n_shown"), (F.col("n_unique") - shown).alias("n_more"))
-
-
-def _column_profile_approx(df: DataFrame, cols: Sequence[str], truncated: int) -> DataFrame:
-    """One wide aggregate, no distinct shuffle: distinct counts from
-    HyperLogLog sketches (about 1% relative error)."""
-    keyed = [(c, *_typed_keys(df, c)) for c in cols]
-    agg = df.agg(F.count(F.lit(1)).alias("__rows"), *[e for i, (c, num, txt) in enumerate(keyed) for e in (
-        F.count(c).alias(f"n{i}"), F.approx_count_distinct(c, rsd=0.01).alias(f"u{i}"),
-        F.min(num).alias(f"a{i}"), F.max(num).alias(f"b{i}"), F.min(txt).alias(f"x{i}"), F.max(txt).alias(f"y{i}"))])
-    long = agg.select("__rows", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column"),
-                 F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
-                 F.col(f"n{i}").alias("non_null"), F.col(f"u{i}").alias("n_unique"),
-                 F.col(f"a{i}").alias("min_num"), F.col(f"b{i}").alias("max_num"),
-                 F.col(f"x{i}").alias("min_text"), F.col(f"y{i}").alias("max_text"))
-        for i, (c, _, _) in enumerate(keyed)])).alias("p"))
-    shown = F.when(F.col("p.n_unique") <= SAMPLE_ALL_UP_TO, F.col("p.n_unique")) \
-             .otherwise(F.lit(truncated).cast("bigint"))
-    return long.select("p.pos", "p.column", "p.dtype", F.col("__rows").alias("rows"),
-                       (F.col("__rows") - F.col("p.non_null")).alias("nulls"), "p.n_unique",
-                       "p.min_num", "p.max_num", "p.min_text", "p.max_text",
-                       shown.alias("n_shown"), (F.col("p.n_unique") - shown).alias("n_more"))
+    rows = _profile_rows(df, cols, (lambda v: F.approx_count_distinct(v, rsd=0.01)) if approx else None)
+    if not approx:
+        parts = [values.groupBy("pos", "value").agg(F.lit(1).alias("one")).groupBy("pos").agg(F.count("*").alias("n_unique"))
+                 for _, values in _by_type(df, cols)]
+        counts = parts[0]
+        for part in parts[1:]:
+            counts = counts.unionByName(part)
+        rows = rows.join(counts, "pos", "left").withColumn("n_unique", F.coalesce("n_unique", F.lit(0)))
+    shown = F.when(F.col("n_unique") <= all_up_to, F.col("n_unique")).otherwise(F.lit(truncated).cast("bigint"))
+    return rows.select("pos", "column", "dtype", "rows", (F.col("rows") - F.col("non_null")).alias("nulls"), "n_unique",
+                       "min_num", "max_num", "min_text", "max_text", shown.alias("n_shown"), (F.col("n_unique") - shown).alias("n_more"))
 
 
 def column_samples(df: DataFrame, columns: Sequence[str] | None = None,
-                   truncated: int = SAMPLE_TRUNCATED) -> DataFrame:
+                   truncated: int = SAMPLE_TRUNCATED, all_up_to: int = SAMPLE_ALL_UP_TO) -> DataFrame:
     """The sorted distinct sample of each column, long form
-    ``(column, rank, value_num, value_text)``: all distinct values up to 50,
-    else the first 20. A partial per-partition limit runs before the shuffle
-    by column, so no column's distinct values meet in one task."""
+    ``(column, rank, value_num, value_text)``: all distinct values up to
+    ``all_up_to`` (50), else the first ``truncated`` (20), the reference's rule.
+
+    The first ``all_up_to + 1`` distinct values of any rows bound the wanted
+    ones from above, so a probe of some rows keeps nearly all larger values
+    out of the shuffle; the result does not depend on which rows it saw."""
     cols = list(columns) if columns else df.columns
-    parts = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), num.alias("value_num"), txt.alias("value_text"))
-        for c, num, txt in [(c, *_typed_keys(df, c)) for c in cols]])).alias("p")).select("p.*")
-    distinct = parts.filter(F.col("value_num").isNotNull() | F.col("value_text").isNotNull()).distinct()
-    w = Window.partitionBy("column").orderBy(F.col("value_num").asc_nulls_last(),
-                                             F.col("value_text").asc_nulls_last())
-    ranked = distinct.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= SAMPLE_ALL_UP_TO + 1)
-    # at most 51 rows per column are left, already partitioned by column: no new exchange
-    ranked = ranked.withColumn("__k", F.max("rank").over(Window.partitionBy("column")))
-    keep = F.when(F.col("__k") <= SAMPLE_ALL_UP_TO, F.col("__k")).otherwise(F.lit(truncated))
-    return ranked.filter(F.col("rank") <= keep) \
-                 .select("column", F.col("rank").cast("bigint").alias("rank"), "value_num", "value_text")
+    names = F.array(*map(F.lit, cols))
+    order = Window.partitionBy("pos").orderBy("value")
+    parts = []
+    probes = dict(enumerate(_by_type(df.limit(SAMPLE_PROBE), cols)))
+    for k, (kind, values) in enumerate(_by_type(df, cols)):
+        bounds = (probes[k][1].distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") == all_up_to + 1)
+                  .select("pos", F.col("value").alias("most")))  # a row per column at most
+        kept = values.join(F.broadcast(bounds), "pos", "left").filter(F.col("most").isNull() | (F.col("value") <= F.col("most")))
+        ranked = kept.select("pos", "value").distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= all_up_to + 1)
+        # at most ``all_up_to + 1`` rows per column are left, already partitioned by column: no new exchange
+        ranked = ranked.withColumn("k", F.max("rank").over(Window.partitionBy("pos")))
+        number, text = _shown("value", kind)
+        parts.append(ranked.filter(F.col("rank") <= F.when(F.col("k") <= all_up_to, F.col("k")).otherwise(F.lit(truncated)))
+                     .select(F.get(names, F.col("pos")).alias("column"), F.col("rank").cast("bigint").alias("rank"),
+                             F.expr(number).alias("value_num"), F.expr(text).alias("value_text")))
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    return every
 
 
 # --- histogram and density (A-16..A-18) ---------------------------------------
@@ -477,8 +512,13 @@ def _num_sql(c: str) -> str:
     return f"nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE))"
 
 
+def _finite(c: str) -> Column:
+    x = _num(c)
+    return F.when(F.abs(x) < float("inf"), x)
+
+
 def _min_max_count(df: DataFrame, column: str):
-    x = _num(column)
+    x = _finite(column)
     row = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"),
                  F.stddev_samp(x).alias("sd")).first()
     return row["lo"], row["hi"], row["n"], row["sd"]
@@ -487,11 +527,11 @@ def _min_max_count(df: DataFrame, column: str):
 def histogram(df: DataFrame, column: str, bins: int | None = None) -> DataFrame:
     """Equal-width histogram over ``[min, max]``; the last bin is closed on
     both sides, empty bins are listed with 0, and when all values are equal
-    everything falls in bin 1. Result ``(bin, lower, upper, count)``.
+    everything falls in bin 1. Infinite values have no bin. Result ``(bin, lower, upper, count)``.
     ``bins=None`` uses the data-dependent rule of ``auto_bins`` (A-17),
     computed in the same aggregate as the range."""
     spark = df.sparkSession
-    x = _num(column)
+    x = _finite(column)
     row = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"),
                  *([] if bins else [(F.count_distinct(column) + F.max(F.col(column).isNull().cast("bigint")))
                                     .alias("k")])).first()
@@ -503,7 +543,6 @@ def histogram(df: DataFrame, column: str, bins: int | None = None) -> DataFrame:
         return domain.select("bin", F.lit(None).cast("double").alias("lower"),
                              F.lit(None).cast("double").alias("upper"), F.lit(0).cast("bigint").alias("count"))
     width = (hi - lo) / bins
-    x = _num(column)
     if width > 0:
         bucket = F.least(F.floor((x - F.lit(lo)) / F.lit(width)).cast("bigint") + 1, F.lit(bins).cast("bigint"))
     else:
@@ -526,10 +565,11 @@ def density(df: DataFrame, column: str, gridsize: int = 200, cut: float = 3.0) -
     """Gaussian kernel density on an evenly spaced grid, Scott bandwidth
     ``std * n^(-1/5)``, grid from ``min - cut*bw`` to ``max + cut*bw`` (A-18).
 
-    Exact: each row contributes to every grid point; the contributions are
-    generated in the row's own task (explode over the grid index) and summed
-    by a partial aggregate with ``gridsize`` groups, so each task ships
-    ``gridsize`` partial sums and no row pair is ever formed.
+    Exact: equal values are counted first, then each distinct value contributes
+    to every grid point in its own task (explode over the grid index) and the
+    contributions are summed by a partial aggregate with ``gridsize`` groups,
+    so each task ships ``gridsize`` partial sums and no row pair is ever
+    formed. Infinite values are left out.
     """
     spark = df.sparkSession
     lo, hi, n, sd = _min_max_count(df, column)
@@ -539,11 +579,10 @@ def density(df: DataFrame, column: str, gridsize: int = 200, cut: float = 3.0) -
     start, stop = lo - cut * bw, hi + cut * bw
     step = (stop - start) / (gridsize - 1)
     norm = 1.0 / (n * bw * math.sqrt(2.0 * math.pi))
-    x = _num(column)
-    pts = df.filter(x.isNotNull()).select(
-        x.alias("__x"), F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("point"))
+    counts = df.select(_finite(column).alias("__x")).filter("__x IS NOT NULL").groupBy("__x").agg(F.count("*").alias("__n"))
+    pts = counts.select("__x", "__n", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("point"))
     gx = F.lit(start) + F.col("point").cast("double") * F.lit(step)
-    contrib = pts.select("point", F.exp(F.lit(-0.5) * F.pow((gx - F.col("__x")) / F.lit(bw), 2)).alias("k"))
+    contrib = pts.select("point", (F.exp(F.lit(-0.5) * F.pow((gx - F.col("__x")) / F.lit(bw), 2)) * F.col("__n")).alias("k"))
     sums = contrib.groupBy("point").agg(F.sum("k").alias("s"))
     return sums.select(F.col("point").cast("bigint").alias("point"),
                        (F.lit(start) + F.col("point").cast("double") * F.lit(step)).alias("x"),

@@ -136,7 +136,8 @@ def pending_keys(candidates: DataFrame, done: DataFrame, key: str,
     NULL keys in ``done`` never exclude anything, as a set difference would.
     """
     done_key = done_key or key
-    finished = done.select(F.col(done_key).alias("__done")).filter(F.col("__done").isNotNull())
+    # distinct combines map-side, so one key with very many rows does not meet in a task
+    finished = done.select(F.col(done_key).alias("__done")).filter(F.col("__done").isNotNull()).distinct()
     return candidates.join(finished, candidates[key] == finished["__done"], "left_anti")
 
 

@@ -58,15 +58,16 @@ def coercion_report(raw: DataFrame, date_format: str | None = None,
 
 
 def normalize_counts(df: DataFrame, sentinel_columns=("subscriber_count",)) -> DataFrame:
-    """E-12 / numeric part of E-03: coerce to number, -1 -> NULL on the
-    hidden-able counter (N-06), NULL -> 0 (N-04), truncate to bigint (C-02)."""
+    """E-12 / numeric part of E-03: coerce to bigint, truncating (C-02), -1 ->
+    NULL on the hidden-able counter (N-06), NULL -> 0 (N-04)."""
     out = {}
     for c in CHANNEL_COUNTS:
         if c not in df.columns:
             continue
-        v = F.col(c).try_cast("double") if c not in sentinel_columns else \
-            sentinel_to_null(F.col(c).try_cast("double"), -1.0)
-        out[c] = fill(coerce_long(v), 0, "bigint")
+        v = coerce_long(c)
+        if c in sentinel_columns:
+            v = sentinel_to_null(v, -1)
+        out[c] = fill(v, 0, "bigint")
     return df.withColumns(out) if out else df
 
 

@@ -114,16 +114,22 @@ def top_video_likes(videos: DataFrame, video_stats: DataFrame, n: int = TOP_VIDE
 
 
 def assemble_lookup(names: DataFrame, search: DataFrame, stats: DataFrame, videos: DataFrame,
-                    video_stats: DataFrame) -> DataFrame:
+                    video_stats: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """One result row per artist (E-07) with the reference's NULL rules:
     no channel -> every field NULL; channel without statistics -> id kept,
-    the five other fields NULL; otherwise all seven fields."""
-    found = two_tier_lookup(names, search).select("artist_query", "channel_id")
-    # only the channels found for these artists matter: a semi join before the
-    # per-channel window keeps an incremental batch from ranking every video
-    wanted = found.select("channel_id").filter(F.col("channel_id").isNotNull()).distinct()
-    rec = channel_record(stats.join(wanted, "channel_id", "left_semi"))
-    likes = top_video_likes(videos.join(wanted, "channel_id", "left_semi"), video_stats)
+    the five other fields NULL; otherwise all seven fields.
+
+    A full run joins statistics and top videos directly. An incremental
+    batch passes ``found`` (the two-tier result, stored once): only its
+    channels' statistics and videos are then reduced."""
+    if found is None:
+        found = two_tier_lookup(names, search).select("artist_query", "channel_id")
+    else:
+        wanted = found.select("channel_id").filter(F.col("channel_id").isNotNull()).distinct()
+        stats = stats.join(wanted, "channel_id", "left_semi")
+        videos = videos.join(wanted, "channel_id", "left_semi")
+    rec = channel_record(stats)
+    likes = top_video_likes(videos, video_stats)
     out = (found.join(rec, "channel_id", "left")
                 .join(likes, "channel_id", "left"))
     has_stats = F.col("channel_title_verified").isNotNull() | F.col("subscriber_count").isNotNull()
@@ -134,36 +140,34 @@ def assemble_lookup(names: DataFrame, search: DataFrame, stats: DataFrame, video
          .alias("total_top10_video_likes"))
 
 
-def tag_failures(results: DataFrame, status: DataFrame) -> DataFrame:
+def one_status(status: DataFrame, batch_id: int | None = None) -> DataFrame:
+    """One landed outcome per artist (of ``batch_id``, where given): a
+    replayed row counts once, a failure wins over 'ok', then the greatest
+    (status, detail, step)."""
+    if batch_id is not None:
+        status = status.filter(F.col("batch_id") == batch_id)
+    step = F.col("step") if "step" in status.columns else F.lit("search")
+    worst = F.max(F.struct((F.coalesce("status", F.lit("ok")) != "ok").alias("failed"), "status", "detail", step.alias("step")))
+    return (status.filter(F.col("artist_query").isNotNull()).groupBy("artist_query").agg(worst.alias("__s"))
+            .select("artist_query", "__s.status", "__s.detail", "__s.step"))
+
+
+def tag_failures(results: DataFrame, status: DataFrame, batch_id: int | None = None) -> DataFrame:
     """Apply landed call outcomes (E-08): a failed lookup keeps its row.
     ``step`` (optional column: search / stats / videos) says which call
     failed; fields filled before it are kept, the error text goes to
     ``channel_id_found`` only when the search itself failed, and the rest
-    is NULL. After the
-    first quota failure (in artist order) nothing else of that batch is
-    recorded, as the reference stops its loop there. Artists cut off stay
-    pending for the next batch."""
-    step = F.col("step") if "step" in status.columns else F.lit("search")
-    st = status.select("artist_query", "status", "detail", step.alias("step"))
-    joined = results.join(st, "artist_query", "left")
+    is NULL. Every artist keeps its own outcome; one artist's quota failure
+    does not touch the others."""
+    joined = results.join(one_status(status, batch_id), "artist_query", "left")
     failed = F.coalesce(F.col("status"), F.lit("ok")) != "ok"
     at = F.coalesce(F.col("step"), F.lit("search"))
     # fields filled before the failing call are kept (the reference's setdefault)
     lost_id = failed & (at == "search")
     lost_stats = failed & at.isin("search", "stats")
     stats_cols = ["channel_title_verified", "subscriber_count", "view_count", "video_count"]
-    out = joined.select(
+    return joined.select(
         "artist_query",
         F.when(lost_id, error_tag("status", "detail")).otherwise(F.col("channel_id_found")).alias("channel_id_found"),
         *[F.when(lost_stats, F.lit(None)).otherwise(F.col(c)).alias(c) for c in stats_cols],
         F.when(failed, F.lit(None)).otherwise(F.col("total_top10_video_likes")).alias("total_top10_video_likes"))
-    first_quota = quota_cut(status)
-    if first_quota is not None:
-        out = out.filter(F.col("artist_query") <= F.lit(first_quota))
-    return out
-
-
-def quota_cut(status: DataFrame) -> str | None:
-    """The first artist (in artist order) whose lookup hit the quota, or
-    None; a plan-build scalar from one small aggregate."""
-    return status.filter(F.col("status") == "quota").agg(F.min("artist_query").alias("m")).first()["m"]

@@ -60,7 +60,7 @@ def read_clean_channels(spark: SparkSession, source: Source) -> DataFrame:
     """Channel statistics (lookup results or their checkpoint) cleaned (E-03)."""
     raw = source.read(spark)
     raw = raw.select(*[(F.col(f.name) if f.name in raw.columns else F.lit(None)).try_cast(
-        "string" if f.name == "subscriber_count" else f.dataType).alias(f.name) for f in CHANNELS_RAW.fields])
+        "string").alias(f.name) for f in CHANNELS_RAW.fields])  # counts as text: a double would lose digits
     return conform(clean_channels(raw), CHANNELS)
 
 

@@ -112,12 +112,13 @@ def order_raw_awards(spark, sf_dir) -> DataFrame:
 
 
 def supplier_raw_channels(spark, sf_dir) -> DataFrame:
-    """Raw channel statistics from suppliers: counts as text with junk and the
-    hidden sentinel -1, NULL counts, padded and missing text."""
+    """Raw channel statistics from suppliers: counts as text with junk, values
+    above 2^53 and the hidden sentinel -1, NULL counts, padded and missing text."""
     s = table(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
     subs = (F.when(k % 9 == 0, F.lit("x")).when(k % 9 == 1, F.lit("-1"))
             .when(k % 9 == 2, F.lit(None).cast("string"))
+            .when(k % 9 == 3, _s(F.lit(2**53 + 1).cast("bigint") + 2 * k))
             .otherwise(F.concat(_s(k * 100), F.lit(".0"))))
     return s.select(
         F.when(k % 10 == 0, F.concat(F.lit(IDEOGRAPHIC_SPACE), F.col("s_name")))
@@ -161,7 +162,8 @@ def customer_channel_search(spark, sf_dir) -> DataFrame:
 def user_channel_stats(spark, sf_dir) -> DataFrame:
     """Channel statistics responses per user channel; users with
     ``user_id % 6 = 5`` have none; ``user_id % 5 = 0`` hide subscribers;
-    ``user_id % 8 = 1`` answer junk text for the view count."""
+    ``user_id % 8 = 1`` answer junk text for the view count and
+    ``user_id % 8 = 3`` one above 2^53."""
     ev = table(spark, sf_dir, "events").filter(F.col("user_id") % 6 != 5)
     agg = ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("v"),
                                     F.count_distinct("event_type").alias("t"))
@@ -169,7 +171,8 @@ def user_channel_stats(spark, sf_dir) -> DataFrame:
     return agg.select(
         F.concat(F.lit("UC"), _s(u)).alias("channel_id"), F.concat(F.lit("Channel "), _s(u)).alias("title"),
         _s("n").alias("subscriberCount"),
-        F.when(u % 8 == 1, F.lit("n/a")).otherwise(_s("v")).alias("viewCount"),
+        F.when(u % 8 == 1, F.lit("n/a")).when(u % 8 == 3, _s(F.col("v") + F.lit(2**53 + 1)))
+         .otherwise(_s("v")).alias("viewCount"),
         _s("t").alias("videoCount"), (u % 5 == 0).alias("hiddenSubscriberCount"))
 
 
@@ -193,15 +196,18 @@ def event_video_stats(spark, sf_dir) -> DataFrame:
 
 
 def customer_lookup_status(spark, sf_dir) -> DataFrame:
-    """Outcome of each lookup call: quota / http / other failures planted."""
+    """Outcome of each lookup call: quota / http / other failures planted.
+    Two thirds land in batch 1, the rest (``c_custkey % 3 = 0``) in batch 2;
+    every tenth row lands twice."""
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     status = (F.when(k % 97 == 5, F.lit("quota")).when(k % 23 == 1, F.lit("http"))
               .when(k % 23 == 2, F.lit("other")).otherwise(F.lit("ok")))
     detail = (F.when(k % 97 == 5, F.lit("quotaExceeded")).when(k % 23 == 1, F.lit("403"))
               .when(k % 23 == 2, F.lit("TimeoutError")).otherwise(F.lit(None).cast("string")))
-    return c.select(F.col("c_name").alias("artist_query"), F.lit(1).cast("bigint").alias("batch_id"),
-                    status.alias("status"), detail.alias("detail"))
+    rows = c.select(F.col("c_name").alias("artist_query"), F.when(k % 3 == 0, 2).otherwise(1).cast("bigint").alias("batch_id"),
+                    status.alias("status"), detail.alias("detail"), (k % 10 == 0).alias("again"))
+    return rows.unionByName(rows.filter("again")).drop("again")
 
 
 def search_table_from_parts(spark, sf_dir) -> DataFrame:

@@ -391,16 +391,16 @@ def csv_roundtrip(spark, sf):
 
 
 def incremental_lookup(spark, sf):
-    """E-09 over two batches: batch 1 records artists up to the first quota
-    failure (failures tagged), batch 2 picks up every artist still pending;
-    the result is the checkpoint's latest row per artist, normalised."""
+    """E-09 over two batches: batch 1 takes the artists whose answers landed
+    for it (failures tagged), the others stay pending and land in batch 2; the
+    result is the checkpoint's latest row per artist, normalised."""
     from trackmart.streaming.incremental import LandedResponses, checkpoint_log, run_batch
     log = checkpoint_log(spark, _shared_dir(spark, "lookup_checkpoint"))
     landed = LandedResponses(I.customer_channel_search(spark, sf), I.user_channel_stats(spark, sf),
                              I.event_videos(spark, sf), I.event_video_stats(spark, sf))
-    universe = I.customer_artists(spark, sf)
-    run_batch(universe, log, landed, 1, status=I.customer_lookup_status(spark, sf))
-    return run_batch(universe, log, landed, 2)
+    universe, status = I.customer_artists(spark, sf), I.customer_lookup_status(spark, sf)
+    run_batch(universe, log, landed, 1, status)
+    return run_batch(universe, log, landed, 2, status)
 
 
 def table_shape(spark, sf):

@@ -123,6 +123,7 @@ raw AS (
          CASE WHEN s_suppkey % 8 = 0 THEN NULL ELSE chr(9) || 'Title ' || CAST(s_nationkey AS VARCHAR) END
            AS channel_title_verified,
          CASE WHEN s_suppkey % 9 = 0 THEN 'x' WHEN s_suppkey % 9 = 1 THEN '-1' WHEN s_suppkey % 9 = 2 THEN NULL
+              WHEN s_suppkey % 9 = 3 THEN CAST(9007199254740993 + 2 * s_suppkey AS VARCHAR)
               ELSE CAST(s_suppkey * 100 AS VARCHAR) || '.0' END AS subscriber_count,
          CASE WHEN s_suppkey % 6 = 0 THEN NULL ELSE s_acctbal END AS view_count,
          CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE CAST(s_nationkey AS DOUBLE) END AS video_count,
@@ -139,7 +140,8 @@ CLEAN_CHANNELS_SELECT = f"""
 SELECT {_trim("coalesce(artist_query, '')")} AS artist_query,
        {_trim("coalesce(channel_id_found, '')")} AS channel_id_found,
        {_trim("coalesce(channel_title_verified, '')")} AS channel_title_verified,
-       {_long0("nullif(try_cast(subscriber_count AS DOUBLE), -1.0)")} AS subscriber_count,
+       coalesce(nullif(CASE WHEN regexp_full_match(subscriber_count, '-?[0-9]+') THEN CAST(subscriber_count AS BIGINT)
+                            ELSE CAST(trunc(try_cast(subscriber_count AS DOUBLE)) AS BIGINT) END, -1), 0) AS subscriber_count,
        {_long0("view_count")} AS view_count, {_long0("video_count")} AS video_count,
        {_long0("total_top10_video_likes")} AS total_top10_video_likes
 FROM raw"""
@@ -161,7 +163,8 @@ search AS (
 stats AS (
   SELECT 'UC' || CAST(user_id AS VARCHAR) AS channel_id, 'Channel ' || CAST(user_id AS VARCHAR) AS title,
          CAST(count(*) AS VARCHAR) AS subscriberCount,
-         CASE WHEN user_id % 8 = 1 THEN 'n/a' ELSE CAST(sum(event_id) AS VARCHAR) END AS viewCount,
+         CASE WHEN user_id % 8 = 1 THEN 'n/a' WHEN user_id % 8 = 3 THEN CAST(sum(event_id) + 9007199254740993 AS VARCHAR)
+              ELSE CAST(sum(event_id) AS VARCHAR) END AS viewCount,
          CAST(count(DISTINCT event_type) AS VARCHAR) AS videoCount, user_id % 5 = 0 AS hidden
   FROM events WHERE user_id % 6 <> 5 GROUP BY user_id),
 videos AS (
@@ -192,7 +195,7 @@ assembled AS (
          CASE WHEN s.channel_id IS NULL THEN NULL WHEN s.hidden THEN CAST(-1 AS BIGINT)
               ELSE coalesce(CAST(trunc(try_cast(s.subscriberCount AS DOUBLE)) AS BIGINT), 0) END AS subscriber_count,
          CASE WHEN s.channel_id IS NULL THEN NULL
-              ELSE coalesce(CAST(trunc(try_cast(s.viewCount AS DOUBLE)) AS BIGINT), 0) END AS view_count,
+              ELSE coalesce(try_cast(s.viewCount AS BIGINT), 0) END AS view_count,
          CASE WHEN s.channel_id IS NULL THEN NULL
               ELSE coalesce(CAST(trunc(try_cast(s.videoCount AS DOUBLE)) AS BIGINT), 0) END AS video_count,
          CASE WHEN s.channel_id IS NULL THEN NULL ELSE coalesce(l.total_top10_video_likes, 0) END
@@ -239,7 +242,7 @@ def _order_typed(c: str) -> tuple[str, str]:
     if c in ORDER_NUM:
         return f"CAST({c} AS DOUBLE)", "CAST(NULL AS VARCHAR)"
     if c == "o_orderdate":
-        return "CAST(NULL AS DOUBLE)", f"strftime({c}, '%Y-%m-%d %H:%M:%S')"
+        return "CAST(NULL AS DOUBLE)", f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f')"
     return "CAST(NULL AS DOUBLE)", f"CAST({c} AS VARCHAR)"
 
 
@@ -456,7 +459,6 @@ FROM (SELECT user_id, CASE WHEN event_id % 11 = 0 THEN 'n/a' WHEN event_id % 11
 GROUP BY user_id""",
     "assemble_lookup": f"WITH {LANDED.strip()}\nSELECT * FROM assembled",
     "tag_errors": f"""WITH {LANDED.strip()},{STATUS},
-cut AS (SELECT min(artist_query) AS m FROM status WHERE status = 'quota'),
 tagged AS (
   SELECT a.artist_query,
          CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.channel_id_found
@@ -469,7 +471,7 @@ tagged AS (
          CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.video_count END AS video_count,
          CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.total_top10_video_likes END AS total_top10_video_likes
   FROM assembled a LEFT JOIN status s ON a.artist_query = s.artist_query)
-SELECT tagged.* FROM tagged, cut WHERE cut.m IS NULL OR tagged.artist_query <= cut.m""",
+SELECT * FROM tagged""",
     "upsert_latest": """
 WITH b AS (
   SELECT user_id, event_type, event_id, ts, value,
@@ -563,7 +565,6 @@ UNION ALL SELECT 'dtype', 'total_top10_video_likes', 'bigint'""",
 UNION ALL
 (SELECT o_orderkey, o_custkey, o_totalprice, 'tail' AS position FROM orders ORDER BY o_orderkey DESC LIMIT 5)""",
     "incremental_lookup": f"""WITH {LANDED.strip()},{STATUS},
-cut AS (SELECT min(artist_query) AS m FROM status WHERE status = 'quota'),
 tagged AS (
   SELECT a.artist_query,
          CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.channel_id_found
@@ -575,10 +576,8 @@ tagged AS (
          CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.view_count END AS view_count,
          CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.video_count END AS video_count,
          CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.total_top10_video_likes END AS total_top10_video_likes
-  FROM assembled a LEFT JOIN status s ON a.artist_query = s.artist_query),
-b1 AS (SELECT tagged.* FROM tagged, cut WHERE cut.m IS NULL OR tagged.artist_query <= cut.m),
-b2 AS (SELECT * FROM assembled WHERE artist_query NOT IN (SELECT artist_query FROM b1)),
-u AS (SELECT * FROM b1 UNION ALL SELECT * FROM b2)
+  FROM assembled a JOIN status s ON a.artist_query = s.artist_query),
+u AS (SELECT * FROM tagged)
 SELECT artist_query, coalesce(channel_id_found, '') AS channel_id_found,
        coalesce(channel_title_verified, '') AS channel_title_verified,
        coalesce(nullif(subscriber_count, -1), 0) AS subscriber_count, coalesce(view_count, 0) AS view_count,

@@ -101,4 +101,5 @@ VIDEOS = _schema(("channel_id", S), ("video_id", S), ("category_id", S),
 VIDEO_STATS = _schema(("video_id", S), ("likeCount", S))
 LOOKUP_STATUS = _schema(("artist_query", S), ("batch_id", L), ("status", S), ("detail", S))
 LOOKUP_STATUS_STEP = _schema(("artist_query", S), ("batch_id", L), ("status", S), ("detail", S), ("step", S))
-CHECKPOINT = T.StructType(list(CHANNELS_RAW.fields) + [T.StructField("batch_id", L, True)])
+# counts are bigint in the checkpoint: a double would lose digits above 2^53
+CHECKPOINT = T.StructType(list(CHANNELS.fields) + [T.StructField("batch_id", L, True)])

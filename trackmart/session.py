@@ -82,3 +82,10 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     so a lost executor does not force recomputation of a long lineage."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

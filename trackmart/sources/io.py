@@ -8,7 +8,6 @@ target schema first, so the stored types never depend on inference.
 from __future__ import annotations
 
 import uuid
-import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -102,14 +101,22 @@ def literal_table(spark: SparkSession, rows: list, schema: T.StructType) -> Data
     return spark.createDataFrame(rows, schema)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in the file system its scheme names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType,
                   required: str | None = None) -> DataFrame:
-    """A stored table if it exists and has ``required``; else an empty table (SC-07)."""
-    try:
-        df = spark.read.parquet(path)
-        df.schema  # resolves the files now: a missing folder raises here
-    except Exception:  # missing or unreadable store: start from zero, as the reference does
+    """A stored table, or an empty one if nothing was stored yet (SC-07).
+
+    Only a missing path (or a table without ``required``, as the reference
+    starts over there) means empty; a store that is there and can't be read
+    raises, as history must not be dropped silently."""
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    df = spark.read.parquet(path)
     if required and required not in df.columns:
         return spark.createDataFrame([], schema)
     return df.select(*[(F.col(f.name).cast(f.dataType) if f.name in df.columns
@@ -129,24 +136,29 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 def write_table(df: DataFrame, target: str, schema: T.StructType | None = None, mode: str = "overwrite",
                 fmt: str = "parquet", allow_empty: bool = False, strict: bool = False,
                 partition_by: Iterable[str] | None = None, jdbc: dict | None = None,
-                empty_check: str = "before") -> DataFrame:
+                empty_check: str = "after") -> DataFrame:
     """Typed write plus the post-load row-count check (SK-01..SK-05, SK-07, SK-08).
 
     The number of rows written is observed during the write itself
     (``Observation``), so the data is not computed twice; the stored table is
     then counted from storage. Returns one row
     ``(target, rows_written, rows_stored, ok)``; ``strict`` raises on a
-    mismatch. An empty input raises ``EmptyInput`` unless ``allow_empty``:
-    with ``empty_check="before"`` nothing is written (a ``limit 1`` probe,
-    which for a plan ending in a shuffle computes that shuffle); with
-    ``"after"`` the observed count decides after the write, so an expensive
-    plan runs once.
+    mismatch; an append must add exactly the rows written to those that were
+    there before. An empty input raises ``EmptyInput`` unless ``allow_empty``:
+    by default the observed count decides after the write, so the plan runs
+    once; with ``empty_check="before"`` nothing is written (a ``limit 1``
+    probe, which for a plan ending in a shuffle computes that shuffle).
     """
     spark = df.sparkSession
     if schema is not None:
         df = conform(df, schema)
     if not allow_empty and empty_check == "before" and df.isEmpty():
         raise EmptyInput(f"nothing to write to {target}")
+    before = 0
+    if mode == "append":
+        if jdbc is not None:  # makes the table if there is none yet
+            df.limit(0).write.mode("append").format("jdbc").options(dbtable=target, **jdbc).save()
+        before = _stored_rows(spark, target, fmt, jdbc)
     obs = Observation(f"load_check_{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if jdbc is not None:
@@ -156,30 +168,36 @@ def write_table(df: DataFrame, target: str, schema: T.StructType | None = None,
         for k, v in props.items():
             w = w.option(k, v)
         w.save()
-        # the count is pushed to the database (SELECT COUNT(*)), rows are not read back
-        keep = {k: v for k, v in props.items() if k in ("driver", "user", "password")}
-        stored = read_jdbc(spark, url, table=target, properties={**keep, "pushDownAggregate": "true"})
     else:
         w = observed.write.mode(mode)
         if partition_by:
             w = w.partitionBy(*partition_by)
         if fmt == "table":
             w.saveAsTable(target)
-            stored = spark.table(target)
         else:
             w.format(fmt).save(target)
-            stored = spark.read.format(fmt).load(target)
     written = obs.get.get("rows", 0)
     if written == 0 and not allow_empty:
         raise EmptyInput(f"nothing was written to {target}")
-    rows_stored = stored.count()
-    ok = (rows_stored == written) if mode == "overwrite" else (rows_stored >= written)
+    rows_stored = _stored_rows(spark, target, fmt, jdbc)
+    ok = rows_stored == before + written
     if strict and not ok:
         raise RuntimeError(f"{target}: wrote {written} rows, found {rows_stored}")
     return spark.createDataFrame([(target, int(written), int(rows_stored), bool(ok))],
                                  "target string, rows_written bigint, rows_stored bigint, ok boolean")
 
 
+def _stored_rows(spark: SparkSession, target: str, fmt: str, jdbc: dict | None) -> int:
+    """Rows of a target now; 0 if there is none yet. A database counts them
+    itself (``SELECT COUNT(*)``), rows are not read back."""
+    if jdbc is not None:
+        keep = {k: v for k, v in jdbc.items() if k in ("driver", "user", "password")}
+        return read_jdbc(spark, jdbc["url"], table=target, properties={**keep, "pushDownAggregate": "true"}).count()
+    if fmt == "table":
+        return spark.table(target).count() if spark.catalog.tableExists(target) else 0
+    return spark.read.format(fmt).load(target).count() if path_exists(spark, target) else 0
+
+
 def create_database(spark: SparkSession, name: str) -> None:
     """Create the target database if absent (SK-09)."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
@@ -188,65 +206,31 @@ def create_database(spark: SparkSession, name: str) -> None:
 # --- batch log (checkpoint of finished lookups, SK-06) --------------------------------
 
 class BatchLog:
-    """A keyed table stored as one Parquet partition per batch.
+    """A keyed table stored as one Parquet folder per batch.
 
-    Writing batch N replaces only partition ``batch_id=N`` (dynamic partition
-    overwrite), so re-running a failed batch is idempotent and the partitions
-    other jobs read are never rewritten. Reading resolves the upsert: the
-    latest batch wins per key (D-06).
+    Writing batch N replaces only ``batch_id=N`` (an empty batch leaves it
+    empty), so re-running a failed batch is idempotent and the folders other
+    jobs read are never rewritten. Reading resolves the upsert: the latest
+    batch wins per key (D-06).
     """
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType, keys: list[str]):
         self.spark, self.root, self.schema, self.keys = spark, root.rstrip("/"), schema, keys
-
-    @property
-    def snapshots(self) -> str:
-        return f"{self.root}_snapshots"
-
-    def _snapshot(self):
-        """(id, rows) of the newest complete snapshot, or (None, None)."""
-        snaps = read_or_empty(self.spark, self.snapshots, T.StructType(
-            list(self.schema.fields) + [T.StructField("snapshot_id", T.LongType())]), required=self.keys[0])
-        if "snapshot_id" not in snaps.columns:
-            return None, None
-        # the partition folders name the snapshot ids: read from the file listing, no data scan
-        ids = [int(m) for m in re.findall(r"snapshot_id=(\d+)", " ".join(snaps.inputFiles()))]
-        if not ids:
-            return None, None
-        newest = max(ids)
-        return newest, snaps.filter(F.col("snapshot_id") == newest).drop("snapshot_id")
+        self._rows = T.StructType([f for f in schema.fields if f.name != "batch_id"])
 
     def read_all(self) -> DataFrame:
-        """Every stored row: the newest snapshot (as batch ``snapshot_id``)
-        plus the batches after it (older partitions are pruned)."""
-        rows = read_or_empty(self.spark, self.root, self.schema, required=self.keys[0])
-        sid, snap = self._snapshot()
-        if sid is None:
-            return rows
-        return snap.unionByName(rows.filter(F.col("batch_id") > sid))
+        """Every stored row; without a batch, none."""
+        if not path_exists(self.spark, self.root):
+            return self.spark.createDataFrame([], self.schema)
+        return conform(self.spark.read.schema(self.schema).parquet(self.root), self.schema)
 
     def read_latest(self) -> DataFrame:
         from trackmart.operators.relational import latest_per_key
         return latest_per_key(self.read_all(), self.keys, [F.col("batch_id").desc()])
 
-    def compact(self) -> int | None:
-        """Write the resolved state as a snapshot tagged with the newest batch
-        id; later reads skip every batch up to it. Idempotent (the snapshot
-        partition is overwritten)."""
-        latest = self.read_latest()
-        sid = latest.agg(F.max("batch_id")).first()[0]
-        if sid is None:
-            return None
-        (conform(latest, self.schema).withColumn("snapshot_id", F.lit(sid).cast("bigint"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("snapshot_id").parquet(self.snapshots))
-        return sid
-
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        rows = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        (conform(rows, self.schema).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(self.root))
+        conform(df, self._rows).write.mode("overwrite").parquet(f"{self.root}/batch_id={int(batch_id)}")
 
 
-__all__ = ["EmptyInput", "read_table", "read_csv", "read_jdbc", "read_or_empty", "conform",
+__all__ = ["EmptyInput", "read_table", "read_csv", "read_jdbc", "read_or_empty", "path_exists", "conform",
            "write_table", "create_database", "BatchLog", "literal_table"]

@@ -7,14 +7,16 @@ and rewrites the CSV. Here:
 * the checkpoint is a ``BatchLog`` (one Parquet partition per batch,
   latest batch wins per artist), so a re-run of a failed batch replaces only
   its own partition and nothing being read is overwritten;
-* pending artists are a left anti join, the lookups are joins against the
-  landed responses (``plans.enrich``), failures are tagged and the batch is
-  cut after the first quota failure, exactly as the reference's loop stops;
+* pending artists are a left anti join; of these a batch takes the ones whose
+  answers have landed (a status row of the batch, or without a status table a
+  search answer), the others stay pending for a later batch;
+* the lookups are joins against the landed responses (``plans.enrich``) and
+  failures are tagged per artist;
 * ``start_landed_stream`` drives the same batch from Structured Streaming:
   each micro-batch of newly landed lookup-status files becomes one batch,
   written with ``foreachBatch`` under the stream's own checkpoint, so a lost
   executor or driver resumes where it stopped (``availableNow`` trigger for
-  scheduled runs).
+  scheduled runs). The landed tables are read anew in every micro-batch.
 """
 
 from __future__ import annotations
@@ -24,10 +26,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trackmart.functions.columns import topic_query
 from trackmart.operators.relational import pending_keys
 from trackmart.plans.clean import normalize_counts
-from trackmart.plans.enrich import assemble_lookup, quota_cut, tag_failures
-from trackmart.schemas import CHECKPOINT, LOOKUP_STATUS
+from trackmart.plans.enrich import assemble_lookup, one_status, tag_failures, two_tier_lookup
+from trackmart.schemas import CHANNEL_SEARCH, CHANNEL_STATS, CHECKPOINT, LOOKUP_STATUS, VIDEO_STATS, VIDEOS
+from trackmart.session import stored
 from trackmart.sources.io import BatchLog
 
 
@@ -56,26 +60,38 @@ def pending_artists(universe: DataFrame, log: BatchLog, batch_id: int) -> DataFr
                         done, "artist_query")
 
 
+def landed_artists(todo: DataFrame, landed: LandedResponses, status: DataFrame | None) -> DataFrame:
+    """The pending artists whose answers have landed: with a status table the
+    artists it names, without one those that have a search answer."""
+    if status is not None:
+        names = status.select("artist_query")
+    else:
+        answered = landed.search.select("query")
+        names = (todo.join(answered, F.col("artist_query") == F.col("query"), "left_semi")
+                 .unionByName(todo.join(answered, topic_query(F.col("artist_query")) == F.col("query"), "left_semi")))
+    return todo.join(names.distinct(), "artist_query", "left_semi")
+
+
 def lookup_batch(universe: DataFrame, log: BatchLog, landed: LandedResponses, batch_id: int,
                  status: DataFrame | None = None) -> DataFrame:
-    """Results of batch ``batch_id``: pending artists enriched from the
-    landed responses, failures tagged, cut after the first quota failure."""
-    todo = pending_artists(universe, log, batch_id)
-    pending_status = None
-    if status is not None:
-        pending_status = status.join(todo, "artist_query", "left_semi")
-        cut = quota_cut(pending_status)
-        if cut is not None:  # the loop stops there: later artists stay pending, skip their lookups
-            todo = todo.filter(F.col("artist_query") <= F.lit(cut))
-    results = assemble_lookup(todo, landed.search, landed.stats, landed.videos, landed.video_stats)
-    return tag_failures(results, pending_status) if pending_status is not None else results
+    """Results of batch ``batch_id``: pending artists with landed answers,
+    enriched from the landed responses, failures tagged. ``status`` holds
+    the outcomes of this batch."""
+    outcome = one_status(status) if status is not None else None
+    todo = landed_artists(pending_artists(universe, log, batch_id), landed, outcome)
+    # stored once: the two joins, two semi joins and the final join read it
+    found = stored(two_tier_lookup(todo, landed.search).select("artist_query", "channel_id"), f"found-{batch_id}")
+    results = assemble_lookup(todo, landed.search, landed.stats, landed.videos, landed.video_stats, found)
+    return tag_failures(results, outcome) if outcome is not None else results
 
 
 def run_batch(universe: DataFrame, log: BatchLog, landed: LandedResponses, batch_id: int,
               status: DataFrame | None = None) -> DataFrame:
     """E-09: compute one batch, store it as partition ``batch_id``, and
-    return the current checkpoint with counts normalised (SC-08)."""
-    log.write_batch(lookup_batch(universe, log, landed, batch_id, status), batch_id)
+    return the current checkpoint with counts normalised (SC-08). Of
+    ``status`` only the rows of this batch count."""
+    own = None if status is None else status.filter(F.col("batch_id") == batch_id)
+    log.write_batch(lookup_batch(universe, log, landed, batch_id, own), batch_id)
     return current_results(log)
 
 
@@ -87,9 +103,24 @@ def current_results(log: BatchLog) -> DataFrame:
     return out.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in ["channel_id_found", "channel_title_verified"]})
 
 
-def start_landed_stream(spark: SparkSession, status_dir: str, universe: DataFrame, log: BatchLog,
-                        landed: LandedResponses, stream_checkpoint: str | None = None,
-                        available_now: bool = True):
+@dataclass
+class LandedPaths:
+    """Parquet folders of the landed answers and of the artists to look up.
+    A frame keeps the file list it was made with, so a stream takes paths."""
+    search: str
+    stats: str
+    videos: str
+    video_stats: str
+    universe: str
+
+    def read(self, spark: SparkSession) -> tuple[DataFrame, LandedResponses]:
+        schemas = {"search": CHANNEL_SEARCH, "stats": CHANNEL_STATS, "videos": VIDEOS, "video_stats": VIDEO_STATS}
+        tables = {name: spark.read.schema(schema).parquet(getattr(self, name)) for name, schema in schemas.items()}
+        return spark.read.parquet(self.universe), LandedResponses(**tables)
+
+
+def start_landed_stream(spark: SparkSession, status_dir: str, paths: LandedPaths, log: BatchLog,
+                        stream_checkpoint: str | None = None, available_now: bool = True):
     """Run one batch for every micro-batch of lookup-status files landing in
     ``status_dir``. Batch id = micro-batch id + 1, and the stream checkpoint
     belongs to the log (default: next to it), so a replayed micro-batch
@@ -100,6 +131,7 @@ def start_landed_stream(spark: SparkSession, status_dir: str, universe: DataFram
 
     def each(batch: DataFrame, epoch_id: int) -> None:
         batch_id = int(epoch_id) + 1
+        universe, landed = paths.read(batch.sparkSession)
         log.write_batch(lookup_batch(universe, log, landed, batch_id, batch), batch_id)
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", stream_checkpoint)
