@@ -1,6 +1,7 @@
 """Self-check of ``queries()`` against ``oracle_sql()`` in DuckDB, the way the
 driver compares them: same column names, same row count, same multiset of
-rows (doubles compared after rounding to 6 significant places).
+rows, doubles exactly (the queries and their SQL round alike; ORACLE_EXACT=0
+compares 6 significant places).
 
 Run directly: ``python tests/oracle.py [sf_dir] [name ...]``.
 """
@@ -29,7 +30,7 @@ def duck(sf_dir: str):
     return con
 
 
-EXACT = os.environ.get("ORACLE_EXACT") == "1"
+EXACT = os.environ.get("ORACLE_EXACT", "1") == "1"
 
 
 def _norm(v):

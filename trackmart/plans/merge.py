@@ -30,20 +30,9 @@ from trackmart.functions.columns import coerce_int, fill, is_match
 from trackmart.operators.relational import (add_defaults, latest_per_key, left_enrich,
                                             match_report, rename_present, select_present,
                                             total_order)
+from trackmart.schemas import (AWARD_COLUMNS, AWARD_DEFAULTS, AWARD_KEYS, AWARD_RENAMES, CHANNEL_DEFAULTS,
+                               TRACK_AWARD_KEYS)
 
-CHANNEL_DEFAULTS = {
-    "channel_id_found": ("", "string"), "channel_title_verified": ("", "string"),
-    "subscriber_count": (0, "bigint"), "view_count": (0, "bigint"),
-    "video_count": (0, "bigint"), "total_top10_video_likes": (0, "bigint"),
-}
-AWARD_DEFAULTS = {
-    "grammy_year": (None, "int"), "grammy_category": ("", "string"), "grammy_winner": (False, "boolean"),
-}
-AWARD_COLUMNS = ["artist", "nominee", "year", "category", "winner"]
-AWARD_RENAMES = {"artist": "grammy_artist", "nominee": "grammy_nominee", "year": "grammy_year",
-                 "category": "grammy_category", "winner": "grammy_winner"}
-TRACK_AWARD_KEYS = ["artists", "track_name"]
-AWARD_KEYS = ["grammy_artist", "grammy_nominee"]
 DEFAULT_TIE_BREAK = ("track_genre", "album_name")
 
 
@@ -97,8 +86,8 @@ def merge_all(*, tracks: DataFrame, awards: DataFrame | None = None,
     """Enriched track table (E-04). Arguments are keyword-only, so the
     three inputs cannot be passed in the wrong order.
 
-    ``awards=None`` (or awards without usable columns/keys) keeps every
-    track row and adds ``grammy_year`` NULL, ``grammy_category`` '' and
+    ``awards=None`` (or awards without rows, usable columns or keys; one
+    ``limit 1`` probe) keeps every track row and adds ``grammy_year`` NULL, ``grammy_category`` '' and
     ``grammy_winner`` false without dedup; ``channels=None`` adds '' / 0
     channel columns.
     """
@@ -106,7 +95,7 @@ def merge_all(*, tracks: DataFrame, awards: DataFrame | None = None,
         raise ValueError("tracks are required")
     enriched = join_channels(tracks, channels)
     prepared = prepare_awards(awards)
-    if prepared is None or not all(k in enriched.columns for k in TRACK_AWARD_KEYS):
+    if prepared is None or not all(k in enriched.columns for k in TRACK_AWARD_KEYS) or prepared.isEmpty():
         return add_defaults(enriched, AWARD_DEFAULTS, overwrite=True)
     best = best_award_per_key(prepared)
     merged = left_enrich(enriched, best, TRACK_AWARD_KEYS, AWARD_KEYS, suffix="_grammy",
@@ -123,8 +112,9 @@ def merge_report(*, tracks: DataFrame, awards: DataFrame | None = None,
                  channels: DataFrame | None = None) -> DataFrame:
     """Match rates of both joins (J-08), as the reference logs them: rows
     with a non-zero subscriber count after join 1, and rows with an award
-    year after join 2 (counting the 1:N fan-out, before dedup). The fan-out is
-    counted from per-key award counts, never materialised."""
+    year after join 2 (counting the 1:N fan-out, before dedup); and the rows
+    that share their ``track_id`` with another before the dedup (D-04). The
+    fan-out is counted from per-key award counts, never materialised."""
     enriched = join_channels(tracks, channels)
     first = match_report(enriched, is_match("subscriber_count"), "channels")
     prepared = prepare_awards(awards)
@@ -132,8 +122,16 @@ def merge_report(*, tracks: DataFrame, awards: DataFrame | None = None,
         return first
     per_key = prepared.groupBy(*AWARD_KEYS).agg(F.count(F.lit(1)).alias("__n"),
                                                  F.count("grammy_year").alias("__with_year"))
-    joined = left_enrich(enriched.select(*TRACK_AWARD_KEYS), per_key, TRACK_AWARD_KEYS, AWARD_KEYS)
+    keys = [*TRACK_AWARD_KEYS, *(["track_id"] if "track_id" in enriched.columns else [])]
+    joined = left_enrich(enriched.select(*keys), per_key, TRACK_AWARD_KEYS, AWARD_KEYS)
+    rows = F.coalesce(F.col("__n"), F.lit(1))
     second = joined.agg(F.coalesce(F.sum("__with_year"), F.lit(0)).cast("bigint").alias("matched_rows"),
-                        F.sum(F.coalesce(F.col("__n"), F.lit(1))).cast("bigint").alias("total_rows")) \
+                        F.sum(rows).cast("bigint").alias("total_rows")) \
                    .select(F.lit("awards").alias("join"), "matched_rows", "total_rows")
-    return first.unionByName(second)
+    out = first.unionByName(second)
+    if "track_id" not in enriched.columns:
+        return out
+    per_track = joined.groupBy("track_id").agg(F.sum(rows).alias("n"))
+    shared = per_track.agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("bigint").alias("matched_rows"),
+                           F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_rows"))
+    return out.unionByName(shared.select(F.lit("shared_track_id").alias("join"), "matched_rows", "total_rows"))

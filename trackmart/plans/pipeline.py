@@ -15,20 +15,25 @@ from pyspark.sql import functions as F
 from trackmart.plans.clean import clean_awards, clean_channels, clean_tracks
 from trackmart.plans.merge import merge_all, merge_report
 from trackmart.schemas import AWARDS, AWARDS_RAW, CHANNELS, CHANNELS_RAW, MERGED, TRACKS
-from trackmart.sources.io import EmptyInput, conform, read_csv, read_jdbc, read_table, write_table
+from trackmart.sources.io import BatchLog, EmptyInput, conform, read_csv, read_jdbc, read_table, write_table
+from trackmart.streaming.incremental import current_results
 
 
 @dataclass
 class Source:
-    """Where one input comes from: ``fmt`` is csv, parquet, table or jdbc."""
+    """Where one input comes from: ``fmt`` is csv, parquet, table or jdbc.
+    ``options``: for csv the arguments of ``read_csv`` (``multiline``,
+    ``na_tokens``), for jdbc ``url`` and connection properties."""
     location: str
     fmt: str = "parquet"
     options: dict = field(default_factory=dict)
 
     def read(self, spark: SparkSession, schema=None) -> DataFrame:
         if self.fmt == "csv":
-            return read_csv(spark, self.location, schema)
+            return read_csv(spark, self.location, schema, **self.options)
         if self.fmt == "jdbc":
+            if "url" not in self.options:
+                raise ValueError(f"jdbc source {self.location!r} needs a url")
             df = read_jdbc(spark, self.options["url"], table=self.location,
                            properties={k: v for k, v in self.options.items() if k != "url"})
         else:
@@ -98,15 +103,15 @@ CLEANERS = {
 
 
 def load_raw(spark: SparkSession, source: Source, target: str, mode: str = "overwrite",
-             fmt: str = "parquet") -> DataFrame:
+             fmt: str = "parquet", jdbc: dict | None = None) -> DataFrame:
     """Raw load (SC-01..SC-03, SK-03/SK-04, SK-07): the CSV is split by
     Spark's file partitioning instead of a chunk loop and written once;
     returns the count check row."""
-    return write_table(source.read(spark), target, mode=mode, fmt=fmt)
+    return write_table(source.read(spark), target, mode=mode, fmt=fmt, jdbc=jdbc)
 
 
 def clean_and_load(spark: SparkSession, kind: str, source: Source, target: str,
-                   fmt: str = "parquet") -> DataFrame:
+                   fmt: str = "parquet", jdbc: dict | None = None) -> DataFrame:
     """Clean one source and overwrite its typed clean table (SK-02) with the
     count check; ``kind`` is tracks, awards or channels."""
     raw_schema, cleaner, clean_schema = CLEANERS[kind]
@@ -114,4 +119,10 @@ def clean_and_load(spark: SparkSession, kind: str, source: Source, target: str,
         clean = read_clean_channels(spark, source)
     else:
         clean = cleaner(source.read(spark, raw_schema))
-    return write_table(clean, target, schema=clean_schema, fmt=fmt)
+    return write_table(clean, target, schema=clean_schema, fmt=fmt, jdbc=jdbc)
+
+
+def load_lookup_results(log: BatchLog, target: str, fmt: str = "parquet", jdbc: dict | None = None) -> DataFrame:
+    """Typed overwrite of the current lookup results (SK-05) after their
+    numeric normalisation (E-12), with the count check."""
+    return write_table(current_results(log), target, schema=CHANNELS, fmt=fmt, jdbc=jdbc, strict=True)

@@ -132,6 +132,40 @@ def supplier_raw_channels(spark, sf_dir) -> DataFrame:
         (k.cast("double") * 1.5).alias("total_top10_video_likes"))
 
 
+def part_full_tracks(spark, sf_dir) -> DataFrame:
+    """Raw tracks with every column of the track table, from parts."""
+    from trackmart.schemas import TRACKS
+    raw = part_raw_tracks(spark, sf_dir)
+    return raw.select(*[(F.col(f.name) if f.name in raw.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in TRACKS.fields])
+
+
+def part_raw_awards(spark, sf_dir) -> DataFrame:
+    """Nominations of every third part's name under its brand, two for every
+    ninth part; some without a nominee."""
+    p = table(spark, sf_dir, "part").filter("p_partkey % 3 = 0")
+    k = F.col("p_partkey")
+
+    def rows(df, shift):
+        return df.select(
+            (F.lit(2000) + (k + shift) % 20).cast("int").alias("year"), F.lit("Annual").alias("title"),
+            F.lit("2020-01-01").alias("published_at"), F.lit(None).cast("string").alias("updated_at"),
+            F.concat(F.lit("Cat "), _s(k % 5)).alias("category"),
+            F.when(k % 15 == 0, F.lit(None)).otherwise(F.concat(F.col("p_name"), F.lit(" "))).alias("nominee"),
+            F.col("p_brand").alias("artist"), F.lit(None).cast("string").alias("workers"),
+            F.lit(None).cast("string").alias("img"), (k % 2 == 0).alias("winner"))
+    return rows(p, 0).unionByName(rows(p.filter("p_partkey % 9 = 0"), 7))
+
+
+def brand_raw_channels(spark, sf_dir) -> DataFrame:
+    """Raw channel rows of the brands, but for those that end in 3."""
+    b = table(spark, sf_dir, "part").groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"), F.sum("p_partkey").alias("v"))
+    return b.filter("p_brand NOT LIKE '%3'").select(
+        F.col("p_brand").alias("artist_query"), F.concat(F.lit("UC"), F.col("p_brand")).alias("channel_id_found"),
+        F.col("p_brand").alias("channel_title_verified"),
+        F.when(F.col("n") % 2 == 0, F.lit("-1")).otherwise(_s("n")).alias("subscriber_count"),
+        _s(F.col("v") + F.lit(2**53)).alias("view_count"), F.lit("x").alias("video_count"), F.lit(None).cast("string").alias("total_top10_video_likes"))
+
+
 # --- landed lookup responses ---------------------------------------------------
 
 def customer_artists(spark, sf_dir) -> DataFrame:

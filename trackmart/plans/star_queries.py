@@ -22,7 +22,7 @@ from trackmart.plans.clean import clean_awards, clean_channels, clean_tracks, co
 from trackmart.plans.merge import merge_all, merge_report
 from trackmart.schemas import CHANNELS, KEY_NAMES, MODE_NAMES
 from trackmart.session import scratch_path
-from trackmart.sources.io import read_csv, write_table
+from trackmart.sources.io import EmptyInput, literal_table, read_csv, write_table
 
 T = I.table
 
@@ -390,17 +390,21 @@ def csv_roundtrip(spark, sf):
     return read_csv(spark, path, schema)
 
 
-def incremental_lookup(spark, sf):
-    """E-09 over two batches: batch 1 takes the artists whose answers landed
-    for it (failures tagged), the others stay pending and land in batch 2; the
-    result is the checkpoint's latest row per artist, normalised."""
+def _lookup_batches(spark, sf):
     from trackmart.streaming.incremental import LandedResponses, checkpoint_log, run_batch
     log = checkpoint_log(spark, _shared_dir(spark, "lookup_checkpoint"))
     landed = LandedResponses(I.customer_channel_search(spark, sf), I.user_channel_stats(spark, sf),
                              I.event_videos(spark, sf), I.event_video_stats(spark, sf))
     universe, status = I.customer_artists(spark, sf), I.customer_lookup_status(spark, sf)
     run_batch(universe, log, landed, 1, status)
-    return run_batch(universe, log, landed, 2, status)
+    return log, run_batch(universe, log, landed, 2, status)
+
+
+def incremental_lookup(spark, sf):
+    """E-09 over two batches: batch 1 takes the artists whose answers landed
+    for it (failures tagged), the others stay pending and land in batch 2; the
+    result is the checkpoint's latest row per artist, normalised."""
+    return _lookup_batches(spark, sf)[1]
 
 
 def table_shape(spark, sf):
@@ -416,6 +420,78 @@ def head_tail(spark, sf):
     return R.head_tail(o, 5, ["o_orderkey"])
 
 
+def merge_empty_awards(spark, sf):
+    """J-03: awards without rows keep every track row, copies included."""
+    return merge_all(tracks=I.event_tracks(spark, sf), awards=I.order_awards(spark, sf).limit(0),
+                     channels=I.user_channels(spark, sf))
+
+
+def pipeline_run(spark, sf):
+    """E-10 end to end: three raw tables as files, cleaned, merged, loaded
+    with the count check, and the stored table read back."""
+    from trackmart.plans.pipeline import RunConfig, Source, run
+    raw = {"tracks": I.part_full_tracks(spark, sf), "awards": I.part_raw_awards(spark, sf), "channels": I.brand_raw_channels(spark, sf)}
+    sources = {}
+    for name, df in raw.items():
+        path = _shared_dir(spark, f"raw_{name}")
+        df.write.parquet(path)
+        sources[name] = Source(path)
+    target = _shared_dir(spark, "merged")
+    check = run(spark, RunConfig(output=target, strict_count=True, **sources)).first()
+    stored = spark.read.parquet(target)
+    return stored.select("track_id", "artists", "track_name", "popularity", "track_genre", "channel_id_found", "subscriber_count",
+                         "view_count", "grammy_year", "grammy_category", "grammy_winner", F.lit(check["ok"]).alias("ok"))
+
+
+def lookup_load(spark, sf):
+    """SK-05: the lookup results of both batches loaded typed, and read back."""
+    from trackmart.plans.pipeline import load_lookup_results
+    log, _ = _lookup_batches(spark, sf)
+    target = _shared_dir(spark, "lookup_results")
+    check = load_lookup_results(log, target).first()
+    return spark.read.parquet(target).withColumn("ok", F.lit(check["ok"]))
+
+
+def raw_load_append(spark, sf):
+    """SK-03, SK-04, SK-07: a raw overwrite, then an append, each counted."""
+    from trackmart.plans.pipeline import Source, load_raw
+    source, target = Source(f"{sf}/orders.parquet"), _shared_dir(spark, "raw_orders")
+    checks = [load_raw(spark, source, target).withColumn("step", F.lit("overwrite")),
+              load_raw(spark, source, target, mode="append").withColumn("step", F.lit("append"))]
+    return checks[0].unionByName(checks[1]).select("step", "rows_written", "rows_stored", "ok")
+
+
+def empty_input(spark, sf):
+    """SK-08: an empty load raises, or writes an empty table where allowed."""
+    none = T(spark, sf, "orders").filter("o_orderkey < 0").select("o_orderkey")
+    try:
+        write_table(none, _shared_dir(spark, "refused"))
+        raised = False
+    except EmptyInput:
+        raised = True
+    allowed = write_table(none, _shared_dir(spark, "allowed"), allow_empty=True)
+    return allowed.select(F.lit(raised).alias("raised"), "rows_written", "rows_stored", "ok")
+
+
+def literal_join(spark, sf):
+    """SC-09: a literal table with an explicit schema, joined with a given table."""
+    names = literal_table(spark, [("F", "finished"), ("O", "open"), ("P", None), (None, "none")],
+                          T_.StructType([T_.StructField("status", T_.StringType()), T_.StructField("meaning", T_.StringType())]))
+    counts = T(spark, sf, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    return names.join(counts, F.col("status") == F.col("o_orderstatus"), "left").select("status", "meaning", "n")
+
+
+def topk_categories(spark, sf):
+    """T-03: the most frequent categories and how many there are in all."""
+    top = R.top_k_categories(T(spark, sf, "orders"), "o_custkey", 20)
+    return top.crossJoin(F.broadcast(P.n_categories(T(spark, sf, "orders"), "o_custkey")))  # one row
+
+
+def category_counts(spark, sf):
+    """A-19: the counts behind a bar chart of categories, NULL as one of them."""
+    return R.value_counts(_events_with_nulls(spark, sf), "event_type", dropna=False)
+
+
 QUERIES = {
     "merge_latest": merge_latest,
     "merge_no_channels": merge_no_channels,
@@ -469,4 +545,12 @@ QUERIES = {
     "table_shape": table_shape,
     "quality_report": quality_report,
     "head_tail": head_tail,
+    "merge_empty_awards": merge_empty_awards,
+    "pipeline_run": pipeline_run,
+    "lookup_load": lookup_load,
+    "raw_load_append": raw_load_append,
+    "empty_input": empty_input,
+    "literal_join": literal_join,
+    "topk_categories": topk_categories,
+    "category_counts": category_counts,
 }

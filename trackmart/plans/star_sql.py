@@ -349,6 +349,26 @@ SELECT p_partkey,
 FROM part"""
 
 
+INCREMENTAL = f"""WITH {LANDED.strip()},{STATUS},
+tagged AS (
+  SELECT a.artist_query,
+         CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.channel_id_found
+              WHEN s.status = 'quota' THEN 'Error: Quota Exceeded'
+              WHEN s.status = 'http' THEN 'Error: HTTP ' || s.detail
+              WHEN s.status = 'other' THEN 'Error: ' || s.detail END AS channel_id_found,
+         CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.channel_title_verified END AS channel_title_verified,
+         CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.subscriber_count END AS subscriber_count,
+         CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.view_count END AS view_count,
+         CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.video_count END AS video_count,
+         CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.total_top10_video_likes END AS total_top10_video_likes
+  FROM assembled a JOIN status s ON a.artist_query = s.artist_query),
+u AS (SELECT * FROM tagged)
+SELECT artist_query, coalesce(channel_id_found, '') AS channel_id_found,
+       coalesce(channel_title_verified, '') AS channel_title_verified,
+       coalesce(nullif(subscriber_count, -1), 0) AS subscriber_count, coalesce(view_count, 0) AS view_count,
+       coalesce(video_count, 0) AS video_count, coalesce(total_top10_video_likes, 0) AS total_top10_video_likes
+FROM u"""
+
 SQL = {
     "merge_latest": f"WITH {TRACKS.strip()},{CHANNELS},{AWARDS},{J1},{J2_DEDUP}",
     "merge_no_channels": f"WITH {TRACKS.strip()},{AWARDS},{J1_DEFAULTS},{J2_DEDUP}",
@@ -359,7 +379,11 @@ SELECT 'channels' AS "join", CAST(coalesce(sum(CASE WHEN subscriber_count IS NOT
        THEN 1 ELSE 0 END), 0) AS BIGINT) AS matched_rows, count(*) AS total_rows FROM j1
 UNION ALL
 SELECT 'awards', CAST(sum(CASE WHEN a.year IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT), count(*)
-FROM j1 LEFT JOIN awards a ON j1.artists = a.artist AND j1.track_name = a.nominee""",
+FROM j1 LEFT JOIN awards a ON j1.artists = a.artist AND j1.track_name = a.nominee
+UNION ALL
+SELECT 'shared_track_id', CAST(coalesce(sum(CASE WHEN n > 1 THEN n END), 0) AS BIGINT), CAST(sum(n) AS BIGINT)
+FROM (SELECT track_id, count(*) AS n FROM j1 LEFT JOIN awards a ON j1.artists = a.artist AND j1.track_name = a.nominee
+      GROUP BY track_id)""",
     "clean_tracks": f"""WITH {RAW_TRACKS.strip()}
 SELECT {_trim("coalesce(track_id, '')")} AS track_id, {_trim("coalesce(artists, '')")} AS artists,
        {_trim("coalesce(album_name, '')")} AS album_name, {_trim("coalesce(track_name, '')")} AS track_name,
@@ -564,23 +588,45 @@ UNION ALL SELECT 'dtype', 'total_top10_video_likes', 'bigint'""",
 (SELECT o_orderkey, o_custkey, o_totalprice, 'head' AS position FROM orders ORDER BY o_orderkey LIMIT 5)
 UNION ALL
 (SELECT o_orderkey, o_custkey, o_totalprice, 'tail' AS position FROM orders ORDER BY o_orderkey DESC LIMIT 5)""",
-    "incremental_lookup": f"""WITH {LANDED.strip()},{STATUS},
-tagged AS (
-  SELECT a.artist_query,
-         CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.channel_id_found
-              WHEN s.status = 'quota' THEN 'Error: Quota Exceeded'
-              WHEN s.status = 'http' THEN 'Error: HTTP ' || s.detail
-              WHEN s.status = 'other' THEN 'Error: ' || s.detail END AS channel_id_found,
-         CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.channel_title_verified END AS channel_title_verified,
-         CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.subscriber_count END AS subscriber_count,
-         CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.view_count END AS view_count,
-         CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.video_count END AS video_count,
-         CASE WHEN coalesce(s.status, 'ok') = 'ok' THEN a.total_top10_video_likes END AS total_top10_video_likes
-  FROM assembled a JOIN status s ON a.artist_query = s.artist_query),
-u AS (SELECT * FROM tagged)
-SELECT artist_query, coalesce(channel_id_found, '') AS channel_id_found,
-       coalesce(channel_title_verified, '') AS channel_title_verified,
-       coalesce(nullif(subscriber_count, -1), 0) AS subscriber_count, coalesce(view_count, 0) AS view_count,
-       coalesce(video_count, 0) AS video_count, coalesce(total_top10_video_likes, 0) AS total_top10_video_likes
-FROM u""",
+    "incremental_lookup": INCREMENTAL,
+    "merge_empty_awards": f"""WITH {TRACKS.strip()},{CHANNELS},{J1}
+SELECT *, CAST(NULL AS INTEGER) AS grammy_year, '' AS grammy_category, false AS grammy_winner FROM j1""",
+    "lookup_load": f"SELECT *, true AS ok FROM ({INCREMENTAL})",
+    "raw_load_append": """
+SELECT 'overwrite' AS step, count(*) AS rows_written, count(*) AS rows_stored, true AS ok FROM orders
+UNION ALL SELECT 'append', count(*), 2 * count(*), true FROM orders""",
+    "empty_input": "SELECT true AS raised, CAST(0 AS BIGINT) AS rows_written, CAST(0 AS BIGINT) AS rows_stored, true AS ok",
+    "literal_join": """
+WITH names(status, meaning) AS (VALUES ('F', 'finished'), ('O', 'open'), ('P', NULL), (NULL, 'none'))
+SELECT status, meaning, n FROM names LEFT JOIN (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus)
+  ON status = o_orderstatus""",
+    "topk_categories": """
+SELECT o_custkey, count, (SELECT count(DISTINCT o_custkey) FROM orders) AS n_categories
+FROM (SELECT o_custkey, count(*) AS count FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey
+      ORDER BY count DESC, o_custkey LIMIT 20)""",
+    "category_counts": f"WITH {EVENTS_NULLS.strip()} SELECT event_type, count(*) AS count FROM ev GROUP BY event_type",
+    "pipeline_run": f"""WITH {RAW_TRACKS.strip()},
+t AS (SELECT {_trim("coalesce(track_id, '')")} AS track_id, {_trim("coalesce(artists, '')")} AS artists,
+             {_trim("coalesce(album_name, '')")} AS album_name, {_trim("coalesce(track_name, '')")} AS track_name,
+             popularity, {_trim("coalesce(track_genre, '')")} AS track_genre
+      FROM (SELECT DISTINCT * FROM raw) WHERE artists IS NOT NULL AND album_name IS NOT NULL AND track_name IS NOT NULL),
+c AS (SELECT p_brand AS artist_query, 'UC' || p_brand AS channel_id_found,
+             CASE WHEN count(*) % 2 = 0 THEN 0 ELSE count(*) END AS subscriber_count,
+             CAST(sum(p_partkey) + 9007199254740992 AS BIGINT) AS view_count
+      FROM part WHERE p_brand NOT LIKE '%3' GROUP BY p_brand),
+a AS (SELECT CAST(2000 + p_partkey % 20 AS INTEGER) AS year, 'Cat ' || CAST(p_partkey % 5 AS VARCHAR) AS category,
+             p_name AS nominee, p_brand AS artist, p_partkey % 2 = 0 AS winner
+      FROM part WHERE p_partkey % 3 = 0 AND p_partkey % 15 <> 0
+      UNION ALL
+      SELECT CAST(2000 + (p_partkey + 7) % 20 AS INTEGER), 'Cat ' || CAST(p_partkey % 5 AS VARCHAR), p_name, p_brand, p_partkey % 2 = 0
+      FROM part WHERE p_partkey % 9 = 0 AND p_partkey % 15 <> 0),
+j AS (SELECT t.*, coalesce(c.channel_id_found, '') AS channel_id_found, coalesce(c.subscriber_count, 0) AS subscriber_count,
+             coalesce(c.view_count, 0) AS view_count, a.year AS grammy_year, coalesce(a.category, '') AS grammy_category,
+             coalesce(a.winner, false) AS grammy_winner
+      FROM t LEFT JOIN c ON t.artists = c.artist_query
+      LEFT JOIN a ON t.artists = a.artist AND t.track_name = {_trim("a.nominee")}),
+r AS (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY grammy_year DESC NULLS LAST, grammy_category, grammy_winner DESC,
+             track_genre, album_name, track_name, artists, popularity) AS rn FROM j)
+SELECT track_id, artists, track_name, popularity, track_genre, channel_id_found, subscriber_count, view_count, grammy_year,
+       grammy_category, grammy_winner, true AS ok FROM r WHERE rn = 1""",
 }

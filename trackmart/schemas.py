@@ -103,3 +103,18 @@ LOOKUP_STATUS = _schema(("artist_query", S), ("batch_id", L), ("status", S), ("d
 LOOKUP_STATUS_STEP = _schema(("artist_query", S), ("batch_id", L), ("status", S), ("detail", S), ("step", S))
 # counts are bigint in the checkpoint: a double would lose digits above 2^53
 CHECKPOINT = T.StructType(list(CHANNELS.fields) + [T.StructField("batch_id", L, True)])
+
+# --- fixed values of the merge: columns, names and defaults of the enriched table ---
+CHANNEL_DEFAULTS = {
+    "channel_id_found": ("", "string"), "channel_title_verified": ("", "string"),
+    "subscriber_count": (0, "bigint"), "view_count": (0, "bigint"),
+    "video_count": (0, "bigint"), "total_top10_video_likes": (0, "bigint"),
+}
+AWARD_DEFAULTS = {
+    "grammy_year": (None, "int"), "grammy_category": ("", "string"), "grammy_winner": (False, "boolean"),
+}
+AWARD_COLUMNS = ["artist", "nominee", "year", "category", "winner"]
+AWARD_RENAMES = {"artist": "grammy_artist", "nominee": "grammy_nominee", "year": "grammy_year",
+                 "category": "grammy_category", "winner": "grammy_winner"}
+TRACK_AWARD_KEYS = ["artists", "track_name"]
+AWARD_KEYS = ["grammy_artist", "grammy_nominee"]
