@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF01
@@ -162,3 +163,43 @@ def test_exact_quantiles_with_infinities(spark):
     ref = np.quantile(np.array(vals), qs)
     for q, r in zip(qs, ref):
         assert got[("x", q)] == r or (math.isnan(got[("x", q)]) and math.isnan(r)), (q, got[("x", q)], r)
+
+
+def test_profile_counts_raw_values(spark):
+    import datetime as dt
+    day = dt.datetime(2024, 1, 1)
+    rows = [(2**53 + k, day + dt.timedelta(microseconds=100_000 * k), float("nan") if k == 0 else 1.5) for k in range(3)]
+    df = spark.createDataFrame(rows, "n bigint, t timestamp, x double")
+    for approx in (False, True):
+        got = {r["column"]: r for r in P.column_profile(df, approx=approx).collect()}
+        assert (got["n"]["n_unique"], got["t"]["n_unique"], got["x"]["n_unique"]) == (3, 3, 1)
+        assert (got["x"]["nulls"], got["x"]["max_num"]) == (1, 1.5)
+        assert got["t"]["max_text"].endswith("00:00:00.200000")
+    assert {r["column"]: r["null_count"] for r in P.null_profile(df).collect()} == {"x": 1}
+    assert P.total_nulls(df).first()["total_nulls"] == 1
+    assert sorted((r["column"], r["rank"]) for r in P.column_samples(df).collect()) == [
+        ("n", 1), ("n", 2), ("n", 3), ("t", 1), ("t", 2), ("t", 3), ("x", 1)]
+
+
+def test_samples_are_the_smallest_values_whatever_the_probe(spark, monkeypatch):
+    monkeypatch.setattr(P, "SAMPLE_PROBE", 200)
+    df = spark.range(3000).selectExpr("(id * 7919) % 3000 AS a", "id % 7 AS b")
+    got = [(r["column"], r["value_num"]) for r in P.column_samples(df).orderBy("column", "rank").collect()]
+    assert got == [("a", float(k)) for k in range(20)] + [("b", float(k)) for k in range(7)]
+
+
+def test_quantiles_of_a_log_uniform_column_named_like_the_working_ones(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    x = (10.0 ** rng.uniform(-200, 200, 5000)).tolist() + [1e-250] * 900
+    df = spark.createDataFrame([(v, k) for k, v in enumerate(x)], "value double, x0 bigint")
+    got = P.exact_quantiles(df, ["value"], [0.1, 0.5, 0.9], bound=5, buckets=8)
+    for q in (0.1, 0.5, 0.9):
+        assert got[("value", q)] == pytest.approx(float(np.quantile(x, q)), rel=1e-12)
+    assert P.describe_numeric(df, ["value"]).first()["count"] == 5900
+
+
+def test_histogram_and_density_leave_infinite_values_out(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (float("inf"),)], "x double")
+    assert [r["count"] for r in P.histogram(df, "x", 2).orderBy("bin").collect()] == [1, 2]
+    assert P.density(df, "x").count() == 200
