@@ -12,12 +12,13 @@ Two classes at the similarity bound share no table with probability
 ``2 * (1 - 0.8 ** ROWS) ** HALVES``: about 1e-5 here, falling fast above the
 bound. Candidates are verified on the whole sets.
 
-Groups of thousands. Tables with the same members count once. Shingles that no
-other candidate has bound what a class can share, which drops classes and
-pairs that cannot reach the bound whatever the partner. Members of a table are
-compared with its most central member (the least share of such shingles),
+Groups of thousands. Tables with the same members count once. Two exact bounds
+drop candidates before their sets are compared: shingles that no other
+candidate has cannot be shared, and bitmaps of the sets' parities differ in at
+most as many bits as the sets differ in shingles. Members of a table are
+compared with its most central member (the least share of unshared shingles),
 links become components, and only members of different components that the
-bound leaves are compared further: copies join at the centre and never expand
+bounds leave are compared further: copies join at the centre and never expand
 into all their pairs, and no candidate link between components is lost.
 """
 
@@ -36,7 +37,7 @@ from trackmart.llm.components import components
 SHINGLE_WORDS = 5
 SIMILARITY = (80, 100)  # linked when 100 * shared >= 80 * united
 HALVES, ROWS = 12, 2
-PIVOT_ROUNDS = 3
+BITMAP = 16  # 64-bit words of a set's parity bitmap
 SEED = 20240229
 
 
@@ -81,12 +82,13 @@ def _signer(n_words: int):
 
 
 def _sets(n_words: int):
-    """``(num, text, cls)`` to ``(num, cls, shingles)``; ``cls`` is null where
-    the text is not of that class."""
+    """``(num, text, cls)`` to ``(num, cls, shingles, bits)``; ``cls`` is null
+    where the text is not of that class. A bit is the parity of the shingles
+    that hash to it."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            found, marks = [], []
+            found, marks, maps = [], [], []
             for first, end, part, offs in chunks(data, offsets):
                 _, _, row, hashed = words(part, offs)
                 cuts = np.searchsorted(row, np.arange(end - first + 1))
@@ -95,8 +97,11 @@ def _sets(n_words: int):
                     cls = batch.column(2)[first + k].as_py()
                     marks.append(cls if _mark(own) == cls else None)
                     found.append(own.view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.binary()), pa.array(found, pa.list_(pa.int64()))],
-                                             names=["num", "cls", "shingles"])
+                    odd = np.bincount((own >> np.uint64(32)) % np.uint64(64 * BITMAP), minlength=64 * BITMAP) & 1
+                    maps.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(marks, pa.binary()), pa.array(found, pa.list_(pa.int64())), pa.array(maps, pa.list_(pa.int64()))],
+                names=["num", "cls", "shingles", "bits"])
     return cut
 
 
@@ -155,52 +160,42 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # repeated id may bring another class's text, which its class number tells.
     wanted = classes.join(tables.select("num").distinct(), "num", "left_semi").select("num", "cls", "size", F.col("least").alias("id"))
     texts = source.join(wanted, source["id"].eqNullSafe(wanted["id"])).select("num", "text", "cls")
-    sets = texts.mapInArrow(_sets(n_words), "num long, cls binary, shingles array<long>").where("cls is not null").dropDuplicates(["num"]).select("num", "shingles")
+    sets = texts.mapInArrow(_sets(n_words), "num long, cls binary, shingles array<long>, bits array<long>").where("cls is not null").dropDuplicates(["num"]).drop("cls")
     sets = stored(sets, "minhash-sets")
 
     # Shingles of one candidate only bound what it can share with any other.
     num, den = similarity
     spots = sets.select("num", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n"), F.min("num").alias("num")).where("n = 1")
     alone = spots.groupBy("num").agg(F.count("*").alias("alone"))
-    sized = sets.select("num", F.size("shingles").cast("long").alias("size")).join(alone, "num", "left")
-    sized = sized.select("num", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("most")).where(F.col("most") * den >= F.col("size") * num)
-    tables = stored(_distinct_tables(tables.join(sized, "num")), "minhash-tables")
+    sized = sets.select("num", "bits", F.size("shingles").cast("long").alias("size")).join(alone, "num", "left")
+    sized = (sized.select("num", "bits", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("most"))
+             .where(F.col("most") * den >= F.col("size") * num))
+    tables = stored(tables.join(sized, "num"), "minhash-members")
 
     def members(rows: DataFrame, mark: str) -> DataFrame:
-        return rows.select("key", *(F.col(c).alias(mark + c) for c in ("num", "size", "most", "comp")))
+        return rows.select("key", *(F.col(c).alias(mark + c) for c in ("num", "size", "most", "bits", "comp")))
 
-    most = F.least("xmost", "ymost")
-    possible = (F.col("xcomp") != F.col("ycomp")) & (most * den >= (F.col("xsize") + F.col("ysize") - most) * num)
-    central = F.struct((F.col("most") / F.col("size")).alias("share"), F.xxhash64("num").alias("tie"))
-    links = roots = done = None
-    open_tables = tables.withColumn("comp", F.col("num"))
-    for turn in range(PIVOT_ROUNDS + 1):
-        if turn < PIVOT_ROUNDS:
-            # The most central member; later, of those outside its component.
-            rest = open_tables
-            for k in range(turn):
-                first = rest.groupBy("key").agg(F.max_by("comp", central).alias("comp"))
-                rest = rest.join(first, ["key", "comp"], "left_anti")
-            pivots = rest.groupBy("key").agg(F.max_by(F.struct("num", "size", "most", "comp"), central).alias("p")).select("key", "p.*")
-        else:
-            pivots = open_tables
-        pairs = (members(open_tables, "x").join(members(pivots, "y"), "key").where(possible)
+    most, both = F.least("xmost", "ymost"), F.col("xsize") + F.col("ysize")
+    apart = sum((F.bit_count(F.get("xbits", k).bitwiseXOR(F.get("ybits", k))) for k in range(1, BITMAP)),
+                F.bit_count(F.get("xbits", 0).bitwiseXOR(F.get("ybits", 0))))
+    possible = (F.col("xcomp") != F.col("ycomp")) & (most * den >= (both - most) * num) & (apart * (den + num) <= both * (den - num))
+
+    def compared(rows: DataFrame, pivots: DataFrame, name: str) -> DataFrame:
+        pairs = (members(rows, "x").join(members(pivots, "y"), "key").where(possible)
                  .select(F.greatest("xnum", "ynum").alias("a"), F.least("xnum", "ynum").alias("b")).distinct())
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = stored(pairs, f"minhash-pairs-{turn}")
-        done = pairs if done is None else done.unionByName(pairs)
-        found = _verified(pairs, sets, similarity)
-        links = stored(found if links is None else links.unionByName(found), f"minhash-links-{turn}")
-        roots = stored(components(links), f"minhash-roots-{turn}")
-        if turn == PIVOT_ROUNDS:
-            break
-        open_tables = (tables.join(roots.withColumnRenamed("node", "num"), "num", "left")
-                       .select("key", "num", "size", "most", F.coalesce("root", "num").alias("comp")))
-        mixed = open_tables.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
-        open_tables = stored(open_tables.join(mixed, "key"), f"minhash-open-{turn}")
-        if not open_tables.limit(1).count():
-            break
+        return stored(_verified(stored(pairs, f"minhash-pairs-{name}"), sets, similarity), f"minhash-links-{name}")
+
+    rows = tables.withColumn("comp", F.col("num"))
+    central = F.struct((F.col("most") / F.col("size")).alias("share"), F.xxhash64("num").alias("tie"))
+    pivots = rows.groupBy("key").agg(F.max_by(F.struct("num", "size", "most", "bits", "comp"), central).alias("p")).select("key", "p.*")
+    roots = stored(components(compared(rows, pivots, "centre")), "minhash-roots")
+    rows = tables.join(roots.withColumnRenamed("node", "num"), "num", "left").withColumn("comp", F.coalesce("root", "num")).drop("root")
+    mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
+    rows = stored(rows.join(mixed, "key"), "minhash-open")
+    rest = compared(rows, rows, "rest")
+    if rest.limit(1).count():
+        edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest)
+        roots = stored(components(edges), "minhash-roots")
 
     home = classes.join(roots.withColumnRenamed("node", "num"), "num", "left").select(
         "cls", "least", F.coalesce("root", "num").alias("root"))
