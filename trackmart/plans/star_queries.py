@@ -230,7 +230,7 @@ def _events_with_nulls(spark, sf):
     k = F.col("event_id")
     return ev.select("event_id", "ts", "user_id",
                      F.when(k % 25 == 0, F.lit(None)).otherwise(F.col("event_type")).alias("event_type"),
-                     F.when(k % 9 == 0, F.lit(None)).otherwise(F.col("value")).alias("value"),
+                     F.when(k % 9 == 0, F.lit(None)).when(k % 31 == 0, F.lit(float("nan"))).otherwise(F.col("value")).alias("value"),
                      F.when(k % 4 == 0, F.lit(None)).otherwise(F.col("props")).alias("props"))
 
 
@@ -243,16 +243,23 @@ def total_nulls(spark, sf):
     return P.total_nulls(_events_with_nulls(spark, sf))
 
 
-ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+def _orders_with_fine_values(spark, sf):
+    """Orders with keys above 2^53 that a double can't tell apart, dates a
+    tenth of a second apart, and NaN among the prices."""
+    k = F.col("o_orderkey")
+    return T(spark, sf, "orders").select(
+        (k + F.lit(2**53 + 1)).alias("o_orderkey"), "o_custkey", "o_orderstatus",
+        F.when(k % 29 == 0, F.lit(float("nan"))).otherwise(F.col("o_totalprice")).alias("o_totalprice"),
+        (F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(secs=(k % 7).cast("decimal(18,6)") / 10)).alias("o_orderdate"), "o_orderpriority")
 
 
 def column_profile(spark, sf):
-    o = T(spark, sf, "orders").select(*ORDER_COLS)
+    o = _orders_with_fine_values(spark, sf)
     return P.column_profile(o).drop("dtype").withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def column_samples(spark, sf):
-    o = T(spark, sf, "orders").select(*ORDER_COLS)
+    o = _orders_with_fine_values(spark, sf)
     return P.column_samples(o)
 
 

@@ -227,7 +227,7 @@ EVENTS_NULLS = """
 ev AS (
   SELECT event_id, ts, user_id,
          CASE WHEN event_id % 25 = 0 THEN NULL ELSE event_type END AS event_type,
-         CASE WHEN event_id % 9 = 0 THEN NULL ELSE value END AS value,
+         CASE WHEN event_id % 9 = 0 OR event_id % 31 = 0 THEN NULL ELSE value END AS value,
          CASE WHEN event_id % 4 = 0 THEN NULL ELSE props END AS props
   FROM events)"""
 
@@ -249,6 +249,12 @@ def _order_typed(c: str) -> tuple[str, str]:
     return "CAST(NULL AS DOUBLE)", f"CAST({c} AS VARCHAR)"
 
 
+# NaN counts as missing, so it is NULL here.
+FINE_ORDERS = """(SELECT o_orderkey + 9007199254740993 AS o_orderkey, o_custkey, o_orderstatus,
+  CASE WHEN o_orderkey % 29 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice,
+  CAST(o_orderdate AS TIMESTAMP) + to_microseconds(CAST(o_orderkey % 7 * 100000 AS BIGINT)) AS o_orderdate, o_orderpriority FROM orders)"""
+
+
 def _column_profile_sql() -> str:
     parts = []
     for i, c in enumerate(ORDER_COLS):
@@ -259,7 +265,7 @@ def _column_profile_sql() -> str:
          min({txt}) AS min_text, max({txt}) AS max_text,
          CASE WHEN count(DISTINCT {c}) <= 50 THEN count(DISTINCT {c}) ELSE 20 END AS n_shown,
          count(DISTINCT {c}) - CASE WHEN count(DISTINCT {c}) <= 50 THEN count(DISTINCT {c}) ELSE 20 END AS n_more
-  FROM orders""")
+  FROM {FINE_ORDERS}""")
     return "\nUNION ALL".join(parts)
 
 
@@ -267,17 +273,12 @@ def _column_samples_sql() -> str:
     parts = []
     for c in ORDER_COLS:
         num, txt = _order_typed(c)
-        parts.append(f"SELECT DISTINCT '{c}' AS \"column\", {num} AS value_num, {txt} AS value_text "
-                     f"FROM orders WHERE {c} IS NOT NULL")
-    union = "\n  UNION ALL ".join(parts)
-    return f"""
-WITH d AS (
-  {union}),
-r AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY value_num ASC NULLS LAST,
-                                  value_text ASC NULLS LAST) AS rank,
-             count(*) OVER (PARTITION BY "column") AS k FROM d)
-SELECT "column", CAST(rank AS BIGINT) AS rank, value_num, value_text FROM r
-WHERE rank <= CASE WHEN k <= 50 THEN k ELSE 20 END"""
+        parts.append(f"""
+SELECT '{c}' AS "column", CAST(rank AS BIGINT) AS rank, {num} AS value_num, {txt} AS value_text
+FROM (SELECT {c}, row_number() OVER (ORDER BY {c}) AS rank, count(*) OVER () AS k
+      FROM (SELECT DISTINCT {c} FROM {FINE_ORDERS} WHERE {c} IS NOT NULL))
+WHERE rank <= CASE WHEN k <= 50 THEN k ELSE 20 END""")
+    return "\nUNION ALL".join(parts)
 
 
 LINE_NUMERIC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
