@@ -41,10 +41,9 @@ def _pieces(path: str, capacity: int):
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            data = data.tobytes()
             out = []
-            for k, doc in enumerate(batch.column(0).to_pylist()):
-                ids = np.append(encode.ids(data[offsets[k]:offsets[k + 1]]), np.uint32(END_ID)).astype("<u4")
+            for doc, ids in zip(batch.column(0).to_pylist(), encode.ids(data, offsets), strict=True):
+                ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start:start + capacity]
                     out.append((row, doc, piece, start, len(part), zlib.crc32(part.tobytes())))

@@ -95,11 +95,8 @@ def _counter(path: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = ready()
         for batch in batches:
-            data, offsets = text_bytes(batch.column(3))
-            data = data.tobytes()
-            texts = [data[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in range(3)), pa.array([encode.count(t) for t in texts], pa.int64()), pa.array([len(t.split()) for t in texts], pa.int64())],
+            tokens, n_words = encode.counts(*text_bytes(batch.column(3)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(3)), pa.array(tokens), pa.array(n_words)],
                 names=["doc_id", "source", "lang", "tokens", "words"])
     return count
 
