@@ -26,12 +26,13 @@ for _k, _bytes in enumerate((b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQR
                              b"#$%&*", b"<>{}[]\\/=_+~^`@", bytes(range(0x80, 0x100)))):
     _KINDS[list(_bytes)] = _k + 1
 N_KINDS = int(_KINDS.max()) + 1
+N_STATISTICS = N_KINDS + 11
 
 
 def statistics(column: pa.Array) -> np.ndarray:
     """One row of numbers per text; of an empty one, zeros."""
     data, offsets = text_bytes(column)
-    out = np.zeros((len(column), N_KINDS + 11), np.float32)
+    out = np.zeros((len(column), N_STATISTICS), np.float32)
     for first, end, part, offs in chunks(data, offsets):
         n = end - first
         size = np.diff(offs)
@@ -140,7 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Forest:
         F.xxhash64("label_id"), "label").limit(rows)
     own = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))  # at most TRAIN_ROWS pairs of numbers
     got = own.select("label", "text").mapInArrow(_measure, "label double, x array<float>").toArrow()
-    x = np.array(got["x"].to_pylist(), np.float32).reshape(got.num_rows, -1)
+    x = np.array(got["x"].to_pylist(), np.float32).reshape(got.num_rows, N_STATISTICS)
     y = got["label"].to_numpy()
     order = np.lexsort((*x.T, y))  # the same trees however rows arrive
     return train(x[order], y[order])
