@@ -15,22 +15,23 @@ repeat:
    place, so every repeat shows as an anchor hash that occurs twice. (This
    pass sees all windows of all bytes.)
 2. The text around each repeated anchor (all windows over it, less than
-   ``2 * length`` bytes) is cut out and dealt by the anchor hash.
-3. In a block the cuts, aligned at their anchors, are the documents of the
-   column-wise construction: from the last column to the first, one symbol of
-   each is put before its suffix, the suffix order follows by one stable sort
-   on that symbol, and the common prefix of neighbours is one more than the
-   least common prefix between them in the order before. Where a neighbour
-   shares ``length`` bytes, the window repeats. Comparisons are of bytes, not
-   of hashes.
-
-Blocks hold whole anchor groups of at most ``GROUP`` cuts. A larger group
-(a passage that a third of the corpus has) is never gathered: equal cuts are
-counted and represented by one, and if more than ``GROUP`` different ones
-remain, the windows are split into two halves by their place around the
-anchor, each with a longer common core; unequal cores fall apart, and the
-halving ends at single windows, where counting alone decides. Equal texts are
-counted first and take part once.
+   ``2 * length`` bytes) is digested; equal ones are counted, which settles
+   their windows, and one of each goes on.
+3. Groups of an anchor that still have different texts are cut out and dealt by
+   the anchor hash. In a block the cuts, aligned at their anchors, are the
+   documents of the column-wise construction: from the last column to the
+   first, one symbol of each is put before its suffix, the suffix order
+   follows by one stable sort on that symbol, and the common prefix of
+   neighbours is one more than the least common prefix between them in the
+   order before. Where a neighbour shares ``length`` bytes, the window
+   repeats. Comparisons here are of bytes, not of hashes.
+
+Blocks hold whole anchor groups of at most ``GROUP`` cuts. A larger group (a
+passage that a third of the corpus has, in different surroundings) is never
+gathered: its windows are split into ``PARTS`` by their place around the
+anchor, each with a longer common core, and digested again; unequal cores fall
+apart, and the splitting ends at single windows, where counting alone decides.
+Equal texts are counted first and take part once.
 """
 
 from __future__ import annotations
@@ -43,10 +44,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmart.llm.common import chunks, fresh, mix, prepare, spread, stored, table, text_bytes
+from trackmart.llm.common import chunks, mix, prepare, spread, stored, table, text_bytes
 
 LENGTH = 400
 GROUP = 4096
+PARTS = 8  # parts that the windows of a larger group are split into
 BLOCK_CUTS = 8192  # cuts sorted together; whole groups, so at most GROUP more
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _BASE_INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
@@ -139,7 +141,7 @@ def _cutter(length: int):
 
     A spot stands for the windows that start ``lo`` to ``hi`` bytes before its
     place. Mode 0 cuts their bytes out; 1 gives the digests of their core and
-    of all their bytes, 2 the same for either half of them.
+    of all their bytes, 2 the same for each of ``PARTS`` parts of them.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.binary(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
@@ -154,8 +156,9 @@ def _cutter(length: int):
                         start = place - hi
                         rows.append((key, 0, h, lo, hi, place, None, b"\xff" * max(0, -start) + text[max(0, start):place - lo + length]))
                         continue
-                    mid = (lo + hi) // 2
-                    for a, b in ((lo, hi),) if mode == 1 else ((lo, mid), (mid + 1, hi)):
+                    step = hi - lo + 1 if mode == 1 else -(-(hi - lo + 1) // PARTS)
+                    for a in range(lo, hi + 1, step):
+                        b = min(a + step - 1, hi)
                         if place - a < 0 or place - b + length > len(text):
                             continue  # no window of this range lies in the text
                         core = _digest(text[place - a:place - b + length], a, b)
@@ -296,7 +299,7 @@ def repeat_spans(docs: DataFrame, id_col: str, text_col: str, length: int) -> tu
     counts = anchors.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
     widest = length - gram_size(length)
     spots = anchors.join(counts, "hash").select(
-        "key", F.struct("place", F.lit(0).alias("lo"), F.lit(widest).alias("hi"), "hash", F.when(F.col("n") > GROUP, 1).otherwise(0).alias("mode")).alias("spot"))
+        "key", F.struct("place", F.lit(0).alias("lo"), F.lit(widest).alias("hi"), "hash", F.lit(1).alias("mode")).alias("spot"))
     spots = stored(spots.groupBy("key").agg(F.collect_list("spot").alias("spots")), "repeat-spots")  # bounded by the text's length
 
     wanted = spots.select("key").join(texts, "key").select(F.col("key").alias("key2"), F.col("id").alias("first"))
@@ -308,11 +311,14 @@ def repeat_spans(docs: DataFrame, id_col: str, text_col: str, length: int) -> tu
         cuts = stored(bodies.join(spots, "key").select("key", "text", "spots").mapInArrow(_cutter(length), _CUTS), "repeat-cuts", ["mode"])
         aligned = (cuts.where("mode = 0").select("key", "hash", "lo", "place", "hi", "bytes")
                    .repartition(spread(docs), "hash").sortWithinPartitions("hash", "key", "place"))
-        parts.append(stored(aligned.mapInArrow(_sorter(length), "key binary, start long, end long"), "repeat-spans"))
-        items = cuts.where("mode = 1").drop("mode", "bytes").distinct()
+        if cuts.where("mode = 0").limit(1).count():
+            parts.append(stored(aligned.mapInArrow(_sorter(length), "key binary, start long, end long"), "repeat-spans"))
+        items = cuts.where("mode = 1").drop("mode", "bytes")
         if not items.limit(1).count():
             break
-        # Groups too large to gather: equal bytes count, one stands for all.
+        # Equal bytes are counted, one stands for all; groups too large to gather
+        # are split. (A row that is repeated whole counts twice here, which only
+        # concerns its own text, and that one is removed whole.)
         group = ["hash", "lo", "hi"]
         equal = stored(items.groupBy(*group, "whole").agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("one")), "repeat-equal")
         parts.append(items.join(equal.where("n > 1").select(*group, "whole"), [*group, "whole"])
@@ -322,7 +328,7 @@ def repeat_spans(docs: DataFrame, id_col: str, text_col: str, length: int) -> tu
             F.col("one.key").alias("key"), F.struct(F.col("one.place").alias("place"), "lo", "hi", "hash", F.when(F.col("d") > GROUP, 2).otherwise(0).alias("mode")).alias("spot"))
         spots = stored(spots.groupBy("key").agg(F.collect_list("spot").alias("spots")), "repeat-spots")
 
-    every = parts[0]
+    every = parts[0] if parts else docs.sparkSession.createDataFrame([], "key binary, start long, end long")
     for part in parts[1:]:
         every = every.unionByName(part)
     spans = every.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))  # bounded by the text's length
