@@ -43,7 +43,13 @@ def test_golden_merge(spark):
 def test_match_report(spark):
     t, a, c = frames(spark)
     rep = {r["join"]: (r["matched_rows"], r["total_rows"]) for r in merge_report(tracks=t, awards=a, channels=c).collect()}
-    assert rep == {"channels": (5, 5), "awards": (3, 6)}
+    assert rep == {"channels": (5, 5), "awards": (3, 6), "shared_track_id": (2, 6)}  # t1 has two nominations
+
+
+def test_awards_without_rows_keep_every_track_row(spark):
+    t, a, c = frames(spark)
+    out = merge_all(tracks=t.unionByName(t.filter("track_id = 't1'")), awards=a.limit(0), channels=c)
+    assert out.count() == 6 and out.filter("grammy_year IS NULL AND grammy_category = ''").count() == 6
 
 
 def test_degraded_paths(spark):
