@@ -4,10 +4,12 @@
 2. Benchmark items, cut into passages, become TF-IDF rows; a distributed
    randomised SVD (random projection, one power iteration, each a pass over
    the passages that Spark sums by column) gives the latent space.
-3. Every window of every document is weighed: a window whose TF-IDF energy lies
-   mostly on words that no passage has cannot be near one. What is left is
-   projected, and passages within a cosine are candidates. Passages are taken
-   in blocks of bounded size.
+3. A copy that covers ``COVERED`` of a passage misses at most the rest, so
+   of its rarest words, ``RARE_HITS`` more than it may miss, as many are there.
+   Every word of every document is looked up among the rare words, and only
+   stretches with so many of one passage near each other can hold a copy. Their
+   windows are projected, and passages within a cosine are candidates.
+   Passages are taken in blocks of bounded size.
 4. A candidate counts if the longest common subsequence of words covers
    ``COVERED`` of the passage and ``ANSWERED`` of its answer (the last
    sentence, or the last quarter where it has one sentence), so that edited and
@@ -30,7 +32,8 @@ WIDTH_BITS = 17  # hashed columns of the TF-IDF matrix: bounds what reaches the
 RANK, EXTRA = 128, 16
 PASSAGE, PASSAGE_STEP = 64, 32  # words
 WINDOW, WINDOW_STEP = 32, 8
-ENERGY = 0.25
+RARE_HITS = 3
+REACH = 2 * PASSAGE + WINDOW  # at most so many words that are compared with a passage at a time
 COSINE = 0.5
 COVERED, ANSWERED = 0.7, 0.5
 SHORT = 13  # passages under so many words must be covered whole
@@ -168,72 +171,97 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
     return len(tails)
 
 
-def _regions(weights: np.ndarray, vocabulary: np.ndarray):
-    """``(id, text)`` to stretches of words with a window that may be near a
-    passage, and ``PASSAGE`` words on either side."""
-    energy = weights.astype(np.float64) ** 2
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, found, firsts = [], [], []
-            names = batch.column(0)
-            for first, end, part, offs in chunks(*text_bytes(batch.column(1))):
-                _, _, row, hashed = words(part, offs, PLAIN)
-                column = _column(hashed)
-                every = np.append(0, np.cumsum(energy[column]))
-                inside = np.append(0, np.cumsum(np.where(vocabulary[column], energy[column], 0)))
-                cuts = np.searchsorted(row, np.arange(end - first + 1))
-                # Window starts of all rows, the last one flush with the row's end.
-                for k in np.flatnonzero(np.diff(cuts)):
-                    a, b = int(cuts[k]), int(cuts[k + 1])
-                    start = np.arange(a, max(a + 1, b - WINDOW + WINDOW_STEP), WINDOW_STEP)
-                    stop = np.minimum(start + WINDOW, b)
-                    near = (inside[stop] - inside[start]) >= ENERGY * (every[stop] - every[start])
-                    if not near.any():
-                        continue
-                    lo, hi = np.maximum(start[near] - PASSAGE, a), np.minimum(stop[near] + PASSAGE, b)
-                    new = np.flatnonzero(np.append(True, lo[1:] > np.maximum.accumulate(hi)[:-1]))
-                    for s, e in zip(lo[new], hi[np.append(new[1:] - 1, len(hi) - 1)], strict=True):
-                        ids.append(names[first + int(k)].as_py())
-                        found.append(hashed[s:e].view(np.int64))
-                        firsts.append(int(s - a))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.int64())), pa.array(firsts, pa.int64())],
-                                             names=["doc_id", "words", "first"])
-    return cut
+class _RareWords:
+    """The rarest words of a block of passages, and how many of a passage's a
+    copy has at least."""
+
+    def __init__(self, block: list[np.ndarray], weights: np.ndarray) -> None:
+        keys, owners, self.need = [], [], np.zeros(len(block), np.int64)
+        self.reach = np.array([WINDOW + 2 * len(own) for own in block])
+        for p, own in enumerate(block):
+            own = own.view(np.uint64)
+            missed = int(len(own) * (1 - COVERED) + 1e-9) if len(own) >= SHORT else 0
+            self.need[p] = min(len(own) - missed, RARE_HITS)
+            rare = np.unique(own[np.lexsort((own, -weights[_column(own)]))[:missed + self.need[p]]])
+            keys.append(rare)
+            owners.append(np.full(len(rare), p))
+        keys, owners = np.concatenate(keys), np.concatenate(owners)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.owners = keys[order], owners[order]
+        self.table = np.zeros(1 << 24, bool)
+        self.table[(self.keys >> np.uint64(40)).astype(np.int64)] = True
+
+    def stretches(self, hashed: np.ndarray, row: np.ndarray) -> list[tuple[int, int, int]]:
+        """Word ranges, each within a row, that can hold a copy, and of which
+        passage."""
+        hits = np.flatnonzero(self.table[(hashed >> np.uint64(40)).astype(np.int64)])
+        first = np.searchsorted(self.keys, hashed[hits], "left")
+        n = np.searchsorted(self.keys, hashed[hits], "right") - first
+        ends = np.cumsum(n)
+        if not len(ends) or not ends[-1]:
+            return []
+        owner = self.owners[np.repeat(first - ends + n, n) + np.arange(ends[-1])]
+        place = np.repeat(hits, n)
+        order = np.lexsort((place, owner))
+        owner, place = owner[order], place[order]
+        apart = place + row[place] * (REACH + 1)  # rows are never near each other
+        last = np.arange(len(owner)) + self.need[owner] - 1
+        inside = np.minimum(last, len(owner) - 1)
+        near = (last < len(owner)) & (owner[inside] == owner) & (apart[inside] - apart < self.reach[owner])
+        a, b, owner, reach = place[near], place[inside[near]], owner[near], self.reach[owner[near]]
+        if not len(a):
+            return []
+        edges = np.searchsorted(row, row[a], "left"), np.searchsorted(row, row[a], "right")
+        lo, hi = np.maximum(b - reach, edges[0]), np.minimum(a + reach, edges[1])
+        # By passage and place already: join what overlaps.
+        new = np.flatnonzero(np.append(True, (lo[1:] > hi[:-1]) | (owner[1:] != owner[:-1]) | (row[lo[1:]] != row[lo[:-1]])))
+        return list(zip(lo[new].tolist(), hi[np.append(new[1:] - 1, len(hi) - 1)].tolist(), owner[new].tolist(), strict=True))
 
 
 def _matcher(weights: np.ndarray, columns: np.ndarray, basis: np.ndarray, block: list[dict]):
-    coordinates = np.zeros((1 << WIDTH_BITS, basis.shape[1]), np.float32)
     item_words = [np.array(p["words"], np.int64) for p in block]
+    rank = basis.shape[1]
 
     def unit(x: np.ndarray) -> np.ndarray:
         return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coordinates[columns] = basis
-        items = unit(np.array([(weights[_column(w.view(np.uint64))][:, None] * coordinates[_column(w.view(np.uint64))]).sum(axis=0) for w in item_words]))
+        rare = _RareWords(item_words, weights)
+        where = np.full(1 << WIDTH_BITS, len(columns))
+        where[columns] = np.arange(len(columns))
+        coordinates = np.concatenate([basis, np.zeros((1, rank), np.float32)])
+
+        def project(own: np.ndarray) -> np.ndarray:
+            column = _column(own.view(np.uint64))
+            return weights[column][:, None] * coordinates[where[column]]
+
+        items = unit(np.array([project(w).sum(axis=0) for w in item_words]))
+
+        def compared(own: np.ndarray, p: int) -> Iterator[tuple]:
+            want = item_words[p]
+            start = np.arange(0, max(1, len(own) - WINDOW + WINDOW_STEP), WINDOW_STEP)
+            stop = np.minimum(start + WINDOW, len(own))
+            run = np.concatenate([np.zeros((1, rank)), np.cumsum(project(own), axis=0, dtype=np.float64)])
+            near = unit(run[stop] - run[start]) @ items[p]
+            for w in np.flatnonzero(near >= COSINE).tolist():
+                segment = own[max(0, int(start[w]) - len(want)):int(stop[w]) + len(want)]
+                covered = common_subsequence(want, segment) / len(want)
+                if covered < (COVERED if len(want) >= SHORT else 1.0):
+                    continue
+                answer = want[block[p]["answer"]:]
+                answered = common_subsequence(answer, segment) / len(answer) if len(answer) else 1.0
+                if answered >= ANSWERED:
+                    yield block[p]["item_id"], float(near[w]), covered, answered, int(start[w])
+
         for batch in batches:
-            out = []
-            for doc, own, first in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                own = np.asarray(own.values)
-                column = _column(own.view(np.uint64))
-                start = np.arange(0, max(1, len(own) - WINDOW + WINDOW_STEP), WINDOW_STEP)
-                for at in range(0, len(start), 1024):
-                    s = start[at:at + 1024]
-                    base, stop = int(s[0]), np.minimum(s + WINDOW, len(own))
-                    part = column[base:int(stop[-1])]
-                    run = np.concatenate([np.zeros((1, basis.shape[1])), np.cumsum(weights[part][:, None] * coordinates[part], axis=0, dtype=np.float64)])
-                    near = unit(run[stop - base] - run[s - base]) @ items.T
-                    for w, p in zip(*np.nonzero(near >= COSINE), strict=True):
-                        want = item_words[p]
-                        segment = own[max(0, int(s[w]) - len(want)):int(stop[w]) + len(want)]
-                        covered = common_subsequence(want, segment) / len(want)
-                        if covered < (COVERED if len(want) >= SHORT else 1.0):
-                            continue
-                        answer = want[block[p]["answer"]:]
-                        answered = common_subsequence(answer, segment) / len(answer) if len(answer) else 1.0
-                        if answered >= ANSWERED:
-                            out.append((doc, block[p]["item_id"], float(near[w, p]), covered, answered, first + int(s[w])))
+            out, names = [], batch.column(0)
+            for first, _, part, offs in chunks(*text_bytes(batch.column(1))):
+                _, _, row, hashed = words(part, offs, PLAIN)
+                for lo, hi, p in rare.stretches(hashed, row):
+                    doc, begin = names[first + int(row[lo])].as_py(), int(np.searchsorted(row, row[lo]))
+                    for at in range(lo, hi, 4096):  # long stretches in overlapping pieces
+                        for item, cosine, covered, answered, word in compared(hashed[at:min(hi, at + 4096 + 2 * REACH)].view(np.int64), p):
+                            out.append((doc, item, cosine, covered, answered, at - begin + word))
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * 6, kinds, strict=True)],
                                              names=["doc_id", "item_id", "cosine", "covered", "answered", "word"])
@@ -260,14 +288,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     passages = stored(passages.withColumn("place", F.monotonically_increasing_id()), "passages")
     weights = inverse_frequencies(rows)
     columns, basis = latent_basis(passages, weights)
-    vocabulary = np.zeros(1 << WIDTH_BITS, bool)
-    vocabulary[columns] = True
-    regions = stored(rows.mapInArrow(_regions(weights, vocabulary), "doc_id long, words array<long>, first long"), "regions")
-
     found = None
     order, last = passages.orderBy("place"), -1
     while block := order.where(F.col("place") > last).limit(BLOCK).toArrow().to_pylist():
-        hits = regions.mapInArrow(_matcher(weights, columns, basis, block), FOUND)
+        hits = rows.mapInArrow(_matcher(weights, columns, basis, block), FOUND)
         found = hits if found is None else found.unionByName(hits)
         last = block[-1]["place"]
     if found is None:
