@@ -45,3 +45,14 @@ def test_planted_cases(spark, tmp_path):
     assert set(left[3]) == set(left[2]) - {204}
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in packed} == set(left[3])
+
+
+def test_passages_are_counted_in_words(spark, tmp_path):
+    rng = random.Random(12)
+    short, wide = " ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=51)), words(rng, 50, 10**9)
+    assert len(short) == 101 and len(wide) > 250
+    table = [(k, f"{words(rng, 80, 30_000)} {passage} {words(rng, 80, 30_000)}", "en", "s", 0) for k, passage in enumerate([short, short, wide, wide])]
+    docs = spark.createDataFrame(table, SCHEMA)
+    got = {r["doc_id"]: r["text"] for r in dict(corpus_pipeline.STAGES)["suffix-array dedup"](spark, docs, str(tmp_path)).collect()}
+    assert all(short not in got[k] and len(got[k].split()) == 160 for k in (0, 1))
+    assert all(got[k] == table[k][1] for k in (2, 3))

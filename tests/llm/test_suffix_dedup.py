@@ -70,3 +70,47 @@ def test_stage_rewrites_texts_and_keeps_rows(spark, docs):
         if r["text"] is not None and r["text"].isascii():
             assert hashlib.sha256(r["text"].encode()).hexdigest() == want[r["doc_id"]]
             assert r["n_chars"] == len(r["text"])
+
+
+def brute_words(texts, least):
+    """The words left of each text, without those under a run of ``least``
+    words that stands twice."""
+    lists = [(t or "").split() for t in texts]
+    seen = Counter(tuple(own[k:k + least]) for own in lists for k in range(len(own) - least + 1))
+    out = []
+    for own in lists:
+        gone = {j for k in range(len(own) - least + 1) if seen[tuple(own[k:k + least])] > 1 for j in range(k, k + least)}
+        out.append([w for j, w in enumerate(own) if j not in gone])
+    return out
+
+
+@pytest.mark.parametrize("least", [51, 12])
+def test_stage_counts_words(spark, docs, least):
+    rng = np.random.default_rng(6)
+    short = lambda n: " ".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n))
+    wide = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), 12)) for _ in range(n))
+    table = [(r[0], r[1]) for r in corpus()]
+    for k, passage in enumerate([short(least), wide(least - 1), wide(least), short(least + 30), " ".join(["\u00e9", *["y"] * (least + 4), "z"])]):
+        table += [(1000 + 10 * k + j, f"{wide(20 + j)} {passage}{end}") for j, end in enumerate(["", f" {wide(9)}", f"\n{wide(70)}"])]
+    df = spark.createDataFrame(table, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["text"] for r in S.remove_repeats(spark, df, "", least=least).collect()}
+    assert len(got) == len(table) and S.remove_repeats(spark, df, "", least=least).count() == len(table)
+    assert [(got[k] or "").split() for k, _ in table] == brute_words([t for _, t in table], least)
+    assert all(got[1010 + j] == dict(table)[1010 + j] for j in range(3))  # one word too few, whatever its bytes
+
+
+def test_copies_that_share_a_passage_stay_one_row_each(spark):
+    rng = np.random.default_rng(8)
+    wide = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), 9)) for _ in range(n))
+    shared, own = wide(60), wide(40)
+    df = spark.createDataFrame([(1, f"{shared} {own}"), (2, f"{shared} {own}"), (3, f"{wide(30)} {shared}")], "doc_id bigint, text string")
+    for length in (None, 200):
+        assert sorted(r["doc_id"] for r in S.remove_repeats(spark, df, "", length=length).collect()) == [1, 2, 3]
+
+
+def test_words_of_scripts_without_spaces():
+    texts = ["ab  c\n", "", "\u6f22\u5b57 x\u4e2dy", " \u00e9t\u00e9", "\u0e01\u0e02z"]
+    raw = [t.encode() for t in texts]
+    offsets = np.cumsum([0, *map(len, raw)])
+    starts, ends = S.word_ranges(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    assert [b"".join(raw)[a:b].decode() for a, b in zip(starts, ends)] == ["ab", "c", "\u6f22", "\u5b57", "x", "\u4e2d", "y", "\u00e9t\u00e9", "\u0e01", "\u0e02", "z"]

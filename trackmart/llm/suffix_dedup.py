@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmart.llm.common import chunks, mix, prepare, spread, stored, table, text_bytes
+from trackmart.llm.common import SOLID, chunks, mix, prepare, spread, stored, table, text_bytes
 
 LENGTH = 400
 GROUP = 16_384  # cuts of an anchor sorted together: about 12 MB
@@ -364,7 +364,65 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digest(table(spark, sf_dir, "documents"))
 
 
-STAGE_LENGTH = 250  # about fifty words of a few letters
+STAGE_WORDS = 51  # the stage's passages: over fifty words
+_CODE = 8  # bytes that stand for a word, seven bits of its hash each
+# First two bytes of characters of scripts that put no space between words:
+# Thai, Lao, Tibetan; Burmese; Khmer; kana and Chinese characters.
+_UNSPACED = ((0xE0B8, 0xE0BF), (0xE180, 0xE182), (0xE19E, 0xE19F), (0xE2BA, 0xE9BF))
+
+
+def word_ranges(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of rows laid end to end: what white space
+    parts; where a script has none between words, each character."""
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    solid, edge = SOLID[data], np.zeros(len(data), bool)
+    edge[offsets[:-1][offsets[:-1] < len(data)]] = True
+    edge[1:] |= ~solid[:-1]
+    high = np.flatnonzero(data[:-1] >= 0xE0)  # first bytes of long characters
+    pair = data[high].astype(np.int64) << 8 | data[high + 1]
+    alone = high[np.any([(pair >= a) & (pair <= b) for a, b in _UNSPACED], axis=0)]
+    edge[alone] = True
+    edge[alone[alone + 3 < len(data)] + 3] = True
+    starts, stops = np.flatnonzero(solid & edge), np.append(np.flatnonzero(edge | ~solid), len(data))
+    return starts, stops[np.searchsorted(stops, starts, "right")]
+
+
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with every word as the ``_CODE`` ASCII bytes of its hash."""
+    for batch in batches:
+        out = []
+        for first, end, part, offs in chunks(*text_bytes(batch.column(1))):
+            starts, ends = word_ranges(part, offs)
+            if not len(starts):
+                out += [""] * (end - first)
+                continue
+            sizes = ends - starts
+            place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            with np.errstate(over="ignore"):
+                value = (part[np.repeat(starts, sizes) + place].astype(np.uint64) + np.uint64(1)) * _power_tables(int(sizes.max()))[0][place]
+                hashed = mix(np.add.reduceat(value, np.cumsum(sizes) - sizes))
+            code = (hashed[:, None] >> np.arange(8, 8 + 7 * _CODE, 7, dtype=np.uint64) & np.uint64(0x7F)).astype(np.uint8).tobytes().decode("ascii")
+            cuts = np.searchsorted(starts, offs) * _CODE
+            out += [code[cuts[k]:cuts[k + 1]] for k in range(end - first)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["doc_id", "text"])
+
+
+def _coded_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The key that ``repeat_spans`` gives the coded text."""
+    for batch in _coded(batches):
+        keys = [hashlib.sha256(t.encode()).digest()[:16] for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary())], names=["own", "key"])
+
+
+def _without_words(text: bytes, spans: list[dict], least: int) -> bytes:
+    """``text`` without the words under spans of its coded form. Part of a code
+    at a span's end is an accident of the hash, so only whole ones count, and
+    only spans with ``least`` words."""
+    whole = [{"start": -(-x["start"] // _CODE), "end": x["end"] // _CODE} for x in spans]
+    starts, ends = word_ranges(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    kept = _kept(text, [(int(starts[a]), int(ends[b - 1])) for a, b in _merge([x for x in whole if x["end"] - x["start"] >= least])])
+    return kept if kept.strip() else b""
 
 
 def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -374,17 +432,37 @@ def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["key", "text"])
 
 
-def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str, length: int = STAGE_LENGTH) -> DataFrame:
-    """Pipeline stage: every document stays, without the bytes under a
-    repeated string (a character cut in two goes too); ``n_chars`` follows
-    where the input has it."""
+def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str, length: int | None = None, least: int = STAGE_WORDS) -> DataFrame:
+    """Pipeline stage: every document stays, without the words under a passage
+    of ``least`` words or more that also stands elsewhere (white space between
+    words may differ); ``n_chars`` follows where the input has it.
+
+    Words differ in size, so no byte length stands for a number of them: texts
+    are searched as codes of equal size, one a word, and spans go back to the
+    words they hold. With ``length``, the passages are strings of so many bytes
+    instead (a character cut in two goes too).
+    """
     prepare(spark)
-    marks, spans, bodies = repeat_spans(docs, "doc_id", "text", length)
-    shorter = bodies.join(spans, "key").select("key", "text", "spans").mapInArrow(_rewrite, "key binary, text string").dropDuplicates(["key"])
-    copied = marks.where("copies > 1").select("key").distinct().withColumn("text", F.lit(""))
-    changed = shorter.unionByName(copied).select(F.col("key").alias("_key"), F.col("text").alias("_kept"))
     own = F.substring(F.unhex(F.sha2(F.coalesce(docs["text"], F.lit("")), 256)), 1, 16)
+    source = docs if length else docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_coded, "doc_id long, text string")
+    marks, spans, bodies = repeat_spans(source, "doc_id", "text", length or least * _CODE)
+    copied = marks.where("copies > 1").select("key", "n_bytes").distinct()
+    spans = spans.join(copied, "key", "left_anti")  # those go whole
+    if length:
+        shorter = bodies.join(spans, "key").select("key", "text", "spans").mapInArrow(_rewrite, "key binary, text string").dropDuplicates(["key"])
+        changed = shorter.unionByName(copied.select("key", F.lit("").alias("text"))).select(F.col("key").alias("_key"), F.col("text").alias("_kept"))
+        text = F.coalesce(changed["_kept"], docs["text"])
+    else:
+        @F.arrow_udf("string")
+        def without(texts: pa.Array, spans: pa.Array) -> pa.Array:
+            return pa.array([_without_words(t.as_py().encode(), s.as_py(), least).decode() if s.is_valid else None for t, s in zip(texts, spans, strict=True)], pa.string())
+
+        # Texts of equal words are one coded text; each is cut by itself.
+        cut = spans.unionByName(copied.select("key", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))).alias("spans")))
+        keys = docs.where(F.col("text").isNotNull()).select(own.alias("own"), "text").mapInArrow(_coded_keys, "own binary, key binary").distinct()
+        changed = keys.join(cut, "key").select(F.col("own").alias("_key"), F.col("spans").alias("_spans"))
+        found = changed["_spans"].isNotNull()
+        text = F.when(found, without(F.when(found, docs["text"]), changed["_spans"])).otherwise(docs["text"])
     rows = docs.join(changed, own == changed["_key"], "left")
-    text = F.coalesce(changed["_kept"], docs["text"])
     columns = {"text": text, "n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {"text": text}
     return rows.select(*[columns.get(c, docs[c]).alias(c) for c in docs.columns])
