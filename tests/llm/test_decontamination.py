@@ -57,6 +57,24 @@ def test_answer_must_be_there(spark):
     assert [r["doc_id"] for r in got] == [1]
 
 
+def test_short_answers_decide_nothing_alone(spark):
+    rng = random.Random(21)
+    fill = lambda n: words(rng, n, 50_000)
+    items, docs, want = [], [(900 + k, fill(120)) for k in range(20)], set()
+    for k, n in enumerate([1, 2, 1, 2, 3, 1]):
+        body, answer = fill(40 + 3 * k), fill(n)
+        items.append((k, f"{body}. {answer}."))
+        docs.append((100 + k, f"{fill(32)} {body} {fill(32)}"))  # without the answer: 0.9 or more of the item
+        edited = f"{body} {answer}".split()
+        for at in range(0, len(edited) - n, 5):  # a fifth of the words and the answer replaced
+            edited[at] = fill(1)
+        docs.append((200 + k, f"{fill(32)} {' '.join(edited[:-n])} {fill(n)} {fill(32)}"))
+        want |= {(100 + k, k), (200 + k, k)}
+    got = D.contaminated(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want
+    assert all(r["covered"] >= D.WHOLE or r["answered"] >= D.ANSWERED for r in got)
+
+
 def test_latent_space_against_a_dense_svd(spark, monkeypatch):
     monkeypatch.setattr(D, "RANK", 6)
     monkeypatch.setattr(D, "EXTRA", 6)

@@ -12,7 +12,8 @@
    Passages are taken in blocks of bounded size.
 4. A candidate counts if the longest common subsequence of words covers
    ``COVERED`` of the passage and ``ANSWERED`` of its answer (the last
-   sentence, or the last quarter where it has one sentence), so that edited and
+   sentence, or the last quarter of the words where that is longer), or
+   ``WHOLE`` of the passage whatever the answer, so that edited and
    paraphrased copies count and shared phrases do not.
 """
 
@@ -36,6 +37,7 @@ RARE_HITS = 3
 REACH = 2 * PASSAGE + WINDOW  # at most so many words that are compared with a passage at a time
 COSINE = 0.5
 COVERED, ANSWERED = 0.7, 0.5
+WHOLE = 0.9  # covered share that counts without the answer
 SHORT = 13  # passages under so many words must be covered whole
 BLOCK = 4096  # passages compared with all windows at a time
 _SEED = 7_2024
@@ -77,11 +79,14 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             ends = np.flatnonzero(np.isin(raw, np.frombuffer(b".!?\n", np.uint8)))
             ends = ends[ends < starts[-1]]  # sentence ends before the last word
-            answer = int(np.searchsorted(starts, ends[-1])) if len(ends) else len(hashed) - max(1, len(hashed) // 4)
+            answer = int(np.searchsorted(starts, ends[-1])) if len(ends) else len(hashed)
+            answer = min(answer, len(hashed) - -(-len(hashed) // 4))
             for at in range(0, max(1, len(hashed) - PASSAGE_STEP), PASSAGE_STEP):
                 items.append(item)
                 found.append(hashed[at:at + PASSAGE].view(np.int64))
-                answers.append(min(max(answer - at, 0), len(found[-1])))
+                n = len(found[-1])
+                # A passage that ends within the answer has a quarter of its words too.
+                answers.append(n if answer - at >= n else min(max(answer - at, 0), n - -(-n // 4)))
         yield pa.RecordBatch.from_arrays([pa.array(items, pa.int64()), pa.array(found, pa.list_(pa.int64())), pa.array(answers, pa.int32())],
                                          names=["item_id", "words", "answer"])
 
@@ -250,7 +255,7 @@ def _matcher(weights: np.ndarray, columns: np.ndarray, basis: np.ndarray, block:
                     continue
                 answer = want[block[p]["answer"]:]
                 answered = common_subsequence(answer, segment) / len(answer) if len(answer) else 1.0
-                if answered >= ANSWERED:
+                if answered >= ANSWERED or covered >= WHOLE:
                     yield block[p]["item_id"], float(near[w]), covered, answered, int(start[w])
 
         for batch in batches:
