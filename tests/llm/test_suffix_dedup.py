@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from .conftest import corpus, rows, with_clashes
@@ -43,6 +44,28 @@ def test_groups_too_large_to_gather(spark, monkeypatch, group):
     assert rows(S.repeat_digest(df, length=60)) == brute(table, 60)
 
 
+def test_parts_of_two_anchors_at_one_byte(spark, monkeypatch):
+    monkeypatch.setattr(S, "GROUP", 2)
+    rng = np.random.default_rng(0)
+    letters = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    shared = letters(150)
+    table = [(k, letters(50) + shared[5 * k:] + letters(40)) for k in range(12)]
+    df = spark.createDataFrame(table, "doc_id bigint, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 1)  # all groups in one block
+    try:
+        assert rows(S.repeat_digest(df, length=60)) == brute(table, 60)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_a_text_does_not_match_itself():
+    text = bytes(range(97, 123)) * 3
+    cut = [(b"k", h, lo, place, hi, text[place - hi:place - lo + 60]) for h, lo, place, hi in [(5, 0, 11, 5), (6, 6, 17, 11), (7, 6, 17, 11)]]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*cut)], names=["key", "hash", "lo", "place", "hi", "bytes"])
+    assert [len(b) for b in S._sorter(60)(iter([batch]))] == [0]
+
+
 def test_null_ids_repeated_rows_and_no_rows(spark):
     df = spark.createDataFrame([(1, "ab" * 300), (1, "ab" * 300), (None, "q" * 399), (None, None), (2, "")], "doc_id bigint, text string")
     assert rows(S.repeat_digest(df)) == brute([tuple(r) for r in df.collect()], 400)

@@ -218,7 +218,9 @@ def _sorter(length: int):
     widest = 2 * length - gram_size(length)
 
     def spans(rows: list) -> pa.RecordBatch:
-        unique = {(r[0], r[3], r[2], r[4]): r for r in rows}  # key, place, lo, hi
+        # Parts of two anchors may begin at the same byte of a text; it must not
+        # match itself, so the widest cut stands for all.
+        unique = {(r[0], r[3] - r[4]): r for r in sorted(rows, key=lambda r: len(r[5]))}
         rows = list(unique.values())
         grid = np.full((len(rows), widest), _PAD, np.uint8)
         for k, r in enumerate(rows):
