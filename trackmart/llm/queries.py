@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trackmart.llm import decontamination, html_text, language, near_dedup, packing, periodic_runs, prefix_trie, quality, sharding, spotsigs, suffix_dedup, token_rollup
+from trackmart.llm import decontamination, html_text, language, near_dedup, packing, periodic_runs, prefix_trie, quality, secret_scan, sharding, spotsigs, suffix_dedup, token_rollup
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_spotsigs": spotsigs.op10_spotsigs,
     "op11_prefix_trie": prefix_trie.op11_prefix_trie,
     "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_secret_scan": secret_scan.op13_secret_scan,
 }
 
 SQL: dict[str, str] = {"op11_prefix_trie": prefix_trie.SQL}
