@@ -12,7 +12,7 @@ def test_stages_and_registration():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "minhash near-dedup", "suffix-array dedup", "benchmark decontamination", "best-fit packing"]
     names = set(__spark_entry__.queries())
-    assert "pipeline" in names and {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11))
+    assert "pipeline" in names and {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 14))
 
 
 def test_planted_cases(spark, tmp_path):

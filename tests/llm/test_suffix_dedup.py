@@ -22,7 +22,7 @@ def brute(table, length):
                 gone[k:k + length] = b"\x01" * length
         spans = sum(1 for k in range(len(t)) if gone[k] and (k == 0 or not gone[k - 1]))
         kept = bytes(b for b, g in zip(t, gone) if not g)
-        out.append((doc, len(t), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+        out.append((doc, len(t), sum(gone), spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
     return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
@@ -44,6 +44,20 @@ def test_groups_too_large_to_gather(spark, monkeypatch, group):
     assert rows(S.repeat_digest(df, length=60)) == brute(table, 60)
 
 
+@pytest.mark.parametrize("group", [2, 16_384])
+def test_passages_of_very_many_texts(spark, monkeypatch, group):
+    """Anchors, surroundings and groups told by literals, not by a join."""
+    monkeypatch.setattr(S, "GROUP", group)
+    monkeypatch.setattr(S, "COMMON_LEAST", 3)
+    rng = np.random.default_rng(7)
+    letters = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    shared, pair = letters(150), letters(90)
+    table = [(k, letters(50) + (shared if k % 2 else shared[5 * (k % 8):]) + letters(30 + k)) for k in range(40)]
+    table += [(100 + k, letters(70) + pair + letters(20)) for k in range(2)] + [(200 + k, shared) for k in range(3)] + [(300, letters(500))]
+    df = spark.createDataFrame(table, "doc_id bigint, text string").repartition(3)
+    assert rows(S.repeat_digest(df, length=60)) == brute(table, 60)
+
+
 def test_parts_of_two_anchors_at_one_byte(spark, monkeypatch):
     monkeypatch.setattr(S, "GROUP", 2)
     rng = np.random.default_rng(0)

@@ -37,11 +37,11 @@ Equal texts are counted first and take part once.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackmart.llm.common import SOLID, chunks, mix, prepare, spread, stored, table, text_bytes
@@ -275,36 +275,58 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for text, spans in zip(batch.column(1), batch.column(2), strict=True):
             text, runs = text.as_py().encode(), _merge(spans.as_py())
-            out.append((sum(b - a for a, b in runs), len(runs), hashlib.sha256(_kept(text, runs)).digest()))
-        removed, n_spans, marks = zip(*out, strict=True) if out else ((), (), ())
+            kept = _kept(text, runs)
+            out.append((sum(b - a for a, b in runs), len(runs), hashlib.sha256(kept).digest(), kept.decode("utf-8", "ignore")))
+        removed, n_spans, marks, left = zip(*out, strict=True) if out else ((), (), (), ())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(marks, pa.binary())],
-            names=["key", "n_removed", "n_spans", "kept"])
+            [batch.column(0), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(marks, pa.binary()), pa.array(left, pa.string())],
+            names=["key", "n_removed", "n_spans", "kept", "left"])
+
+
+COMMON = 4096  # fewer keys than this can have more than 1 / COMMON of all rows
+COMMON_LEAST = 256  # rows of a common key at least
+
+
+def common_keys(counts: DataFrame, key: Column, n: str) -> dict[int, int]:
+    """Keys (longs) of counted groups that hold more than ``1 / COMMON`` of all
+    counted rows, which fewer than ``COMMON`` can, and their counts. Rows of
+    such keys are told by a list of literals, so none is shuffled by its key."""
+    total = counts.agg(F.coalesce(F.sum(n), F.lit(0)).alias("n")).first()["n"]
+    bound = max(COMMON_LEAST, total // COMMON)
+    return {r["k"]: r["n"] for r in counts.where(F.col(n) > bound).select(key.alias("k"), F.col(n).alias("n")).collect()}
+
+
+def among(key: Column, values: Iterable[int]) -> Column:
+    values = list(values)
+    return key.isin(values) if values else F.lit(False)
 
 
 def repeat_spans(docs: DataFrame, id_col: str, text_col: str, length: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(marks, spans, texts)``: per input row ``id, n_bytes, mark`` (SHA-256),
-    ``key`` and ``copies`` (rows with this text); per text key its repeated
-    ``spans``, for texts that occur once; those texts."""
+    """``(texts, spans, bodies)``: per text of ``length`` bytes or more its
+    ``key`` (of its SHA-256), ``n_bytes`` and ``copies`` (rows that have it);
+    per text key its repeated ``spans``, for texts that occur once; those texts."""
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     key = F.substring("mark", 1, 16).alias("key")
     scanned = stored(source.mapInArrow(_scan(length), "id long, n_bytes long, mark binary, places array<int>, hashes array<long>"), "repeat-scan")
     known = scanned.select("id", "n_bytes", "mark", key)
-    texts = known.where(F.col("n_bytes") >= length).groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+    texts = known.where(F.col("n_bytes") >= length).groupBy("key").agg(F.min("id").alias("id"), F.min("n_bytes").alias("n_bytes"), F.count("*").alias("copies"))
     texts = stored(texts, "repeat-texts")
 
     # Anchors of one row of each text; a repeated row is dropped by its key.
     own = scanned.where(F.col("n_bytes") >= length).select("id", key, F.arrays_zip("places", "hashes").alias("spots"))
-    own = own.join(texts.withColumnRenamed("id", "first").withColumnRenamed("key", "key2"),
+    own = own.join(texts.select(F.col("id").alias("first"), F.col("key").alias("key2")),
                    (F.col("key") == F.col("key2")) & F.col("id").eqNullSafe(F.col("first"))).select("key", "spots")
     anchors = own.select("key", F.explode("spots").alias("s")).select("key", F.col("s.places").alias("place"), F.col("s.hashes").alias("hash"))
-    counts = anchors.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
+    anchors = stored(anchors, "repeat-anchors")
+    counts = stored(anchors.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), "repeat-counts")
+    common = among(F.col("hash"), common_keys(counts, F.col("hash"), "n"))
+    repeated = anchors.where(common).unionByName(anchors.where(~common).join(counts.where(~common).select("hash"), "hash"))
     widest = length - gram_size(length)
-    spots = anchors.join(counts, "hash").select(
+    spots = repeated.select(
         "key", F.struct("place", F.lit(0).alias("lo"), F.lit(widest).alias("hi"), "hash", F.lit(1).alias("mode")).alias("spot"))
     spots = stored(spots.groupBy("key").agg(F.collect_list("spot").alias("spots")), "repeat-spots")  # bounded by the text's length
 
-    wanted = spots.select("key").join(texts, "key").select(F.col("key").alias("key2"), F.col("id").alias("first"))
+    wanted = spots.select("key").join(texts.select("key", "id"), "key").select(F.col("key").alias("key2"), F.col("id").alias("first"))
     named = source.where(F.octet_length("text") >= length).withColumn("key", F.substring(F.unhex(F.sha2("text", 256)), 1, 16))
     bodies = stored(named.join(wanted, F.col("id").eqNullSafe(F.col("first")) & (F.col("key") == F.col("key2"))).select("key", "text"), "repeat-bodies")
 
@@ -321,43 +343,54 @@ def repeat_spans(docs: DataFrame, id_col: str, text_col: str, length: int) -> tu
         # Equal bytes are counted, one stands for all; groups too large to gather
         # are split. (A row that is repeated whole counts twice here, which only
         # concerns its own text, and that one is removed whole.)
-        group = ["hash", "lo", "hi"]
+        group, one = ["hash", "lo", "hi"], F.xxhash64("hash", "lo", "hi", "whole")
         equal = stored(items.groupBy(*group, "whole").agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("one")), "repeat-equal")
-        parts.append(items.join(equal.where("n > 1").select(*group, "whole"), [*group, "whole"])
-                     .select("key", (F.col("place") - F.col("hi")).cast("long").alias("start"), (F.col("place") - F.col("lo") + length).cast("long").alias("end")))
-        different = equal.groupBy(*group).agg(F.count("*").alias("d")).where("d > 1")
-        spots = equal.join(different, group).select(
-            F.col("one.key").alias("key"), F.struct(F.col("one.place").alias("place"), "lo", "hi", "hash", F.when(F.col("d") > GROUP, 2).otherwise(0).alias("mode")).alias("spot"))
+        twice = equal.where("n > 1")
+        common = among(one, common_keys(twice, one, "n"))
+        covered = items.where(common).unionByName(items.where(~common).join(twice.where(~common).select(*group, "whole"), [*group, "whole"], "left_semi"))
+        parts.append(covered.select("key", (F.col("place") - F.col("hi")).cast("long").alias("start"), (F.col("place") - F.col("lo") + length).cast("long").alias("end")))
+        different = stored(equal.groupBy(*group).agg(F.count("*").alias("d")).where("d > 1"), "repeat-different")
+        name = F.xxhash64(*group)
+        large = common_keys(different, name, "d")
+        split, common = among(name, [k for k, d in large.items() if d > GROUP]), among(name, large)
+        open_ = equal.where(common).withColumn("mode", F.when(split, 2).otherwise(0)).unionByName(
+            equal.where(~common).join(different.where(~common), group).withColumn("mode", F.when(F.col("d") > GROUP, 2).otherwise(0)).drop("d"))
+        spots = open_.select(
+            F.col("one.key").alias("key"), F.struct(F.col("one.place").alias("place"), "lo", "hi", "hash", "mode").alias("spot"))
         spots = stored(spots.groupBy("key").agg(F.collect_list("spot").alias("spots")), "repeat-spots")
 
     every = parts[0] if parts else docs.sparkSession.createDataFrame([], "key binary, start long, end long")
     for part in parts[1:]:
         every = every.unionByName(part)
     spans = every.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))  # bounded by the text's length
-    marks = known.join(texts.select("key", "copies"), "key", "left")
-    return marks, spans, bodies
+    return texts.select("key", "n_bytes", "copies"), spans, bodies
 
 
 def repeat_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """One row per input row: ``(<id>, n_bytes, n_removed, n_spans,
-    kept_sha256)`` after removal of every byte under a repeated string.
+    kept_sha256, text)`` after removal of every byte under a repeated string;
+    ``text`` is what is left (without the rest of a character cut in two).
 
     Null and empty texts have no bytes; texts under ``length`` bytes keep
     all; a repeated row is a repeat of its text and loses it whole; null ids
     are rows like others; other columns are ignored, whatever their names; an
     empty table gives an empty result.
     """
-    marks, spans, bodies = repeat_spans(docs, id_col, text_col, length)
+    texts, spans, bodies = repeat_spans(docs, id_col, text_col, length)
     cut = bodies.join(spans, "key").select("key", "text", "spans").mapInArrow(
-        _digests, "key binary, n_removed long, n_spans long, kept binary")
-    cut = cut.dropDuplicates(["key"])
-    rows = marks.join(cut, "key", "left")
-    copied = F.coalesce(F.col("copies"), F.lit(0)) > 1
-    return rows.select(
-        F.col("id").alias(id_col), "n_bytes",
-        F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
-        F.when(copied, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(copied, F.sha2(F.lit(""), 256)).otherwise(F.lower(F.hex(F.coalesce("kept", "mark")))).alias("kept_sha256"))
+        _digests, "key binary, n_removed long, n_spans long, kept binary, left string").dropDuplicates(["key"])
+    copied = texts.where("copies > 1").select("key", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
+                                              F.unhex(F.sha2(F.lit(""), 256)).alias("kept"), F.lit("").alias("left"))
+    changed = cut.join(copied.select("key"), "key", "left_anti").unionByName(copied)
+    mark = F.unhex(F.sha2("text", 256))
+    rows = docs.select(F.col(id_col).cast("long").alias(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = rows.select(id_col, "text", F.octet_length("text").cast("long").alias("n_bytes"), mark.alias("mark"), F.substring(mark, 1, 16).alias("key"))
+    none = F.lit(0).cast("long")
+    whole = [F.lower(F.hex("mark")), F.col("text")]
+    short = rows.where(F.col("n_bytes") < length).select(id_col, "n_bytes", none.alias("n_removed"), none.alias("n_spans"), whole[0].alias("kept_sha256"), "text")
+    return short.unionByName(rows.where(F.col("n_bytes") >= length).join(changed, "key", "left").select(
+        id_col, "n_bytes", F.coalesce("n_removed", none).alias("n_removed"), F.coalesce("n_spans", none).alias("n_spans"),
+        F.coalesce(F.lower(F.hex("kept")), whole[0]).alias("kept_sha256"), F.coalesce("left", whole[1]).alias("text")))
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -447,8 +480,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str, length: in
     prepare(spark)
     own = F.substring(F.unhex(F.sha2(F.coalesce(docs["text"], F.lit("")), 256)), 1, 16)
     source = docs if length else docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_coded, "doc_id long, text string")
-    marks, spans, bodies = repeat_spans(source, "doc_id", "text", length or least * _CODE)
-    copied = marks.where("copies > 1").select("key", "n_bytes").distinct()
+    texts, spans, bodies = repeat_spans(source, "doc_id", "text", length or least * _CODE)
+    copied = texts.where("copies > 1").select("key", "n_bytes")
     spans = spans.join(copied, "key", "left_anti")  # those go whole
     if length:
         shorter = bodies.join(spans, "key").select("key", "text", "spans").mapInArrow(_rewrite, "key binary, text string").dropDuplicates(["key"])
