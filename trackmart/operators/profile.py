@@ -589,6 +589,43 @@ def density(df: DataFrame, column: str, gridsize: int = 200, cut: float = 3.0) -
                        (F.col("s") * F.lit(norm)).alias("density"))
 
 
+FINE = 64  # cells of the binned density in a bandwidth
+
+
+def density_cells(df: DataFrame, column: str, start: float, cell: float) -> DataFrame:
+    """``(cell, left, right)``: every value's weight, split linearly between the
+    two edges of its cell. Additive: the cells of several batches on one grid
+    add up."""
+    at = (_finite(column) - F.lit(start)) / F.lit(cell)
+    rows = df.select(at.alias("__at")).filter("__at IS NOT NULL").select(F.floor("__at").alias("cell"), (F.col("__at") - F.floor("__at")).alias("__w"))
+    return rows.groupBy("cell").agg(F.sum(F.lit(1.0) - F.col("__w")).alias("left"), F.sum("__w").alias("right"))
+
+
+def binned_density(df: DataFrame, column: str, gridsize: int = 200, cut: float = 3.0, fine: int = FINE) -> DataFrame:
+    """``density`` from linearly binned values (A-18): values are split between
+    the edges of cells of ``1 / fine`` bandwidths, so what is shuffled and
+    convolved follows the range in bandwidths and not the distinct values. Within
+    1e-4 of the exact density's peak at the default (tested; the error falls
+    with the square of ``fine``). Infinite values are left out."""
+    spark = df.sparkSession
+    lo, hi, n, sd = _min_max_count(df, column)
+    if not n or n < 2 or not sd:
+        return spark.createDataFrame([], "point bigint, x double, density double")
+    bw = sd * n ** (-1.0 / 5.0)
+    start, stop = lo - cut * bw, hi + cut * bw
+    step, cell = (stop - start) / (gridsize - 1), bw / fine
+    norm = 1.0 / (n * bw * math.sqrt(2.0 * math.pi))
+    cells = density_cells(df, column, start, cell)
+    pts = cells.select("*", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("point"))
+    gx = F.lit(start) + F.col("point").cast("double") * F.lit(step)
+
+    def kernel(edge: Column) -> Column:
+        return F.exp(F.lit(-0.5) * F.pow((gx - (F.lit(start) + edge.cast("double") * F.lit(cell))) / F.lit(bw), 2))
+    sums = pts.select("point", (F.col("left") * kernel(F.col("cell")) + F.col("right") * kernel(F.col("cell") + 1)).alias("k")).groupBy("point").agg(F.sum("k").alias("s"))
+    return sums.select(F.col("point").cast("bigint").alias("point"),
+                       (F.lit(start) + F.col("point").cast("double") * F.lit(step)).alias("x"), (F.col("s") * F.lit(norm)).alias("density"))
+
+
 def top_k_frequent(df: DataFrame, column: str, k: int) -> DataFrame:
     """``value_counts().nlargest(k)`` (T-02) with a deterministic tie-break."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackmart.functions.columns import col, is_match, py_strip
+from trackmart.session import stored
 
 OrderSpec = Sequence[str | Column]
 
@@ -266,3 +267,60 @@ def running_total(counts: DataFrame, order_col: str, value_col: str,
     """Running sum over an already aggregated, small table (W-01)."""
     w = Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return counts.withColumn(out_col, F.sum(value_col).over(w))
+
+
+def running_totals(df: DataFrame, order: Sequence[str], totals: Mapping[str, str], count_col: str | None = None,
+                   partitions: int | None = None) -> DataFrame:
+    """Running sums over a whole table of any size (W-01): ``totals`` maps a new
+    column to the one it sums, ``count_col`` numbers the rows from 1.
+
+    Rows are range-partitioned by ``order`` (columns, ascending, NULL first;
+    ties by all other columns) and stored; every partition is summed on its own
+    and starts from the sum of those before it, so no task sees more than one
+    range. Only the sums per partition, a row each, meet in a window. Rows that
+    are equal in ``order`` share a range.
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c).asc_nulls_first() for c in order]
+    ranged = stored(df.repartitionByRange(n, *keys).withColumn("__part", F.spark_partition_id()), "running")
+    own = {name: F.col(f"`{c}`") for name, c in totals.items()} | ({count_col: F.lit(1).cast("bigint")} if count_col else {})
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("__part").agg(*[F.sum(c).alias(name) for name, c in own.items()])
+    starts = starts.select("__part", *[F.coalesce(F.sum(f"`{name}`").over(before), F.lit(0)).alias(f"__start_{i}") for i, name in enumerate(own)])
+    rest = total_order(df, list(order))[len(order):]
+    upto = Window.partitionBy("__part").orderBy(*keys, *rest).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.withColumns({f"__own_{i}": F.coalesce(F.sum(c).over(upto), F.lit(0)) for i, c in enumerate(own.values())})
+    out = local.join(F.broadcast(starts), "__part")  # one row a partition
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], *[(F.col(f"__own_{i}") + F.col(f"__start_{i}")).alias(name) for i, name in enumerate(own)])
+
+
+DIGEST_BITS = 1 << 27  # of the table of repeated digests: 16 MB, broadcast
+
+
+def dedup_rows_by_digest(df: DataFrame, bits: int = DIGEST_BITS, digest: Column | None = None) -> DataFrame:
+    """Full-row dedup, NULLs equal (D-01), for wide rows that mostly differ.
+
+    Digests of 64 bits are counted, the only thing that is shuffled for all
+    rows. Those met twice set bits in a table of ``bits`` bits, made by an
+    aggregate and broadcast (its size is fixed). A row whose bit is not set is
+    alone and stays as it is; only the others are shuffled whole and compared
+    by value, so neither equal digests of different rows nor bits shared by
+    several digests change the result. With more repeated digests than a
+    quarter of the bits, all rows are.
+    """
+    own = digest if digest is not None else F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    rows = df.withColumn("__digest", own)
+    twice = stored(rows.groupBy("__digest").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__digest"), "repeated-digests")
+    if twice.count() > bits // 4:
+        return dedup_rows(df)
+    place = F.pmod("__digest", F.lit(bits))
+    table = twice.select(F.expr(f"bitmap_bucket_number(pmod(__digest, {bits}))").alias("__b"), F.expr(f"bitmap_bit_position(pmod(__digest, {bits}))").alias("__at"))
+    table = table.groupBy("__b").agg(F.expr("bitmap_construct_agg(__at)").alias("__bits"))
+    at = F.expr("bitmap_bit_position(__p)")
+    marked = rows.withColumn("__p", place).withColumn("__b", F.expr("bitmap_bucket_number(__p)")).join(F.broadcast(table), "__b", "left")
+    byte = F.conv(F.hex(F.col("__bits").substr((at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    maybe = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    marked = marked.withColumn("__maybe", maybe)
+    plain = [F.col(f"`{c}`") for c in df.columns]
+    return marked.filter("NOT __maybe").select(*plain).unionByName(dedup_rows(marked.filter("__maybe").select(*plain)))

@@ -20,6 +20,7 @@ from trackmart.plans import enrich as E
 from trackmart.plans import star_inputs as I
 from trackmart.plans.clean import clean_awards, clean_channels, clean_tracks, coercion_report
 from trackmart.plans.merge import merge_all, merge_report
+from trackmart.plans.scale_queries import QUERIES as SCALE
 from trackmart.schemas import CHANNELS, KEY_NAMES, MODE_NAMES
 from trackmart.session import scratch_path
 from trackmart.sources.io import EmptyInput, literal_table, read_csv, write_table
@@ -561,3 +562,5 @@ QUERIES = {
     "topk_categories": topk_categories,
     "category_counts": category_counts,
 }
+
+QUERIES |= SCALE

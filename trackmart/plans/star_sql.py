@@ -6,6 +6,8 @@ oracle. Tables are the pre-registered views of the test data.
 
 from __future__ import annotations
 
+from trackmart.plans.scale_sql import SQL as SCALE
+
 # Spelled here again, not imported: an error in the library's lists must show.
 # White space as Python trims it: 9-13, 28-32, 133, 160, 5760, 8192-8202, 8232, 8233, 8239, 8287, 12288.
 WS = " || ".join(f"chr({c})" for c in [*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288])
@@ -634,3 +636,6 @@ r AS (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY grammy_year DE
 SELECT track_id, artists, track_name, popularity, track_genre, channel_id_found, subscriber_count, view_count, grammy_year,
        grammy_category, grammy_winner, true AS ok FROM r WHERE rn = 1""",
 }
+
+# The same rows as another query's, made another way.
+SQL |= {**SCALE, "incremental_store": SQL["incremental_lookup"], "dedup_by_digest": SQL["dedup_rows"]}

@@ -16,10 +16,7 @@ from pyspark.sql import types as T
 
 from trackmart.functions.columns import na_tokens_to_null, nan_to_null
 from trackmart.schemas import INDEX_COLUMNS, PANDAS_NA
-
-
-class EmptyInput(ValueError):
-    """Raised instead of silently writing or merging an empty table."""
+from trackmart.sources.publish import EmptyInput, swap_path, swap_table
 
 
 # --- reads -----------------------------------------------------------------------
@@ -148,6 +145,12 @@ def write_table(df: DataFrame, target: str, schema: T.StructType | None = None,
     by default the observed count decides after the write, so the plan runs
     once; with ``empty_check="before"`` nothing is written (a ``limit 1``
     probe, which for a plan ending in a shuffle computes that shuffle).
+
+    A folder or catalog table that is overwritten is written and checked
+    beside the old one, which stays as it was if the load fails, dies or is
+    empty, and then swapped in (``sources.publish``; its ``PublishedTable``
+    swaps in one step). A database's old table stays in those cases only with
+    ``empty_check="before"``, as its writer replaces in place.
     """
     spark = df.sparkSession
     if schema is not None:
@@ -169,30 +172,49 @@ def write_table(df: DataFrame, target: str, schema: T.StructType | None = None,
             w = w.option(k, v)
         w.save()
     else:
-        w = observed.write.mode(mode)
+        staged = mode == "overwrite"
+        place = f"{target.rstrip('/')}__staged_{uuid.uuid4().hex[:8]}" if staged else target
+        w = observed.write.mode("errorifexists" if staged else mode)
         if partition_by:
             w = w.partitionBy(*partition_by)
         if fmt == "table":
-            w.saveAsTable(target)
+            w.saveAsTable(place)
         else:
-            w.format(fmt).save(target)
+            w.format(fmt).save(place)
     written = obs.get.get("rows", 0)
-    if written == 0 and not allow_empty:
-        raise EmptyInput(f"nothing was written to {target}")
-    rows_stored = _stored_rows(spark, target, fmt, jdbc)
-    ok = rows_stored == before + written
-    if strict and not ok:
-        raise RuntimeError(f"{target}: wrote {written} rows, found {rows_stored}")
+    to_swap = jdbc is None and staged
+    try:
+        if written == 0 and not allow_empty:
+            raise EmptyInput(f"nothing was written to {target}")
+        rows_stored = _stored_rows(spark, place if to_swap else target, fmt, jdbc)
+        ok = rows_stored == before + written
+        if strict and not ok:
+            raise RuntimeError(f"{target}: wrote {written} rows, found {rows_stored}")
+        if to_swap:
+            (swap_table if fmt == "table" else swap_path)(spark, place, target)
+    except Exception:
+        if to_swap:
+            _drop(spark, place, fmt)
+        raise
     return spark.createDataFrame([(target, int(written), int(rows_stored), bool(ok))],
                                  "target string, rows_written bigint, rows_stored bigint, ok boolean")
 
 
+def _drop(spark: SparkSession, place: str, fmt: str) -> None:
+    """Remove a staged folder or table that will not be swapped in."""
+    if fmt == "table":
+        spark.sql(f"DROP TABLE IF EXISTS {place}")
+    else:
+        at = spark._jvm.org.apache.hadoop.fs.Path(place)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def _stored_rows(spark: SparkSession, target: str, fmt: str, jdbc: dict | None) -> int:
     """Rows of a target now; 0 if there is none yet. A database counts them
     itself (``SELECT COUNT(*)``), rows are not read back."""
     if jdbc is not None:
         keep = {k: v for k, v in jdbc.items() if k in ("driver", "user", "password")}
-        return read_jdbc(spark, jdbc["url"], table=target, properties={**keep, "pushDownAggregate": "true"}).count()
+        return int(read_jdbc(spark, jdbc["url"], query=f"SELECT COUNT(*) AS n FROM {target}", properties=keep).first()[0])
     if fmt == "table":
         return spark.table(target).count() if spark.catalog.tableExists(target) else 0
     return spark.read.format(fmt).load(target).count() if path_exists(spark, target) else 0
@@ -228,6 +250,11 @@ class BatchLog:
         from trackmart.operators.relational import latest_per_key
         return latest_per_key(self.read_all(), self.keys, [F.col("batch_id").desc()])
 
+    def earlier(self, batch_id: int, wanted: DataFrame, columns: list[str] | None = None) -> DataFrame:
+        """Rows of the batches before ``batch_id``. (``KeyedStore`` reads those
+        near the keys in ``wanted`` only.)"""
+        return self.read_all().filter(F.col("batch_id") < int(batch_id))
+
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         conform(df, self._rows).write.mode("overwrite").parquet(f"{self.root}/batch_id={int(batch_id)}")
 

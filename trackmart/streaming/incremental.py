@@ -6,7 +6,9 @@ and rewrites the CSV. Here:
 
 * the checkpoint is a ``BatchLog`` (one Parquet partition per batch,
   latest batch wins per artist), so a re-run of a failed batch replaces only
-  its own partition and nothing being read is overwritten;
+  its own partition and nothing being read is overwritten; with ``buckets``
+  it is a ``KeyedStore``, where a batch reads only the buckets of its artists
+  and old batches are compacted;
 * pending artists are a left anti join; of these a batch takes the ones whose
   answers have landed (a status row of the batch, or without a status table a
   search answer), the others stay pending for a later batch;
@@ -33,6 +35,7 @@ from trackmart.plans.enrich import assemble_lookup, one_status, tag_failures, tw
 from trackmart.schemas import CHANNEL_SEARCH, CHANNEL_STATS, CHECKPOINT, LOOKUP_STATUS, VIDEO_STATS, VIDEOS
 from trackmart.session import stored
 from trackmart.sources.io import BatchLog
+from trackmart.sources.keyed_store import KeyedStore
 
 
 @dataclass
@@ -44,20 +47,22 @@ class LandedResponses:
     video_stats: DataFrame
 
 
-def checkpoint_log(spark: SparkSession, root: str) -> BatchLog:
-    """The checkpoint of finished lookups, keyed by ``artist_query``."""
+def checkpoint_log(spark: SparkSession, root: str, buckets: int | None = None) -> BatchLog | KeyedStore:
+    """The checkpoint of finished lookups, keyed by ``artist_query``: one folder
+    a batch, or with ``buckets`` a compacted store for many batches."""
+    if buckets:
+        return KeyedStore(spark, root, CHECKPOINT, ["artist_query"], buckets)
     return BatchLog(spark, root, CHECKPOINT, ["artist_query"])
 
 
-def pending_artists(universe: DataFrame, log: BatchLog, batch_id: int) -> DataFrame:
+def pending_artists(universe: DataFrame, log: BatchLog | KeyedStore, batch_id: int) -> DataFrame:
     """Artists not finished by any batch before ``batch_id`` (J-04),
     excluding those whose earlier lookup failed: failures are recorded and
     never retried, as in the reference. Only earlier batches count, so a
     re-run or replay of batch ``batch_id`` sees the same pending set and
     rewrites the same partition."""
-    done = log.read_all().filter(F.col("batch_id") < batch_id)
-    return pending_keys(universe.select(F.col(universe.columns[0]).alias("artist_query")),
-                        done, "artist_query")
+    artists = universe.select(F.col(universe.columns[0]).alias("artist_query"))
+    return pending_keys(artists, log.earlier(batch_id, artists), "artist_query")
 
 
 def landed_artists(todo: DataFrame, landed: LandedResponses, status: DataFrame | None) -> DataFrame:
@@ -72,30 +77,34 @@ def landed_artists(todo: DataFrame, landed: LandedResponses, status: DataFrame |
     return todo.join(names.distinct(), "artist_query", "left_semi")
 
 
-def lookup_batch(universe: DataFrame, log: BatchLog, landed: LandedResponses, batch_id: int,
+def lookup_batch(universe: DataFrame, log: BatchLog | KeyedStore, landed: LandedResponses, batch_id: int,
                  status: DataFrame | None = None) -> DataFrame:
     """Results of batch ``batch_id``: pending artists with landed answers,
     enriched from the landed responses, failures tagged. ``status`` holds
     the outcomes of this batch."""
     outcome = one_status(status) if status is not None else None
-    todo = landed_artists(pending_artists(universe, log, batch_id), landed, outcome)
+    # landed first: of the checkpoint only what concerns these artists is needed
+    artists = universe.select(F.col(universe.columns[0]).alias("artist_query"))
+    todo = pending_artists(landed_artists(artists, landed, outcome), log, batch_id)
     # stored once: the two joins, two semi joins and the final join read it
     found = stored(two_tier_lookup(todo, landed.search).select("artist_query", "channel_id"), f"found-{batch_id}")
     results = assemble_lookup(todo, landed.search, landed.stats, landed.videos, landed.video_stats, found)
     return tag_failures(results, outcome) if outcome is not None else results
 
 
-def run_batch(universe: DataFrame, log: BatchLog, landed: LandedResponses, batch_id: int,
+def run_batch(universe: DataFrame, log: BatchLog | KeyedStore, landed: LandedResponses, batch_id: int,
               status: DataFrame | None = None) -> DataFrame:
     """E-09: compute one batch, store it as partition ``batch_id``, and
     return the current checkpoint with counts normalised (SC-08). Of
     ``status`` only the rows of this batch count."""
     own = None if status is None else status.filter(F.col("batch_id") == batch_id)
     log.write_batch(lookup_batch(universe, log, landed, batch_id, own), batch_id)
+    if isinstance(log, KeyedStore):
+        log.compact()
     return current_results(log)
 
 
-def current_results(log: BatchLog) -> DataFrame:
+def current_results(log: BatchLog | KeyedStore) -> DataFrame:
     """Latest result per artist with the pre-load normalisation (E-12):
     counts NULL -> 0 and bigint, text NULL -> ''."""
     latest = log.read_latest().drop("batch_id")
@@ -119,7 +128,7 @@ class LandedPaths:
         return spark.read.parquet(self.universe), LandedResponses(**tables)
 
 
-def start_landed_stream(spark: SparkSession, status_dir: str, paths: LandedPaths, log: BatchLog,
+def start_landed_stream(spark: SparkSession, status_dir: str, paths: LandedPaths, log: BatchLog | KeyedStore,
                         stream_checkpoint: str | None = None, available_now: bool = True):
     """Run one batch for every micro-batch of lookup-status files landing in
     ``status_dir``. Batch id = micro-batch id + 1, and the stream checkpoint
