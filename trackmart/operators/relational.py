@@ -278,7 +278,7 @@ def running_totals(df: DataFrame, order: Sequence[str], totals: Mapping[str, str
     ties by all other columns) and stored; every partition is summed on its own
     and starts from the sum of those before it, so no task sees more than one
     range. Only the sums per partition, a row each, meet in a window. Rows that
-    are equal in ``order`` share a range.
+    are equal in ``order`` share a range. NULL adds nothing.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -62,8 +62,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not re.match(r"local($|\[)", master):
         raise RuntimeError(f"master is {master}: set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="trackmart-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    spark.sparkContext.setCheckpointDir(local)  # the setting itself is fixed once the session runs
     return spark.sparkContext.getCheckpointDir() or local
 
 

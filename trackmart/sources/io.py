@@ -164,36 +164,35 @@ def write_table(df: DataFrame, target: str, schema: T.StructType | None = None,
         before = _stored_rows(spark, target, fmt, jdbc)
     obs = Observation(f"load_check_{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if jdbc is not None:
-        props = dict(jdbc)
-        url = props.pop("url")
-        w = observed.write.mode(mode).format("jdbc").option("url", url).option("dbtable", target)
-        for k, v in props.items():
-            w = w.option(k, v)
-        w.save()
-    else:
-        staged = mode == "overwrite"
-        place = f"{target.rstrip('/')}__staged_{uuid.uuid4().hex[:8]}" if staged else target
-        w = observed.write.mode("errorifexists" if staged else mode)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        if fmt == "table":
-            w.saveAsTable(place)
-        else:
-            w.format(fmt).save(place)
-    written = obs.get.get("rows", 0)
-    to_swap = jdbc is None and staged
+    staged = jdbc is None and mode == "overwrite"
+    place = f"{target.rstrip('/')}__staged_{uuid.uuid4().hex[:8]}" if staged else target
     try:
+        if jdbc is not None:
+            props = dict(jdbc)
+            url = props.pop("url")
+            w = observed.write.mode(mode).format("jdbc").option("url", url).option("dbtable", target)
+            for k, v in props.items():
+                w = w.option(k, v)
+            w.save()
+        else:
+            w = observed.write.mode("errorifexists" if staged else mode)
+            if partition_by:
+                w = w.partitionBy(*partition_by)
+            if fmt == "table":
+                w.saveAsTable(place)
+            else:
+                w.format(fmt).save(place)
+        written = obs.get.get("rows", 0)
         if written == 0 and not allow_empty:
             raise EmptyInput(f"nothing was written to {target}")
-        rows_stored = _stored_rows(spark, place if to_swap else target, fmt, jdbc)
+        rows_stored = _stored_rows(spark, place, fmt, jdbc)
         ok = rows_stored == before + written
         if strict and not ok:
             raise RuntimeError(f"{target}: wrote {written} rows, found {rows_stored}")
-        if to_swap:
+        if staged:
             (swap_table if fmt == "table" else swap_path)(spark, place, target)
     except Exception:
-        if to_swap:
+        if staged:
             _drop(spark, place, fmt)
         raise
     return spark.createDataFrame([(target, int(written), int(rows_stored), bool(ok))],

@@ -48,15 +48,17 @@ class PublishedTable:
         if mode == "append" and state is not None and T.StructType.fromJson(state["schema"]) != kind:
             raise ValueError(f"{self.root} has other columns")
         name, watch = uuid.uuid4().hex, Observation(f"publish_{uuid.uuid4().hex[:8]}")
-        df.observe(watch, F.count(F.lit(1)).alias("rows")).write.parquet(f"{self.root}/data/{name}")
-        written = watch.get.get("rows", 0)
-        if not written and not allow_empty:
+        try:
+            df.observe(watch, F.count(F.lit(1)).alias("rows")).write.parquet(f"{self.root}/data/{name}")
+            written = watch.get.get("rows", 0)
+            if not written and not allow_empty:
+                raise EmptyInput(f"nothing to publish to {self.root}")
+            rows = self.spark.read.schema(kind).parquet(f"{self.root}/data/{name}").count()
+            if rows != written:
+                raise RuntimeError(f"{self.root}: wrote {written} rows, found {rows}")
+        except Exception:
             self.manifest.remove(f"data/{name}")
-            raise EmptyInput(f"nothing to publish to {self.root}")
-        rows = self.spark.read.schema(kind).parquet(f"{self.root}/data/{name}").count()
-        if rows != written:
-            self.manifest.remove(f"data/{name}")
-            raise RuntimeError(f"{self.root}: wrote {written} rows, found {rows}")
+            raise
         while True:
             before = state["parts"] if mode == "append" and state is not None else []
             new = {"schema": kind.jsonValue(), "parts": before + [{"folder": name, "rows": rows}]}
