@@ -16,14 +16,16 @@ from trackmart.plans.clean import clean_awards, clean_channels, clean_tracks
 from trackmart.plans.merge import merge_all, merge_report
 from trackmart.schemas import AWARDS, AWARDS_RAW, CHANNELS, CHANNELS_RAW, MERGED, TRACKS
 from trackmart.sources.io import BatchLog, EmptyInput, conform, read_csv, read_jdbc, read_table, write_table
+from trackmart.sources.pushdown import read_database
 from trackmart.streaming.incremental import current_results
 
 
 @dataclass
 class Source:
-    """Where one input comes from: ``fmt`` is csv, parquet, table or jdbc.
-    ``options``: for csv the arguments of ``read_csv`` (``multiline``,
-    ``na_tokens``), for jdbc ``url`` and connection properties."""
+    """Where one input comes from: ``fmt`` is csv, parquet, table, jdbc or
+    database (``SCHEMA.TABLE``, with aggregates pushed down). ``options``: for
+    csv the arguments of ``read_csv`` (``multiline``, ``na_tokens``), for jdbc
+    and database ``url`` and connection properties."""
     location: str
     fmt: str = "parquet"
     options: dict = field(default_factory=dict)

@@ -18,6 +18,7 @@ from trackmart.session import scratch_path
 from trackmart.sources.io import EmptyInput, write_table
 from trackmart.sources.keyed_store import KeyedStore
 from trackmart.sources.publish import PublishedTable
+from trackmart.sources.pushdown import footer_stats
 
 T = I.table
 
@@ -185,6 +186,13 @@ def density_binned(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("point", F.round("x", 4).alias("x"), F.round("density", 12).alias("density"))
 
 
+def footer_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows, NULLs and extremes of every column, from Parquet footers where
+    they have them (A-01, A-08)."""
+    parts = [footer_stats(spark, f"{sf}/{t}.parquet").withColumn("table", F.lit(t)) for t in ("orders", "customer", "part")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # --- order and identity (W-01, D-01) ----------------------------------------------------
 
 def running_by_key(spark: SparkSession, sf: str) -> DataFrame:
@@ -200,4 +208,4 @@ def dedup_by_digest(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     store_latest, store_lookup, incremental_store, publish_versions, load_keeps_old, left_join_skewed, topk_heavy, heavy_tags,
-    profile_incremental, yearly_unique_states, density_binned, running_by_key, dedup_by_digest)}
+    profile_incremental, yearly_unique_states, density_binned, footer_profile, running_by_key, dedup_by_digest)}

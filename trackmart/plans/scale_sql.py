@@ -26,7 +26,27 @@ def _profile(columns: list[str], numeric: list[str]) -> str:
     return "\nUNION ALL ".join(one(c) for c in columns)
 
 
+FOOTERS = {"orders": ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority", "o_orderdate"],
+           "customer": ["c_custkey", "c_nationkey", "c_acctbal", "c_name", "c_mktsegment"],
+           "part": ["p_partkey", "p_size", "p_retailprice", "p_name", "p_brand", "p_type"]}
+TEXTS = {"o_orderstatus", "o_orderpriority", "c_name", "c_mktsegment", "p_name", "p_brand", "p_type"}
+
+
+def _footers() -> str:
+    def one(table: str, c: str) -> str:
+        none = "CAST(NULL AS DOUBLE) AS min_num, CAST(NULL AS DOUBLE) AS max_num"
+        if c in TEXTS:
+            stats = f"{none}, min({c}) AS min_text, max({c}) AS max_text"
+        elif c == "o_orderdate":
+            stats = f"{none}, strftime(min({c}), '%Y-%m-%d %H:%M:%S.%f') AS min_text, strftime(max({c}), '%Y-%m-%d %H:%M:%S.%f') AS max_text"
+        else:
+            stats = f"CAST(min({c}) AS DOUBLE) AS min_num, CAST(max({c}) AS DOUBLE) AS max_num, CAST(NULL AS VARCHAR) AS min_text, CAST(NULL AS VARCHAR) AS max_text"
+        return f"SELECT '{table}' AS \"table\", '{c}' AS \"column\", count(*) AS rows, count(*) - count({c}) AS nulls, {stats} FROM {table}"
+    return "\nUNION ALL ".join(one(t, c) for t, cols in FOOTERS.items() for c in cols)
+
+
 SQL = {
+    "footer_profile": _footers(),
     "store_latest": f"{LATEST}\nSELECT * FROM latest",
     "store_lookup": f"{LATEST}\nSELECT * FROM latest WHERE event_type = 'click' AND user_id IN (SELECT c_custkey FROM customer WHERE c_custkey % 10 = 3)",
     "publish_versions": """
