@@ -4,11 +4,12 @@ import uuid
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF01
 from trackmart.plans.enrich import artist_universe
-from trackmart.sources.pushdown import footer_stats, read_database
+from trackmart.sources.pushdown import distinct_in_database, footer_stats, read_database
 
 DERBY = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
 
@@ -40,9 +41,13 @@ def test_distinct_filter_and_counts_run_in_the_database(spark):
     assert sorted(r[0] for r in names.collect()) == [" Ann ", "Ann", "Bob"]
     total = awards.agg(F.count("*").alias("n"), F.max("N").alias("m"))
     assert "PushedAggregates: [COUNT(*), MAX(N)]" in _plan(total) and tuple(total.first()) == (6, 5)
-    universe = artist_universe(read_database(spark, url, "APP.TRACKS", {"driver": DERBY}).select("ARTISTS"), awards.select("ARTIST"))
-    assert _plan(universe).count("PushedGroupByExpressions") == 2
+    of = lambda table, column, exclude=(): distinct_in_database(spark, url, table, column, "artist_name", exclude, {"driver": DERBY})
+    assert sorted(r[0] for r in of("APP.AWARDS", "ARTIST", ["No Especificado", "it's"]).collect()) == [" Ann ", "Ann", "Bob"]
+    universe = artist_universe(of("APP.TRACKS", "ARTISTS"), of("APP.AWARDS", "ARTIST"))
+    assert universe._jdf.queryExecution().optimizedPlan().toString().count("SELECT DISTINCT") == 2
     assert sorted(r[0] for r in universe.collect()) == ["Ann", "Bob", "Cyd"]
+    with pytest.raises(ValueError, match="plain name"):
+        of("APP.AWARDS", "ARTIST FROM X; --")
     con.close()
 
 

@@ -295,32 +295,45 @@ def running_totals(df: DataFrame, order: Sequence[str], totals: Mapping[str, str
     return out.select(*[F.col(f"`{c}`") for c in df.columns], *[(F.col(f"__own_{i}") + F.col(f"__start_{i}")).alias(name) for i, name in enumerate(own)])
 
 
-DIGEST_BITS = 1 << 27  # of the table of repeated digests: 16 MB, broadcast
+DIGEST_BITS = 1 << 27  # of a table of repeated numbers: 16 MB, broadcast
+
+
+def repeated_bits(values: DataFrame, column: str, bits: int = DIGEST_BITS) -> DataFrame | None:
+    """A table of ``bits`` bits, as rows of 4 kB, in which the bit of every
+    number (bigint) that ``values`` has more than once is set; its size is
+    fixed, so it may be broadcast. None if more than a quarter would be set."""
+    twice = stored(values.select(F.col(column).alias("__v")).groupBy("__v").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__v"), "repeated")
+    if twice.count() > bits // 4:
+        return None
+    place = f"pmod(__v, {bits})"
+    rows = twice.select(F.expr(f"bitmap_bucket_number({place})").alias("__b"), F.expr(f"bitmap_bit_position({place})").alias("__at"))
+    return rows.groupBy("__b").agg(F.expr("bitmap_construct_agg(__at)").alias("__bits"))
+
+
+def maybe_repeated(df: DataFrame, column: str, table: DataFrame, out: str, bits: int = DIGEST_BITS) -> DataFrame:
+    """``df`` with ``out``: true for every number of ``column`` that is repeated,
+    and for some others that share a bit with one."""
+    place = F.pmod(F.col(column), F.lit(bits))
+    df = df.withColumn("__p", place).withColumn("__b", F.expr("bitmap_bucket_number(__p)")).join(F.broadcast(table), "__b", "left")
+    at = F.expr("bitmap_bit_position(__p)")
+    byte = F.conv(F.hex(F.col("__bits").substr((at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return df.withColumn(out, F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))).drop("__b", "__p", "__bits")
 
 
 def dedup_rows_by_digest(df: DataFrame, bits: int = DIGEST_BITS, digest: Column | None = None) -> DataFrame:
     """Full-row dedup, NULLs equal (D-01), for wide rows that mostly differ.
 
     Digests of 64 bits are counted, the only thing that is shuffled for all
-    rows. Those met twice set bits in a table of ``bits`` bits, made by an
-    aggregate and broadcast (its size is fixed). A row whose bit is not set is
-    alone and stays as it is; only the others are shuffled whole and compared
-    by value, so neither equal digests of different rows nor bits shared by
-    several digests change the result. With more repeated digests than a
-    quarter of the bits, all rows are.
+    rows. Those met twice set bits in a table of fixed size, which is broadcast.
+    A row whose bit is not set is alone and stays as it is; only the others are
+    shuffled whole and compared by value, so neither equal digests of different
+    rows nor bits shared by several digests change the result. With more
+    repeated digests than a quarter of the bits, all rows are.
     """
-    own = digest if digest is not None else F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    rows = df.withColumn("__digest", own)
-    twice = stored(rows.groupBy("__digest").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__digest"), "repeated-digests")
-    if twice.count() > bits // 4:
+    rows = df.withColumn("__digest", digest if digest is not None else F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    table = repeated_bits(rows, "__digest", bits)
+    if table is None:
         return dedup_rows(df)
-    place = F.pmod("__digest", F.lit(bits))
-    table = twice.select(F.expr(f"bitmap_bucket_number(pmod(__digest, {bits}))").alias("__b"), F.expr(f"bitmap_bit_position(pmod(__digest, {bits}))").alias("__at"))
-    table = table.groupBy("__b").agg(F.expr("bitmap_construct_agg(__at)").alias("__bits"))
-    at = F.expr("bitmap_bit_position(__p)")
-    marked = rows.withColumn("__p", place).withColumn("__b", F.expr("bitmap_bucket_number(__p)")).join(F.broadcast(table), "__b", "left")
-    byte = F.conv(F.hex(F.col("__bits").substr((at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    maybe = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
-    marked = marked.withColumn("__maybe", maybe)
+    marked = maybe_repeated(rows, "__digest", table, "__maybe", bits)
     plain = [F.col(f"`{c}`") for c in df.columns]
     return marked.filter("NOT __maybe").select(*plain).unionByName(dedup_rows(marked.filter("__maybe").select(*plain)))

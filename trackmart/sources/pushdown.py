@@ -11,6 +11,7 @@ and reads column data only where footers can't tell.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackmart.functions.columns import nan_to_null
+from trackmart.sources.io import read_jdbc
 
 _CATALOG = "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog"
 
@@ -39,6 +41,21 @@ def read_database(spark: SparkSession, url: str, table: str, properties: dict |
     return spark.read.table(f"{database_catalog(spark, url, properties)}.{table}")
 
 
+def distinct_in_database(spark: SparkSession, url: str, table: str, column: str, alias: str | None = None,
+                         exclude: Sequence[str] = (), properties: dict | None = None) -> DataFrame:
+    """The distinct values of a column without NULL and ``exclude``, selected by
+    the database's own query (SC-05, SC-06), so each is shipped once whatever
+    the plan does with them: filters that a database can't take are moved below
+    an aggregate that ``read_database`` would else push down."""
+    for name in (*table.split("."), column):
+        if not re.fullmatch(r"[A-Za-z_][\w$]*", name):
+            raise ValueError(f"not a plain name: {name!r}")
+    conditions = [f"{column} IS NOT NULL"] + [f"{column} <> '" + v.replace("'", "''") + "'" for v in exclude]
+    query = f"SELECT DISTINCT {column} FROM {table} WHERE {' AND '.join(conditions)}"
+    found = read_jdbc(spark, url, query=query, properties=properties)
+    return found.select(F.col(found.columns[0]).alias(alias or column))
+
+
 _IN_FOOTERS = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DateType)
 
 
