@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 from .conftest import corpus, rows, with_clashes
@@ -94,3 +95,26 @@ def test_hash_is_sparks(spark):
     one = spark.createDataFrame([(1, "x y")], "doc_id bigint, text string")
     got = S.fingerprints(one).first()["fingerprint"]
     assert int(got, 16) - (1 << 32) == xxhash.xxh64(b"x y", seed=42).intdigest() >> 32
+
+
+def test_classes_and_similar_fingerprints_of_the_query(spark):
+    table = [(r[0], r[1]) for r in corpus()] + [(1000 + k, "the cat of war and a dog in the house of ruin " + "the " + " the ".join(f"b{j} c{j}" for j in range(60 - k))) for k in range(9)]
+    table += [(None, table[0][1]), (None, "only the nameless one here"), (1000, table[-9][1])]
+    df = spark.createDataFrame(table, "doc_id bigint, text string").repartition(3)
+    prints = S.fingerprints(df)
+    got = S.with_similar(prints, with_clashes(df)).collect()
+    assert len(got) == len(table)
+    sets = {r["fingerprint"]: {r["fingerprint"][k:k + 9] for k in range(0, len(r["fingerprint"]), 9)} for r in got}
+    for r in got:
+        same = [x["doc_id"] for x in got if x["fingerprint"] == r["fingerprint"]]
+        own = sets[r["fingerprint"]]
+        near = sum(1 for f, s in sets.items() if f != r["fingerprint"] and len(own & s) >= S.SIMILAR * len(own | s) - 1e-9)
+        assert (r["n_copies"], r["class_id"], r["n_similar"]) == (len(same), min((x for x in same if x is not None), default=None), near)
+    assert any(r["n_similar"] for r in got)
+    assert S.with_similar(S.fingerprints(df.limit(0)), df.limit(0)).collect() == []
+
+
+def test_ranges_of_ids(spark):
+    for points in ([], [5], [-(1 << 63), 0, 7], list(range(0, 400, 3))):
+        df = spark.range(-3, 420).withColumn("r", S._range(F.col("id"), points))
+        assert all(r["r"] == sum(p <= r["id"] for p in points) for r in df.collect())
