@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from trackmart.llm.common import SOLID, chunks, mix, prepare, spread, stored, table, text_bytes
 
 LENGTH = 400
-GROUP = 16_384  # cuts of an anchor sorted together: about 12 MB
+GROUP = 32_768  # cuts of an anchor sorted together: about 24 MB
 PARTS = 8  # parts that the windows of a larger group are split into
 BLOCK_CUTS = 8192  # cuts sorted together; whole groups, so at most GROUP more
 _BASE = np.uint64(0xD6E8FEB86659FD93)
