@@ -53,6 +53,33 @@ def test_large_near_group_joins_at_its_centre(spark, monkeypatch):
     assert rows(near_dedup.near_duplicates(df, n_words=4)) == brute(table, 4)
 
 
+def test_large_tables_that_do_not_join_at_their_centre(spark, monkeypatch):
+    """Pages of one template with bodies of their own: a third of the classes
+    share table keys, and only some pairs among them are linked."""
+    monkeypatch.setattr(near_dedup, "FEW", 3)
+    rng = random.Random(14)
+    template = [f"t{k}" for k in range(120)]
+    parts = [[f"p{j}x{k}" for k in range(30)] for j in range(9)]
+    table = [(k, " ".join(template + [w for j in rng.sample(range(9), 2) for w in parts[j]] + [f"own{k}x{i}" for i in range(rng.randrange(12))])) for k in range(80)]
+    table += [(500 + k, " ".join(f"v{rng.randrange(5000)}" for _ in range(100))) for k in range(60)]
+    df = spark.createDataFrame(table, "doc_id bigint, text string").repartition(4)
+    want = brute(table, 4)
+    assert rows(near_dedup.near_duplicates(df, n_words=4)) == want
+    assert 60 < len({r[2] for r in want}) < 140
+
+
+def test_stage_keeps_one_row_of_a_group(spark):
+    rng = random.Random(6)
+    a, b, c = (" ".join(f"w{rng.randrange(9999)}" for _ in range(80)) for _ in range(3))
+    table = [(5, a), (3, a), (None, a), (None, b), (None, b), (None, None), (7, c), (7, c), (9, ""), (11, None)]
+    df = spark.createDataFrame([(*r, "x") for r in table], "doc_id bigint, text string, num string")
+    out = near_dedup.keep_first_of_group(spark, df, "")
+    assert out.columns == df.columns
+    key = lambda r: tuple((x is None, str(x)) for x in r)
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=key) == sorted([(3, a), (None, b), (None, None), (7, c), (7, c), (9, ""), (11, None)], key=key)
+    assert near_dedup.keep_first_of_group(spark, df.limit(0), "").count() == 0
+
+
 def test_links_the_centre_does_not_have(spark):
     """A chain of texts, each linked with the next only."""
     base = [f"b{k}" for k in range(300)]

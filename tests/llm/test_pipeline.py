@@ -56,3 +56,22 @@ def test_passages_are_counted_in_words(spark, tmp_path):
     got = {r["doc_id"]: r["text"] for r in dict(corpus_pipeline.STAGES)["suffix-array dedup"](spark, docs, str(tmp_path)).collect()}
     assert all(short not in got[k] and len(got[k].split()) == 160 for k in (0, 1))
     assert all(got[k] == table[k][1] for k in (2, 3))
+
+
+def test_empty_tables_and_odd_rows(spark, tmp_path):
+    rng = random.Random(3)
+    good = [(k, words(rng, 90, 30_000)) for k in range(30)]
+    rows = good + [(100 + k, "junk junk !! " * 60) for k in range(20)] + [(None, None), (None, ""), (7, good[7][1]), (None, good[8][1]), (60, words(rng, 9000, 30_000))]
+    frame = spark.createDataFrame([(k, t, "en", "s", None) for k, t in rows], SCHEMA)
+    labels = spark.createDataFrame([(k, 1, 0) for k, _ in good] + [(100 + k, 0, 0) for k in range(20)], "doc_id bigint, quality int, toxic int")
+    items = spark.createDataFrame([(None, words(rng, 40, 30_000)), (1, None)], "item_id bigint, text string")
+    for name, docs, own in (("odd", frame, labels), ("none", frame.limit(0), labels), ("unlabelled", frame, labels.limit(0))):
+        place = tmp_path / name
+        for table, df in (("documents", docs), ("labels", own), ("benchmark", items)):
+            df.write.parquet(str(place / f"{table}.parquet"))
+        out = corpus_pipeline.run(spark, str(place)).collect()
+        kept = {r["doc_id"] for r in out}
+        if name == "odd":
+            assert {k for k, _ in good} | {60} <= kept <= {k for k, _ in good} | {60, None}
+        else:
+            assert not kept

@@ -7,7 +7,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trackmart.session import scratch_path
 
@@ -44,13 +45,11 @@ def spread(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def fresh(df: DataFrame, name: str) -> str:
-    """``name``, or ``name`` with underscores before it, whichever ``df`` has
-    not: a working column that never clashes with the caller's own."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = "_" + name
-    return name
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """The id of a row; where it is null, a number from 2 ** 62 on that its text
+    gives, so that rows without an id are told apart by their texts."""
+    own = F.pmod(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), F.lit(1 << 61))
+    return F.coalesce(F.col(doc_id).cast("long"), own + F.lit(1 << 62))
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

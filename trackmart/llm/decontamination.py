@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmart.llm.common import PLAIN, chunks, mix, prepare, spread, stored, table, text_bytes, words
+from trackmart.llm.common import PLAIN, chunks, mix, prepare, row_key, spread, stored, table, text_bytes, words
 
 WIDTH_BITS = 17  # hashed columns of the TF-IDF matrix: bounds what reaches the driver
 RANK, EXTRA = 128, 16
@@ -282,13 +282,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     share and ``cosine``, and the ``word`` its window starts at.
 
     Null, empty and wordless texts match nothing, nor do such items; repeated
-    rows of one id are one document; rows with a null id are left out (they
-    can't be named); other columns are ignored; without documents or items
-    there are no rows.
+    rows of one id are one document; documents with a null id are left out
+    (they can't be named; the pipeline's stage gives them a key), items with a
+    null id are searched and named null; other columns are ignored; without
+    documents or items there are no rows.
     """
     spark = docs.sparkSession
     rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    items = benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     passages = items.mapInArrow(_passages, "item_id long, words array<long>, answer int").dropDuplicates()
     passages = stored(passages.withColumn("place", F.monotonically_increasing_id()), "passages")
     weights = inverse_frequencies(rows)
@@ -314,7 +315,13 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents with a benchmark item go, the others stay as
-    they are."""
+    they are.
+
+    Rows of one id go together; rows without an id go by their own texts. Null,
+    empty and wordless texts stay; repeated rows stay repeated; other columns
+    stay, whatever their names; an empty table gives an empty one.
+    """
     prepare(spark)
-    found = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, docs["doc_id"] == found["doc_id"], "left_anti")
+    found = contaminated(docs.select(row_key().alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    found = found.select(F.col("doc_id").alias("__row_key")).distinct()
+    return docs.join(found, row_key() == found["__row_key"], "left_anti")

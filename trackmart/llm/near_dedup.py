@@ -19,7 +19,11 @@ most as many bits as the sets differ in shingles. Members of a table are
 compared with its most central member (the least share of unshared shingles),
 links become components, and only members of different components that the
 bounds leave are compared further: copies join at the centre and never expand
-into all their pairs, and no candidate link between components is lost.
+into all their pairs, and no candidate link between components is lost. Of
+these, tables of few members are compared whole. The members of larger ones
+meet where they share one of their rarest shingles instead, as linked sets
+must: of ``n`` shingles, ordered by how many have them, one of the first
+``n - ceil(0.8 n) + 1``.
 """
 
 from __future__ import annotations
@@ -31,12 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmart.llm.common import chunks, mix, prepare, shingles, stored, table, text_bytes, words
+from trackmart.llm.common import chunks, mix, prepare, row_key, shingles, stored, table, text_bytes, words
 from trackmart.llm.components import components
 
 SHINGLE_WORDS = 5
 SIMILARITY = (80, 100)  # linked when 100 * shared >= 80 * united
 HALVES, ROWS = 12, 2
+FEW = 64  # members of a table that are compared whole
 BITMAP = 16  # 64-bit words of a set's parity bitmap
 SEED = 20240229
 
@@ -129,6 +134,18 @@ def _tables(classes: DataFrame) -> DataFrame:
     return _distinct_tables(stored(shared.select("num", F.explode(keys).alias("key")), "minhash-keys"))
 
 
+def _rarest(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """``(key, num)``: of each set's shingles, by how many of ``sets`` have them,
+    as many of the rarest as one that is linked with it must share one of."""
+    num, den = similarity
+    spots = sets.select("num", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    several = spots.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
+    ranked = spots.join(several, "s").groupBy("num", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("own"))  # a text's own set
+    alone = F.col("n") - F.size("own")  # the rarest of all, which nothing shares
+    looked = F.col("n") - F.ceil(F.col("n") * num / den - 1e-9) + 1 - alone
+    return ranked.where(looked > 0).select("num", F.explode(F.slice("own", 1, looked.cast("int"))["s"]).alias("key"))
+
+
 def _distinct_tables(tables: DataFrame) -> DataFrame:
     marks = tables.groupBy("key").agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("num")).alias("m1"), F.bit_xor(F.xxhash64("num", F.lit(1))).alias("m2")).where("n > 1")
@@ -192,7 +209,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = tables.join(roots.withColumnRenamed("node", "num"), "num", "left").withColumn("comp", F.coalesce("root", "num")).drop("root")
     mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
     rows = stored(rows.join(mixed, "key"), "minhash-open")
-    rest = compared(rows, rows, "rest")
+    many = stored(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > FEW).select("key"), "minhash-many")
+    few = rows.join(many, "key", "left_anti")
+    rest = compared(few, few, "rest")
+    if many.limit(1).count():
+        large = stored(rows.join(many, "key", "left_semi").select("num", "size", "most", "bits", "comp").distinct(), "minhash-large")
+        prefixed = stored(large.join(_rarest(sets.join(large.select("num"), "num", "left_semi"), similarity), "num"), "minhash-prefixes")
+        # The most frequent component of a shingle is not compared with itself.
+        common = prefixed.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("comp", "n").alias("most_comp"))
+        others = prefixed.join(common, "key").where("comp != most_comp").drop("most_comp")
+        rest = rest.unionByName(compared(others, prefixed, "large"))
     if rest.limit(1).count():
         edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest)
         roots = stored(components(edges), "minhash-roots")
@@ -214,7 +240,18 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_first_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each near-duplicate group stays."""
+    """Pipeline stage: one document of each near-duplicate group stays, the one
+    of least id, as it is.
+
+    Rows of one id are one document and stay or go together, unless their texts
+    are in different groups: then they stay if one of these keeps the id. Rows
+    without an id are told apart by their texts: of equal ones one stays, and
+    none that a document with an id has a near copy of. Null and empty texts
+    are near nothing and stay; other columns stay as they are, whatever their
+    names; an empty table gives an empty one.
+    """
     prepare(spark)
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    keyed = docs.select(row_key().alias("doc_id"), "text")
+    kept = near_duplicates(keyed).where("kept").select(F.col("doc_id").alias("__row_key")).distinct()
+    named = docs.where("doc_id IS NOT NULL").unionByName(docs.where("doc_id IS NULL").dropDuplicates(["text"]))
+    return named.join(kept, row_key() == kept["__row_key"], "left_semi")

@@ -173,6 +173,9 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Last pipeline stage: the packed pieces of all documents it is given."""
+    """Last pipeline stage: the packed pieces of all documents it is given.
+    Null and empty texts are one piece each, repeated rows are packed as often
+    as they come, null ids stay null, other columns are dropped; no row gives
+    no piece."""
     prepare(spark)
     return pack_documents(docs)

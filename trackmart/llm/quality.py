@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmart.llm.common import chunks, fresh, mix, prepare, table, text_bytes, words
+from trackmart.llm.common import chunks, mix, prepare, table, text_bytes, words
 
 TRAIN_ROWS = 40_000
 TREES, DEPTH, RATE, PENALTY, BINS = 80, 4, 0.15, 1.0, 64
@@ -174,7 +174,13 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_rejected(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents scored under ``ACCEPTED`` go; rows and
-    columns of the others stay as they are."""
+    columns of the others stay as they are.
+
+    Null and empty texts are scored by their statistics (zeros) and stay or go
+    with that score; repeated rows share their fate; a null id changes nothing;
+    columns of any name stay; without labels every score is 0.5 and all go; an
+    empty table gives an empty one.
+    """
     prepare(spark)
     forest = fit(docs, table(spark, sf_dir, "labels"))
     place = docs.columns.index("text")

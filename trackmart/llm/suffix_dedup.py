@@ -476,6 +476,11 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str, length: in
     are searched as codes of equal size, one a word, and spans go back to the
     words they hold. With ``length``, the passages are strings of so many bytes
     instead (a character cut in two goes too).
+
+    Null texts stay null, empty ones empty; of equal texts of so many words all
+    are emptied, as each is elsewhere; repeated rows and null ids are rows like
+    others; other columns stay, whatever their names; an empty table gives an
+    empty one.
     """
     prepare(spark)
     own = F.substring(F.unhex(F.sha2(F.coalesce(docs["text"], F.lit("")), 256)), 1, 16)

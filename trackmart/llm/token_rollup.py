@@ -109,7 +109,7 @@ def document_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals by source, language and version after four commits over all
-    documents: a load of word counts, an upgrade that deletes them and inserts
+    documents (rows of one id, and all without one, are one document): a load of word counts, an upgrade that deletes them and inserts
     word counts as drafts of the BPE version, the BPE counts as revisions, and
     the load once more (without effect)."""
     prepare(spark)
