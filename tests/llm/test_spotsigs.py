@@ -97,21 +97,19 @@ def test_hash_is_sparks(spark):
     assert int(got, 16) - (1 << 32) == xxhash.xxh64(b"x y", seed=42).intdigest() >> 32
 
 
-def test_classes_and_similar_fingerprints_of_the_query(spark):
+def test_classes_and_similar_sets_of_every_row(spark):
     table = [(r[0], r[1]) for r in corpus()] + [(1000 + k, "the cat of war and a dog in the house of ruin " + "the " + " the ".join(f"b{j} c{j}" for j in range(60 - k))) for k in range(9)]
     table += [(None, table[0][1]), (None, "only the nameless one here"), (1000, table[-9][1])]
     df = spark.createDataFrame(table, "doc_id bigint, text string").repartition(3)
-    prints = S.fingerprints(df)
-    got = S.with_similar(prints, with_clashes(df)).collect()
-    assert len(got) == len(table)
-    sets = {r["fingerprint"]: {r["fingerprint"][k:k + 9] for k in range(0, len(r["fingerprint"]), 9)} for r in got}
-    for r in got:
-        same = [x["doc_id"] for x in got if x["fingerprint"] == r["fingerprint"]]
-        own = sets[r["fingerprint"]]
-        near = sum(1 for f, s in sets.items() if f != r["fingerprint"] and len(own & s) >= S.SIMILAR * len(own | s) - 1e-9)
-        assert (r["n_copies"], r["class_id"], r["n_similar"]) == (len(same), min((x for x in same if x is not None), default=None), near)
-    assert any(r["n_similar"] for r in got)
-    assert S.with_similar(S.fingerprints(df.limit(0)), df.limit(0)).collect() == []
+    got = rows(S.similar_report(with_clashes(df)))
+    sets = [(d, frozenset(signatures(t or "")) or frozenset([("alone", t or "")])) for d, t in table]
+    want = []
+    for doc, own in sets:
+        same = [d for d, s in sets if s == own]
+        near = {s for _, s in sets if s != own and len(own & s) >= S.SIMILAR * len(own | s) - 1e-9}
+        want.append((doc, min((d for d in same if d is not None), default=None), len(same), len(near)))
+    assert got == sorted(want, key=lambda r: tuple((x is None, str(x)) for x in r))
+    assert any(r[3] for r in got) and S.similar_report(df.limit(0)).collect() == []
 
 
 def test_ranges_of_ids(spark):

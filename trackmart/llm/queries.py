@@ -15,6 +15,7 @@ QUERIES = {
     "op8_token_counts": token_rollup.op8_token_counts,
     "op9_sharding": sharding.op9_sharding,
     "op10_spotsigs": spotsigs.op10_spotsigs,
+    "similar_fingerprints": spotsigs.similar_fingerprints,
     "op11_prefix_trie": prefix_trie.op11_prefix_trie,
     "op12_periodic_runs": periodic_runs.op12_periodic_runs,
     "op13_secret_scan": secret_scan.op13_secret_scan,

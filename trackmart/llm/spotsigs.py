@@ -179,21 +179,28 @@ def similar_documents(docs: DataFrame, threshold: float = SIMILAR) -> tuple[Data
     return members, links
 
 
-def with_similar(prints: DataFrame, docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
-    """``fingerprints`` of ``docs`` with ``class_id`` (the least id of equal
-    fingerprints, null if none has one), ``n_copies`` (rows that have it) and
-    ``n_similar`` (other fingerprints that reach ``threshold``)."""
-    classes = _classes(_signed(docs))
+def similar_report(docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
+    """``doc_id, class_id`` (the least id of equal sets, null if none has one),
+    ``n_copies`` (rows that have the set) and ``n_similar`` (other sets that
+    reach ``threshold``) of every row; null ids are rows like others, null texts
+    empty ones, other columns ignored; no row gives no row."""
+    signed = stored(_signed(docs), "spots")
+    classes = _classes(signed)
     links = stored(_links(classes, threshold), "spot-links")
     ends = links.select(F.col("a").alias("num")).unionByName(links.select(F.col("b").alias("num"))).groupBy("num").agg(F.count("*").alias("n_similar"))
     known = classes.select("num", "mark", "class_id", F.col("copies").alias("n_copies")).join(ends, "num", "left")
     known = known.select("mark", "class_id", "n_copies", F.coalesce("n_similar", F.lit(0)).alias("n_similar"))
-    return prints.withColumn("mark", _mark("fingerprint")).join(known, "mark").drop("mark")
+    return signed.select("doc_id", "mark").join(known, "mark").drop("mark")
 
 
 def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contract query: every document, its edited text and its next document;
-    its class of equal fingerprints and how many others are similar to it."""
+    """Contract query: every document, its edited text and its next document."""
+    prepare(spark)
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+def similar_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of equal fingerprints, and how many others are
+    similar to it, by the length-banded pruned join over all documents."""
     prepare(spark)
-    docs = table(spark, sf_dir, "documents")
-    return with_similar(fingerprints(docs), docs)
+    return similar_report(table(spark, sf_dir, "documents"))
