@@ -148,3 +148,11 @@ def shingles(hashes: np.ndarray, n: int) -> np.ndarray:
         for k in range(width):
             total += hashes[k:len(hashes) - width + 1 + k] * _SALT[k]
     return np.unique(mix(total))
+
+
+WORD = r"[^\x20\x09-\x0D]+"  # a word, as a pattern
+
+# DuckDB SQL of the crc32 of a decimal id: its bytes, each followed by eight shifts, folded one after another.
+CRC32_SQL = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+        string_split(CAST({0} AS VARCHAR), ''), lambda c: list_prepend(ascii(c)::BIGINT, [-1::BIGINT, -1, -1, -1, -1, -1, -1, -1])))),
+        lambda r, x: CASE WHEN x >= 0 THEN xor(r, x) ELSE xor(r >> 1, 3988292384 * (r & 1)) END), 4294967295::BIGINT)"""

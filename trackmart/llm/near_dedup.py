@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmart.llm.common import chunks, mix, prepare, row_key, shingles, stored, table, text_bytes, words
+from trackmart.llm.common import WORD, chunks, mix, prepare, row_key, shingles, stored, table, text_bytes, words
 from trackmart.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -255,3 +255,21 @@ def keep_first_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     kept = near_duplicates(keyed).where("kept").select(F.col("doc_id").alias("__row_key")).distinct()
     named = docs.where("doc_id IS NOT NULL").unionByName(docs.where("doc_id IS NULL").dropDuplicates(["text"]))
     return named.join(kept, row_key() == kept["__row_key"], "left_semi")
+
+
+# DuckDB SQL of the contract query: every pair of texts that share a shingle.
+SQL = rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                                      ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM docs),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM docs UNION SELECT r.doc_id, e.y FROM reach r JOIN edges e ON e.x = r.other),
+roots AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id, d.doc_id = r.component_id AS kept
+FROM docs d JOIN roots r ON d.doc_id = r.doc_id LEFT JOIN sizes s ON d.doc_id = s.doc_id
+"""

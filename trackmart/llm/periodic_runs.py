@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmart.llm.common import SOLID, chunks, mix, prepare, table, text_bytes
+from trackmart.llm.common import CRC32_SQL, SOLID, WORD, chunks, mix, prepare, table, text_bytes
 
 LEAST = 24  # words of a run at least
 SMALL = 8  # periods under this are detected by comparing
@@ -307,3 +307,34 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query: runs of all documents, a tenth of them made periodic."""
     prepare(spark)
     return run_digest(table(spark, sf_dir, "documents"), plant=True)
+
+
+SQL = rf"""
+WITH docs AS (
+  SELECT doc_id, {CRC32_SQL.format("doc_id")} AS h, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents),
+sized AS (SELECT doc_id, words, len(words) AS n, h % 10 = 0 AND len(words) > 0 AS planted, h // 10 AS g FROM docs),
+placed AS (SELECT *, CASE WHEN planted THEN g % n END AS a FROM sized),
+periods AS (SELECT *, CASE WHEN planted THEN 1 + (n - a) // (3 + g % 8) END AS p FROM placed),
+texts AS (
+  SELECT doc_id, n, CASE WHEN planted THEN list_transform(range(n), lambda i: words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END])
+                    ELSE words END AS words FROM periods),
+word AS (SELECT doc_id, n, unnest(range(n)) AS i, unnest(words) AS w FROM texts),
+same AS (  -- words that come again q further on
+  SELECT x.doc_id, x.n, y.i - x.i AS q, x.i FROM word x JOIN word y ON x.doc_id = y.doc_id AND x.w = y.w AND y.i > x.i AND 3 * (y.i - x.i) <= x.n),
+islands AS (
+  SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same),
+stretches AS (
+  SELECT doc_id, min(i) AS start, max(i) - min(i) + 1 + q AS length, q FROM islands GROUP BY doc_id, q, island
+  HAVING max(i) - min(i) + 1 + q >= greatest(24, 3 * q)),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM runs GROUP BY doc_id),
+best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length::HUGEINT * 1000000000000 // period DESC, start, period) AS k FROM runs) WHERE k = 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT w.doc_id, string_agg(w.w, ' ' ORDER BY w.i) AS text FROM word w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i WHERE g.i IS NULL GROUP BY w.doc_id)
+SELECT t.doc_id, coalesce(l.n_runs, 0) AS n_runs, b.start, b.length, b.period, CAST(1000 * b.length // b.period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(l.lines, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM texts t LEFT JOIN listed l ON t.doc_id = l.doc_id LEFT JOIN best b ON t.doc_id = b.doc_id LEFT JOIN kept k ON t.doc_id = k.doc_id
+"""

@@ -33,14 +33,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trackmart.llm.common import prepare, spread, stored, table
+from trackmart.llm.common import CRC32_SQL, WORD, prepare, spread, stored, table
 
 FAMILY = 20  # conversation c takes its first turns from c - c % FAMILY
 SEGMENT = 4096  # turns of a conversation in one row
 SHARD_TURNS = 400_000  # turns of the sequences packed into one double array
 FAN = 32  # shards merged into one in a round
 CHUNK_IDS = 4096  # conversation ids joined in one row
-WORD = r"[^\x20\x09-\x0D]+"
 NO_ENDS = hashlib.sha256(b"").hexdigest()
 
 
@@ -471,18 +470,13 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(table(spark, sf_dir, "conversations"))
 
 
-# crc32 of a decimal id: its bytes, each followed by eight shifts, folded one after another.
-_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
-        string_split(CAST({0} AS VARCHAR), ''), lambda c: list_prepend(ascii(c)::BIGINT, [-1::BIGINT, -1, -1, -1, -1, -1, -1, -1])))),
-        lambda r, x: CASE WHEN x >= 0 THEN xor(r, x) ELSE xor(r >> 1, 3988292384 * (r & 1)) END), 4294967295::BIGINT)"""
-
 SQL = rf"""
 WITH turns AS (
   SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, mark) - 1 AS pos, role, text FROM (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
            sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS mark
     FROM conversations WHERE conv_id IS NOT NULL)),
-convs AS (SELECT conv_id, conv_id - (conv_id % 20 + 20) % 20 AS head, {_CRC32.format("conv_id")} % 4 AS h
+convs AS (SELECT conv_id, conv_id - (conv_id % 20 + 20) % 20 AS head, {CRC32_SQL.format("conv_id")} % 4 AS h
           FROM (SELECT DISTINCT conv_id FROM turns)),
 rebuilt AS (
   SELECT c.conv_id, 0 AS own, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.head AND t.pos < c.h

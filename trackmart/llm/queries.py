@@ -21,4 +21,8 @@ QUERIES = {
     "op13_secret_scan": secret_scan.op13_secret_scan,
 }
 
-SQL: dict[str, str] = {"op11_prefix_trie": prefix_trie.SQL}
+SQL: dict[str, str] = {
+    "op2_near_dedup": near_dedup.SQL,
+    "op11_prefix_trie": prefix_trie.SQL,
+    "op12_periodic_runs": periodic_runs.SQL,
+}
