@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from .conftest import rows, with_clashes
 from trackmart.llm import language as L
 from trackmart.llm import quality as Q
 
@@ -32,7 +33,7 @@ def test_rank_order_distance_against_a_plain_version(spark):
     known = L.profiles(df)
 
     def grams(text):
-        s = [0, 0, *(int(L._CLASS[b]) for b in text.replace("É", "é").replace("Ü", "ü").encode()), 0, 0]
+        s = [0, 0, *(int(L._classes()[ord(c)]) for c in text.lower()), 0, 0]
         out = [("1", c) for c in s if c] + [("2", a, b) for a, b in zip(s, s[1:]) if a or b]
         return out + [("3", a, b, c) for a, b, c in zip(s, s[1:], s[2:]) if b and (a or c)]
 
@@ -51,18 +52,45 @@ def test_rank_order_distance_against_a_plain_version(spark):
 
     for lang in known:
         own = ranked([t for k, (t, g) in enumerate(zip(texts, langs)) if g == lang and not held(k)], L.PROFILE)
-        assert {int(c): int(known[lang][c]) for c in np.flatnonzero(known[lang] < L.PROFILE)} == {c: r for r, c in enumerate(own)}
-    names = list(known)
-    labels, _ = L.predict(pa.array(texts), names, np.array([known[n] for n in names]))
+        assert known[lang].tolist() == own
+    names, ranks = list(known), L.rank_table(known)
+    known = dict(zip(names, ranks))
+    labels, _ = L.predict(pa.array(texts), names, ranks)
     for text, label in zip(texts, labels):
         mine = ranked([text], L.DOCUMENT)
         distance = {n: sum(abs(int(known[n][c]) - r) if known[n][c] < L.PROFILE else L.PROFILE for r, c in enumerate(mine)) for n in names}
         assert label == min(distance, key=lambda n: (distance[n], n))
 
 
+def test_code_points_of_every_width():
+    texts = ["aé", "", "日本x", "\U0001F600ñ\U00010400", "ж"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    points, cuts = L.code_points(data, np.append(0, np.cumsum([len(t.encode()) for t in texts])))
+    assert points.tolist() == [ord(c) for t in texts for c in t] and np.diff(cuts).tolist() == [len(t) for t in texts]
+
+
+@pytest.mark.parametrize("letters", ["абвгдежзийклмнопрстуфхцчшщъыьэюя", "अआइईउऊएऐओऔकखगघचछजझटठडढतथदधनपफबभमयरलवशसह", "אבגדהוזחטיכלמנסעפצקרשת"])
+def test_languages_of_one_script_outside_latin(spark, letters):
+    """Two languages of the same letters, with syllables of their own."""
+    rng = np.random.default_rng(5)
+    syllables = {g: ["".join(rng.choice(list(letters), rng.integers(1, 4))) for _ in range(50)] for g in ("one", "two")}
+    text = lambda g: " ".join("".join(rng.choice(syllables[g], rng.integers(1, 4))) for _ in range(40))
+    data = [(k, text(("one", "two")[k % 2]), ("one", "two")[k % 2]) for k in range(120)]
+    got = {r["doc_id"]: r["lang_pred"] for r in L.languages(with_clashes(spark.createDataFrame(data, "doc_id bigint, text string, lang string"))).collect()}
+    unseen = [got[k] == g for k, _, g in data if held(k)]
+    assert len(unseen) > 15 and np.mean(unseen) > 0.95
+
+
+def test_quality_with_clashing_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(150)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    plain = rows(Q.quality_scores(docs, labels))
+    assert rows(Q.quality_scores(with_clashes(docs).withColumn("score", F.lit("x")), with_clashes(labels).withColumn("text", F.lit(1)))) == plain
+
+
 def test_language_of_odd_texts(spark):
-    rows = [(1, None, "en"), (2, "", "en"), (3, "123 !! ", None), (4, "the the", "en"), (None, "der die", "de"), (6, "日本", None), (7, "der und die das", "de"), (8, "the of and", "en")]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    table = [(1, None, "en"), (2, "", "en"), (3, "123 !! ", None), (4, "the the", "en"), (None, "der die", "de"), (6, "日本", None), (7, "der und die das", "de"), (8, "the of and", "en")]
+    df = spark.createDataFrame(table, "doc_id bigint, text string, lang string")
     got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in L.languages(df).collect()}
     assert got[1] == got[2] == got[3] == ("und", 0.0) and got[4][0] == "en" and got[6][0] in ("en", "de")
     assert L.languages(df.limit(0)).count() == 0
