@@ -134,16 +134,46 @@ def _tables(classes: DataFrame) -> DataFrame:
     return _distinct_tables(stored(shared.select("num", F.explode(keys).alias("key")), "minhash-keys"))
 
 
-def _rarest(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """``(key, num)``: of each set's shingles, by how many of ``sets`` have them,
-    as many of the rarest as one that is linked with it must share one of."""
+def _slot(shingles: np.ndarray, bits: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (shingles.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _rarest(sets: DataFrame, total: int, similarity: tuple[int, int]) -> DataFrame:
+    """``(key, num)``: of each set's shingles, as many of the rarest as one that
+    is linked with it must share one of. ``total``: shingles of all ``sets``.
+
+    How many sets have a shingle is counted by slots that shingles are hashed
+    to, 2 ** 20 at most; any order that is the same for all sets is right, so
+    shingles that share a slot cost time only. A shingle that is alone in its
+    slot is no other set's.
+    """
     num, den = similarity
-    spots = sets.select("num", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
-    several = spots.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = spots.join(several, "s").groupBy("num", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("own"))  # a text's own set
-    alone = F.col("n") - F.size("own")  # the rarest of all, which nothing shares
-    looked = F.col("n") - F.ceil(F.col("n") * num / den - 1e-9) + 1 - alone
-    return ranked.where(looked > 0).select("num", F.explode(F.slice("own", 1, looked.cast("int"))["s"]).alias("key"))
+    bits = min(20, max(8, (total // 64).bit_length()))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << bits, np.int64)
+        for batch in batches:
+            counts += np.bincount(_slot(batch.column(0).flatten().to_numpy(), bits), minlength=1 << bits)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[at])], names=["slot", "n"])
+
+    got = sets.select("shingles").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # 2 ** bits rows at most
+    counts = np.zeros(1 << bits, np.int64)
+    counts[got["slot"].to_numpy()] = got["n"].to_numpy()
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, sizes = [np.zeros(0, np.int64)], []
+            for own in batch.column(1):
+                own = own.values.to_numpy()
+                often = counts[_slot(own, bits)]
+                looked = len(own) - -(-len(own) * num // den) + 1
+                first = np.lexsort((own, often))[:looked]
+                keys.append(own[first[often[first] > 1]])
+                sizes.append(len(keys[-1]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.repeat(batch.column(0).to_numpy(), sizes), pa.int64())], names=["key", "num"])
+    return sets.select("num", "shingles").mapInArrow(rarest, "key long, num long")
 
 
 def _distinct_tables(tables: DataFrame) -> DataFrame:
@@ -214,7 +244,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = compared(few, few, "rest")
     if many.limit(1).count():
         large = stored(rows.join(many, "key", "left_semi").select("num", "size", "most", "bits", "comp").distinct(), "minhash-large")
-        prefixed = stored(large.join(_rarest(sets.join(large.select("num"), "num", "left_semi"), similarity), "num"), "minhash-prefixes")
+        total = large.agg(F.sum("size")).first()[0]
+        prefixed = stored(large.join(_rarest(sets.join(large.select("num"), "num", "left_semi"), total, similarity), "num"), "minhash-prefixes")
         # The most frequent component of a shingle is not compared with itself.
         common = prefixed.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("comp", "n").alias("most_comp"))
         others = prefixed.join(common, "key").where("comp != most_comp").drop("most_comp")
