@@ -42,6 +42,7 @@ SHINGLE_WORDS = 5
 SIMILARITY = (80, 100)  # linked when 100 * shared >= 80 * united
 HALVES, ROWS = 12, 2
 FEW = 64  # members of a table that are compared whole
+PIECE = 1 << 19  # bytes of text looked at together
 BITMAP = 16  # 64-bit words of a set's parity bitmap
 SEED = 20240229
 
@@ -62,7 +63,7 @@ def _signer(n_words: int):
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             sizes, classes, keys = [], [], []
-            for first, end, part, offs in chunks(data, offsets):
+            for first, end, part, offs in chunks(data, offsets, PIECE):
                 _, _, row, hashed = words(part, offs)
                 cuts = np.searchsorted(row, np.arange(end - first + 1))
                 for k in range(end - first):
@@ -94,7 +95,7 @@ def _sets(n_words: int):
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             found, marks, maps = [], [], []
-            for first, end, part, offs in chunks(data, offsets):
+            for first, end, part, offs in chunks(data, offsets, PIECE):
                 _, _, row, hashed = words(part, offs)
                 cuts = np.searchsorted(row, np.arange(end - first + 1))
                 for k in range(end - first):

@@ -52,7 +52,7 @@ PARTS = 8  # parts that the windows of a larger group are split into
 BLOCK_CUTS = 8192  # cuts sorted together; whole groups, so at most GROUP more
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _BASE_INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
-_PIECE = 1 << 20  # bytes of one text looked at together
+_PIECE = 1 << 19  # bytes looked at together
 _PAD = 0xFF  # a byte that UTF-8 never has
 
 
@@ -222,10 +222,10 @@ def _sorter(length: int):
         # match itself, so the widest cut stands for all.
         unique = {(r[0], r[3] - r[4]): r for r in sorted(rows, key=lambda r: len(r[5]))}
         rows = list(unique.values())
-        grid = np.full((len(rows), widest), _PAD, np.uint8)
+        columns = np.full((widest, len(rows)), _PAD, np.uint8)
         for k, r in enumerate(rows):
-            grid[k, :len(r[5])] = np.frombuffer(r[5], np.uint8)
-        found = repeated_windows(grid, length)
+            columns[:len(r[5]), k] = np.frombuffer(r[5], np.uint8)
+        found = repeated_windows(columns.T, length)
         # Maximal runs of repeated starts, document by document.
         edge = np.zeros((len(rows), found.shape[0] + 2), np.int8)
         edge[:, 1:-1] = found.T
@@ -427,7 +427,7 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts with every word as the ``_CODE`` ASCII bytes of its hash."""
     for batch in batches:
         out = []
-        for first, end, part, offs in chunks(*text_bytes(batch.column(1))):
+        for first, end, part, offs in chunks(*text_bytes(batch.column(1)), _PIECE):
             starts, ends = word_ranges(part, offs)
             if not len(starts):
                 out += [""] * (end - first)
