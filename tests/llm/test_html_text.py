@@ -100,3 +100,55 @@ def test_every_given_page_against_the_standard_parser(spark):
         text = "\n".join(x for x in (" ".join(p.split()) for p in parser.parts) if x)
         assert got[page["page_id"]] == (text, len(text))
     assert len(got) == len(pages) == 250
+
+
+def test_template_lines_of_main_elements_are_differenced(spark):
+    """Lines of a main element outside its article go if the nearest page shares them; mirrored text stays."""
+    def page(k):
+        return (f"<nav>Menu</nav><main><div>Home / News</div><h1>Story {k}</h1><article><p>Read more</p><p>Text of story {k}, which goes on for some words.</p></article>"
+                "<div>Read more</div></main><div>Imprint</div>")
+
+    def copy(k):
+        return f"<main><p>One text on two pages of a host</p><p>with a second line</p><p>Seen {k} times</p></main><div>Site {k}</div>"
+    table = [(k, f"https://news.example/arts/{k:02d}", page(k)) for k in range(8)]
+    table += [(20 + k, f"https://twin.example/{k}", copy(k)) for k in range(2)] + [(30, "https://one.example/", page(30))]
+    table += [(40 + k, f"https://copy.example/{k}", f"<p>Part {k}</p><article><p>Same</p><p>article</p></article>") for k in range(2)]
+    got = {r["page_id"]: r["text"] for r in H.main_text(spark.createDataFrame(table, "page_id bigint, url string, html string").repartition(4)).collect()}
+    assert {k: got[k] for k in range(8)} == {k: f"Story {k}\nRead more\nText of story {k}, which goes on for some words." for k in range(8)}
+    assert [got[20], got[21]] == [f"One text on two pages of a host\nwith a second line\nSeen {k} times" for k in range(2)]
+    assert got[30] == "Home / News\nStory 30\nRead more\nText of story 30, which goes on for some words.\nRead more"
+    assert got[40] == got[41] == "Same\narticle"
+
+
+def test_every_given_page_is_paired_and_aligned(spark):
+    """All pages of hosts with several, against plain Python; given pages mark
+    one article each, which the check by markup keeps whole."""
+    from os.path import commonprefix
+    from urllib.parse import urlsplit
+
+    from .conftest import SF01
+    from trackmart.llm.common import table
+
+    def common(a, b):  # length of the longest common subsequence
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = row[:]
+            for k, y in enumerate(b):
+                row[k + 1] = last[k] + 1 if x == y else max(last[k + 1], row[k])
+        return row[-1]
+    rows = H.numbered(table(spark, SF01, "pages"))
+    pages = {r["uid"]: r for r in rows.collect()}
+    hosts = {}
+    for uid, r in pages.items():
+        url = urlsplit(r["url"])
+        hosts.setdefault(url.netloc.lower(), []).append((url.path, uid))
+    lines = {uid: [x for part in H.blocks(r["html"])[:2] for x in part] for uid, r in pages.items()}
+    wanted = {}
+    for order in hosts.values():
+        order.sort()
+        for k, (path, uid) in enumerate(order):
+            near = [(len(commonprefix([path, p])), u) for p, u in order[max(0, k - 1):k] + order[k + 1:k + 2]]
+            if near:
+                wanted[uid] = common(lines[uid], lines[max(near)[1]])
+    assert {r["uid"]: (r["n_shared"], r["gone"]) for r in H.differenced(rows).collect()} == {uid: (n, []) for uid, n in wanted.items()}
+    assert len(wanted) > 100

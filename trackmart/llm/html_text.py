@@ -1,18 +1,21 @@
 """Main text of web pages: block extraction and nearest-URL differencing.
 
-Markup says most: blocks inside an article (or main) element are its text, and
-menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-reader comments are left out wherever they stand. For a page that marks no
-article, what is left still holds template lines; such a page is paired with
-the page of its host that stands nearest by URL path, the lines of both are
-aligned by their longest common subsequence, and the shared ones are deleted.
-
-Differencing decides nothing on pages that mark their article: mirrored
-articles share all their lines and must keep them.
+Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
+reader comments are left out by their markup wherever they stand. Every page is
+paired with the page of its host that stands nearest by URL path, the lines of
+both are aligned by their longest common subsequence, and the shared ones are
+template lines, which are deleted. A check by markup follows: mirrored articles
+share their lines and must keep them, so lines in an article element come back;
+lines of a main element but no article come back if most of the text is shared,
+as the page is then another copy; and where a page has such an element, nothing
+outside it is its text.
+
+Lines are compared by 128-bit digests, so only those travel to the neighbour.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from bisect import bisect_left
@@ -31,6 +34,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
                    "strong sub sup time tt u var wbr".split())
 LEFT_OUT = frozenset("nav footer aside form button select option dialog menu head fieldset".split())
 MAIN = frozenset(("article", "main"))
+_WIDTH = 16  # bytes of a line's digest
 # Names that say so in a class, id or role.
 NAMES = frozenset("ad ads adsbygoogle advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices "
                   "alert warning sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs comment comments commentlist disqus replies "
@@ -57,27 +61,28 @@ def _left_out(name: str, attributes: str, in_main: bool) -> bool:
     return False
 
 
-def blocks(page: str) -> tuple[list[str], list[str], bool]:
-    """``(article, outside, marked)``: the blocks inside article or main
-    elements and those outside, without what is left out; whether the page has
-    such an element."""
-    inside: list[str] = []
-    outside: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, left out, in main
+OUTSIDE, IN_MAIN, IN_ARTICLE = range(3)  # where a line stands
+
+
+def lines(page: str) -> tuple[list[tuple[int, str]], bool]:
+    """The blocks of a page, each with where it stands, without what is left
+    out; whether the page has an article or main element."""
+    found: list[tuple[int, str]] = []
+    stack: list[tuple[str, bool, int]] = []  # name, left out, where
     held: list[str] = []
-    out, main, marked, at = False, False, False, 0
+    out, main, marked, at = False, OUTSIDE, False, 0
 
     def flush() -> None:
         if held:
             line = " ".join("".join(held).split())
             held.clear()
             if line:
-                (inside if main else outside).append(line)
+                found.append((main, line))
 
     def close(depth: int) -> None:
         nonlocal out, main
         del stack[depth:]
-        out, main = stack[-1][1:] if stack else (False, False)
+        out, main = stack[-1][1:] if stack else (False, OUTSIDE)
 
     def text(upto: int) -> None:
         if not out and upto > at:
@@ -116,33 +121,47 @@ def blocks(page: str) -> tuple[list[str], list[str], bool]:
                     if last >= 0 and (names[last] == "p" or name in ("li", "dd", "dt", "td", "th", "tr", "option") and names[last] == name):
                         close(last)
                 if not match[3].endswith("/") or name not in INLINE:
-                    stack.append((name, out or _left_out(name, match[3], main), main or name in MAIN))
+                    where = max(main, IN_ARTICLE if name == "article" else IN_MAIN if name in MAIN else OUTSIDE)
+                    stack.append((name, out or _left_out(name, match[3], bool(main)), where))
                     out, main = stack[-1][1:]
-                    marked = marked or (main and not out)
+                    marked = marked or (main > OUTSIDE and not out)
         match = _TOKEN.search(page, at)
     text(len(page))
     flush()
-    return inside, outside, marked
+    return found, marked
+
+
+def blocks(page: str) -> tuple[list[str], list[str], bool]:
+    """``(article, outside, marked)``: the blocks inside article or main
+    elements and those outside."""
+    found, marked = lines(page)
+    return [x for where, x in found if where], [x for where, x in found if not where], marked
 
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_LINES = "uid long, url string, marked boolean, places binary, sizes array<int>, digests binary"
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each page the lines that are aligned: those inside article or main
+    elements, then those outside; their places, sizes and digests."""
     for batch in batches:
-        marked, lines, rest = [], [], []
+        marks, places, sizes, digests = [], [], [], []
         for page in batch.column(2).to_pylist():
-            inside, outside, has_article = blocks(page or "")
-            marked.append(has_article)
-            lines.append("\n".join(inside if has_article else outside))
-            rest.append("\n".join(outside) if has_article else "")
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array(marked), pa.array(lines, pa.string()), pa.array(rest, pa.string())],
-                                         names=["page_id", "url", "uid", "marked", "text", "rest"])
+            found, marked = lines(page)
+            found.sort(key=lambda x: x[0] == OUTSIDE)
+            marks.append(marked)
+            places.append(bytes(where for where, _ in found))
+            sizes.append([len(x) for _, x in found])
+            digests.append(b"".join(hashlib.blake2b(x.encode(), digest_size=_WIDTH).digest() for _, x in found))
+        yield pa.RecordBatch.from_arrays([batch.column(3), batch.column(1), pa.array(marks, pa.bool_()), pa.array(places, pa.binary()),
+                                          pa.array(sizes, pa.list_(pa.int32())), pa.array(digests, pa.binary())],
+                                         names=[x.split()[0] for x in _LINES.split(", ")])
 
 
-def unshared(own: list[str], other: list[str]) -> list[str]:
-    """The lines of ``own`` outside its longest common subsequence with
-    ``other``; all, if the pages have the same lines."""
-    if own == other:
-        return own
-    where: dict[str, list[int]] = {}
+def aligned(own: list, other: list) -> set[int]:
+    """The lines of ``own`` (their numbers) in its longest common subsequence
+    with ``other``."""
+    where: dict = {}
     for k, line in enumerate(other):
         where.setdefault(line, []).append(k)
     tails: list[int] = []
@@ -160,22 +179,58 @@ def unshared(own: list[str], other: list[str]) -> list[str]:
     while link:
         shared.add(link[0])
         link = link[1]
+    return shared
+
+
+def unshared(own: list[str], other: list[str]) -> list[str]:
+    """The lines of ``own`` outside its longest common subsequence with
+    ``other``; all, if the pages have the same lines."""
+    if own == other:
+        return own
+    shared = aligned(own, other)
     return [line for i, line in enumerate(own) if i not in shared]
 
 
-def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def checked(shared: set[int], marked: bool, places: bytes, sizes: list[int]) -> set[int]:
+    """Of the shared lines those that markup lets go: all on a page without an
+    article or main element; else those of a main element that stand in no
+    article, unless more than half of the text is shared."""
+    if not marked:
+        return shared
+    text = sum(size for where, size in zip(places, sizes, strict=True) if where)
+    if 2 * sum(sizes[i] for i in shared if places[i]) > text:
+        return set()
+    return {i for i in shared if places[i] == IN_MAIN}
+
+
+def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = ["\n".join(unshared(own.split("\n") if own else [], other.split("\n") if other else []))
-                 for own, other in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+        counts, gone = [], []
+        for marked, places, sizes, own, other in zip(*(batch.column(k).to_pylist() for k in range(1, 6)), strict=True):
+            own, other = ([x[k:k + _WIDTH] for k in range(0, len(x), _WIDTH)] for x in (own, other))
+            shared = aligned(own, other) if own != other else set(range(len(own)))
+            counts.append(len(shared))
+            gone.append(sorted(checked(shared, marked, places, sizes)) if own != other else [])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int32()), pa.array(gone, pa.list_(pa.int32()))], names=["uid", "n_shared", "gone"])
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages and the numbers of their lines that go, to texts."""
+    for batch in batches:
+        texts = []
+        for page, gone in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            inside, outside, marked = blocks(page)
+            gone = set(gone or ())
+            texts.append("\n".join(x for k, x in enumerate(inside if marked else outside) if k not in gone))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
 def _neighbours(pages: DataFrame) -> DataFrame:
-    """``(uid, other)`` for each unmarked page: the page of its host nearest
-    by URL path, the one before or the one after in order of path."""
-    keys = pages.select("uid", "marked", F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)).alias("host"),
+    """``(uid, other)`` for each page whose host has another: the page of its
+    host nearest by URL path, the one before or the one after in order of path."""
+    keys = pages.select("uid", F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)).alias("host"),
                         F.regexp_extract("url", r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1).alias("path"))
-    keys = keys.fillna("", ["host", "path"]).dropDuplicates(["uid"])
+    keys = keys.fillna("", ["host", "path"])
     order = ["host", "path", "uid"]
     placed = stored(keys.repartitionByRange(spread(pages), *order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), "page-order")
     part = F.shiftright("at", 33).cast("int")
@@ -183,15 +238,32 @@ def _neighbours(pages: DataFrame) -> DataFrame:
     first, total = {}, 0
     for k, n in sizes:
         first[k], total = total, total + n
-    starts = F.create_map(*[F.lit(x) for k, n in first.items() for x in (k, n)])
+    starts = F.create_map(*[F.lit(x) for k, n in ({-1: 0} | first).items() for x in (k, n)])  # a map of no entry has no type
     ranked = placed.withColumn("rank", (F.element_at(starts, part) + F.col("at").bitwiseAND((1 << 33) - 1)).cast("long"))
-    wanted = ranked.where(~F.col("marked")).select("uid", "host", "path", F.explode(F.array(F.col("rank") - 1, F.col("rank") + 1)).alias("rank"))
+    wanted = ranked.select("uid", "host", "path", F.explode(F.array(F.col("rank") - 1, F.col("rank") + 1)).alias("rank"))
     other = ranked.select(F.col("uid").alias("other"), F.col("host").alias("host2"), F.col("path").alias("path2"), "rank")
     met = wanted.join(other, "rank").where("host = host2 and host != ''")
     common = F.length(F.regexp_extract(F.concat("path", F.lit("\n"), "path2"), r"^(.*).*\n\1", 1))
     return met.groupBy("uid").agg(F.max_by("other", F.struct(common, F.col("other"))).alias("other"))
 
 
+def differenced(rows: DataFrame) -> DataFrame:
+    """``(uid, n_shared, gone)`` for each page whose host has another: how many
+    of its lines the nearest page shares, and the numbers of those that go."""
+    # A repeated row is one page.
+    marks = stored(rows.mapInArrow(_digests, _LINES).dropDuplicates(["uid"]), "page-lines")
+    pairs = stored(_neighbours(marks), "page-pairs")
+    other = marks.select(F.col("uid").alias("other"), F.col("digests").alias("other_digests"))
+    met = pairs.join(marks, "uid").join(other, "other")
+    return met.select("uid", "marked", "places", "sizes", "digests", "other_digests").mapInArrow(_align, "uid long, n_shared int, gone array<int>")
+
+
+def numbered(pages: DataFrame) -> DataFrame:
+    """``page_id, url, html, uid``; equal rows have equal uids."""
+    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
+    return rows.withColumn("uid", F.xxhash64("page_id", "url", "html"))
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every row.
 
@@ -199,19 +271,10 @@ def main_text(pages: DataFrame) -> DataFrame:
     page without a host has no neighbour and keeps its lines); repeated rows
     give equal rows; other columns are ignored; no row gives no row.
     """
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
-    rows = rows.withColumn("uid", F.xxhash64("page_id", "url", "html"))
-    parsed = stored(rows.mapInArrow(_parse, "page_id long, url string, uid long, marked boolean, text string, rest string"), "pages")
-    done = parsed.select("page_id", "url", "text")
-    if parsed.where(~F.col("marked")).limit(1).count():
-        pairs = stored(_neighbours(parsed), "page-pairs")
-        lines = F.concat_ws("\n", F.when(F.col("text") != "", F.col("text")), F.when(F.col("rest") != "", F.col("rest")))
-        other = parsed.join(pairs.select("other").distinct(), F.col("uid") == F.col("other"), "left_semi").dropDuplicates(["uid"]).select(
-            F.col("uid").alias("other"), lines.alias("other_lines"))
-        open_pages = parsed.where(~F.col("marked")).join(pairs, "uid", "left").join(other, "other", "left")
-        done = parsed.where("marked").select("page_id", "url", "text").unionByName(
-            open_pages.select("page_id", "url", "text", "other_lines").mapInArrow(_difference, "page_id long, url string, text string"))
-    return done.withColumn("n_chars", F.length("text").cast("long"))
+    rows = numbered(pages)
+    gone = stored(differenced(rows).where(F.size("gone") > 0).select("uid", "gone"), "page-template")
+    texts = rows.join(gone, "uid", "left").select("page_id", "url", "html", "gone").mapInArrow(_texts, "page_id long, url string, text string")
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
