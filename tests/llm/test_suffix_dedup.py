@@ -151,3 +151,18 @@ def test_words_of_scripts_without_spaces():
     offsets = np.cumsum([0, *map(len, raw)])
     starts, ends = S.word_ranges(np.frombuffer(b"".join(raw), np.uint8), offsets)
     assert [b"".join(raw)[a:b].decode() for a, b in zip(starts, ends)] == ["ab", "c", "\u6f22", "\u5b57", "x", "\u4e2d", "y", "\u00e9t\u00e9", "\u0e01", "\u0e02", "z"]
+
+
+def test_passages_of_over_fifty_words_under_and_over_400_bytes(spark):
+    """The query goes by bytes (its contract), the pipeline's stage by words."""
+    rng = np.random.default_rng(11)
+    text = lambda n, size: " ".join("".join(map(chr, rng.integers(97, 123, size))) for _ in range(n))
+    short, long = text(55, 5), text(55, 8)  # 329 and 494 bytes
+    table = [(k, f"{text(40, 6)} <{k}> {passage} <{k}> {text(40, 6)}") for k, passage in enumerate([short, short, long, long, ""])]
+    df = spark.createDataFrame(table, "doc_id bigint, text string").repartition(3)
+    got = {r["doc_id"]: r for r in S.repeat_digest(df).collect()}
+    assert {k: got[k]["n_bytes"] for k, _ in table} == {k: len(t) for k, t in table}  # of the input, whatever is removed
+    assert [got[k]["n_removed"] for k, _ in table] == [0, 0, 498, 498, 0]  # with "> " and " <" around it
+    stage = {r["doc_id"]: r["text"] for r in S.remove_repeats(spark, df, "").collect()}
+    assert [short in stage[k] or long in stage[k] for k, _ in table] == [False] * 5
+    assert stage[4] == table[4][1]
