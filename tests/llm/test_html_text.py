@@ -59,6 +59,27 @@ def test_unshared_lines():
     assert H.unshared(["a"], []) == ["a"] and H.unshared([], ["a"]) == [] and H.unshared(["a", "b"], ["a", "b"]) == ["a", "b"]
 
 
+def test_alignments_are_longest_common_subsequences(monkeypatch):
+    import random
+    rng = random.Random(7)
+    for k in range(600):
+        monkeypatch.setattr(H, "OFTEN", k % 3)
+        own, other = ([rng.randrange(1 + k % 7) for _ in range(rng.randrange(24))] for _ in range(2))
+        one, two = H.aligned(own, other), H.aligned_rows(own, other)
+        assert len(one) == len(two)
+        for shared in (one, two):
+            rest = iter(other)
+            assert all(own[i] in rest for i in sorted(shared))
+
+
+def test_pages_of_many_equal_lines(spark):
+    """Pairs of equal lines would be 36 million a page."""
+    cells = "".join("<tr><td>0<td>-</tr>" for _ in range(3000))
+    table = [(k, f"https://h.example/{k}", f"<article><p>Table {k}</p><table>{cells}</table><p>End {k}</p></article>") for k in range(4)]
+    got = {r["page_id"]: r["text"] for r in H.main_text(spark.createDataFrame(table, "page_id bigint, url string, html string")).collect()}
+    assert got == {k: "\n".join([f"Table {k}", *["0", "-"] * 3000, f"End {k}"]) for k in range(4)}
+
+
 def test_every_given_page_against_the_standard_parser(spark):
     """Python's own parser over the article element of all pages."""
     from html.parser import HTMLParser

@@ -19,7 +19,9 @@ import hashlib
 import html
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
+from math import isqrt
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -182,6 +184,45 @@ def aligned(own: list, other: list) -> set[int]:
     return shared
 
 
+OFTEN = 64  # equal lines from which a mask of them is kept
+
+
+def aligned_rows(own: list, other: list) -> set[int]:
+    """As ``aligned``, for pages of a few lines that come very often: time goes
+    with lines by lines by bits, not with pairs of equal lines. Of equally long
+    subsequences it may find another."""
+    where: dict = {}
+    for k, line in enumerate(other):
+        where.setdefault(line, []).append(k)
+    kept = {line: sum(1 << k for k in at) for line, at in where.items() if len(at) > OFTEN}
+    full = (1 << len(other)) - 1
+
+    def after(row: int, line) -> int:  # a bit is 0 where the subsequence grows
+        hit = row & (kept.get(line) or sum(1 << k for k in where.get(line, ())))
+        return (row + hit | row - hit) & full
+
+    size, row, starts = isqrt(len(own)) + 1, full, []
+    for i, line in enumerate(own):
+        if i % size == 0:
+            starts.append(row)
+        row = after(row, line)
+    shared, column = set(), len(other)
+    for part in reversed(range(len(starts))):
+        rows = [starts[part]]
+        for line in own[part * size:(part + 1) * size]:
+            rows.append(after(rows[-1], line))
+        at = len(rows) - 1
+        while at and column:
+            if rows[at] >> (column - 1) & 1:
+                column -= 1
+                continue
+            at -= 1
+            if rows[at] >> (column - 1) & 1:
+                shared.add(part * size + at)
+                column -= 1
+    return shared
+
+
 def unshared(own: list[str], other: list[str]) -> list[str]:
     """The lines of ``own`` outside its longest common subsequence with
     ``other``; all, if the pages have the same lines."""
@@ -203,12 +244,22 @@ def checked(shared: set[int], marked: bool, places: bytes, sizes: list[int]) ->
     return {i for i in shared if places[i] == IN_MAIN}
 
 
+def _equal_pairs(own: list, other: list) -> int:
+    there = Counter(other)
+    return sum(n * there[line] for line, n in Counter(own).items())
+
+
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts, gone = [], []
         for marked, places, sizes, own, other in zip(*(batch.column(k).to_pylist() for k in range(1, 6)), strict=True):
             own, other = ([x[k:k + _WIDTH] for k in range(0, len(x), _WIDTH)] for x in (own, other))
-            shared = aligned(own, other) if own != other else set(range(len(own)))
+            if own == other:
+                shared = set(range(len(own)))
+            elif marked and _equal_pairs(own, other) > OFTEN * (len(own) + len(other)):
+                shared = aligned_rows(own, other)
+            else:
+                shared = aligned(own, other)
             counts.append(len(shared))
             gone.append(sorted(checked(shared, marked, places, sizes)) if own != other else [])
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int32()), pa.array(gone, pa.list_(pa.int32()))], names=["uid", "n_shared", "gone"])
